@@ -116,32 +116,38 @@ def post_columns(d: Column, captured_at: Column, with_media: bool = True) -> lis
     return cols
 
 
-def comment_columns(d: Column, captured_at: Column) -> list[Column]:
-    """Comment columns (``replies``/``more_count`` come from the forest job)."""
+def comment_fields(d: Column, captured_at: Column | None = None) -> list[tuple[str, Column]]:
+    """Comment fields in serialised order (``replies``/``more_count`` come from the forest)."""
     ident = C.strip_prefix(C.text(d, "id"), "t1_")
-    return [
-        ident.alias("id"),
-        C.fullname(C.text(d, "name"), "t1_", ident).alias("fullname"),
-        C.site_url(C.text(d, "permalink")).alias("permalink"),
-        C.text(d, "link_id").alias("post_id"),
-        C.text(d, "subreddit").alias("subreddit"),
-        C.text(d, "parent_id").alias("parent_id"),
-        C.text(d, "author").alias("author"),
-        C.opt_text(d, "author_fullname").alias("author_fullname"),
-        C.text(d, "body").alias("text"),
-        C.timestamp(d, "created_utc").alias("created_at"),
-        C.edited(d, "edited").alias("edited_at"),
-        C.integer(d, "score").alias("score"),
-        C.integer(d, "depth").alias("depth"),
-        C.boolean(d, "is_submitter").alias("is_submitter"),
-        C.boolean(d, "stickied").alias("stickied"),
-        C.opt_text(d, "distinguished").alias("distinguished"),
-        C.integer(d, "controversiality").alias("controversiality"),
-        C.boolean(d, "collapsed").alias("collapsed"),
-        C.boolean(d, "score_hidden").alias("score_hidden"),
-        C.integer(d, "total_awards_received").alias("total_awards"),
-        captured_at.alias("captured_at"),
+    fields = [
+        ("id", ident),
+        ("fullname", C.fullname(C.text(d, "name"), "t1_", ident)),
+        ("permalink", C.site_url(C.text(d, "permalink"))),
+        ("post_id", C.text(d, "link_id")),
+        ("subreddit", C.text(d, "subreddit")),
+        ("parent_id", C.text(d, "parent_id")),
+        ("author", C.text(d, "author")),
+        ("author_fullname", C.opt_text(d, "author_fullname")),
+        ("text", C.text(d, "body")),
+        ("created_at", C.timestamp(d, "created_utc")),
+        ("edited_at", C.edited(d, "edited")),
+        ("score", C.integer(d, "score")),
+        ("depth", C.integer(d, "depth")),
+        ("is_submitter", C.boolean(d, "is_submitter")),
+        ("stickied", C.boolean(d, "stickied")),
+        ("distinguished", C.opt_text(d, "distinguished")),
+        ("controversiality", C.integer(d, "controversiality")),
+        ("collapsed", C.boolean(d, "collapsed")),
+        ("score_hidden", C.boolean(d, "score_hidden")),
+        ("total_awards", C.integer(d, "total_awards_received")),
     ]
+    if captured_at is not None:
+        fields.append(("captured_at", captured_at))
+    return fields
+
+
+def comment_columns(d: Column, captured_at: Column) -> list[Column]:
+    return [c.alias(n) for n, c in comment_fields(d, captured_at)]
 
 
 def community_columns(d: Column, captured_at: Column) -> list[Column]:

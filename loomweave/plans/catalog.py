@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomweave.functions import coerce as C
@@ -142,9 +142,169 @@ def paged_run_audit(spark, sf_dir):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entry query: per community, posts and their newest/oldest (forest joined later)."""
-    posts = _posts(spark, sf_dir, False)
-    return posts.groupBy("subreddit").agg(
+    """Entry query: thread summary per community.
+
+    Posts decoded from listing captures joined to their flattened comment
+    forests: threads, comments, deepest level and the hidden remainder still
+    behind pointers.
+    """
+    from loomweave.operators import forest as FR
+
+    posts = _posts(spark, sf_dir, False).select("fullname", "subreddit", "score")
+    nodes, _ = FR.flatten_post_responses(S.post_responses(spark, sf_dir))
+    per_thread = nodes.groupBy(F.col("thread_id").alias("fullname")).agg(
+        F.sum(F.when(F.col("kind") == "t1", 1).otherwise(0)).alias("comments"),
+        F.max("depth").alias("max_depth"),
+        F.sum(F.coalesce("ptr_count", F.lit(0))).alias("hidden"))
+    joined = posts.join(per_thread, "fullname", "left")
+    return joined.groupBy("subreddit").agg(
         F.count("*").cast("bigint").alias("posts"),
-        F.sum(F.coalesce("score", F.lit(0))).cast("bigint").alias("score_sum"),
-        C.iso(F.max("created_at")).alias("newest"))
+        F.count("comments").cast("bigint").alias("threads"),
+        F.sum(F.coalesce("comments", F.lit(0))).cast("bigint").alias("comments"),
+        F.max("max_depth").cast("bigint").alias("max_depth"),
+        F.sum(F.coalesce("hidden", F.lit(0))).cast("bigint").alias("hidden"),
+        F.sum(F.coalesce("score", F.lit(0))).cast("bigint").alias("score_sum"))
+
+
+# ---------------------------------------------------------------- comment forests
+from loomweave.operators import forest as FR  # noqa: E402
+
+
+def _forest(spark, sf_dir):
+    nodes, _ = FR.flatten_post_responses(S.post_responses(spark, sf_dir))
+    return nodes
+
+
+def _path_txt(col: str = "path"):
+    return F.array_join(F.col(col).cast("array<string>"), ".")
+
+
+@query
+def normalize_comments(spark, sf_dir):
+    """J1 + D2 + D11: nested captures -> flat typed comments with ``more_count``."""
+    v = FR.comments_view(_forest(spark, sf_dir))
+    cols = []
+    for name, _ in FR.N.comment_fields(F.lit(None)):
+        c = F.col(name)
+        if name in ("created_at", "edited_at"):
+            c = C.iso(c)
+        elif name in ("score", "depth", "controversiality", "total_awards"):
+            c = c.cast("bigint")
+        cols.append(c.alias(name))
+    return v.select("thread_id", *cols, F.col("tree_depth").cast("bigint").alias("tree_depth"),
+                    F.col("more_count").cast("bigint").alias("more_count"),
+                    C.iso(F.col("captured_at")).alias("captured_at"))
+
+
+@query
+def forest_flatten(spark, sf_dir):
+    """Every node and pointer with its materialised path."""
+    n = _forest(spark, sf_dir)
+    return n.select("thread_id", "kind", _path_txt().alias("path"),
+                    F.col("depth").cast("bigint").alias("depth"),
+                    "parent_fullname", "fullname", F.col("ptr_count").cast("bigint").alias("ptr_count"),
+                    F.col("ptr_depth").cast("bigint").alias("ptr_depth"))
+
+
+@query
+def forest_preorder(spark, sf_dir):
+    """Depth-first display rank of every comment per thread."""
+    n = FR.preorder(_forest(spark, sf_dir))
+    return n.select("thread_id", "fullname", F.col("display_rank").cast("bigint").alias("display_rank"))
+
+
+@query
+def forest_depth_counts(spark, sf_dir):
+    """Comments, pointers and hidden counts per thread and depth."""
+    n = _forest(spark, sf_dir)
+    return n.groupBy("thread_id", F.col("depth").cast("bigint").alias("depth")).agg(
+        F.sum(F.when(F.col("kind") == "t1", 1).otherwise(0)).cast("bigint").alias("comments"),
+        F.sum(F.when(F.col("kind") == "more", 1).otherwise(0)).cast("bigint").alias("pointers"),
+        F.sum(F.coalesce("ptr_count", F.lit(0))).cast("bigint").alias("hidden"))
+
+
+@query
+def forest_subtree_weight(spark, sf_dir):
+    """Per comment, comments in its subtree and its remainder weight."""
+    n = _forest(spark, sf_dir)
+    w = FR.subtree_weight(n)
+    t1 = n.filter(F.col("kind") == "t1").select("thread_id", "path", "fullname")
+    return t1.join(w, ["thread_id", "path"]).select(
+        "thread_id", "fullname", F.col("comments_below").cast("bigint").alias("comments_below"),
+        F.col("weight").cast("bigint").alias("weight"))
+
+
+@query
+def forest_pointers(spark, sf_dir):
+    """Pointers in display order (top-level pointers kept visible)."""
+    n = _forest(spark, sf_dir)
+    ranked = FR.preorder(n, kinds=("t1", "more"))
+    return ranked.filter(F.col("kind") == "more").select(
+        "thread_id", _path_txt().alias("path"), "ptr_parent_id",
+        F.col("ptr_count").cast("bigint").alias("ptr_count"),
+        F.col("ptr_depth").cast("bigint").alias("ptr_depth"),
+        F.col("display_rank").cast("bigint").alias("display_rank"))
+
+
+@query
+def forest_cap(spark, sf_dir):
+    """First 20 comments per thread plus honest remainder pointers."""
+    capped = FR.cap(_forest(spark, sf_dir), 20)
+    return capped.select("thread_id", "kind", _path_txt().alias("path"), "fullname",
+                         "ptr_parent_id", F.col("ptr_count").cast("bigint").alias("ptr_count"),
+                         F.col("ptr_depth").cast("bigint").alias("ptr_depth"), "synthetic")
+
+
+@query
+def forest_depth_cap(spark, sf_dir):
+    """Depth cap 1 (comments at depth 0 and 1) with remainder pointers."""
+    capped = FR.cap(_forest(spark, sf_dir), None, max_depth=1)
+    return capped.select("thread_id", "kind", _path_txt().alias("path"), "fullname",
+                         "ptr_parent_id", F.col("ptr_count").cast("bigint").alias("ptr_count"),
+                         F.col("ptr_depth").cast("bigint").alias("ptr_depth"), "synthetic")
+
+
+@query
+def forest_anchor(spark, sf_dir):
+    """Anchored subtrees with one ancestor of context, plus not-found anchors."""
+    n = _forest(spark, sf_dir)
+    ev = S.read(spark, sf_dir, "events")
+    anchors = ev.filter(F.col("event_id") % 97 == 0).select(
+        F.concat(F.lit("t3_d"), F.col("user_id")).alias("thread_id"),
+        F.upper(F.concat(F.lit("e"), F.col("event_id"))).alias("comment_id"))
+    sub, missing = FR.anchor(n, anchors, context=1)
+    found = sub.select("comment_id", F.lit(True).alias("found"), "thread_id",
+                       F.col("kind"), _path_txt().alias("path"), "fullname")
+    lost = missing.select("comment_id", F.lit(False).alias("found"), "thread_id",
+                          F.lit(None).cast("string").alias("kind"),
+                          F.lit(None).cast("string").alias("path"),
+                          F.lit(None).cast("string").alias("fullname"))
+    return found.unionByName(lost)
+
+
+def _sorted_comments(spark, sf_dir, sort):
+    n = FR.comments_view(_forest(spark, sf_dir))
+    n = n.select("thread_id", "path", "parent_path", "sib_pos", F.lit("t1").alias("kind"),
+                 "created_at", "score", "ups", "downs", "is_submitter", "fullname")
+    s = FR.sibling_sort(n, sort)
+    w = Window.partitionBy("thread_id").orderBy("sorted_path")
+    return s.withColumn("display_rank", F.row_number().over(w)).select(
+        "thread_id", "fullname", F.col("new_pos").cast("bigint").alias("sibling_rank"),
+        F.col("display_rank").cast("bigint").alias("display_rank"))
+
+
+for _sort in ("confidence", "top", "new", "old", "controversial", "qa"):
+    def _make(sort):
+        def fn(spark, sf_dir):
+            return _sorted_comments(spark, sf_dir, sort)
+        fn.__name__ = f"comment_sort_{sort}"
+        fn.__doc__ = f"H1-H8: siblings ordered by ``{sort}``, display order rebuilt."
+        return fn
+    query(_make(_sort))
+
+
+@query
+def thread_nested_json(spark, sf_dir):
+    """One nested JSON document per top-level comment (rows-only check)."""
+    nested = FR.nested_comments(_forest(spark, sf_dir))
+    return nested.select("thread_id", F.col("sib_pos").cast("bigint").alias("position"), "json")

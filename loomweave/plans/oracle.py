@@ -237,3 +237,263 @@ SELECT run_id, items, stop_reason, requests_made, since_target_crossed,
        ', budget unknown/unknown' AS summary
 FROM audit
 """
+
+
+# ---------------------------------------------------------------- comment forests
+def _heap_depth(k: str) -> str:
+    parts, bound = [], 3
+    for d in range(0, 30):
+        parts.append(f"WHEN {k} <= {bound} THEN {d}")
+        bound = bound * 3 + 3
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _ancestor(k: str, j: str) -> str:
+    return f"CAST(floor(({k} - (pow(3, {j}) - 1) / 2) / pow(3, {j})) AS BIGINT)"
+
+
+FOREST_CTE = f"""
+ev AS (
+  SELECT e.*, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k,
+         count(*) OVER (PARTITION BY user_id) AS n
+  FROM events e
+),
+f0 AS (
+  SELECT ev.*, {_heap_depth('k')} AS depth, CAST(floor((k - 1) / 3) AS BIGINT) AS parent_k,
+         CASE WHEN user_id % 5 = 0 THEN 2 ELSE 40 END AS cut
+  FROM ev
+),
+f AS (
+  SELECT f0.*, 't3_d' || f0.user_id AS thread_id, 't1_e' || f0.event_id AS fullname,
+         list_transform(range(f0.depth, -1, -1),
+                        lambda j: CAST(({_ancestor('f0.k', 'j')} - 1) % 3 AS INTEGER)) AS path,
+         p.event_id AS parent_event_id
+  FROM f0 LEFT JOIN ev p ON p.user_id = f0.user_id AND p.k = f0.parent_k
+),
+capd AS (
+  SELECT user_id, k, CASE WHEN event_id % 10 = 3 THEN 0 ELSE depth END AS cap_depth
+  FROM f WHERE parent_k = 0
+  UNION ALL
+  SELECT f.user_id, f.k, CASE WHEN f.event_id % 10 = 3 THEN capd.cap_depth ELSE f.depth END
+  FROM f JOIN capd ON f.user_id = capd.user_id AND f.parent_k = capd.k
+),
+vis AS (
+  SELECT f.*, capd.cap_depth FROM f JOIN capd USING (user_id, k) WHERE f.k <= f.cut
+),
+hid AS (
+  SELECT user_id, thread_id, cut, n,
+         list_filter(list_transform(range(1, depth + 2), lambda j: {_ancestor('k', 'j')}),
+                     lambda a: a <= cut)[1] AS anc_k
+  FROM f WHERE k > cut
+),
+ptr AS (
+  SELECT h.thread_id, h.anc_k, count(*) AS ptr_count,
+         coalesce(a.path, []::INTEGER[]) AS parent_path,
+         CAST(CASE WHEN h.anc_k = 0 THEN least(3, least(h.cut, h.n))
+                   ELSE greatest(0, least(3, least(h.cut, h.n) - 3 * h.anc_k)) END AS INTEGER) AS sib_pos,
+         CASE WHEN h.anc_k = 0 THEN h.thread_id ELSE a.fullname END AS ptr_parent_id,
+         CASE WHEN h.anc_k = 0 THEN 0 ELSE a.depth + 1 END AS ptr_depth
+  FROM hid h LEFT JOIN f a ON a.user_id = h.user_id AND a.k = h.anc_k
+  GROUP BY h.thread_id, h.anc_k, h.cut, h.n, a.path, a.fullname, a.depth
+),
+nodes AS (
+  SELECT thread_id, 't1' AS kind, path, path[1:len(path) - 1] AS parent_path, path[len(path)] AS sib_pos,
+         depth, fullname,
+         CASE WHEN parent_k = 0 THEN thread_id ELSE 't1_e' || parent_event_id END AS parent_fullname,
+         NULL::VARCHAR AS ptr_parent_id, NULL::BIGINT AS ptr_count, NULL::BIGINT AS ptr_depth,
+         cap_depth, event_id, user_id, ts, value, event_type, props
+  FROM vis
+  UNION ALL
+  SELECT thread_id, 'more', list_append(parent_path, sib_pos), parent_path, sib_pos,
+         len(parent_path), NULL, ptr_parent_id, ptr_parent_id, ptr_count, ptr_depth,
+         NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM ptr
+)"""
+
+
+def _path(col: str = "path") -> str:
+    return f"array_to_string({col}, '.')"
+
+
+ORACLE["normalize_comments"] = f"""
+WITH RECURSIVE {FOREST_CTE},
+mc AS (SELECT thread_id, parent_path AS path, sum(ptr_count) AS more_count FROM ptr GROUP BY 1, 2)
+SELECT v.thread_id, 'e' || v.event_id AS id, v.fullname,
+       'https://www.reddit.com/r/src' || (v.user_id % 20) || '/comments/d' || v.user_id || '/p/e'
+         || v.event_id || '/' AS permalink,
+       't3_d' || v.user_id AS post_id, 'src' || (v.user_id % 20) AS subreddit,
+       CASE WHEN v.parent_k = 0 THEN 't3_d' || v.user_id ELSE 't1_e' || v.parent_event_id END AS parent_id,
+       'u' || (v.event_id % 150) AS author, 't2_u' || (v.event_id % 150) AS author_fullname,
+       v.event_type || ' ' || v.props AS text,
+       {iso('v.ts')} AS created_at, NULL::VARCHAR AS edited_at,
+       CAST(floor(v.value) - 5 AS BIGINT) AS score,
+       CAST(CASE WHEN v.event_id % 10 = 3 THEN NULL ELSE v.depth END AS BIGINT) AS depth,
+       v.event_id % 150 = v.user_id % 150 AS is_submitter,
+       v.event_type = 'signup' AS stickied,
+       CASE WHEN v.event_type = 'purchase' THEN 'moderator' END AS distinguished,
+       CAST(v.event_id % 2 AS BIGINT) AS controversiality,
+       v.value > 45 AS collapsed, false AS score_hidden,
+       CAST(v.event_id % 3 AS BIGINT) AS total_awards,
+       CAST(v.depth AS BIGINT) AS tree_depth,
+       CAST(mc.more_count AS BIGINT) AS more_count,
+       '2024-06-01T00:00:00Z' AS captured_at
+FROM vis v LEFT JOIN mc ON mc.thread_id = v.thread_id AND mc.path = v.path
+"""
+
+ORACLE["forest_flatten"] = f"""
+WITH RECURSIVE {FOREST_CTE}
+SELECT thread_id, kind, {_path()} AS path, CAST(depth AS BIGINT) AS depth,
+       CASE WHEN kind = 't1' THEN parent_fullname
+            WHEN len(parent_path) = 0 THEN thread_id ELSE ptr_parent_id END AS parent_fullname,
+       fullname, CAST(ptr_count AS BIGINT) AS ptr_count, CAST(ptr_depth AS BIGINT) AS ptr_depth
+FROM nodes
+"""
+
+ORACLE["forest_preorder"] = f"""
+WITH RECURSIVE {FOREST_CTE}
+SELECT thread_id, fullname,
+       CAST(row_number() OVER (PARTITION BY thread_id ORDER BY path) AS BIGINT) AS display_rank
+FROM nodes WHERE kind = 't1'
+"""
+
+ORACLE["forest_depth_counts"] = f"""
+WITH RECURSIVE {FOREST_CTE}
+SELECT thread_id, CAST(depth AS BIGINT) AS depth,
+       CAST(sum(CASE WHEN kind = 't1' THEN 1 ELSE 0 END) AS BIGINT) AS comments,
+       CAST(sum(CASE WHEN kind = 'more' THEN 1 ELSE 0 END) AS BIGINT) AS pointers,
+       CAST(sum(coalesce(ptr_count, 0)) AS BIGINT) AS hidden
+FROM nodes GROUP BY thread_id, depth
+"""
+
+ORACLE["forest_subtree_weight"] = f"""
+WITH RECURSIVE {FOREST_CTE}
+SELECT a.thread_id, a.fullname,
+       CAST(sum(CASE WHEN b.kind = 't1' THEN 1 ELSE 0 END) AS BIGINT) AS comments_below,
+       CAST(sum(CASE WHEN b.kind = 't1' THEN 1 ELSE b.ptr_count END) AS BIGINT) AS weight
+FROM nodes a JOIN nodes b ON a.thread_id = b.thread_id AND b.path[1:len(a.path)] = a.path
+WHERE a.kind = 't1'
+GROUP BY a.thread_id, a.fullname
+"""
+
+ORACLE["forest_pointers"] = f"""
+WITH RECURSIVE {FOREST_CTE},
+r AS (SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY path) AS display_rank FROM nodes)
+SELECT thread_id, {_path()} AS path, ptr_parent_id, CAST(ptr_count AS BIGINT) AS ptr_count,
+       CAST(ptr_depth AS BIGINT) AS ptr_depth, CAST(display_rank AS BIGINT) AS display_rank
+FROM r WHERE kind = 'more'
+"""
+
+
+def _cap_sql(keep_pred: str) -> str:
+    return f"""
+WITH RECURSIVE {FOREST_CTE},
+t1r AS (SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY path) AS r FROM nodes WHERE kind = 't1'),
+kept_t1 AS (SELECT thread_id, path, fullname, cap_depth FROM t1r WHERE {keep_pred}),
+marked AS (
+  SELECT n.*, k.path IS NOT NULL AS kept, (len(n.parent_path) = 0 OR kp.path IS NOT NULL) AS parent_kept
+  FROM nodes n
+  LEFT JOIN kept_t1 k ON k.thread_id = n.thread_id AND k.path = n.path
+  LEFT JOIN kept_t1 kp ON kp.thread_id = n.thread_id AND kp.path = n.parent_path
+),
+cutpos AS (
+  SELECT thread_id, parent_path, min(sib_pos) AS cut_pos FROM marked
+  WHERE kind = 't1' AND NOT kept AND parent_kept GROUP BY 1, 2
+),
+m2 AS (
+  SELECT m.*, (m.kept OR (m.kind = 'more' AND m.parent_kept
+                          AND (c.cut_pos IS NULL OR m.sib_pos < c.cut_pos))) AS keep
+  FROM marked m LEFT JOIN cutpos c ON c.thread_id = m.thread_id AND c.parent_path = m.parent_path
+),
+om AS (
+  SELECT o.thread_id, o.path, CASE WHEN o.kind = 't1' THEN 1 ELSE o.ptr_count END AS w,
+         coalesce(max(len(k.path)), 0) AS alen
+  FROM m2 o LEFT JOIN kept_t1 k ON k.thread_id = o.thread_id AND len(k.path) < len(o.path)
+       AND o.path[1:len(k.path)] = k.path
+  WHERE NOT o.keep
+  GROUP BY o.thread_id, o.path, o.kind, o.ptr_count
+),
+rem AS (
+  SELECT thread_id, path[1:alen] AS anc, sum(w) AS omitted FROM om GROUP BY 1, 2
+),
+lastpos AS (SELECT thread_id, parent_path AS anc, max(sib_pos) AS last FROM m2 WHERE keep GROUP BY 1, 2),
+synth AS (
+  SELECT r.thread_id, 'more' AS kind,
+         list_append(r.anc, CAST(coalesce(l.last + 1, 0) AS INTEGER)) AS path, NULL::VARCHAR AS fullname,
+         coalesce(k.fullname, r.thread_id) AS ptr_parent_id, r.omitted AS ptr_count,
+         CASE WHEN len(r.anc) = 0 THEN 0 ELSE k.cap_depth END AS ptr_depth, true AS synthetic
+  FROM rem r LEFT JOIN kept_t1 k ON k.thread_id = r.thread_id AND k.path = r.anc
+  LEFT JOIN lastpos l ON l.thread_id = r.thread_id AND l.anc = r.anc
+)
+SELECT thread_id, kind, {_path()} AS path, fullname, ptr_parent_id, CAST(ptr_count AS BIGINT) AS ptr_count,
+       CAST(ptr_depth AS BIGINT) AS ptr_depth, false AS synthetic
+FROM m2 WHERE keep
+UNION ALL
+SELECT thread_id, kind, {_path()}, fullname, ptr_parent_id, CAST(ptr_count AS BIGINT),
+       CAST(ptr_depth AS BIGINT), synthetic FROM synth
+"""
+
+
+ORACLE["forest_cap"] = _cap_sql("r <= 20")
+ORACLE["forest_depth_cap"] = _cap_sql("depth <= 1")
+
+ORACLE["forest_anchor"] = f"""
+WITH RECURSIVE {FOREST_CTE},
+anchors AS (SELECT 't3_d' || user_id AS thread_id, upper('e' || event_id) AS comment_id FROM events
+            WHERE event_id % 97 = 0),
+hit AS (
+  SELECT a.thread_id, a.comment_id, v.path FROM anchors a
+  LEFT JOIN vis v ON v.thread_id = a.thread_id AND 'e' || v.event_id = lower(a.comment_id)
+),
+roots AS (SELECT thread_id, comment_id, path[1:greatest(1, len(path) - 1)] AS root FROM hit
+          WHERE path IS NOT NULL)
+SELECT r.comment_id, true AS found, r.thread_id, n.kind, {_path('n.path')} AS path, n.fullname
+FROM roots r JOIN nodes n ON n.thread_id = r.thread_id AND n.path[1:len(r.root)] = r.root
+UNION ALL
+SELECT comment_id, false, thread_id, NULL, NULL, NULL FROM hit WHERE path IS NULL
+"""
+
+
+def _wilson(u: str, d: str) -> str:
+    z = 1.96
+    n = f"({u} + {d})"
+    p = f"({u} / {n})"
+    return (f"round(CASE WHEN {n} > 0 THEN ({p} + {z * z} / (2 * {n}) - {z} * sqrt(({p} * (1 - {p}) + "
+            f"{z * z} / (4 * {n})) / {n})) / (1 + {z * z} / {n}) ELSE 0.0 END, 6)")
+
+
+def _controversy(u: str, d: str) -> str:
+    return (f"round(CASE WHEN {u} > 0 AND {d} > 0 THEN pow({u} + {d}, least({u}, {d}) / greatest({u}, {d})) "
+            f"ELSE 0.0 END, 6)")
+
+
+def _comment_sort_sql(key: str) -> str:
+    return f"""
+WITH RECURSIVE {FOREST_CTE},
+c AS (
+  SELECT thread_id, path, parent_path, sib_pos, fullname, ts AS created,
+         CAST(floor(value) - 5 AS BIGINT) AS score, CAST(floor(value) AS DOUBLE) AS ups,
+         CAST(event_id % 7 AS DOUBLE) AS downs, event_id % 150 = user_id % 150 AS is_submitter
+  FROM nodes WHERE kind = 't1'
+),
+s AS (
+  SELECT *, row_number() OVER (PARTITION BY thread_id, parent_path
+                               ORDER BY {key}, created DESC, fullname ASC, sib_pos) - 1 AS new_pos
+  FROM c
+),
+np AS (
+  SELECT a.thread_id, a.path, list(b.new_pos ORDER BY len(b.path)) AS sorted_path
+  FROM s a JOIN s b ON a.thread_id = b.thread_id AND a.path[1:len(b.path)] = b.path
+  GROUP BY a.thread_id, a.path
+)
+SELECT s.thread_id, s.fullname, CAST(s.new_pos AS BIGINT) AS sibling_rank,
+       CAST(row_number() OVER (PARTITION BY s.thread_id ORDER BY np.sorted_path) AS BIGINT) AS display_rank
+FROM s JOIN np ON np.thread_id = s.thread_id AND np.path = s.path
+"""
+
+
+ORACLE["comment_sort_confidence"] = _comment_sort_sql(f"{_wilson('ups', 'downs')} DESC")
+ORACLE["comment_sort_top"] = _comment_sort_sql("score DESC NULLS LAST")
+ORACLE["comment_sort_new"] = _comment_sort_sql("created DESC NULLS LAST")
+ORACLE["comment_sort_old"] = _comment_sort_sql("created ASC NULLS LAST")
+ORACLE["comment_sort_controversial"] = _comment_sort_sql(f"{_controversy('ups', 'downs')} DESC")
+ORACLE["comment_sort_qa"] = _comment_sort_sql(f"is_submitter DESC, {_wilson('ups', 'downs')} DESC")

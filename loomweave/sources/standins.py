@@ -126,3 +126,165 @@ def listing_pages(things: DataFrame, order_col: F.Column, size: int = 10) -> Dat
 def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Community listings sorted new (created desc = doc_id desc), 10 per page."""
     return listing_pages(post_things(spark, sf_dir), -F.col("doc_id"))
+
+
+# ---------------------------------------------------------------- comment forests
+# Thread of post t3_d<user_id>: the user's events in event_id order, k = 1, 2, ...
+# Node k's parent is k' = floor((k-1)/3) (0 = the post), its sibling position is
+# (k-1) % 3: a ternary heap, so depth and path are closed forms of k.
+MAX_HEAP_DEPTH = 38
+FOREST_CUT_SMALL = 2         # threads with user_id % 5 = 0 show only two comments
+FOREST_CUT = 40              # other threads show k <= 40; the rest hides behind pointers
+
+
+def heap_depth_sql(k: str) -> str:
+    return (f"aggregate(sequence(0, {MAX_HEAP_DEPTH}), 0, (acc, d) -> acc + "
+            f"IF({k} > (pow(3, d + 2) - 3) / 2, 1, 0))")
+
+
+def heap_ancestor_sql(k: str, j: str) -> str:
+    """j-th ancestor of heap node k (0 = the post)."""
+    return f"CAST(floor(({k} - (pow(3, {j}) - 1) / 2) / pow(3, {j})) AS BIGINT)"
+
+
+def heap_path_sql(k: str, depth: str) -> str:
+    return (f"transform(sequence({depth}, 0, -1), j -> "
+            f"CAST(pmod({heap_ancestor_sql(k, 'j')} - 1, 3) AS INT))")
+
+
+COMMENT_DATA_SQL = """
+named_struct(
+  'id', concat('e', event_id),
+  'name', CASE WHEN event_id % 10 = 0 THEN NULL ELSE concat('t1_e', event_id) END,
+  'permalink', concat('/r/src', user_id % 20, '/comments/d', user_id, '/p/e', event_id, '/'),
+  'link_id', concat('t3_d', user_id),
+  'parent_id', CASE WHEN parent_k = 0 THEN concat('t3_d', user_id) ELSE concat('t1_e', parent_event_id) END,
+  'subreddit', concat('src', user_id % 20),
+  'author', concat('u', event_id % 150),
+  'author_fullname', concat('t2_u', event_id % 150),
+  'body', concat(event_type, ' ', props),
+  'created_utc', unix_micros(cast(ts as timestamp)) / 1000000.0D,
+  'edited', false,
+  'score', CASE WHEN event_id % 6 = 0 THEN cast(cast(floor(value) - 5 as string) as variant)
+                ELSE cast(cast(floor(value) - 5 as bigint) as variant) END,
+  'ups', cast(floor(value) as bigint),
+  'downs', event_id % 7,
+  'depth', CASE WHEN event_id % 10 = 3 THEN NULL ELSE depth END,
+  'is_submitter', event_id % 150 = user_id % 150,
+  'stickied', event_type = 'signup',
+  'distinguished', CASE WHEN event_type = 'purchase' THEN 'moderator' ELSE NULL END,
+  'controversiality', event_id % 2,
+  'collapsed', value > 45,
+  'score_hidden', false,
+  'total_awards_received', event_id % 3
+)
+"""
+
+
+def event_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full adjacency of every thread (no JSON): one row per event."""
+    ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value",
+                                              "props")
+    ranked = blocked_running_count(ev, ["user_id"], F.col("event_id"), [], RANK_BLOCK, "k")
+    sizes = ranked.groupBy("user_id").agg(F.count("*").alias("n"))
+    nodes = (ranked.join(sizes, "user_id")
+             .withColumn("depth", F.expr(heap_depth_sql("k")).cast("int"))
+             .withColumn("parent_k", F.floor((F.col("k") - 1) / 3).cast("bigint"))
+             .withColumn("path", F.expr(heap_path_sql("k", "depth")))
+             .withColumn("cut", F.when(F.col("user_id") % 5 == 0, F.lit(FOREST_CUT_SMALL))
+                         .otherwise(F.lit(FOREST_CUT))))
+    parents = ranked.select("user_id", F.col("k").alias("parent_k"),
+                            F.col("event_id").alias("parent_event_id"))
+    return (nodes.join(parents, ["user_id", "parent_k"], "left")
+            .withColumn("thread_id", F.concat(F.lit("t3_d"), F.col("user_id")))
+            .withColumn("fullname", F.concat(F.lit("t1_e"), F.col("event_id")))
+            .withColumn("parent_path", F.slice("path", 1, F.col("depth")))
+            .withColumn("sib_pos", F.element_at("path", -1))
+            .withColumn("visible", F.col("k") <= F.col("cut")))
+
+
+def forest_pointers(forest: DataFrame) -> DataFrame:
+    """Pointer rows of the base capture: hidden nodes grouped by nearest visible ancestor."""
+    anc = F.expr(f"element_at(filter(transform(sequence(1, depth + 1), j -> "
+                 f"{heap_ancestor_sql('k', 'j')}), a -> a <= cut), 1)")
+    hidden = forest.filter(~F.col("visible")).select("user_id", "thread_id", "cut", "n",
+                                                     anc.alias("anc_k"))
+    ptr = hidden.groupBy("user_id", "thread_id", "anc_k", "cut", "n").agg(
+        F.count("*").alias("ptr_count"))
+    anc_nodes = forest.select("user_id", F.col("k").alias("anc_k"), F.col("path").alias("anc_path"),
+                              F.col("depth").alias("anc_depth"), F.col("fullname").alias("anc_name"))
+    visible_kids = F.when(F.col("anc_k") == 0, F.least(F.lit(3), F.least("cut", "n"))).otherwise(
+        F.greatest(F.lit(0), F.least(F.lit(3), F.least("cut", "n") - 3 * F.col("anc_k"))))
+    return (ptr.join(anc_nodes, ["user_id", "anc_k"], "left")
+            .select("user_id", "thread_id", "anc_k", "ptr_count",
+                    F.coalesce("anc_path", F.array().cast("array<int>")).alias("parent_path"),
+                    visible_kids.cast("int").alias("sib_pos"),
+                    F.when(F.col("anc_k") == 0, F.col("thread_id")).otherwise(F.col("anc_name"))
+                    .alias("ptr_parent_id"),
+                    F.when(F.col("anc_k") == 0, F.lit(0)).otherwise(F.col("anc_depth") + 1)
+                    .cast("bigint").alias("ptr_depth"))
+            .withColumn("path", F.array_append("parent_path", F.col("sib_pos")))
+            .withColumn("depth", (F.size("path") - 1).cast("int")))
+
+
+def _comment_head() -> F.Column:
+    data = F.to_json(F.expr(COMMENT_DATA_SQL))
+    return F.concat(F.lit('{"kind":"t1","data":'), F.regexp_replace(data, r"\}$", ""),
+                    F.lit(',"replies":'))
+
+
+def _pointer_json() -> F.Column:
+    return F.to_json(F.struct(F.lit("more").alias("kind"), F.struct(
+        F.col("ptr_count").alias("count"), F.col("ptr_parent_id").alias("parent_id"),
+        F.col("ptr_depth").alias("depth"), F.array().cast("array<string>").alias("children"))
+        .alias("data")))
+
+
+def _post_thing_by_thread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return post_things(spark, sf_dir).select(F.col("fullname").alias("thread_id"),
+                                             F.col("thing").alias("post_thing"))
+
+
+def _responses(spark, sf_dir, top: DataFrame, id_prefix: str) -> DataFrame:
+    """Wrap top-level child texts into ``[Listing[t3], Listing[children]]`` per key."""
+    grouped = top.groupBy("thread_id", "resp_key").agg(
+        F.array_sort(F.collect_list(F.struct("sib_pos", "json"))).alias("kids"))
+    body = F.concat(F.lit('[{"kind":"Listing","data":{"after":null,"children":['),
+                    F.col("post_thing"), F.lit(']}},{"kind":"Listing","data":{"after":null,"children":['),
+                    F.array_join(F.transform("kids", lambda x: x["json"]), ","), F.lit("]}}]"))
+    return (grouped.join(_post_thing_by_thread(spark, sf_dir), "thread_id")
+            .select(F.concat(F.lit(id_prefix), F.col("resp_key")).alias("response_id"),
+                    captured_at().alias("captured_at"), body.alias("body"), "thread_id"))
+
+
+def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base capture per thread: visible comments nested, hidden ones behind pointers."""
+    from loomweave.operators.forest import listing_wrap, nest
+
+    forest = event_forest(spark, sf_dir)
+    vis = forest.filter("visible").select(
+        "thread_id", "path", "parent_path", "sib_pos", "depth", F.lit("t1").alias("kind"),
+        _comment_head().alias("head"), F.lit("}}").alias("tail"))
+    ptr = forest_pointers(forest).select(
+        "thread_id", "path", "parent_path", "sib_pos", "depth", F.lit("more").alias("kind"),
+        _pointer_json().alias("head"), F.lit("").alias("tail"))
+    nodes = vis.unionByName(ptr)
+    top = nest(nodes, F.col("head"), F.col("tail"), listing_wrap, '""')
+    return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
+
+
+def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subtree capture per visible comment that has a pointer: its full replies."""
+    from loomweave.operators.forest import listing_wrap, nest
+
+    forest = event_forest(spark, sf_dir)
+    full = forest.select("thread_id", "path", "parent_path", "sib_pos", "depth",
+                         F.lit("t1").alias("kind"), _comment_head().alias("head"),
+                         F.lit("}}").alias("tail"), "fullname")
+    every = nest(full, F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True)
+    targets = (forest_pointers(forest).filter(F.col("anc_k") > 0)
+               .select("thread_id", F.col("parent_path").alias("path"), "ptr_parent_id"))
+    roots = every.join(targets, ["thread_id", "path"]).select(
+        "thread_id", F.lit(0).alias("sib_pos"), "json",
+        F.col("ptr_parent_id").alias("resp_key"))
+    return _responses(spark, sf_dir, roots, "subtree:")
