@@ -308,3 +308,94 @@ def thread_nested_json(spark, sf_dir):
     """One nested JSON document per top-level comment (rows-only check)."""
     nested = FR.nested_comments(_forest(spark, sf_dir))
     return nested.select("thread_id", F.col("sib_pos").cast("bigint").alias("position"), "json")
+
+
+# ---------------------------------------------------------------- identifiers
+from loomweave.functions import identifiers as ID  # noqa: E402
+from loomweave.functions import pii as PII  # noqa: E402
+from loomweave.functions import redact as R  # noqa: E402
+from loomweave.operators import budget as B  # noqa: E402
+
+TEST_HOSTS = ID.Hosts(suffixes=("example.com", "example.net", "example.org"))
+
+
+@query
+def resolve_identifiers(spark, sf_dir):
+    """Raw identifiers (URLs, paths, names, ids) -> typed keys or an error."""
+    inp = S.identifier_inputs(spark, sf_dir)
+    r = ID.resolve(F.col("resolver"), F.col("raw"), TEST_HOSTS)
+    return inp.select("page_id", "resolver", r["kind"].alias("kind"),
+                      r["community"].alias("community"), r["post_id"].alias("post_id"),
+                      r["comment_id"].alias("comment_id"), r["error"].alias("error"))
+
+
+# ---------------------------------------------------------------- redaction
+@query
+def redact_raw(spark, sf_dir):
+    """Redact only ``raw`` attachments of JSON records, at any depth."""
+    docs = S.raw_documents(spark, sf_dir).select("event_id", R.redact_raw_json("doc").alias("doc"))
+    g = lambda p: F.get_json_object("doc", p)
+    return docs.select("event_id", g("$.raw.Api-Key").alias("api_key"),
+                       g("$.raw.selftext").alias("selftext"), g("$.raw.profile_dir").alias("profile_dir"),
+                       g("$.raw.title").alias("title"), g("$.raw.nested.sessionId").alias("session"),
+                       g("$.raw.nested.items[0].accessToken").alias("item_token"),
+                       g("$.raw.nested.items[0].note").alias("item_note"), g("$.body").alias("body"))
+
+
+@query
+def scrub_text(spark, sf_dir):
+    """credential/path scrub of whole documents and planted conversation turns."""
+    docs = S.read(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc:"), F.col("doc_id")).alias("key"), F.col("text"))
+    conv = S.read(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("conv:"), F.col("conv_id"), F.lit(":"), F.col("turn")).alias("key"),
+        F.concat(F.col("text"), F.lit(" token="), F.col("conv_id"), F.lit("abc path /home/u"),
+                 F.col("turn"), F.lit("/x and C:\\Users\\u"), F.col("turn"),
+                 F.lit(" Bearer t"), F.col("conv_id"), F.lit(" ?session_id=q"), F.col("turn"),
+                 F.lit("&x=1")).alias("text"))
+    both = docs.unionByName(conv)
+    return both.select("key", R.scrub_usage_error(F.col("text")).alias("scrubbed"),
+                       R.scrub_diagnostic(F.col("text")).alias("bounded"))
+
+
+# ---------------------------------------------------------------- PII scan
+@query
+def pii_findings(spark, sf_dir):
+    """Value-free categories per document, in the fixed order."""
+    docs = S.read(spark, sf_dir, "documents")
+    cats = docs.select("doc_id", F.posexplode(PII.text_categories(F.col("text"))).alias("ord", "category"))
+    return cats.select("doc_id", "category", F.col("ord").cast("bigint").alias("ord"))
+
+
+@query
+def pii_entropy(spark, sf_dir):
+    """32+ character tokens per document and their highest entropy."""
+    docs = S.read(spark, sf_dir, "documents")
+    toks = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(PII.TOKEN_RE), 0))
+                       .alias("token"))
+    return toks.groupBy("doc_id").agg(
+        F.count("*").cast("bigint").alias("tokens"),
+        F.round(F.max(PII.shannon_entropy(F.col("token"))), 6).alias("max_entropy"),
+        F.sum(F.when(PII.has_synthetic_marker(F.col("token")), 1).otherwise(0)).cast("bigint")
+        .alias("synthetic"))
+
+
+# ---------------------------------------------------------------- budget audit
+@query
+def budget_advice(spark, sf_dir):
+    """M1-M3, M5: parsed budget, advised delay, stop/wait decision per response."""
+    adv = B.advise(S.request_log(spark, sf_dir), wait_on_limit=True, max_wait=300.0)
+    return adv.select(F.col("client").cast("bigint").alias("client"),
+                      F.col("seq").cast("bigint").alias("seq"), "status",
+                      "remaining", "reset", "used", "advised_delay", "blocked", "decision",
+                      C.iso(F.col("reset_at")).alias("reset_at"), "budget_text")
+
+
+@query
+def budget_windows(spark, sf_dir):
+    """M4: requests and limited responses per client per 10-minute window."""
+    adv = B.advise(S.request_log(spark, sf_dir), wait_on_limit=True, max_wait=300.0)
+    w = B.windows(adv)
+    return w.select(F.col("client").cast("bigint").alias("client"), "window_start",
+                    F.col("requests").cast("bigint").alias("requests"),
+                    F.col("limited").cast("bigint").alias("limited"), "min_remaining")

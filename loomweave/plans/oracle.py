@@ -497,3 +497,187 @@ ORACLE["comment_sort_new"] = _comment_sort_sql("created DESC NULLS LAST")
 ORACLE["comment_sort_old"] = _comment_sort_sql("created ASC NULLS LAST")
 ORACLE["comment_sort_controversial"] = _comment_sort_sql(f"{_controversy('ups', 'downs')} DESC")
 ORACLE["comment_sort_qa"] = _comment_sort_sql(f"is_submitter DESC, {_wilson('ups', 'downs')} DESC")
+
+
+# ---------------------------------------------------------------- identifiers
+ORACLE["resolve_identifiers"] = r"""
+WITH p AS (
+  SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)/', 1) AS lang,
+         'K' || hex(page_id) AS pid FROM pages
+),
+x AS (
+  SELECT page_id, pid, lang, page_id % 8 AS r,
+         lang || '_' || page_id AS sub1,
+         lang || 'x+grp' || page_id || CASE WHEN page_id % 3 = 0 THEN '+' ELSE '' END AS grp,
+         lang || 'x' AS c4
+  FROM p
+)
+SELECT page_id,
+       CASE r WHEN 0 THEN 'subreddit' WHEN 1 THEN 'subreddit' WHEN 2 THEN 'subreddit_group'
+              WHEN 3 THEN 'user' WHEN 4 THEN 'post' WHEN 5 THEN 'comment' WHEN 6 THEN 'subreddit'
+              ELSE 'post' END AS resolver,
+       CASE WHEN r = 1 AND regexp_full_match(sub1, '[A-Za-z0-9_]{3,21}') THEN 'subreddit'
+            WHEN r = 2 AND page_id % 3 <> 0 AND regexp_full_match(lang || 'x', '[A-Za-z0-9_]{3,21}')
+                 THEN 'subreddits'
+            WHEN r = 3 THEN 'user'
+            WHEN r = 4 AND regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN 'post'
+            WHEN r = 5 AND regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN 'comment'
+            WHEN r = 7 THEN 'post' END AS kind,
+       CASE WHEN r = 1 AND regexp_full_match(sub1, '[A-Za-z0-9_]{3,21}') THEN sub1
+            WHEN r = 2 AND page_id % 3 <> 0 AND regexp_full_match(lang || 'x', '[A-Za-z0-9_]{3,21}') THEN grp
+            WHEN r = 3 THEN 'u_' || page_id
+            WHEN r IN (4, 5) AND regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN c4 END AS community,
+       CASE WHEN r IN (4, 5) AND regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN lower(pid)
+            WHEN r = 7 THEN lower(pid) END AS post_id,
+       CASE WHEN r = 5 AND regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN lower('C' || hex(page_id)) END
+         AS comment_id,
+       CASE WHEN r = 0 THEN 'expected a subreddit URL'
+            WHEN r = 1 AND NOT regexp_full_match(sub1, '[A-Za-z0-9_]{3,21}') THEN 'invalid subreddit name'
+            WHEN r = 2 AND (page_id % 3 = 0 OR NOT regexp_full_match(lang || 'x', '[A-Za-z0-9_]{3,21}'))
+                 THEN 'invalid subreddit name'
+            WHEN r IN (4, 5) AND NOT regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN 'invalid subreddit name'
+            WHEN r = 6 THEN 'Reddit URLs must not contain credentials' END AS error
+FROM x
+"""
+
+# ---------------------------------------------------------------- redaction
+ORACLE["redact_raw"] = """
+WITH e AS (SELECT event_id, event_type, props, repeat(event_type || ' ', 1 + event_id % 9) AS s FROM events)
+SELECT CAST(event_id AS BIGINT) AS event_id, '[REDACTED]' AS api_key,
+       CASE WHEN length(s) <= 40 THEN s
+            ELSE substring(s, 1, 40) || '...[redacted ' || (length(s) - 40) || ' more chars]' END AS selftext,
+       '[REDACTED]' AS profile_dir, event_type AS title, '[REDACTED]' AS session,
+       '[REDACTED]' AS item_token, props AS item_note, repeat('b', 50) AS body
+FROM e
+"""
+
+_NAME = (r"(?:api[ _-]?key|access[_-]?token|token|secret|password|cookie|authorization|"
+         r"proxy[_-]?authorization|session(?:[_-]?(?:id|token))?|csrf(?:[_-]?token)?)")
+_W = r"\pL\pN_"
+
+
+def _scrub(x: str) -> str:
+    s = (f"regexp_replace({x}, '(?i)(\\bbearer\\s+|{_NAME}\\s*[=:]\\s*(?:bearer\\s+)?|[?&]{_NAME}=)"
+         f"[^\\s,;&#]+', '\\1[REDACTED]', 'g')")
+    s = (f"regexp_replace({s}, '(^|[^{_W}/])(?:~|/(?:Users|home|var|private|tmp|opt|Library))"
+         f"(?:/[^\\s,;]*)?', '\\1[REDACTED]', 'g')")
+    s = f"regexp_replace({s}, '(^|[^{_W}])[A-Za-z]:[\\\\/][^\\s,;]*', '\\1[REDACTED]', 'g')"
+    s = f"regexp_replace({s}, '(^|[^{_W}])\\\\\\\\[^\\\\/\\s]+[\\\\/][^\\s,;]*', '\\1[REDACTED]', 'g')"
+    return s
+
+
+ORACLE["scrub_text"] = f"""
+WITH t AS (
+  SELECT 'doc:' || doc_id AS key, text FROM documents
+  UNION ALL
+  SELECT 'conv:' || conv_id || ':' || turn, text || ' token=' || conv_id || 'abc path /home/u' || turn
+         || '/x and C:\\Users\\u' || turn || ' Bearer t' || conv_id || ' ?session_id=q' || turn || '&x=1'
+  FROM conversations
+),
+s AS (SELECT key, {_scrub('text')} AS scrubbed FROM t)
+SELECT key, scrubbed,
+       CASE WHEN length(scrubbed) > 80 THEN '[REDACTED diagnostic text: ' || length(scrubbed) || ' chars]'
+            ELSE scrubbed END AS bounded
+FROM s
+"""
+
+# ---------------------------------------------------------------- PII scan
+_TOKENS_CTE = r"""
+tok AS (
+  SELECT doc_id, t, row_number() OVER () AS tid FROM (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9+/_=\-]{32,}')) AS t FROM documents)
+),
+ch AS (
+  SELECT tid, c, count(*) AS n FROM (SELECT tid, unnest(string_split(t, '')) AS c FROM tok)
+  GROUP BY tid, c
+),
+ent AS (
+  SELECT tok.doc_id, tok.tid, tok.t,
+         -sum((ch.n / length(tok.t)) * log2(ch.n / length(tok.t))) AS e
+  FROM tok JOIN ch USING (tid) GROUP BY tok.doc_id, tok.tid, tok.t
+),
+tk AS (
+  SELECT *, len(list_intersect(string_split_regex(lower(t), '[^a-z0-9]+'),
+                               ['dummy', 'example', 'fake', 'fixture', 'sample', 'synthetic', 'test'])) > 0
+              AS synthetic,
+         CAST(regexp_matches(t, '[a-z]') AS INT) + CAST(regexp_matches(t, '[A-Z]') AS INT)
+         + CAST(regexp_matches(t, '[0-9]') AS INT) + CAST(regexp_matches(t, '[+/=_\-]') AS INT) AS classes
+  FROM ent
+)"""
+
+ORACLE["pii_findings"] = rf"""
+WITH {_TOKENS_CTE},
+flags AS (
+  SELECT d.doc_id,
+         regexp_matches(d.text, '[A-Za-z0-9._%+\-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,63}}([^A-Za-z0-9.\-]|$)') AS email,
+         regexp_matches(d.text, '(^|[^\pL\pN_])(?:\+\d{{1,3}}[ .-])?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]\d{{3,4}}[ .-]\d{{3,4}}($|[^\pL\pN_])') AS phone,
+         regexp_matches(d.text, '\beyJ[A-Za-z0-9_\-]{{16,}}\.[A-Za-z0-9_\-]{{16,}}(?:\.[A-Za-z0-9_\-]{{8,}})?\b')
+           OR EXISTS (SELECT 1 FROM tk WHERE tk.doc_id = d.doc_id AND NOT tk.synthetic
+                      AND tk.classes >= 3 AND tk.e >= 4.0) AS secret
+  FROM documents d
+),
+cats AS (
+  SELECT doc_id, 'email' AS category, 0 AS pri FROM flags WHERE email
+  UNION ALL SELECT doc_id, 'phone', 1 FROM flags WHERE phone
+  UNION ALL SELECT doc_id, 'high-entropy-secret', 2 FROM flags WHERE secret
+)
+SELECT doc_id, category,
+       CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pri) - 1 AS BIGINT) AS ord
+FROM cats
+"""
+
+ORACLE["pii_entropy"] = f"""
+WITH {_TOKENS_CTE}
+SELECT doc_id, CAST(count(*) AS BIGINT) AS tokens, round(max(e), 6) AS max_entropy,
+       CAST(sum(CASE WHEN synthetic THEN 1 ELSE 0 END) AS BIGINT) AS synthetic
+FROM tk GROUP BY doc_id
+"""
+
+# ---------------------------------------------------------------- budget audit
+BUDGET_CTE = f"""
+ev AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events),
+b AS (
+  SELECT user_id AS client, seq, ts, event_id,
+         CASE WHEN event_type = 'error' AND value > 45 THEN 429 ELSE 200 END AS status,
+         (seq - 1) % 100 + 1 AS used0, 600 - (seq * 6) % 600 AS reset0,
+         NOT (event_id % 13 = 0 OR event_id % 17 = 0) AS valid
+  FROM ev
+),
+p AS (
+  SELECT *, CASE WHEN valid THEN CAST(100 - used0 AS DOUBLE) END AS remaining,
+         CASE WHEN valid THEN CAST(reset0 AS DOUBLE) END AS reset,
+         CASE WHEN valid THEN CAST(used0 AS DOUBLE) END AS used
+  FROM b
+),
+d AS (
+  SELECT *, CASE WHEN status = 429 THEN 'stop' WHEN NOT valid THEN 'continue'
+                 WHEN remaining <> 0 THEN 'continue'
+                 WHEN reset >= 0 AND reset <= 300 THEN 'wait' ELSE 'stop' END AS decision
+  FROM p
+)"""
+
+ORACLE["budget_advice"] = f"""
+WITH {BUDGET_CTE},
+j AS (
+  SELECT d.*, coalesce(pr.valid AND pr.decision <> 'wait', false) AS pv,
+         pr.remaining AS pr_rem, pr.reset AS pr_reset, pr.used AS pr_used
+  FROM d LEFT JOIN d pr ON pr.client = d.client AND pr.seq = d.seq - 1
+)
+SELECT CAST(client AS BIGINT) AS client, CAST(seq AS BIGINT) AS seq, status, remaining, reset, used,
+       round(CASE WHEN pv AND pr_rem > 0 AND pr_rem <= pr_used THEN greatest(1.0, pr_reset / pr_rem)
+                  ELSE 1.0 END, 6) AS advised_delay,
+       coalesce(pv AND pr_rem = 0, false) AS blocked, decision,
+       CASE WHEN valid THEN {iso('(ts + to_seconds(CAST(reset AS BIGINT)))')} END AS reset_at,
+       CASE WHEN valid THEN CAST(remaining AS VARCHAR) || '/' || CAST(used AS VARCHAR)
+            ELSE 'unknown/unknown' END AS budget_text
+FROM j
+"""
+
+ORACLE["budget_windows"] = f"""
+WITH {BUDGET_CTE}
+SELECT CAST(client AS BIGINT) AS client, {iso("time_bucket(INTERVAL '10 minutes', ts)")} AS window_start,
+       CAST(count(*) AS BIGINT) AS requests,
+       CAST(sum(CASE WHEN status = 429 OR remaining = 0 THEN 1 ELSE 0 END) AS BIGINT) AS limited,
+       min(remaining) AS min_remaining
+FROM d GROUP BY client, time_bucket(INTERVAL '10 minutes', ts)
+"""

@@ -288,3 +288,80 @@ def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "thread_id", F.lit(0).alias("sib_pos"), "json",
         F.col("ptr_parent_id").alias("resp_key"))
     return _responses(spark, sf_dir, roots, "subtree:")
+
+
+# ---------------------------------------------------------------- request log, identifiers, raw docs
+TS_BLOCK_MICROS = 3_600_000_000   # one hour of events per ranking block
+
+
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response log per client (= user): the budget header model of the site.
+
+    used = (n-1) % 100 + 1, remaining = 100 - used, reset = 600 - 6n % 600;
+    header names vary in case; some rows lose a header or carry ``nan``.
+    """
+    ev = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ranked = blocked_running_count(ev, ["user_id"], F.unix_micros("ts"), ["event_id"],
+                                   TS_BLOCK_MICROS, "seq")
+    used = (F.col("seq") - 1) % 100 + 1
+    remaining = F.when(F.col("event_id") % 17 == 0, F.lit("nan")).otherwise(
+        (F.lit(100) - used).cast("string"))
+    reset = (F.lit(600) - (F.col("seq") * 6) % 600).cast("string")
+    entries = F.filter(F.array(
+        F.struct(F.lit("X-Ratelimit-Remaining").alias("k"), remaining.alias("v")),
+        F.struct(F.lit("x-ratelimit-reset").alias("k"), reset.alias("v")),
+        F.struct(F.lit("X-RATELIMIT-USED").alias("k"),
+                 F.when(F.col("event_id") % 13 != 0, used.cast("string")).alias("v"))),
+        lambda e: e["v"].isNotNull())
+    return ranked.select(
+        F.col("user_id").alias("client"), "seq", "ts", "event_id",
+        F.when((F.col("event_type") == "error") & (F.col("value") > 45), F.lit(429))
+        .otherwise(F.lit(200)).alias("status"),
+        F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"]))).alias("headers"))
+
+
+IDENTIFIER_SQL = """
+CASE page_id % 8
+  WHEN 0 THEN url
+  WHEN 1 THEN concat('https://', host, '/r/', lang, '_', page_id, '/')
+  WHEN 2 THEN concat(lang, 'x+grp', page_id, CASE WHEN page_id % 3 = 0 THEN '+' ELSE '' END)
+  WHEN 3 THEN concat('https://', host, '/user/u_', page_id)
+  WHEN 4 THEN concat('https://', host, '/r/', lang, 'x/comments/K', hex(page_id), '/some_slug/')
+  WHEN 5 THEN concat('https://', host, '/r/', lang, 'x/comments/K', hex(page_id), '/s/C', hex(page_id))
+  WHEN 6 THEN concat('https://u:p@', host, '/r/abc')
+  ELSE concat('  T3_K', hex(page_id), ' ')
+END
+"""
+IDENTIFIER_KIND_SQL = """
+CASE page_id % 8 WHEN 0 THEN 'subreddit' WHEN 1 THEN 'subreddit' WHEN 2 THEN 'subreddit_group'
+  WHEN 3 THEN 'user' WHEN 4 THEN 'post' WHEN 5 THEN 'comment' WHEN 6 THEN 'subreddit' ELSE 'post' END
+"""
+
+
+def identifier_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select(
+        "page_id", "url", F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1).alias("host"),
+        F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]+)/", 1).alias("lang"))
+    return pages.select("page_id", F.expr(IDENTIFIER_SQL).alias("raw"),
+                        F.expr(IDENTIFIER_KIND_SQL).alias("resolver"))
+
+
+RAW_DOC_SQL = """
+to_json(named_struct(
+  'id', event_id,
+  'raw', named_struct(
+     'Api-Key', concat('k', event_id),
+     'selftext', repeat(concat(event_type, ' '), 1 + event_id % 9),
+     'profile_dir', concat('/home/u', user_id),
+     'title', event_type,
+     'nested', named_struct('sessionId', concat('s', event_id),
+                            'items', array(named_struct('accessToken', concat('t', event_id),
+                                                        'note', props)))),
+  'body', repeat('b', 50),
+  'props', props))
+"""
+
+
+def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read(spark, sf_dir, "events")
+    return ev.select("event_id", F.expr(RAW_DOC_SQL).alias("doc"))
