@@ -150,30 +150,34 @@ def comment_columns(d: Column, captured_at: Column) -> list[Column]:
     return [c.alias(n) for n, c in comment_fields(d, captured_at)]
 
 
-def community_columns(d: Column, captured_at: Column) -> list[Column]:
+def community_fields(d: Column, captured_at: Column) -> list[tuple[str, Column]]:
     """D3: community record; note ``over18`` (no underscore) on input."""
     ident = C.strip_prefix(C.text(d, "id"), "t5_")
     return [
-        ident.alias("id"),
-        C.fullname(C.text(d, "name"), "t5_", ident).alias("fullname"),
-        C.text(d, "display_name").alias("name"),
-        C.text(d, "display_name_prefixed").alias("prefixed"),
-        C.text(d, "title").alias("title"),
-        C.text(d, "public_description").alias("public_description"),
-        C.text(d, "description").alias("description"),
-        C.integer(d, "subscribers").alias("subscribers"),
-        C.timestamp(d, "created_utc").alias("created_at"),
-        C.opt_boolean(d, "over18").alias("over_18"),
-        C.opt_text(d, "subreddit_type").alias("subreddit_type"),
-        C.site_url(C.text(d, "url")).alias("url"),
-        C.opt_text(d, "lang").alias("lang"),
-        C.first_nonempty(C.text(d, "community_icon"), C.text(d, "icon_img")).alias("icon_url"),
-        C.boolean(d, "quarantine").alias("quarantine"),
-        captured_at.alias("captured_at"),
+        ("id", ident),
+        ("fullname", C.fullname(C.text(d, "name"), "t5_", ident)),
+        ("name", C.text(d, "display_name")),
+        ("prefixed", C.text(d, "display_name_prefixed")),
+        ("title", C.text(d, "title")),
+        ("public_description", C.text(d, "public_description")),
+        ("description", C.text(d, "description")),
+        ("subscribers", C.integer(d, "subscribers")),
+        ("created_at", C.timestamp(d, "created_utc")),
+        ("over_18", C.opt_boolean(d, "over18")),
+        ("subreddit_type", C.opt_text(d, "subreddit_type")),
+        ("url", C.site_url(C.text(d, "url"))),
+        ("lang", C.opt_text(d, "lang")),
+        ("icon_url", C.first_nonempty(C.text(d, "community_icon"), C.text(d, "icon_img"))),
+        ("quarantine", C.boolean(d, "quarantine")),
+        ("captured_at", captured_at),
     ]
 
 
-def user_columns(d: Column, captured_at: Column) -> list[Column]:
+def community_columns(d: Column, captured_at: Column) -> list[Column]:
+    return [c.alias(n) for n, c in community_fields(d, captured_at)]
+
+
+def user_fields(d: Column, captured_at: Column) -> list[tuple[str, Column]]:
     """User record; a ``t2_``-looking name falls back to the profile display name."""
     ident = C.strip_prefix(C.text(d, "id"), "t2_")
     raw_name = C.text(d, "name")
@@ -181,19 +185,23 @@ def user_columns(d: Column, captured_at: Column) -> list[Column]:
     name = F.when(raw_name.startswith("t2_"),
                   F.when(C.is_object(profile), C.text(profile, "display_name")).otherwise(F.lit("")))
     return [
-        ident.alias("id"),
-        C.fullname(raw_name, "t2_", ident).alias("fullname"),
-        name.otherwise(raw_name).alias("name"),
-        C.timestamp(d, "created_utc").alias("created_at"),
-        C.integer(d, "link_karma").alias("link_karma"),
-        C.integer(d, "comment_karma").alias("comment_karma"),
-        C.integer(d, "total_karma").alias("total_karma"),
-        C.boolean(d, "is_gold").alias("is_gold"),
-        C.boolean(d, "is_mod").alias("is_mod"),
-        C.boolean(d, "is_employee").alias("is_employee"),
-        C.boolean(d, "verified").alias("verified"),
-        C.boolean(d, "has_verified_email").alias("has_verified_email"),
-        C.first_nonempty(C.text(d, "icon_img"), C.text(d, "snoovatar_img")).alias("icon_url"),
-        C.boolean(d, "accept_followers").alias("accept_followers"),
-        captured_at.alias("captured_at"),
+        ("id", ident),
+        ("fullname", C.fullname(raw_name, "t2_", ident)),
+        ("name", name.otherwise(raw_name)),
+        ("created_at", C.timestamp(d, "created_utc")),
+        ("link_karma", C.integer(d, "link_karma")),
+        ("comment_karma", C.integer(d, "comment_karma")),
+        ("total_karma", C.integer(d, "total_karma")),
+        ("is_gold", C.boolean(d, "is_gold")),
+        ("is_mod", C.boolean(d, "is_mod")),
+        ("is_employee", C.boolean(d, "is_employee")),
+        ("verified", C.boolean(d, "verified")),
+        ("has_verified_email", C.boolean(d, "has_verified_email")),
+        ("icon_url", C.first_nonempty(C.text(d, "icon_img"), C.text(d, "snoovatar_img"))),
+        ("accept_followers", C.boolean(d, "accept_followers")),
+        ("captured_at", captured_at),
     ]
+
+
+def user_columns(d: Column, captured_at: Column) -> list[Column]:
+    return [c.alias(n) for n, c in user_fields(d, captured_at)]

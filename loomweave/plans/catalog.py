@@ -399,3 +399,132 @@ def budget_windows(spark, sf_dir):
     return w.select(F.col("client").cast("bigint").alias("client"), "window_start",
                     F.col("requests").cast("bigint").alias("requests"),
                     F.col("limited").cast("bigint").alias("limited"), "min_remaining")
+
+
+# ---------------------------------------------------------------- communities, users, lookups
+from loomweave.operators import envelope as E  # noqa: E402
+from loomweave.operators import normalize as N  # noqa: E402
+from loomweave.operators import search as SR  # noqa: E402
+from loomweave.operators.common import first_wins  # noqa: E402
+from loomweave.sources.capture import classify_responses  # noqa: E402
+
+
+def _communities(spark, sf_dir):
+    items, _ = L.decode_pages(S.community_pages(spark, sf_dir), allowed_kinds=("t5",))
+    rows = items.select("page_no", "pos", *N.community_columns(F.col("data"), F.col("captured_at")))
+    return first_wins(rows, ["fullname"], ["page_no", "pos"]).drop("page_no", "pos")
+
+
+def _users(spark, sf_dir):
+    items, _ = L.decode_pages(S.user_pages(spark, sf_dir), allowed_kinds=("t2",))
+    rows = items.select("page_no", "pos", *N.user_columns(F.col("data"), F.col("captured_at")))
+    return first_wins(rows, ["fullname"], ["page_no", "pos"]).drop("page_no", "pos")
+
+
+def _iso_all(df):
+    return df.select(*[C.iso(F.col(c)).alias(c) if t == "timestamp" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+@query
+def normalize_communities(spark, sf_dir):
+    """B7 + D3: community search pages -> typed communities (``over18`` on input)."""
+    return _iso_all(_communities(spark, sf_dir))
+
+
+@query
+def normalize_users(spark, sf_dir):
+    """B7 + D4: user search pages -> typed users (``t2_`` names fall back to the profile)."""
+    return _iso_all(_users(spark, sf_dir))
+
+
+@query
+def lookup_communities(spark, sf_dir):
+    """G8 + B8: about responses -> found / not_found (empty Listing) / drift per request."""
+    about = S.community_about(spark, sf_dir)
+    v = E.about_verdict(about, "t5", ["request", "captured_at"], empty_listing_is_absent=True)
+    cols = dict(N.community_fields(F.col("data"), F.col("captured_at")))
+    rows = v.select("request", "verdict",
+                    F.when(F.col("verdict") == "found", cols["fullname"]).alias("fullname"),
+                    F.when(F.col("verdict") == "found", cols["subscribers"]).cast("bigint")
+                    .alias("subscribers"))
+    requests = about.select("request")
+    return SR.lookup(requests, rows)
+
+
+@query
+def lookup_users(spark, sf_dir):
+    """G9 + B9 + A4: user about responses; 404 -> not_found, non-t2 -> drift."""
+    about = classify_responses(S.user_about(spark, sf_dir))
+    v = E.about_verdict(about, "t2", ["request", "captured_at", "outcome"], empty_listing_is_absent=False)
+    verdict = F.when(F.col("outcome") != "ok", F.col("outcome")).otherwise(F.col("verdict"))
+    cols = dict(N.user_fields(F.col("data"), F.col("captured_at")))
+    rows = v.select("request", verdict.alias("verdict"),
+                    F.when(verdict == "found", cols["name"]).alias("name"),
+                    F.when(verdict == "found", cols["total_karma"]).cast("bigint").alias("total_karma"))
+    return SR.lookup(about.select("request"), rows)
+
+
+# ---------------------------------------------------------------- search and related
+SEARCH_QUERY = "the and"
+
+
+@query
+def search_posts_relevance(spark, sf_dir):
+    """G4 + H3: BM25 over title and text, top 25."""
+    r = SR.search_posts(_posts(spark, sf_dir, False), SEARCH_QUERY, limit=25)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "fullname", "relevance",
+                    F.col("matched").cast("bigint").alias("matched"))
+
+
+@query
+def search_posts_new(spark, sf_dir):
+    """G4 + H1 + F3: matching posts of one community, newest first."""
+    r = SR.search_posts(_posts(spark, sf_dir, False), "der die", community="src6", sort="new", limit=20)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "fullname",
+                    C.iso(F.col("created_at")).alias("created_at"))
+
+
+@query
+def search_communities(spark, sf_dir):
+    """Communities matching name, title or description tokens."""
+    r = SR.search_named(_communities(spark, sf_dir), "fr board", ["name", "title", "description"],
+                        [F.col("name").asc()], 50)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "name",
+                    F.col("matched").cast("bigint").alias("matched"))
+
+
+@query
+def discover_communities(spark, sf_dir):
+    """Community discovery, ranked by matched terms then subscribers."""
+    r = SR.search_named(_communities(spark, sf_dir), "en posts", ["name", "title", "public_description"],
+                        [F.col("subscribers").desc_nulls_last(), F.col("name").asc()], 10)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "name",
+                    F.col("subscribers").cast("bigint").alias("subscribers"))
+
+
+@query
+def search_users(spark, sf_dir):
+    """Users whose name tokens match, newest accounts first among equals."""
+    r = SR.search_named(_users(spark, sf_dir), "user 77", ["name"],
+                        [F.col("created_at").desc_nulls_last(), F.col("fullname").asc()], 20)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "fullname", "name",
+                    F.col("matched").cast("bigint").alias("matched"))
+
+
+@query
+def related_posts(spark, sf_dir):
+    """G12 + H9: per post, the five busiest other discussions of the same link."""
+    p = _posts(spark, sf_dir, False)
+    r = SR.related(p, F.when(~F.col("is_self"), F.col("link_url")), "num_comments", 5)
+    return r.select("fullname", F.col("rank").cast("bigint").alias("rank"),
+                    F.col("r_fullname").alias("related"))
+
+
+@query
+def related_crossposts(spark, sf_dir):
+    """G12 crossposts-only: same link in other communities, newest first."""
+    p = _posts(spark, sf_dir, False)
+    r = SR.related(p, F.when(~F.col("is_self"), F.col("link_url")), "new", 5, other_community_only=True)
+    return r.select("fullname", F.col("rank").cast("bigint").alias("rank"),
+                    F.col("r_fullname").alias("related"), F.col("r_subreddit").alias("related_subreddit"))

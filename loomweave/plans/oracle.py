@@ -681,3 +681,151 @@ SELECT CAST(client AS BIGINT) AS client, {iso("time_bucket(INTERVAL '10 minutes'
        min(remaining) AS min_remaining
 FROM d GROUP BY client, time_bucket(INTERVAL '10 minutes', ts)
 """
+
+
+# ---------------------------------------------------------------- communities, users, lookups
+COMM_CTE = """
+comm AS (
+  SELECT source, count(*) AS n_docs, min(lang) AS lang,
+         CAST(coalesce(nullif(regexp_extract(source, '([0-9]+)$', 1), ''), '0') AS BIGINT) AS n
+  FROM documents GROUP BY source
+)"""
+
+ORACLE["normalize_communities"] = f"""
+WITH {COMM_CTE}
+SELECT 's' || n AS id, 't5_s' || n AS fullname, source AS name, 'r/' || source AS prefixed,
+       'Community ' || source || ' about ' || lang AS title,
+       'Posts in ' || lang || ' and more' AS public_description,
+       'A ' || lang || ' board with ' || n_docs || ' posts' AS description,
+       CAST(n_docs AS BIGINT) AS subscribers, {iso(ts(f"{E0} - 86400 * (n + 1)"))} AS created_at,
+       CASE WHEN n % 3 = 0 THEN true WHEN n % 3 = 1 THEN false END AS over_18,
+       CASE WHEN n % 4 = 1 THEN 'restricted' ELSE 'public' END AS subreddit_type,
+       'https://www.reddit.com/r/' || source || '/' AS url, nullif(lang, '') AS lang,
+       CASE WHEN n % 2 = 0 THEN 'https://img.example.com/' || source || '.png'
+            ELSE 'https://icon.example.com/' || source || '.png' END AS icon_url,
+       n % 7 = 6 AS quarantine, '2024-06-01T00:00:00Z' AS captured_at
+FROM comm
+"""
+
+ORACLE["normalize_users"] = f"""
+SELECT 'c' || c_custkey AS id, 't2_c' || c_custkey AS fullname,
+       CASE WHEN c_custkey % 7 = 0 THEN 'u_user_' || c_custkey ELSE 'user_' || c_custkey END AS name,
+       {iso(ts(f"{E0} - 3600 * c_custkey"))} AS created_at,
+       CAST(floor(c_acctbal) AS BIGINT) AS link_karma, CAST(c_nationkey * 10 AS BIGINT) AS comment_karma,
+       CAST(floor(c_acctbal) + c_nationkey * 10 AS BIGINT) AS total_karma,
+       c_mktsegment = 'AUTOMOBILE' AS is_gold, c_mktsegment = 'BUILDING' AS is_mod, false AS is_employee,
+       c_custkey % 3 = 0 AS verified, c_custkey % 2 = 0 AS has_verified_email,
+       CASE WHEN c_custkey % 2 = 0 THEN 'https://snoo.example.com/' || c_custkey || '.png'
+            ELSE 'https://icon.example.com/u' || c_custkey || '.png' END AS icon_url,
+       true AS accept_followers, '2024-06-01T00:00:00Z' AS captured_at
+FROM customer
+"""
+
+ORACLE["lookup_communities"] = f"""
+WITH {COMM_CTE}
+SELECT source AS request, CASE WHEN n % 6 = 5 THEN 'drift' ELSE 'found' END AS verdict,
+       CASE WHEN n % 6 = 5 THEN NULL ELSE 't5_s' || n END AS fullname,
+       CAST(CASE WHEN n % 6 = 5 THEN NULL ELSE n_docs END AS BIGINT) AS subscribers
+FROM comm
+UNION ALL
+SELECT source || '_gone', 'not_found', NULL, NULL FROM comm
+"""
+
+ORACLE["lookup_users"] = """
+SELECT 'user_' || c_custkey AS request, CASE WHEN c_custkey % 25 = 24 THEN 'drift' ELSE 'found' END AS verdict,
+       CASE WHEN c_custkey % 25 = 24 THEN NULL
+            WHEN c_custkey % 7 = 0 THEN 'u_user_' || c_custkey ELSE 'user_' || c_custkey END AS name,
+       CAST(CASE WHEN c_custkey % 25 = 24 THEN NULL ELSE floor(c_acctbal) + c_nationkey * 10 END AS BIGINT)
+         AS total_karma
+FROM customer
+UNION ALL
+SELECT 'ghost_' || c_custkey, 'not_found', NULL, NULL FROM customer WHERE c_custkey % 30 = 0
+"""
+
+
+# ---------------------------------------------------------------- search and related
+def _toks(x: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({x}), '[^\\pL\\pN]+'), lambda t: t <> '')"
+
+
+def _bm25(terms: list[str], where: str = "true") -> str:
+    tfs = ", ".join(f"len(list_filter(toks, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(terms))
+    dfs = ", ".join(f"sum(CASE WHEN tf{i} > 0 THEN 1 ELSE 0 END) AS df{i}" for i in range(len(terms)))
+    score = " + ".join(
+        f"CASE WHEN tf{i} > 0 THEN ln(1.0 + (g.n - g.df{i} + 0.5) / (g.df{i} + 0.5)) * tf{i} * 2.2 / "
+        f"(tf{i} + 1.2 * (0.25 + 0.75 * dl / g.avgdl)) ELSE 0.0 END" for i in range(len(terms)))
+    matched = " + ".join(f"CAST(tf{i} > 0 AS INTEGER)" for i in range(len(terms)))
+    return f"""
+WITH {POSTS_CTE},
+tt AS (SELECT fullname, created, subreddit, {_toks("substring(text, 1, 40) || ' ' || text")} AS toks
+       FROM posts_n WHERE {where}),
+s AS (SELECT *, len(toks) AS dl, {tfs} FROM tt),
+g AS (SELECT count(*) AS n, avg(dl) AS avgdl, {dfs} FROM s),
+sc AS (SELECT s.*, round({score}, 6) AS relevance, {matched} AS matched FROM s, g)"""
+
+
+ORACLE["search_posts_relevance"] = _bm25(["the", "and"]) + """
+SELECT CAST(rk AS BIGINT) AS rank, fullname, relevance, CAST(matched AS BIGINT) AS matched FROM (
+  SELECT *, row_number() OVER (ORDER BY relevance DESC, created DESC, fullname) AS rk FROM sc WHERE matched > 0)
+WHERE rk <= 25
+"""
+
+ORACLE["search_posts_new"] = _bm25(["der", "die"], "lower(subreddit) = 'src6'") + f"""
+SELECT CAST(rk AS BIGINT) AS rank, fullname, {iso('created')} AS created_at FROM (
+  SELECT *, row_number() OVER (ORDER BY created DESC, fullname) AS rk FROM sc WHERE matched > 0)
+WHERE rk <= 20
+"""
+
+
+def _named(fields_sql: str, terms: list[str], order: str, limit: int, base: str, cols: str) -> str:
+    arr = "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+    return f"""
+WITH {COMM_CTE},
+base AS ({base}),
+m AS (SELECT *, len(list_intersect(list_distinct({fields_sql}), {arr})) AS matched FROM base),
+r AS (SELECT *, row_number() OVER (ORDER BY matched DESC, {order}) AS rk FROM m WHERE matched > 0)
+SELECT CAST(rk AS BIGINT) AS rank, {cols} FROM r WHERE rk <= {limit}
+"""
+
+
+_COMM_BASE = ("SELECT source AS name, 'Community ' || source || ' about ' || lang AS title, "
+              "'A ' || lang || ' board with ' || n_docs || ' posts' AS description, "
+              "'Posts in ' || lang || ' and more' AS public_description, n_docs AS subscribers FROM comm")
+
+ORACLE["search_communities"] = _named(
+    f"list_concat({_toks('name')}, {_toks('title')}, {_toks('description')})", ["fr", "board"],
+    "name", 50, _COMM_BASE, "name, CAST(matched AS BIGINT) AS matched")
+ORACLE["discover_communities"] = _named(
+    f"list_concat({_toks('name')}, {_toks('title')}, {_toks('public_description')})", ["en", "posts"],
+    "subscribers DESC, name", 10, _COMM_BASE, "name, CAST(subscribers AS BIGINT) AS subscribers")
+ORACLE["search_users"] = _named(
+    _toks("name"), ["user", "77"], f"{ts(f'{E0} - 3600 * c_custkey')} DESC, fullname", 20,
+    "SELECT c_custkey, 't2_c' || c_custkey AS fullname, CASE WHEN c_custkey % 7 = 0 THEN "
+    "'u_user_' || c_custkey ELSE 'user_' || c_custkey END AS name FROM customer",
+    "fullname, name, CAST(matched AS BIGINT) AS matched")
+
+_LINKED = f"""
+WITH {POSTS_CTE},
+lk AS (
+  SELECT fullname, subreddit, created, num_comments, 'https://ext.example.com/a/' || md5(text) AS k
+  FROM posts_n WHERE doc_id % 4 <> 0 AND NOT (doc_id % 4 = 1 AND doc_id % 3 = 0)
+)"""
+
+ORACLE["related_posts"] = _LINKED + """,
+pairs AS (
+  SELECT a.fullname, b.fullname AS related,
+         row_number() OVER (PARTITION BY a.fullname ORDER BY b.num_comments DESC NULLS LAST,
+                            b.created DESC, b.fullname) AS rk
+  FROM lk a JOIN lk b ON a.k = b.k AND a.fullname <> b.fullname
+)
+SELECT fullname, CAST(rk AS BIGINT) AS rank, related FROM pairs WHERE rk <= 5
+"""
+
+ORACLE["related_crossposts"] = _LINKED + """,
+pairs AS (
+  SELECT a.fullname, b.fullname AS related, b.subreddit AS related_subreddit,
+         row_number() OVER (PARTITION BY a.fullname ORDER BY b.created DESC, b.fullname) AS rk
+  FROM lk a JOIN lk b ON a.k = b.k AND a.fullname <> b.fullname AND a.subreddit <> b.subreddit
+)
+SELECT fullname, CAST(rk AS BIGINT) AS rank, related, related_subreddit FROM pairs WHERE rk <= 5
+"""
