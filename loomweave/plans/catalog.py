@@ -24,9 +24,11 @@ AS_OF = dt.datetime(2024, 1, 2, tzinfo=dt.UTC)
 RISING_AS_OF = dt.datetime(2024, 1, 1, 12, tzinfo=dt.UTC)
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, *, name: str | None = None):
+    def register(f):
+        QUERIES[name or f.__name__] = f
+        return f
+    return register(fn) if fn is not None else register
 
 
 def _posts(spark: SparkSession, sf_dir: str, with_media: bool = True) -> DataFrame:
@@ -528,3 +530,102 @@ def related_crossposts(spark, sf_dir):
     r = SR.related(p, F.when(~F.col("is_self"), F.col("link_url")), "new", 5, other_community_only=True)
     return r.select("fullname", F.col("rank").cast("bigint").alias("rank"),
                     F.col("r_fullname").alias("related"), F.col("r_subreddit").alias("related_subreddit"))
+
+
+# ---------------------------------------------------------------- user activity, profile
+PROFILE_USER = "u7"
+
+
+def _user_sources(spark, sf_dir):
+    posts = _posts(spark, sf_dir, False)
+    comments = FR.comments_view(_forest(spark, sf_dir))
+    return posts, comments
+
+
+def _activity_out(df):
+    return df.select(F.col("rank").cast("bigint").alias("rank"), "kind", "fullname",
+                     C.iso(F.col("created_at")).alias("created_at"), F.col("score").cast("bigint").alias("score"))
+
+
+for _type in ("overview", "submitted", "comments", "top"):
+    def _make_user(listing_type):
+        def fn(spark, sf_dir):
+            posts, comments = _user_sources(spark, sf_dir)
+            return _activity_out(L.user_activity(posts, comments, PROFILE_USER, listing_type, limit=25))
+        fn.__name__ = f"user_{listing_type}"
+        fn.__doc__ = f"G3/G13: the ``{listing_type}`` listing of one author, mixed kinds."
+        return fn
+    query(_make_user(_type))
+
+
+@query
+def author_profile(spark, sf_dir):
+    """K5: per pseudonymised author, posts, comments, score sum, first and last seen."""
+    posts, comments = _user_sources(spark, sf_dir)
+    both = posts.select("author", F.lit(1).alias("p"), F.lit(0).alias("c"), "score", "created_at").unionByName(
+        comments.select("author", F.lit(0).alias("p"), F.lit(1).alias("c"), "score", "created_at"))
+    return both.groupBy(F.sha2(F.col("author"), 256).alias("author_key")).agg(
+        F.sum("p").cast("bigint").alias("posts"), F.sum("c").cast("bigint").alias("comments"),
+        F.sum(F.coalesce("score", F.lit(0))).cast("bigint").alias("score_sum"),
+        C.iso(F.min("created_at")).alias("first_seen"), C.iso(F.max("created_at")).alias("last_seen"))
+
+
+# ---------------------------------------------------------------- media, drift, responses, schema
+@query
+def post_media(spark, sf_dir):
+    """Media precedence, gallery order, entity decode, safe URLs."""
+    posts = S.media_posts(spark, sf_dir).withColumn("v", F.parse_json("post"))
+    m = posts.select("page_id", F.posexplode(N.post_media(F.col("v"))).alias("ord", "m"))
+    return m.select("page_id", F.col("ord").cast("bigint").alias("ord"), F.col("m.kind").alias("kind"),
+                    F.col("m.url").alias("url"), F.col("m.width").alias("width"),
+                    F.col("m.height").alias("height"))
+
+
+@query
+def envelope_drift(spark, sf_dir):
+    """The first envelope violation of each response, or the items it yields."""
+    bronze = S.drift_pages(spark, sf_dir)
+    checked = E.listing_pages_checked(bronze, ("t3",))
+    items = (E.explode_things(checked.filter(F.col("drift").isNull()), "v", ["doc_id"])
+             .filter(F.col("kind") == "t3").groupBy("doc_id").agg(F.count("*").alias("items")))
+    return (checked.select("doc_id", F.col("drift.path").alias("path"),
+                           F.col("drift.expected").alias("expected"))
+            .join(items, "doc_id", "left")
+            .select("doc_id", "path", "expected", F.coalesce("items", F.lit(0)).cast("bigint").alias("items")))
+
+
+@query(name="classify_responses")
+def classify_responses_query(spark, sf_dir):
+    """A4 + M1: ok / rate_limited / challenge / not_found / unavailable per response."""
+    r = classify_responses(S.event_responses(spark, sf_dir))
+    return r.select("event_id", "outcome")
+
+
+@query
+def schema_conformance(spark, sf_dir):
+    """Serialised posts (some broken by residue) checked against the declared schema."""
+    from loomweave.operators import schema as SC
+
+    p = _posts(spark, sf_dir)
+    r = F.substring("id", 2, 20).cast("bigint") % 6
+    ts_cols = {"created_at", "edited_at", "captured_at"}
+    fields = []
+    for name in p.columns:
+        c = F.col(name)
+        if name in ts_cols:
+            c = C.iso(c)
+        if name == "title":
+            c = F.when(r == 1, F.lit("DROP-ME-SENTINEL")).otherwise(c)
+        if name == "score":
+            c = F.when(r == 3, F.col("score").cast("string").cast("variant")).otherwise(
+                F.col("score").cast("variant"))
+        if name == "over_18":
+            c = F.when(r == 4, F.lit("yes").cast("variant")).otherwise(F.col("over_18").cast("variant"))
+        if name == "media":
+            c = F.when(r == 5, F.parse_json(F.lit("{}"))).otherwise(F.to_variant_object(F.col("media")))
+        fields.append(c.alias(name))
+    js = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    js = F.replace(js, F.lit(',"title":"DROP-ME-SENTINEL"'), F.lit(""))
+    js = F.when(r == 2, F.concat(F.regexp_replace(js, r"\}$", ""), F.lit(',"extra":1}'))).otherwise(js)
+    records = p.select(F.col("fullname").alias("record_id"), F.lit("Post").alias("record"), js.alias("json"))
+    return SC.conformance(records, spark)

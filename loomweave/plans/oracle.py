@@ -829,3 +829,90 @@ pairs AS (
 )
 SELECT fullname, CAST(rk AS BIGINT) AS rank, related, related_subreddit FROM pairs WHERE rk <= 5
 """
+
+
+# ---------------------------------------------------------------- user activity, profile
+def _activity(where: str, order: str) -> str:
+    return f"""
+WITH RECURSIVE {FOREST_CTE}, {POSTS_CTE},
+items AS (
+  SELECT 't3' AS kind, fullname, created, CAST(score AS BIGINT) AS score FROM posts_n WHERE author = 'u7'
+  UNION ALL
+  SELECT 't1', fullname, ts, CAST(floor(value) - 5 AS BIGINT) FROM vis WHERE 'u' || (event_id % 150) = 'u7'
+),
+r AS (SELECT *, row_number() OVER (ORDER BY {order}, created DESC, fullname) AS rk FROM items WHERE {where})
+SELECT CAST(rk AS BIGINT) AS rank, kind, fullname, {iso('created')} AS created_at, score FROM r WHERE rk <= 25
+"""
+
+
+ORACLE["user_overview"] = _activity("true", "created DESC")
+ORACLE["user_submitted"] = _activity("kind = 't3'", "created DESC")
+ORACLE["user_comments"] = _activity("kind = 't1'", "created DESC")
+ORACLE["user_top"] = _activity("true", "score DESC NULLS LAST")
+
+ORACLE["author_profile"] = f"""
+WITH RECURSIVE {FOREST_CTE}, {POSTS_CTE},
+items AS (
+  SELECT author, 1 AS p, 0 AS c, score, created FROM posts_n
+  UNION ALL
+  SELECT 'u' || (event_id % 150), 0, 1, CAST(floor(value) - 5 AS BIGINT), ts FROM vis
+)
+SELECT sha256(author) AS author_key, CAST(sum(p) AS BIGINT) AS posts, CAST(sum(c) AS BIGINT) AS comments,
+       CAST(sum(coalesce(score, 0)) AS BIGINT) AS score_sum,
+       {iso('min(created)')} AS first_seen, {iso('max(created)')} AS last_seen
+FROM items GROUP BY author
+"""
+
+# ---------------------------------------------------------------- media, drift, responses, schema
+ORACLE["post_media"] = """
+WITH p AS (SELECT page_id, url FROM pages),
+m AS (
+  SELECT page_id, 0 AS ord, 'gallery' AS kind, url || '?x=1&y=2' AS url, 640 AS width, 480 AS height
+  FROM p WHERE page_id % 5 = 0
+  UNION ALL SELECT page_id, 1, 'gallery', url || '#c', 320, 200 FROM p WHERE page_id % 5 = 0
+  UNION ALL SELECT page_id, 0, 'video', url || '/video.mp4', 0, 720 FROM p WHERE page_id % 5 = 1
+  UNION ALL SELECT page_id, 0, 'embed', url, 400, 300 FROM p WHERE page_id % 5 = 2
+  UNION ALL SELECT page_id, 0, 'embed', url, NULL, NULL FROM p WHERE page_id % 5 = 3
+  UNION ALL SELECT page_id, 0, 'image', url, 1024, 768 FROM p WHERE page_id % 5 = 4 AND page_id % 10 <> 9
+)
+SELECT page_id, CAST(ord AS BIGINT) AS ord, kind, url, CAST(width AS BIGINT) AS width,
+       CAST(height AS BIGINT) AS height FROM m
+"""
+
+ORACLE["envelope_drift"] = """
+SELECT doc_id,
+       CASE doc_id % 12 WHEN 1 THEN 'response' WHEN 2 THEN 'response' WHEN 3 THEN 'response.kind'
+            WHEN 4 THEN 'response.data' WHEN 5 THEN 'response.data.children'
+            WHEN 6 THEN 'response.data.after' WHEN 7 THEN 'response.data.children[0]'
+            WHEN 8 THEN 'response.data.children[0].kind' WHEN 9 THEN 'response.data.children[0].data'
+            WHEN 10 THEN 'response.data.children[0].kind' END AS path,
+       CASE doc_id % 12 WHEN 1 THEN 'a JSON body' WHEN 2 THEN 'a Listing object' WHEN 3 THEN 'Listing'
+            WHEN 4 THEN 'an object' WHEN 5 THEN 'a list' WHEN 6 THEN 'a string or null'
+            WHEN 7 THEN 'a thing object' WHEN 8 THEN 't1, t2, t3, t5, or more' WHEN 9 THEN 'an object'
+            WHEN 10 THEN 'an allowed kind for this query' END AS expected,
+       CAST(CASE WHEN doc_id % 12 IN (0, 11) THEN 1 ELSE 0 END AS BIGINT) AS items
+FROM documents
+"""
+
+ORACLE["classify_responses"] = """
+SELECT event_id,
+       CASE WHEN event_type = 'click' OR event_id % 11 = 0 THEN 'rate_limited'
+            WHEN event_type = 'purchase' THEN 'challenge'
+            WHEN event_type = 'view' AND event_id % 5 = 0 THEN 'challenge'
+            WHEN (event_type = 'error' AND event_id % 2 = 1) OR (event_type = 'view' AND event_id % 5 = 1)
+                 THEN 'not_found'
+            WHEN (event_type = 'error' AND event_id % 2 = 0) OR (event_type = 'signup' AND event_id % 2 = 0)
+                 THEN 'unavailable'
+            WHEN event_type = 'signup' THEN 'challenge'
+            ELSE 'ok' END AS outcome
+FROM events
+"""
+
+ORACLE["schema_conformance"] = """
+SELECT 't3_d' || doc_id AS record_id,
+       CASE doc_id % 6 WHEN 1 THEN 'title' WHEN 2 THEN 'extra' WHEN 3 THEN 'score' WHEN 4 THEN 'over_18'
+            ELSE 'media' END AS field,
+       CASE doc_id % 6 WHEN 1 THEN 'missing' WHEN 2 THEN 'extra' ELSE 'type' END AS rule
+FROM documents
+WHERE doc_id % 6 IN (1, 2, 4, 5) OR (doc_id % 6 = 3 AND doc_id % 11 <> 0)
+"""

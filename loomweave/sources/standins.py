@@ -492,7 +492,7 @@ to_json(named_struct(
   'secure_media', CASE WHEN page_id % 5 = 1 THEN named_struct('reddit_video',
       named_struct('fallback_url', concat(url, '/video.mp4'), 'width', 0, 'height', 720)) END,
   'media', CASE WHEN page_id % 5 = 2 THEN named_struct('oembed', named_struct('width', 400, 'height', 300)) END,
-  'media_embed', CASE WHEN page_id % 5 = 3 THEN named_struct() END,
+  'media_embed', CASE WHEN page_id % 5 = 3 THEN parse_json('{}') END,
   'preview', CASE WHEN page_id % 5 IN (3, 4) THEN named_struct('images', array(named_struct('source',
       named_struct('url', url, 'width', 1024, 'height', 768)))) END
 ))
@@ -542,7 +542,7 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.lit('{"reason": "banned", "message": "Community is Banned"}')))
             .when((t == "view") & (F.col("event_id") % 5 == 0), F.lit("{not json"))
             .when((t == "view") & (F.col("event_id") % 5 == 1),
-                  F.lit('{"kind":"Listing","data":{"error":"Page not found"}}'))
+                  F.lit('{"error": 404, "message": "Page Not Found"}'))
             .otherwise(F.lit('{"kind":"Listing","data":{"after":null,"children":[]}}')))
     remaining = F.when(F.col("event_id") % 11 == 0, F.lit("0")).otherwise(F.lit("57"))
     headers = F.create_map(F.lit("X-Ratelimit-Remaining"), remaining,
