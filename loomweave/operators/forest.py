@@ -301,26 +301,44 @@ def cap_truncated(capped: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- J16 signature
 def signature(nodes: DataFrame) -> DataFrame:
-    """sha256 over ordered comment ids and ordered pointer identities."""
-    w = F.when(F.col("kind") == "t1", F.col("fullname")).otherwise(F.concat_ws(
+    """Order-sensitive tree signature without gathering a thread in one place.
+
+    Each node contributes a 60-bit number from ``md5(path | identity)``: the
+    path encodes the display position, the identity is the comment fullname or
+    the pointer's (parent, count, depth).  The per-thread sum is an ordinary
+    aggregate (combined map-side), so a hot thread is never one value.
+    """
+    item = F.when(F.col("kind") == "t1", F.col("fullname")).otherwise(F.concat_ws(
         "|", F.lit("more"), "ptr_parent_id", F.col("ptr_count").cast("string"),
         F.coalesce(F.col("ptr_depth").cast("string"), F.lit("null"))))
-    return nodes.groupBy("thread_id").agg(F.sha2(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("path", w.alias("item")))),
-        lambda x: x["item"]), "\n"), 256).alias("signature"))
+    key = F.concat_ws("|", F.array_join(F.col("path").cast("array<string>"), "."), item)
+    h = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("decimal(38,0)")
+    return nodes.groupBy("thread_id").agg(F.sum(h).cast("string").alias("signature"),
+                                          F.count("*").alias("nodes"))
 
 
 # ---------------------------------------------------------------- J18 verdict
 def verdict(nodes_after: DataFrame, capped: DataFrame | None, limit: int | None,
-            max_depth: int | None = None) -> DataFrame:
-    """tree_complete / depth_capped / comment_limit per thread, in the client's order."""
+            max_depth: int | None = None, dead: DataFrame | None = None) -> DataFrame:
+    """tree_complete / depth_capped / comment_limit per thread, in the client's order.
+
+    ``dead``: (thread_id, root) parents whose expansion brought nothing (J17);
+    their pointers no longer count as expandable.
+    """
     threads = nodes_after.select("thread_id").distinct()
+    if dead is not None:
+        nodes_after = nodes_after.join(
+            dead.select("thread_id", F.col("root").alias("ptr_parent_id"), F.lit(True).alias("_dead")),
+            ["thread_id", "ptr_parent_id"], "left")
+    else:
+        nodes_after = nodes_after.withColumn("_dead", F.lit(None).cast("boolean"))
     p = (nodes_after.groupBy("thread_id").agg(
         F.sum(F.when(F.col("kind") == "t1", 1).otherwise(0)).alias("comments"),
         F.sum(F.when(F.col("kind") == "more", 1).otherwise(0)).alias("pointers"),
         F.max(F.when((F.col("kind") == "more") & F.col("ptr_parent_id").startswith("t3_"), 1)
               .otherwise(0)).alias("t3_ptr"),
         F.max(F.when((F.col("kind") == "more") & F.col("ptr_parent_id").startswith("t1_")
+                     & F.col("_dead").isNull()
                      & (F.lit(max_depth is None) | F.col("ptr_depth").isNull()
                         | (F.col("ptr_depth") < F.lit(max_depth if max_depth is not None else 0))),
                      1).otherwise(0)).alias("expandable")))

@@ -629,3 +629,50 @@ def schema_conformance(spark, sf_dir):
     js = F.when(r == 2, F.concat(F.regexp_replace(js, r"\}$", ""), F.lit(',"extra":1}'))).otherwise(js)
     records = p.select(F.col("fullname").alias("record_id"), F.lit("Post").alias("record"), js.alias("json"))
     return SC.conformance(records, spark)
+
+
+# ---------------------------------------------------------------- expansion and verdicts
+from loomweave.operators import expand as X  # noqa: E402
+
+
+def _expanded(spark, sf_dir, max_depth=None):
+    base = _forest(spark, sf_dir)
+    snaps, _ = FR.flatten_post_responses(S.subtree_responses(spark, sf_dir), subtree=True)
+    return base, X.expand(base, snaps, max_depth=max_depth)
+
+
+@query
+def forest_expand(spark, sf_dir):
+    """Base capture merged with subtree snapshots, display order rebuilt."""
+    _, (merged, _, _) = _expanded(spark, sf_dir)
+    ranked = FR.preorder(merged, kinds=("t1", "more"))
+    return ranked.select("thread_id", "kind", "fullname",
+                         F.col("ptr_count").cast("bigint").alias("ptr_count"),
+                         F.col("display_rank").cast("bigint").alias("display_rank"))
+
+
+@query
+def forest_verdict(spark, sf_dir):
+    """Verdict per thread after expansion (comment limit 500), requests made."""
+    _, (merged, done, dead) = _expanded(spark, sf_dir)
+    capped = FR.cap(merged, 500)
+    v = FR.verdict(merged, capped, 500, dead=dead)
+    req = (done.unionByName(dead).groupBy("thread_id").agg((F.count("*") + 1).alias("requests")))
+    return (v.join(req, "thread_id", "left")
+            .select("thread_id", "verdict", F.col("comments").cast("bigint").alias("comments"),
+                    F.coalesce("requests", F.lit(1)).cast("bigint").alias("requests_made")))
+
+
+@query
+def forest_verdict_depth(spark, sf_dir):
+    """J14 + J18: with depth 1 no pointer may be expanded: depth_capped / comment_limit."""
+    base = _forest(spark, sf_dir)
+    v = FR.verdict(base, FR.cap(base, None, max_depth=None), 500, max_depth=1)
+    return v.select("thread_id", "verdict", F.col("comments").cast("bigint").alias("comments"))
+
+
+@query
+def forest_signature(spark, sf_dir):
+    """Order-sensitive signature of every captured thread."""
+    s = FR.signature(_forest(spark, sf_dir))
+    return s.select("thread_id", "signature", F.col("nodes").cast("bigint").alias("nodes"))

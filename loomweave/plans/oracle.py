@@ -916,3 +916,79 @@ SELECT 't3_d' || doc_id AS record_id,
 FROM documents
 WHERE doc_id % 6 IN (1, 2, 4, 5) OR (doc_id % 6 = 3 AND doc_id % 11 <> 0)
 """
+
+
+# ---------------------------------------------------------------- expansion and verdicts
+EXPAND_CTE = """
+hid_full AS (
+  SELECT f.*, list_filter(list_transform(range(1, f.depth + 2), lambda j: CAST(floor((f.k - (pow(3, j) - 1) / 2)
+           / pow(3, j)) AS BIGINT)), lambda a: a <= f.cut)[1] AS anc_k
+  FROM f WHERE f.k > f.cut
+),
+anc_ev AS (SELECT user_id, k AS anc_k, event_id AS anc_event FROM f),
+ptr2 AS (
+  SELECT p.*, a.anc_event FROM ptr p
+  LEFT JOIN (SELECT DISTINCT h.thread_id, h.anc_k, a.anc_event FROM hid_full h
+             JOIN anc_ev a ON a.user_id = h.user_id AND a.anc_k = h.anc_k) a
+    ON a.thread_id = p.thread_id AND a.anc_k = p.anc_k
+),
+merged AS (
+  SELECT thread_id, 't1' AS kind, fullname, path, NULL::BIGINT AS ptr_count, NULL::VARCHAR AS ptr_parent_id FROM vis
+  UNION ALL
+  SELECT h.thread_id, 't1', h.fullname, h.path, NULL, NULL FROM hid_full h
+  JOIN anc_ev a ON a.user_id = h.user_id AND a.anc_k = h.anc_k
+  WHERE h.anc_k > 0 AND a.anc_event % 7 <> 3
+  UNION ALL
+  SELECT thread_id, 'more', NULL, list_append(parent_path, sib_pos), ptr_count, ptr_parent_id FROM ptr2
+  WHERE anc_k = 0 OR anc_event % 7 = 3
+)"""
+
+ORACLE["forest_expand"] = f"""
+WITH RECURSIVE {FOREST_CTE}, {EXPAND_CTE}
+SELECT thread_id, kind, fullname, CAST(ptr_count AS BIGINT) AS ptr_count,
+       CAST(row_number() OVER (PARTITION BY thread_id ORDER BY path) AS BIGINT) AS display_rank
+FROM merged
+"""
+
+ORACLE["forest_verdict"] = f"""
+WITH RECURSIVE {FOREST_CTE}, {EXPAND_CTE},
+per AS (
+  SELECT thread_id, sum(CASE WHEN kind = 't1' THEN 1 ELSE 0 END) AS comments,
+         sum(CASE WHEN kind = 'more' THEN 1 ELSE 0 END) AS pointers,
+         max(CASE WHEN kind = 'more' AND ptr_parent_id LIKE 't3_%' THEN 1 ELSE 0 END) AS t3p
+  FROM merged GROUP BY thread_id
+),
+req AS (SELECT thread_id, count(DISTINCT anc_k) AS n FROM ptr WHERE anc_k > 0 GROUP BY thread_id)
+SELECT per.thread_id,
+       CASE WHEN pointers = 0 THEN 'tree_complete' WHEN t3p = 1 THEN 'comment_limit'
+            ELSE 'depth_capped' END AS verdict,
+       CAST(comments AS BIGINT) AS comments, CAST(1 + coalesce(req.n, 0) AS BIGINT) AS requests_made
+FROM per LEFT JOIN req USING (thread_id)
+"""
+
+ORACLE["forest_verdict_depth"] = f"""
+WITH RECURSIVE {FOREST_CTE},
+per AS (
+  SELECT thread_id, sum(CASE WHEN kind = 't1' THEN 1 ELSE 0 END) AS comments,
+         sum(CASE WHEN kind = 'more' THEN 1 ELSE 0 END) AS pointers,
+         max(CASE WHEN kind = 'more' AND ptr_parent_id LIKE 't3_%' THEN 1 ELSE 0 END) AS t3p
+  FROM nodes GROUP BY thread_id
+)
+SELECT thread_id, CASE WHEN pointers = 0 THEN 'tree_complete' WHEN t3p = 1 THEN 'comment_limit'
+                       ELSE 'depth_capped' END AS verdict, CAST(comments AS BIGINT) AS comments
+FROM per
+"""
+
+ORACLE["forest_signature"] = f"""
+WITH RECURSIVE {FOREST_CTE},
+k AS (
+  SELECT thread_id,
+         {_path()} || '|' || CASE WHEN kind = 't1' THEN fullname
+              ELSE 'more|' || ptr_parent_id || '|' || ptr_count || '|' || coalesce(CAST(ptr_depth AS VARCHAR), 'null')
+              END AS key
+  FROM nodes
+)
+SELECT thread_id, CAST(sum(CAST(('0x' || substring(md5(key), 1, 15)) AS BIGINT)) AS VARCHAR) AS signature,
+       CAST(count(*) AS BIGINT) AS nodes
+FROM k GROUP BY thread_id
+"""

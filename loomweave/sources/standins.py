@@ -257,295 +257,49 @@ def _responses(spark, sf_dir, top: DataFrame, id_prefix: str) -> DataFrame:
                     captured_at().alias("captured_at"), body.alias("body"), "thread_id"))
 
 
-def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base capture per thread: visible comments nested, hidden ones behind pointers."""
-    from loomweave.operators.forest import listing_wrap, nest
-
-    forest = event_forest(spark, sf_dir)
+def _capture_nodes(forest: DataFrame) -> DataFrame:
     vis = forest.filter("visible").select(
         "thread_id", "path", "parent_path", "sib_pos", "depth", F.lit("t1").alias("kind"),
         _comment_head().alias("head"), F.lit("}}").alias("tail"))
     ptr = forest_pointers(forest).select(
         "thread_id", "path", "parent_path", "sib_pos", "depth", F.lit("more").alias("kind"),
         _pointer_json().alias("head"), F.lit("").alias("tail"))
-    nodes = vis.unionByName(ptr)
-    top = nest(nodes, F.col("head"), F.col("tail"), listing_wrap, '""')
-    return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
+    return vis.unionByName(ptr)
 
 
-def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One subtree capture per visible comment that has a pointer: its full replies."""
+def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base capture per thread: visible comments nested, hidden ones behind pointers."""
     from loomweave.operators.forest import listing_wrap, nest
 
     forest = event_forest(spark, sf_dir)
-    full = forest.select("thread_id", "path", "parent_path", "sib_pos", "depth",
-                         F.lit("t1").alias("kind"), _comment_head().alias("head"),
-                         F.lit("}}").alias("tail"), "fullname")
-    every = nest(full, F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True)
-    targets = (forest_pointers(forest).filter(F.col("anc_k") > 0)
-               .select("thread_id", F.col("parent_path").alias("path"), "ptr_parent_id"))
-    roots = every.join(targets, ["thread_id", "path"]).select(
-        "thread_id", F.lit(0).alias("sib_pos"), "json",
-        F.col("ptr_parent_id").alias("resp_key"))
-    return _responses(spark, sf_dir, roots, "subtree:")
+    top = nest(_capture_nodes(forest), F.col("head"), F.col("tail"), listing_wrap, '""')
+    return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
 
 
-# ---------------------------------------------------------------- request log, identifiers, raw docs
-TS_BLOCK_MICROS = 3_600_000_000   # one hour of events per ranking block
+DEAD_END_RULE = 7            # parents whose event_id % 7 == 3 answer with nothing new
 
 
-def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Response log per client (= user): the budget header model of the site.
+def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One subtree capture per comment that has a pointer: its full replies.
 
-    used = (n-1) % 100 + 1, remaining = 100 - used, reset = 600 - 6n % 600;
-    header names vary in case; some rows lose a header or carry ``nan``.
+    Parents with ``event_id % 7 == 3`` answer with exactly what is already
+    visible (their pointer included): a dead end the expansion must detect.
     """
-    ev = read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    ranked = blocked_running_count(ev, ["user_id"], F.unix_micros("ts"), ["event_id"],
-                                   TS_BLOCK_MICROS, "seq")
-    used = (F.col("seq") - 1) % 100 + 1
-    remaining = F.when(F.col("event_id") % 17 == 0, F.lit("nan")).otherwise(
-        (F.lit(100) - used).cast("string"))
-    reset = (F.lit(600) - (F.col("seq") * 6) % 600).cast("string")
-    entries = F.filter(F.array(
-        F.struct(F.lit("X-Ratelimit-Remaining").alias("k"), remaining.alias("v")),
-        F.struct(F.lit("x-ratelimit-reset").alias("k"), reset.alias("v")),
-        F.struct(F.lit("X-RATELIMIT-USED").alias("k"),
-                 F.when(F.col("event_id") % 13 != 0, used.cast("string")).alias("v"))),
-        lambda e: e["v"].isNotNull())
-    return ranked.select(
-        F.col("user_id").alias("client"), "seq", "ts", "event_id",
-        F.when((F.col("event_type") == "error") & (F.col("value") > 45), F.lit(429))
-        .otherwise(F.lit(200)).alias("status"),
-        F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"]))).alias("headers"))
-
-
-IDENTIFIER_SQL = """
-CASE page_id % 8
-  WHEN 0 THEN url
-  WHEN 1 THEN concat('https://', host, '/r/', lang, '_', page_id, '/')
-  WHEN 2 THEN concat(lang, 'x+grp', page_id, CASE WHEN page_id % 3 = 0 THEN '+' ELSE '' END)
-  WHEN 3 THEN concat('https://', host, '/user/u_', page_id)
-  WHEN 4 THEN concat('https://', host, '/r/', lang, 'x/comments/K', hex(page_id), '/some_slug/')
-  WHEN 5 THEN concat('https://', host, '/r/', lang, 'x/comments/K', hex(page_id), '/s/C', hex(page_id))
-  WHEN 6 THEN concat('https://u:p@', host, '/r/abc')
-  ELSE concat('  T3_K', hex(page_id), ' ')
-END
-"""
-IDENTIFIER_KIND_SQL = """
-CASE page_id % 8 WHEN 0 THEN 'subreddit' WHEN 1 THEN 'subreddit' WHEN 2 THEN 'subreddit_group'
-  WHEN 3 THEN 'user' WHEN 4 THEN 'post' WHEN 5 THEN 'comment' WHEN 6 THEN 'subreddit' ELSE 'post' END
-"""
-
-
-def identifier_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select(
-        "page_id", "url", F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1).alias("host"),
-        F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]+)/", 1).alias("lang"))
-    return pages.select("page_id", F.expr(IDENTIFIER_SQL).alias("raw"),
-                        F.expr(IDENTIFIER_KIND_SQL).alias("resolver"))
-
-
-RAW_DOC_SQL = """
-to_json(named_struct(
-  'id', event_id,
-  'raw', named_struct(
-     'Api-Key', concat('k', event_id),
-     'selftext', repeat(concat(event_type, ' '), 1 + event_id % 9),
-     'profile_dir', concat('/home/u', user_id),
-     'title', event_type,
-     'nested', named_struct('sessionId', concat('s', event_id),
-                            'items', array(named_struct('accessToken', concat('t', event_id),
-                                                        'note', props)))),
-  'body', repeat('b', 50),
-  'props', props))
-"""
-
-
-def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read(spark, sf_dir, "events")
-    return ev.select("event_id", F.expr(RAW_DOC_SQL).alias("doc"))
-
-
-# ---------------------------------------------------------------- communities and users
-def _num(col: str) -> F.Column:
-    return F.coalesce(F.regexp_extract(col, r"([0-9]+)$", 1).try_cast("bigint"), F.lit(0))
-
-
-COMMUNITY_DATA_SQL = f"""
-named_struct(
-  'id', concat('s', n),
-  'name', concat('t5_s', n),
-  'display_name', source,
-  'display_name_prefixed', concat('r/', source),
-  'title', concat('Community ', source, ' about ', lang),
-  'public_description', concat('Posts in ', lang, ' and more'),
-  'description', concat('A ', lang, ' board with ', n_docs, ' posts'),
-  'subreddit_type', CASE WHEN n % 4 = 1 THEN 'restricted' ELSE 'public' END,
-  'url', concat('/r/', source, '/'),
-  'lang', lang,
-  'community_icon', CASE WHEN n % 2 = 0 THEN concat('https://img.example.com/', source, '.png') ELSE '' END,
-  'icon_img', concat('https://icon.example.com/', source, '.png'),
-  'subscribers', CASE WHEN n % 5 = 2 THEN cast(cast(n_docs as string) as variant) ELSE cast(n_docs as variant) END,
-  'created_utc', {EPOCH0} - 86400 * (n + 1),
-  'over18', CASE WHEN n % 3 = 0 THEN true WHEN n % 3 = 1 THEN false ELSE NULL END,
-  'quarantine', n % 7 = 6
-)
-"""
-
-USER_DATA_SQL = f"""
-named_struct(
-  'id', CASE WHEN c_custkey % 8 = 0 THEN concat('t2_c', c_custkey) ELSE concat('c', c_custkey) END,
-  'name', CASE WHEN c_custkey % 7 = 0 THEN concat('t2_c', c_custkey) ELSE concat('user_', c_custkey) END,
-  'subreddit', named_struct('display_name', concat('u_user_', c_custkey)),
-  'icon_img', CASE WHEN c_custkey % 2 = 0 THEN '' ELSE concat('https://icon.example.com/u', c_custkey, '.png') END,
-  'snoovatar_img', concat('https://snoo.example.com/', c_custkey, '.png'),
-  'created_utc', {EPOCH0} - 3600 * c_custkey,
-  'link_karma', cast(floor(c_acctbal) as bigint),
-  'comment_karma', CASE WHEN c_custkey % 4 = 0 THEN cast(cast(c_nationkey * 10 as string) as variant)
-                        ELSE cast(c_nationkey * 10 as variant) END,
-  'total_karma', cast(floor(c_acctbal) as bigint) + c_nationkey * 10,
-  'is_gold', c_mktsegment = 'AUTOMOBILE',
-  'is_mod', c_mktsegment = 'BUILDING',
-  'is_employee', false,
-  'verified', c_custkey % 3 = 0,
-  'has_verified_email', c_custkey % 2 = 0,
-  'accept_followers', true
-)
-"""
-
-
-def community_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    return (docs.groupBy("source").agg(F.count("*").alias("n_docs"), F.min("lang").alias("lang"))
-            .withColumn("n", _num("source")))
-
-
-def community_things(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = community_rows(spark, sf_dir)
-    return rows.select(F.lit("search:sr").alias("run_id"), "source", "n_docs",
-                       F.concat(F.lit("t5_s"), F.col("n")).alias("fullname"),
-                       F.to_json(F.struct(F.lit("t5").alias("kind"),
-                                          F.expr(COMMUNITY_DATA_SQL).alias("data"))).alias("thing"))
-
-
-def community_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Community search captured as Listing pages (subscribers desc)."""
-    return listing_pages(community_things(spark, sf_dir), -F.col("n_docs") * 100000 + _num("source"))
-
-
-def user_things(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = read(spark, sf_dir, "customer")
-    return cust.select(F.lit("search:user").alias("run_id"), "c_custkey",
-                       F.concat(F.lit("t2_c"), F.col("c_custkey")).alias("fullname"),
-                       F.to_json(F.struct(F.lit("t2").alias("kind"),
-                                          F.expr(USER_DATA_SQL).alias("data"))).alias("thing"))
-
-
-def user_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listing_pages(user_things(spark, sf_dir), F.col("c_custkey"))
-
-
-def community_about(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One "about" response per requested name: real ones, ``<name>_gone`` ghosts, drift."""
-    things = community_things(spark, sf_dir).withColumn("n", _num("source"))
-    real = things.select(F.col("source").alias("request"), "n",
-                         F.when(F.col("n") % 6 == 5, F.lit('{"kind":"t3","data":{}}'))
-                         .otherwise(F.col("thing")).alias("body"))
-    ghosts = things.select(F.concat(F.col("source"), F.lit("_gone")).alias("request"), "n",
-                           F.lit('{"kind":"Listing","data":{"after":null,"children":[]}}').alias("body"))
-    return real.unionByName(ghosts).select(
-        "request", F.concat(F.lit("about:"), F.col("request")).alias("response_id"),
-        captured_at().alias("captured_at"), F.lit(200).alias("status"),
-        F.lit("application/json").alias("content_type"), "body")
-
-
-def user_about(spark: SparkSession, sf_dir: str) -> DataFrame:
-    things = user_things(spark, sf_dir)
-    real = things.select(F.concat(F.lit("user_"), F.col("c_custkey")).alias("request"),
-                         F.lit(200).alias("status"),
-                         F.when(F.col("c_custkey") % 25 == 24, F.lit('{"kind":"Listing","data":{}}'))
-                         .otherwise(F.col("thing")).alias("body"))
-    ghosts = (things.filter(F.col("c_custkey") % 30 == 0)
-              .select(F.concat(F.lit("ghost_"), F.col("c_custkey")).alias("request"),
-                      F.lit(404).alias("status"), F.lit('{"message":"Not Found","error":404}').alias("body")))
-    return real.unionByName(ghosts).select(
-        "request", F.concat(F.lit("user-about:"), F.col("request")).alias("response_id"),
-        captured_at().alias("captured_at"), "status", F.lit("application/json").alias("content_type"),
-        "body")
-
-
-# ---------------------------------------------------------------- media, drift, responses
-MEDIA_POST_SQL = """
-to_json(named_struct(
-  'id', concat('m', page_id),
-  'name', concat('t3_m', page_id),
-  'url', CASE WHEN page_id % 10 = 9 THEN concat('ftp://files.example.com/', page_id) ELSE url END,
-  'post_hint', CASE WHEN page_id % 5 IN (3, 4) THEN 'image' ELSE NULL END,
-  'gallery_data', CASE WHEN page_id % 5 = 0 THEN named_struct('items', array(
-      named_struct('media_id', 'gone'), named_struct('media_id', 'a'), named_struct('media_id', 'b'),
-      named_struct('media_id', 'c'))) END,
-  'media_metadata', CASE WHEN page_id % 5 = 0 THEN named_struct(
-      'a', named_struct('s', named_struct('u', concat(url, '?x=1&amp;y=2'), 'x', 640, 'y', 480)),
-      'b', named_struct('s', named_struct('u', '', 'x', 1, 'y', 1)),
-      'c', named_struct('s', named_struct('u', concat(url, '#c'), 'x', 0, 'width', 320, 'y', 200))) END,
-  'secure_media', CASE WHEN page_id % 5 = 1 THEN named_struct('reddit_video',
-      named_struct('fallback_url', concat(url, '/video.mp4'), 'width', 0, 'height', 720)) END,
-  'media', CASE WHEN page_id % 5 = 2 THEN named_struct('oembed', named_struct('width', 400, 'height', 300)) END,
-  'media_embed', CASE WHEN page_id % 5 = 3 THEN parse_json('{}') END,
-  'preview', CASE WHEN page_id % 5 IN (3, 4) THEN named_struct('images', array(named_struct('source',
-      named_struct('url', url, 'width', 1024, 'height', 768)))) END
-))
-"""
-
+    from loomweave.operators.forest import listing_wrap, nest
 
-def media_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages")
-    return pages.select("page_id", F.expr(MEDIA_POST_SQL).alias("post"))
-
-
-def drift_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One single-item listing response per document, broken by ``doc_id % 12``."""
-    things = post_things(spark, sf_dir)
-    ok = F.concat(F.lit('{"kind":"Listing","data":{"after":null,"children":['), F.col("thing"),
-                  F.lit("]}}"))
-    r = F.col("doc_id") % 12
-    body = (F.when(r == 1, F.lit("<html><body>blocked</body></html>"))
-            .when(r == 2, F.concat(F.lit("["), ok, F.lit("]")))
-            .when(r == 3, F.regexp_replace(ok, '^\\{"kind":"Listing"', '{"kind":"listing"'))
-            .when(r == 4, F.lit('{"kind":"Listing","data":[]}'))
-            .when(r == 5, F.lit('{"kind":"Listing","data":{"children":{}}}'))
-            .when(r == 6, F.regexp_replace(ok, '"after":null', '"after":7'))
-            .when(r == 7, F.lit('{"kind":"Listing","data":{"children":["t3"]}}'))
-            .when(r == 8, F.regexp_replace(ok, '"children":\\[\\{"kind":"t3"', '"children":[{"kind":"t9"'))
-            .when(r == 9, F.lit('{"kind":"Listing","data":{"children":[{"kind":"t3","data":"x"}]}}'))
-            .when(r == 10, F.regexp_replace(ok, '"children":\\[\\{"kind":"t3"', '"children":[{"kind":"t1"'))
-            .when(r == 11, F.regexp_replace(ok, '\\]\\}\\}$',
-                                            ',{"kind":"more","data":{"count":3,"parent_id":"t3_x"}}]}}'))
-            .otherwise(ok))
-    return things.select(F.col("doc_id"), F.concat(F.lit("drift:"), F.col("doc_id")).alias("response_id"),
-                         F.col("run_id"), F.lit(1).cast("bigint").alias("page_no"),
-                         captured_at().alias("captured_at"), body.alias("body"))
-
-
-def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses for the classifier: status, content type, body and budget headers by rule."""
-    ev = read(spark, sf_dir, "events")
-    t = F.col("event_type")
-    odd = F.col("event_id") % 2 == 1
-    status = (F.when(t == "click", F.lit(429)).when((t == "error") & odd, F.lit(404))
-              .when((t == "error") & ~odd, F.lit(403)).otherwise(F.lit(200)))
-    ctype = F.when(t == "purchase", F.lit("text/html; charset=utf-8")).otherwise(
-        F.lit("application/json; charset=UTF-8"))
-    body = (F.when(t == "purchase", F.lit("<html>challenge</html>"))
-            .when(t == "signup", F.when(odd, F.lit('"just a string"'))
-                  .otherwise(F.lit('{"reason": "banned", "message": "Community is Banned"}')))
-            .when((t == "view") & (F.col("event_id") % 5 == 0), F.lit("{not json"))
-            .when((t == "view") & (F.col("event_id") % 5 == 1),
-                  F.lit('{"error": 404, "message": "Page Not Found"}'))
-            .otherwise(F.lit('{"kind":"Listing","data":{"after":null,"children":[]}}')))
-    remaining = F.when(F.col("event_id") % 11 == 0, F.lit("0")).otherwise(F.lit("57"))
-    headers = F.create_map(F.lit("X-Ratelimit-Remaining"), remaining,
-                           F.lit("X-Ratelimit-Reset"), F.lit("120"), F.lit("X-Ratelimit-Used"), F.lit("43"))
-    return ev.select("event_id", status.alias("status"), ctype.alias("content_type"),
-                     body.alias("body"), headers.alias("headers"))
+    forest = event_forest(spark, sf_dir)
+    full = forest.select("thread_id", "path", "parent_path", "sib_pos", "depth",
+                         F.lit("t1").alias("kind"), _comment_head().alias("head"),
+                         F.lit("}}").alias("tail"))
+    every = nest(full, F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True)
+    seen = nest(_capture_nodes(forest), F.col("head"), F.col("tail"), listing_wrap, '""',
+                keep_levels=True)
+    targets = (forest_pointers(forest).filter(F.col("anc_k") > 0)
+               .join(forest.select("user_id", F.col("k").alias("anc_k"), "event_id"), ["user_id", "anc_k"])
+               .select("thread_id", F.col("parent_path").alias("path"), "ptr_parent_id",
+                       (F.col("event_id") % DEAD_END_RULE == 3).alias("dead")))
+    live = every.join(targets.filter(~F.col("dead")), ["thread_id", "path"])
+    stale = seen.join(targets.filter("dead"), ["thread_id", "path"])
+    roots = live.unionByName(stale).select(
+        "thread_id", F.lit(0).alias("sib_pos"), "json", F.col("ptr_parent_id").alias("resp_key"))
+    return _responses(spark, sf_dir, roots, "subtree:")
