@@ -68,3 +68,10 @@ def windows(advice: DataFrame, width: str = "10 minutes") -> DataFrame:
                  F.min("remaining").alias("min_remaining"))
             .select("client", C.iso(F.col("w.start")).alias("window_start"), "requests", "limited",
                     "min_remaining"))
+
+
+def advise_stream_columns(log: DataFrame) -> DataFrame:
+    """M1 only (row-local, so it runs inside a streaming query): the parsed budget."""
+    rh = rate_headers(F.col("headers"))
+    return log.select("client", "seq", "ts", "status", rh["remaining"].alias("remaining"),
+                      rh["reset"].alias("reset"), rh["used"].alias("used"))

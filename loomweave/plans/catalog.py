@@ -676,3 +676,44 @@ def forest_signature(spark, sf_dir):
     """Order-sensitive signature of every captured thread."""
     s = FR.signature(_forest(spark, sf_dir))
     return s.select("thread_id", "signature", F.col("nodes").cast("bigint").alias("nodes"))
+
+
+# ---------------------------------------------------------------- streaming
+from loomweave.streaming import jobs as ST  # noqa: E402
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Captured pages land as files; an availableNow stream decodes and dedups them."""
+    staging, silver = ST.work_dir(spark, "staging"), ST.work_dir(spark, "silver")
+    S.post_pages(spark, sf_dir).repartition(4).write.json(staging)
+    ST.ingest_captures(spark, staging, silver, ST.work_dir(spark, "ckpt"))
+    return spark.read.parquet(silver).select(
+        "fullname", "subreddit", F.col("score").cast("bigint").alias("score"),
+        C.iso(F.col("created_at")).alias("created_at"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """First-wins dedup of the event stream on its payload within a watermark."""
+    out = ST.work_dir(spark, "dedup")
+    schema = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string")
+    ST.dedup_stream(spark, sf_dir, "events.parquet", schema, ["props"], "ts", "1 hour", out,
+                    ST.work_dir(spark, "ckpt"))
+    return spark.read.parquet(out).select("props")
+
+
+@query
+def stream_rate_state(spark, sf_dir):
+    """S3: per-client budget windows maintained as streaming state (update mode)."""
+    log_dir, out = ST.work_dir(spark, "log"), ST.work_dir(spark, "windows")
+    S.request_log(spark, sf_dir).repartitionByRange(4, "ts").write.parquet(log_dir)
+    # The replayed log is not in arrival order across files, so the watermark delay
+    # covers the whole replay and no row is dropped as late.
+    ST.rate_window_stream(spark, log_dir, out, ST.work_dir(spark, "ckpt"), delay="36500 days")
+    state = ST.latest(spark, out, ["client", "w"])
+    return state.select(F.col("client").cast("bigint").alias("client"),
+                        C.iso(F.col("w.start")).alias("window_start"),
+                        F.col("requests").cast("bigint").alias("requests"),
+                        F.col("limited").cast("bigint").alias("limited"), "min_remaining")

@@ -992,3 +992,14 @@ SELECT thread_id, CAST(sum(CAST(('0x' || substring(md5(key), 1, 15)) AS BIGINT))
        CAST(count(*) AS BIGINT) AS nodes
 FROM k GROUP BY thread_id
 """
+
+
+# ---------------------------------------------------------------- streaming
+ORACLE["stream_ingest"] = f"""
+SELECT 't3_d' || doc_id AS fullname, source AS subreddit,
+       CAST(CASE WHEN doc_id % 11 = 0 THEN NULL ELSE n_chars % 1000 - 200 END AS BIGINT) AS score,
+       {iso(ts(f"{E0} + 60 * doc_id"))} AS created_at
+FROM documents
+"""
+ORACLE["stream_dedup"] = "SELECT DISTINCT props FROM events"
+ORACLE["stream_rate_state"] = ORACLE["budget_windows"]
