@@ -61,7 +61,10 @@ def main() -> None:
         names = [n for n in only.split(",") if n in registry]
     timings: dict[str, float] = {}
     errors: dict[str, str] = {}
+    from loomweave.plans.catalog import clear_memo
+
     for name in names:
+        clear_memo()
         start = time.perf_counter()
         try:
             registry[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

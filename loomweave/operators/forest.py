@@ -420,7 +420,7 @@ def nest(nodes: DataFrame, head: Column, tail: Column, wrap_children, empty_chil
         return staged.select("thread_id", "path", "parent_path", "sib_pos", "depth",
                              F.lit(None).cast("string").alias("json"))
     below = None
-    done = []
+    done, cached = [], [staged]
     for i, d in enumerate(range(max_depth, -1, -1)):
         cur = staged.filter(F.col("depth") == d)
         if below is not None:
@@ -438,6 +438,7 @@ def nest(nodes: DataFrame, head: Column, tail: Column, wrap_children, empty_chil
             below = cut_lineage(below)
         else:
             below = below.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(below)
         if keep_levels:
             done.append(below)
     out = below
@@ -446,7 +447,8 @@ def nest(nodes: DataFrame, head: Column, tail: Column, wrap_children, empty_chil
         for extra in done[1:]:
             out = out.unionByName(extra)
     out = cut_lineage(out)
-    staged.unpersist()
+    for c in cached:
+        c.unpersist()
     return out
 
 

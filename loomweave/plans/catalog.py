@@ -172,9 +172,29 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 from loomweave.operators import forest as FR  # noqa: E402
 
 
+_MEMO: dict = {}
+
+
+def memo(spark, sf_dir, name, build):
+    """Reuse a checkpointed intermediate within one session and table folder.
+
+    The stand-in captures and their flattened forests are reliable checkpoints
+    (files in the shared checkpoint folder); several queries start from them,
+    so they are built once per session.  ``clear_memo`` forces a rebuild (the
+    benchmark clears it before every query so each timing includes the build).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+def clear_memo() -> None:
+    _MEMO.clear()
+
+
 def _forest(spark, sf_dir):
-    nodes, _ = FR.flatten_post_responses(S.post_responses(spark, sf_dir))
-    return nodes
+    return memo(spark, sf_dir, "forest", lambda: FR.flatten_post_responses(S.post_responses(spark, sf_dir))[0])
 
 
 def _path_txt(col: str = "path"):
@@ -637,7 +657,8 @@ from loomweave.operators import expand as X  # noqa: E402
 
 def _expanded(spark, sf_dir, max_depth=None):
     base = _forest(spark, sf_dir)
-    snaps, _ = FR.flatten_post_responses(S.subtree_responses(spark, sf_dir), subtree=True)
+    snaps = memo(spark, sf_dir, "snapshots", lambda: FR.flatten_post_responses(
+        S.subtree_responses(spark, sf_dir), subtree=True)[0])
     return base, X.expand(base, snaps, max_depth=max_depth)
 
 

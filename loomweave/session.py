@@ -16,6 +16,12 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Level loops run many small jobs; keep the driver's job history short.
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "10000",
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 
@@ -34,11 +40,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+RUNTIME_KEYS = ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
+                "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.ansi.enabled")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (idempotent)."""
-    for key, value in DEFAULT_CONF.items():
-        if key.startswith("spark.sql."):
-            spark.conf.set(key, value)
+    for key in RUNTIME_KEYS:
+        spark.conf.set(key, DEFAULT_CONF[key])
     return spark
 
 
