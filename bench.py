@@ -39,7 +39,7 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     from loomweave.plans.catalog import QUERIES, flagship
-    from loomweave.session import DEFAULT_CONF, configure
+    from loomweave.session import DEFAULT_CONF, checkpoint_dir, configure
 
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("loomweave-bench")
     conf = dict(DEFAULT_CONF)
@@ -50,8 +50,7 @@ def main() -> None:
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loomweave-bench-ckpt-"))
+    checkpoint_dir(spark)   # reads spark.checkpoint.dir; a private folder only when unset
 
     registry = dict(QUERIES)
     registry["flagship"] = flagship

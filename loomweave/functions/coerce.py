@@ -44,6 +44,11 @@ def is_object(x: Column) -> Column:
     return F.try_variant_get(x, "$", "struct<>").isNotNull()
 
 
+def has_object(x: Column, key: str) -> Column:
+    """True when ``x[key]`` is a JSON object, without materialising the value."""
+    return F.try_variant_get(x, _path(key), "struct<>").isNotNull()
+
+
 def as_array(x: Column) -> Column:
     """``array<variant>`` when ``x`` is a JSON array, else NULL."""
     return F.try_variant_get(x, "$", "array<variant>")

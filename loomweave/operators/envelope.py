@@ -42,7 +42,7 @@ def thing_violation(thing: Column, path: Column) -> Column:
     return (F.when(~C.is_object(thing), drift(path, "a thing object"))
             .when(kind.isNull() | ~kind.isin(*THING_KINDS),
                   drift(F.concat(path, F.lit(".kind")), "t1, t2, t3, t5, or more"))
-            .when(~C.is_object(C.get(thing, "data")),
+            .when(~C.has_object(thing, "data"),
                   drift(F.concat(path, F.lit(".data")), "an object")))
 
 

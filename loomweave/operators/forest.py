@@ -31,58 +31,83 @@ NODE_KEEP = ["response_id", "thread_id", "captured_at"]
 
 
 # ---------------------------------------------------------------- J1 flatten
-def _level_nodes(frontier: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One level: (normalised node rows, drift rows, next frontier)."""
+_LEVEL_EXPRS: dict = {}
+
+
+def _level_exprs() -> tuple[list[Column], Column, Column]:
+    """Column expressions of one flatten level, built once per JVM and reused.
+
+    They depend only on column names, and building them costs hundreds of
+    py4j calls, so every level (and every flatten) shares the same objects.
+    """
+    from pyspark import SparkContext
+
+    key = id(SparkContext._active_spark_context)
+    if key in _LEVEL_EXPRS:
+        return _LEVEL_EXPRS[key]
     d = F.col("data")
     kind = F.col("kind")
     replies = C.get(d, "replies")
-    rtype = C.vtype(replies)
     path_txt = F.concat(F.lit("forest"), F.array_join(F.col("path").cast("array<string>"), "."))
     ptr_parent = C.string_or_null(d, "parent_id")
     count_t = C.vtype(C.get(d, "count"))
+    # Objects are recognised with an O(1) struct cast; the type name is only
+    # computed for scalars (schema_of_variant walks the whole nested value).
+    replies_obj = C.is_object(replies)
+    empty_string = (C.vtype(replies) == "STRING") & (F.try_variant_get(replies, "$", "string") == "")
     node_drift = (
         F.when(~kind.isin("t1", "more"), E.drift(F.concat(path_txt, F.lit(".kind")), "t1 or more"))
         .when((kind == "t1") & replies.isNull(),
               E.drift(F.concat(path_txt, F.lit(".data.replies")), "an empty string or a Listing"))
-        .when((kind == "t1") & (rtype == "STRING")
-              & (F.try_variant_get(replies, "$", "string") != ""),
-              E.drift(F.concat(path_txt, F.lit(".data.replies")), "an empty string or a Listing"))
-        .when((kind == "t1") & ~rtype.isin("STRING") & ~C.is_object(replies),
-              E.drift(F.concat(path_txt, F.lit(".data.replies")), "an empty string or a Listing"))
-        .when((kind == "t1") & C.is_object(replies),
+        .when((kind == "t1") & replies_obj,
               E.listing_violation(replies, "replies", child_kinds=("t1", "more")))
+        .when((kind == "t1") & ~empty_string,
+              E.drift(F.concat(path_txt, F.lit(".data.replies")), "an empty string or a Listing"))
         .when((kind == "more") & ~(F.coalesce(ptr_parent.startswith("t1_")
                                                | ptr_parent.startswith("t3_"), F.lit(False))),
               E.drift(F.concat(path_txt, F.lit(".data.parent_id")), "a t1_ or t3_ fullname"))
         .when((kind == "more") & (F.coalesce(count_t, F.lit("")) != "BIGINT"),
               E.drift(F.concat(path_txt, F.lit(".data.count")), "an integer")))
-    staged = frontier.withColumn("_drift", node_drift)
-    drift = staged.filter(F.col("_drift").isNotNull()).select(
-        "response_id", F.col("_drift.path").alias("path"), F.col("_drift.expected").alias("expected"))
-
     rec_depth = C.integer(d, "depth")
     ident = C.strip_prefix(C.text(d, "id"), "t1_")
     fullname = F.when(kind == "t1", C.fullname(C.text(d, "name"), "t1_", ident))
     cap_depth = F.coalesce(F.when(kind == "t1", rec_depth), F.col("parent_cap_depth"))
-    nodes = staged.filter(F.col("_drift").isNull()).select(
-        *NODE_KEEP, "kind", "path",
+    select = [
+        *[F.col(c) for c in NODE_KEEP], kind, F.col("path"),
         (F.size("path") - 1).alias("depth"),
         F.slice("path", 1, F.size("path") - 1).alias("parent_path"),
         F.element_at("path", -1).alias("sib_pos"),
-        "parent_fullname", fullname.alias("fullname"), cap_depth.alias("cap_depth"),
+        F.col("parent_fullname"), fullname.alias("fullname"), cap_depth.alias("cap_depth"),
         F.when(kind == "more", ptr_parent).alias("ptr_parent_id"),
         F.when(kind == "more", C.integer(d, "count")).alias("ptr_count"),
         F.when(kind == "more", rec_depth).alias("ptr_depth"),
         *_comment_cols(d, kind),
-        F.when((kind == "t1") & C.is_object(replies), replies).alias("_replies"))
-    nxt = (nodes.filter(F.col("_replies").isNotNull())
+        F.when((kind == "t1") & replies_obj, replies).alias("_replies"),
+        node_drift.alias("_drift")]
+    thing = F.col("thing")
+    child = (E.kind_of(thing).alias("kind"), C.get(thing, "data").alias("data"))
+    _LEVEL_EXPRS[key] = (select, child, E.listing_children(F.col("_replies")))
+    return _LEVEL_EXPRS[key]
+
+
+def _level_nodes(frontier: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """One level: (normalised node rows, drift rows, next frontier, persisted stage).
+
+    One projection per level, persisted: drift, node columns and the next
+    level's replies are all evaluated once from the same rows.
+    """
+    select, child, children = _level_exprs()
+    staged = frontier.select(*select).persist(StorageLevel.MEMORY_AND_DISK)
+    drift = staged.filter(F.col("_drift").isNotNull()).select(
+        "response_id", F.col("_drift.path").alias("path"), F.col("_drift.expected").alias("expected"))
+    ok = staged.filter(F.col("_drift").isNull())
+    nxt = (ok.filter(F.col("_replies").isNotNull())
            .select(*NODE_KEEP, "path", F.col("fullname").alias("parent_fullname"),
                    F.col("cap_depth").alias("parent_cap_depth"),
-                   F.posexplode(E.listing_children(F.col("_replies"))).alias("pos", "thing"))
+                   F.posexplode(children).alias("pos", "thing"))
            .select(*NODE_KEEP, F.array_append("path", F.col("pos")).alias("path"),
-                   "parent_fullname", "parent_cap_depth",
-                   E.kind_of(F.col("thing")).alias("kind"), C.get(F.col("thing"), "data").alias("data")))
-    return nodes.drop("_replies"), drift, nxt
+                   "parent_fullname", "parent_cap_depth", *child))
+    return ok.drop("_replies", "_drift"), drift, nxt, staged
 
 
 def _comment_cols(d: Column, kind: Column) -> list[Column]:
@@ -135,7 +160,8 @@ def flatten_post_responses(responses: DataFrame, subtree: bool = False
         cached.append(frontier)
         if frontier.isEmpty():
             break
-        nodes, drift, nxt = _level_nodes(frontier)
+        nodes, drift, nxt, staged = _level_nodes(frontier)
+        cached.append(staged)
         levels.append(nodes)
         drifts.append(drift)
         frontier = nxt

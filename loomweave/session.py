@@ -55,23 +55,35 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment to a shared filesystem.
-    Only when it is unset (local tests) is a fresh private folder created.
+    On a cluster this is set by the deployment to a shared filesystem and is
+    only read here.  When it is unset (a bare local test session) a private
+    folder is registered on the context instead; the setting itself is a core
+    config that cannot change at run time.
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
+    registered = sc._jsc.sc().getCheckpointDir()  # noqa: SLF001 - no public getter
+    if registered.isDefined():
+        return registered.get()
     if not current:
         current = tempfile.mkdtemp(prefix="loomweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    jsc = spark.sparkContext._jsc  # noqa: SLF001 - public accessor has no getter
-    if jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local one."""
+    """Reliable checkpoint (survives executor loss); never a local one.
+
+    The frame is persisted first: writing a reliable checkpoint otherwise
+    recomputes the whole lineage a second time after the eager count.
+    """
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
 
 
 def table_path(sf_dir: str, name: str) -> str:

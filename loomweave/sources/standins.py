@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomweave.operators.common import blocked_running_count
-from loomweave.session import table_path
+from loomweave.session import cut_lineage, table_path
 
 # Fixed stand-in constants (shared with the oracle SQL).
 EPOCH0 = 1704067200          # 2024-01-01T00:00:00Z
@@ -271,7 +271,7 @@ def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base capture per thread: visible comments nested, hidden ones behind pointers."""
     from loomweave.operators.forest import listing_wrap, nest
 
-    forest = event_forest(spark, sf_dir)
+    forest = cut_lineage(event_forest(spark, sf_dir))
     top = nest(_capture_nodes(forest), F.col("head"), F.col("tail"), listing_wrap, '""')
     return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
 
@@ -287,7 +287,7 @@ def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from loomweave.operators.forest import listing_wrap, nest
 
-    forest = event_forest(spark, sf_dir)
+    forest = cut_lineage(event_forest(spark, sf_dir))
     full = forest.select("thread_id", "path", "parent_path", "sib_pos", "depth",
                          F.lit("t1").alias("kind"), _comment_head().alias("head"),
                          F.lit("}}").alias("tail"))

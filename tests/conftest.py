@@ -14,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from loomweave.session import DEFAULT_CONF, configure
+    from loomweave.session import DEFAULT_CONF, checkpoint_dir, configure
 
     builder = SparkSession.builder.master("local[4]").appName("loomweave-tests")
     for k, v in DEFAULT_CONF.items():
@@ -23,8 +23,7 @@ def spark():
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     configure(session)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loomweave-test-ckpt-"))
+    checkpoint_dir(session)   # reads spark.checkpoint.dir; a private folder only when unset
     yield session
     session.stop()
 
