@@ -679,9 +679,14 @@ def forest_verdict(spark, sf_dir):
     capped = FR.cap(merged, 500)
     v = FR.verdict(merged, capped, 500, dead=dead)
     req = (done.unionByName(dead).groupBy("thread_id").agg((F.count("*") + 1).alias("requests")))
+    n = F.col("comments")
+    summary = F.concat(F.lit("1 post"), F.when(n > 0, F.concat(
+        F.lit(", "), n.cast("string"), F.lit(" comment"), F.when(n == 1, F.lit("")).otherwise(F.lit("s"))))
+        .otherwise(F.lit("")), F.lit(", stop reason: "), F.col("verdict"))
     return (v.join(req, "thread_id", "left")
             .select("thread_id", "verdict", F.col("comments").cast("bigint").alias("comments"),
-                    F.coalesce("requests", F.lit(1)).cast("bigint").alias("requests_made")))
+                    F.coalesce("requests", F.lit(1)).cast("bigint").alias("requests_made"),
+                    summary.alias("summary")))
 
 
 @query
@@ -738,3 +743,24 @@ def stream_rate_state(spark, sf_dir):
                         C.iso(F.col("w.start")).alias("window_start"),
                         F.col("requests").cast("bigint").alias("requests"),
                         F.col("limited").cast("bigint").alias("limited"), "min_remaining")
+
+
+# ---------------------------------------------------------------- structural PII scan, captures
+@query
+def pii_capture_scan(spark, sf_dir):
+    """Value-free categories per captured listing page (posts, users, communities)."""
+    pages = (S.post_pages(spark, sf_dir).unionByName(S.user_pages(spark, sf_dir))
+             .unionByName(S.community_pages(spark, sf_dir)))
+    cats = pages.select("response_id", F.posexplode(PII.scan_json(F.col("body"))).alias("ord", "category"))
+    return cats.select("response_id", "category", F.col("ord").cast("bigint").alias("ord"))
+
+
+@query
+def capture_files(spark, sf_dir):
+    """A1-A3: one raw body per file, read whole; invalid or empty bodies are flagged."""
+    staging = ST.work_dir(spark, "captures")
+    (S.drift_pages(spark, sf_dir).select(F.col("doc_id").cast("string").alias("name"), "body")
+     .write.partitionBy("name").text(staging))
+    files = spark.read.option("wholetext", True).text(staging)
+    valid = F.try_parse_json(F.col("value")).isNotNull() & (F.trim(F.col("value")) != "")
+    return files.select(F.col("name").cast("bigint").alias("doc_id"), valid.alias("valid"))

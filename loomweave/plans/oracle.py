@@ -962,7 +962,11 @@ req AS (SELECT thread_id, count(DISTINCT anc_k) AS n FROM ptr WHERE anc_k > 0 GR
 SELECT per.thread_id,
        CASE WHEN pointers = 0 THEN 'tree_complete' WHEN t3p = 1 THEN 'comment_limit'
             ELSE 'depth_capped' END AS verdict,
-       CAST(comments AS BIGINT) AS comments, CAST(1 + coalesce(req.n, 0) AS BIGINT) AS requests_made
+       CAST(comments AS BIGINT) AS comments, CAST(1 + coalesce(req.n, 0) AS BIGINT) AS requests_made,
+       '1 post' || CASE WHEN comments > 0 THEN ', ' || comments || ' comment'
+                        || CASE WHEN comments = 1 THEN '' ELSE 's' END ELSE '' END
+       || ', stop reason: ' || CASE WHEN pointers = 0 THEN 'tree_complete' WHEN t3p = 1 THEN 'comment_limit'
+                                    ELSE 'depth_capped' END AS summary
 FROM per LEFT JOIN req USING (thread_id)
 """
 
@@ -1003,3 +1007,66 @@ FROM documents
 """
 ORACLE["stream_dedup"] = "SELECT DISTINCT props FROM events"
 ORACLE["stream_rate_state"] = ORACLE["budget_windows"]
+
+
+# ---------------------------------------------------------------- structural PII scan
+ORACLE["pii_capture_scan"] = r"""
+WITH rk0 AS (
+  SELECT source, doc_id, text, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS r FROM documents
+),
+rk AS (  -- every string of a post that can hold PII: its text and its outbound link
+  SELECT source, doc_id, text, r FROM rk0
+  UNION ALL
+  SELECT source, doc_id, 'https://ext.example.com/a/' || md5(text), r FROM rk0
+  WHERE doc_id % 4 <> 0 AND NOT (doc_id % 4 = 1 AND doc_id % 3 = 0)
+),
+member AS (
+  SELECT source, (r - 1) // 9 + 1 AS p, text FROM rk
+  UNION ALL SELECT source, (r - 1) // 9, text FROM rk WHERE (r - 1) % 9 = 0 AND r > 1
+),
+tok AS (
+  SELECT source, p, t, row_number() OVER () AS tid FROM (
+    SELECT source, p, unnest(regexp_extract_all(text, '[A-Za-z0-9+/_=\-]{32,}')) AS t FROM member)
+),
+ch AS (SELECT tid, c, count(*) AS n FROM (SELECT tid, unnest(string_split(t, '')) AS c FROM tok) GROUP BY tid, c),
+ent AS (
+  SELECT tok.source, tok.p, tok.t, -sum((ch.n / length(tok.t)) * log2(ch.n / length(tok.t))) AS e
+  FROM tok JOIN ch USING (tid) GROUP BY tok.source, tok.p, tok.tid, tok.t
+),
+sec AS (
+  SELECT DISTINCT source, p FROM ent
+  WHERE len(list_intersect(string_split_regex(lower(t), '[^a-z0-9]+'),
+                           ['dummy', 'example', 'fake', 'fixture', 'sample', 'synthetic', 'test'])) = 0
+    AND CAST(regexp_matches(t, '[a-z]') AS INT) + CAST(regexp_matches(t, '[A-Z]') AS INT)
+        + CAST(regexp_matches(t, '[0-9]') AS INT) + CAST(regexp_matches(t, '[+/=_\-]') AS INT) >= 3
+    AND e >= 4.0
+),
+flags AS (
+  SELECT source, p,
+         bool_or(regexp_matches(text, '[A-Za-z0-9._%+\-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,63}([^A-Za-z0-9.\-]|$)')) AS email,
+         bool_or(regexp_matches(text, '(^|[^\pL\pN_])(?:\+\d{1,3}[ .-])?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}($|[^\pL\pN_])')) AS phone,
+         bool_or(regexp_matches(text, '\beyJ[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{16,}(?:\.[A-Za-z0-9_\-]{8,})?\b')) AS jwt
+  FROM member GROUP BY source, p
+),
+posts AS (
+  SELECT f.source || ':' || f.p AS response_id, f.email, f.phone, (f.jwt OR s.p IS NOT NULL) AS secret
+  FROM flags f LEFT JOIN sec s ON s.source = f.source AND s.p = f.p
+),
+cats AS (
+  SELECT response_id, 'email' AS category, 0 AS pri FROM posts WHERE email
+  UNION ALL SELECT response_id, 'phone', 1 FROM posts WHERE phone
+  UNION ALL SELECT response_id, 'high-entropy-secret', 2 FROM posts WHERE secret
+  UNION ALL SELECT response_id, 'non-synthetic-username', 3 FROM posts
+  UNION ALL
+  SELECT DISTINCT 'search:user:' || CASE WHEN (r - 1) % 9 = 0 AND r > 1 THEN (r - 1) // 9 ELSE (r - 1) // 9 + 1 END,
+         'non-synthetic-username', 3
+  FROM (SELECT row_number() OVER (ORDER BY c_custkey) AS r FROM customer)
+)
+SELECT response_id, category, CAST(row_number() OVER (PARTITION BY response_id ORDER BY pri) - 1 AS BIGINT) AS ord
+FROM cats
+"""
+
+
+ORACLE["capture_files"] = """
+SELECT doc_id, doc_id % 12 <> 1 AS valid FROM documents
+"""
