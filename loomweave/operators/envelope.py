@@ -113,15 +113,15 @@ def listing_pages_checked(bronze: DataFrame, allowed_kinds: Iterable[str],
     (B10, the related-discussions envelope).
     """
     df = parse_body(bronze)
-    v = F.col("v")
-    checks = []
+    checks = [F.when(F.col("v").isNull() & F.col("body").isNotNull(),
+                     drift("response", "a JSON body"))]
     if select_element is not None:
-        arr = C.as_array(v)
-        checks.append(F.when(arr.isNull() | (F.size(arr) != 2),
-                             drift("response", "a two-element array")))
-        df = df.withColumn("v", F.when(F.size(arr) == 2, F.element_at(arr, select_element + 1)))
-    checks.append(F.when(F.col("v").isNull() & F.col("body").isNotNull(),
-                         drift("response", "a JSON body")))
+        arr = C.as_array(F.col("_resp"))
+        df = df.withColumnRenamed("v", "_resp").withColumn(
+            "v", F.when(F.size(arr) == 2, F.element_at(arr, select_element + 1)))
+        checks = [F.when(F.col("_resp").isNull() & F.col("body").isNotNull(),
+                         drift("response", "a JSON body")),
+                  F.when(arr.isNull() | (F.size(arr) != 2), drift("response", "a two-element array"))]
     checks.append(listing_violation(F.col("v"), "response", allowed_kinds))
     return (df.withColumn("drift", F.coalesce(*checks))
             .withColumn("after", F.when(F.col("drift").isNull(), listing_after(F.col("v")))))
