@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from loomweave.functions import coerce as C
 from loomweave.operators import envelope as E
 from loomweave.operators import normalize as N
 from loomweave.operators.common import blocked_running_count, first_wins
+from loomweave.session import cut_lineage
 
 # Fixed values that must equal the reference's.
 STOP_REASONS = ("limit_reached", "listing_exhausted", "no_matches", "since_crossed",
@@ -234,9 +236,10 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
     from loomweave.sources.capture import classify_responses
 
     allowed_kinds = tuple(allowed_kinds)
-    checked = (E.listing_pages_checked(pages, allowed_kinds, select_element)
-               .join(classify_responses(pages).select("run_id", "page_no", "outcome"),
-                     ["run_id", "page_no"], "left"))
+    # Decode every page once; the engine only needs two small tables from it:
+    # item keys and page facts.  Both are checkpointed, so the JSON is parsed once.
+    checked = (E.listing_pages_checked(classify_responses(pages), allowed_kinds, select_element)
+               .persist(StorageLevel.MEMORY_AND_DISK))
     ok = checked.filter(F.col("drift").isNull())
     items = (E.explode_things(ok, "v", ["run_id", "page_no"])
              .filter(F.col("kind").isin(*allowed_kinds)))
@@ -244,7 +247,11 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
                         C.strip_prefix(C.text(F.col("data"), "id"), "t3_").alias("_id"),
                         C.text(F.col("data"), "name").alias("_name"),
                         C.timestamp(F.col("data"), "created_utc").alias("created_at"))
-    rows = rows.withColumn("fullname", C.fullname(F.col("_name"), "t3_", F.col("_id"))).drop("_id", "_name")
+    rows = cut_lineage(rows.withColumn("fullname", C.fullname(F.col("_name"), "t3_", F.col("_id")))
+                       .drop("_id", "_name"))
+    decoded = checked
+    checked = cut_lineage(checked.select("run_id", "page_no", "after", "outcome", "drift"))
+    decoded.unpersist()
     # params: one row per run; runs are few relative to rows, so it is broadcast.
     p = F.broadcast(params.select("run_id", "lim", "since", "until",
                                   F.coalesce("max_requests", F.lit(DEFAULT_MAX_REQUESTS)).alias("budget")))
