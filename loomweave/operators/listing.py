@@ -204,6 +204,18 @@ def community_listing(posts: DataFrame, communities: list[str] | None, sort: str
     return ranked(df, post_sort_key(effective, as_of), limit)
 
 
+def silver_listing(silver: DataFrame, communities: list[str], since=None, until=None,
+                   limit: int | None = None) -> DataFrame:
+    """G1/G2 + F1/F2 over the silver layout: partition pruning and pushed filters."""
+    lo, hi = bounds(since, until)
+    df = silver.filter(F.col("community_key").isin([c.lower() for c in communities]))
+    if lo is not None:
+        df = df.filter((F.col("created_date") >= F.lit(lo.date())) & (F.col("created_at") >= _ts_lit(lo)))
+    if hi is not None:
+        df = df.filter((F.col("created_date") <= F.lit(hi.date())) & (F.col("created_at") <= _ts_lit(hi)))
+    return ranked(df, post_sort_key("new", dt.datetime(2024, 1, 2, tzinfo=dt.UTC)), limit)
+
+
 def user_activity(posts: DataFrame, comments: DataFrame, user: str, listing_type: str = "overview",
                   sort: str | None = None, limit: int | None = None, since=None, until=None,
                   as_of: dt.datetime | None = None) -> DataFrame:

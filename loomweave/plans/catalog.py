@@ -764,3 +764,16 @@ def capture_files(spark, sf_dir):
     files = spark.read.option("wholetext", True).text(staging)
     valid = F.try_parse_json(F.col("value")).isNotNull() & (F.trim(F.col("value")) != "")
     return files.select(F.col("name").cast("bigint").alias("doc_id"), valid.alias("valid"))
+
+
+@query
+def silver_listing(spark, sf_dir):
+    """G1 + F1 on the silver layout (day folders, community-sorted files): pruned scan."""
+    from loomweave.sources.capture import write_posts_silver
+
+    path = ST.work_dir(spark, "silver-posts")
+    write_posts_silver(_posts(spark, sf_dir, False), path)
+    silver = spark.read.parquet(path)
+    since = dt.datetime(2024, 1, 1, 3, tzinfo=dt.UTC)
+    until = dt.datetime(2024, 1, 3, 12, tzinfo=dt.UTC)
+    return _listing_out(L.silver_listing(silver, ["SRC8", "src12"], since, until, limit=40))

@@ -1070,3 +1070,7 @@ FROM cats
 ORACLE["capture_files"] = """
 SELECT doc_id, doc_id % 12 <> 1 AS valid FROM documents
 """
+
+ORACLE["silver_listing"] = listing(
+    f"lower(subreddit) IN ('src8', 'src12') AND created >= {ts(E0 + 10800)} "
+    f"AND created <= {ts(E0 + 2 * 86400 + 43200)}", "created DESC", 40)

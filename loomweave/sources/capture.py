@@ -143,3 +143,18 @@ def staging_path(base: str, name: str) -> str:
     if not valid_stem(name):
         raise ValueError("invalid capture name")
     return os.path.join(base, name)
+
+
+def write_posts_silver(posts: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Silver layout for listings: one folder per creation day, files sorted by community.
+
+    Listing filters then reach the scan: the date window prunes day folders and
+    ``community_key = ...`` / ``created_at`` ranges prune row groups by their
+    min/max statistics.  ``community_key`` is the case-folded community name, so
+    the case-insensitive match stays a plain column predicate.
+    """
+    (posts.withColumn("community_key", F.lower("subreddit"))
+     .withColumn("created_date", F.to_date("created_at"))
+     .repartition("created_date")
+     .sortWithinPartitions("community_key", "created_at")
+     .write.mode(mode).partitionBy("created_date").parquet(path))
