@@ -205,3 +205,79 @@ def resolve(kind_col: Column, raw: Column, hosts: Hosts = Hosts()) -> Column:
         expr = (F.when(kind_col == name, fn(raw, hosts)) if expr is None
                 else expr.when(kind_col == name, fn(raw, hosts)))
     return expr.otherwise(_err("unknown identifier kind")) if expr is not None else out
+
+
+def resolve_df(df, kind_col: str, raw_col: str, hosts: Hosts = Hosts(), out: str = "resolved"):
+    """E1-E9 over a DataFrame with the shared parts computed once per row.
+
+    ``resolve`` builds one expression per resolver, each re-parsing the URL;
+    here the trimmed value, URL split and path segments are columns computed
+    once, and every resolver is a small expression over them (a much smaller
+    generated class, and no repeated regex work).
+    """
+    from pyspark.sql import DataFrame  # noqa: F401
+
+    raw = F.col(raw_col)
+    v = _strip(raw)
+    staged = df.withColumn("_v", v).withColumn("_is_url", looks_like_url(F.col("_v"), hosts))
+    segs, uerr = url_segments(F.col("_v"), hosts)
+    staged = (staged.withColumn("_segs", segs).withColumn("_uerr", uerr)
+              .withColumn("_parts", F.filter(F.split(F.col("_v"), "/"), lambda s: s != "")))
+    V, U, SG, UE, PT = (F.col(c) for c in ("_v", "_is_url", "_segs", "_uerr", "_parts"))
+    kind = F.col(kind_col)
+    label = (F.when(kind.isin("subreddit", "subreddit_group"), F.lit("subreddit"))
+             .otherwise(kind))
+    req = (F.when(raw.isNull(), F.concat(label, F.lit(" identifier must be text")))
+           .when(V == "", F.concat(label, F.lit(" identifier is empty"))))
+
+    def named(prefixes, url_msg, bad_msg):
+        url_ok = (F.size(SG) == 2) & F.lower(F.element_at(SG, 1)).isin(*prefixes)
+        one = F.size(PT) == 1
+        two = (F.size(PT) == 2) & F.lower(F.element_at(PT, 1)).isin(*prefixes)
+        name = (F.when(U, F.when(UE.isNull() & url_ok, F.element_at(SG, 2)))
+                .when(one, F.element_at(PT, 1)).when(two, F.element_at(PT, 2)))
+        err = F.when(U, F.coalesce(UE, F.when(~url_ok, F.lit(url_msg)))).when(~(one | two), F.lit(bad_msg))
+        return name, err
+
+    sub_name, sub_err = named(("r",), "expected a subreddit URL", "invalid subreddit identifier")
+    user_name, user_err = named(("u", "user"), "expected a Reddit user URL", "invalid user identifier")
+    names = F.split(sub_name, r"\+", -1)
+    # permalink parts from the shared segments
+    ok_shape = ((F.size(SG) >= 4) & (F.lower(F.element_at(SG, 1)) == "r")
+                & (F.lower(F.element_at(SG, 3)) == "comments"))
+    community, post_seg = F.element_at(SG, 2), F.element_at(SG, 4)
+    tail_n = F.size(SG) - 4
+    com_seg = F.when(tail_n == 2, F.element_at(SG, 6))
+    perm_err = (F.when(UE.isNotNull(), UE).when(~ok_shape, F.lit("expected a Reddit post permalink"))
+                .when(~community.rlike(SUBREDDIT_RE), F.lit("invalid subreddit name"))
+                .when(~post_seg.rlike(ID36_RE), F.lit("invalid post id"))
+                .when(tail_n > 2, F.lit("invalid Reddit comment permalink"))
+                .when(com_seg.isNotNull() & ~com_seg.rlike(ID36_RE), F.lit("invalid comment id")))
+    perm_kind = F.when(com_seg.isNotNull(), F.lit("comment")).otherwise(F.lit("post"))
+    bare = F.regexp_replace(F.regexp_replace(V, "^t3_", ""), "^T3_", "")
+
+    result = (
+        F.when(req.isNotNull(), _result(error=req))
+        .when(kind == "subreddit", F.when(sub_err.isNotNull(), _result(error=sub_err))
+              .when(~sub_name.rlike(SUBREDDIT_RE), _err("invalid subreddit name"))
+              .otherwise(_result("subreddit", sub_name)))
+        .when(kind == "subreddit_group", F.when(sub_err.isNotNull(), _result(error=sub_err))
+              .when(F.size(names) > MAX_GROUP, _err("too many subreddits in a combined listing"))
+              .when(~F.forall(names, lambda s: s.rlike(SUBREDDIT_RE)), _err("invalid subreddit name"))
+              .otherwise(_result("subreddits", sub_name)))
+        .when(kind == "user", F.when(user_err.isNotNull(), _result(error=user_err))
+              .when(~user_name.rlike(USERNAME_RE), _err("invalid Reddit username"))
+              .otherwise(_result("user", user_name)))
+        .when(kind == "post", F.when(U, F.when(perm_err.isNotNull(), _result(error=perm_err))
+                                     .otherwise(_result("post", community, F.lower(post_seg))))
+              .when(~bare.rlike(ID36_RE), _err("invalid post id"))
+              .otherwise(_result("post", None, F.lower(bare))))
+        .when(kind == "comment", F.when(~U, _err("a comment identifier must be a Reddit permalink"))
+              .when(perm_err.isNotNull(), _result(error=perm_err))
+              .when(com_seg.isNull(), _err("expected a Reddit comment permalink"))
+              .otherwise(_result("comment", community, F.lower(post_seg), F.lower(com_seg))))
+        .when(kind == "permalink", F.when(~U, _err("a permalink must be a Reddit URL"))
+              .when(perm_err.isNotNull(), _result(error=perm_err))
+              .otherwise(_result(perm_kind, community, F.lower(post_seg), F.lower(com_seg))))
+        .otherwise(_err("unknown identifier kind")))
+    return staged.withColumn(out, result).drop("_v", "_is_url", "_segs", "_uerr", "_parts")

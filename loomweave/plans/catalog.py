@@ -344,8 +344,8 @@ TEST_HOSTS = ID.Hosts(suffixes=("example.com", "example.net", "example.org"))
 @query
 def resolve_identifiers(spark, sf_dir):
     """Raw identifiers (URLs, paths, names, ids) -> typed keys or an error."""
-    inp = S.identifier_inputs(spark, sf_dir)
-    r = ID.resolve(F.col("resolver"), F.col("raw"), TEST_HOSTS)
+    inp = ID.resolve_df(S.identifier_inputs(spark, sf_dir), "resolver", "raw", TEST_HOSTS)
+    r = F.col("resolved")
     return inp.select("page_id", "resolver", r["kind"].alias("kind"),
                       r["community"].alias("community"), r["post_id"].alias("post_id"),
                       r["comment_id"].alias("comment_id"), r["error"].alias("error"))

@@ -7,7 +7,7 @@ from loomweave.functions import identifiers as ID
 
 def resolve(spark, kind, raws):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i int, raw string")
-    out = df.select("i", ID.resolve(F.lit(kind), F.col("raw")).alias("r")).orderBy("i").collect()
+    out = ID.resolve_df(df.withColumn("k", F.lit(kind)), "k", "raw", out="r").orderBy("i").collect()
     return [(r["r"]["kind"], r["r"]["community"], r["r"]["post_id"], r["r"]["comment_id"], r["r"]["error"])
             for r in out]
 
