@@ -14,6 +14,7 @@ sibling.  Integer paths are rebuilt once at the end.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,15 +79,17 @@ def expand(nodes: DataFrame, snapshots: DataFrame, max_depth: int | None = None,
         if frontier.isEmpty():
             frontier.unpersist()
             break
-        cur, added_roots = _merge_round(cur, snap.join(frontier, ["thread_id", "root"]), rnd)
-        dead = dead.unionByName(frontier.join(added_roots, ["thread_id", "root"], "left_anti"))
-        done = done.unionByName(frontier.join(added_roots, ["thread_id", "root"], "left_semi"))
-        cur, dead, done = cut_lineage(cur), cut_lineage(dead), cut_lineage(done)
+        merged, added_roots, new_rows = _merge_round(cur, snap.join(frontier, ["thread_id", "root"]), rnd)
+        cur = cut_lineage(merged)                       # computes the round's new rows once
+        added = cut_lineage(added_roots)                # read back from the cached new rows
+        new_rows.unpersist()
+        dead = cut_lineage(dead.unionByName(frontier.join(added, ["thread_id", "root"], "left_anti")))
+        done = cut_lineage(done.unionByName(frontier.join(added, ["thread_id", "root"], "left_semi")))
         frontier.unpersist()
     return _renumber(cur), done, dead
 
 
-def _merge_round(cur: DataFrame, snap: DataFrame, rnd: int) -> tuple[DataFrame, DataFrame]:
+def _merge_round(cur: DataFrame, snap: DataFrame, rnd: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One round of J10/J11/J12 for every (thread, root) in ``snap``."""
     t1 = cur.filter(F.col("kind") == "t1").select("thread_id", "fullname", F.col("opath").alias("e_opath"))
     # Which snapshot comments already exist (first snapshot wins: existing fields kept).
@@ -122,7 +125,8 @@ def _merge_round(cur: DataFrame, snap: DataFrame, rnd: int) -> tuple[DataFrame,
         F.min(F.when(F.col("kind") == "more", F.struct(F.col("elem").alias("e"),
                                                       F.col("ptr_parent_id").alias("p")))).alias("_first_ptr"),
         F.max(F.element_at("elem", 1)).alias("_last")))
-    new = new.join(slot, ["thread_id", "anc_opath"], "left")
+    # Shared by the new rows, the replaced pointer slots and the advanced roots.
+    new = new.join(slot, ["thread_id", "anc_opath"], "left").persist(StorageLevel.MEMORY_AND_DISK)
     is_top = F.size("rpath") == F.col("anc_len") + 1
     ptr_slot = F.when(F.col("_first_ptr.p") == F.col("anc_name"), F.col("_first_ptr.e"))
     top_elem = F.concat(F.coalesce(ptr_slot, F.array(F.coalesce(F.col("_last") + 1, F.lit(0)))),
@@ -150,10 +154,22 @@ def _merge_round(cur: DataFrame, snap: DataFrame, rnd: int) -> tuple[DataFrame,
     used_slots = (new.filter(is_top & ptr_slot.isNotNull())
                   .select("thread_id", F.concat("anc_opath", F.array(ptr_slot)).alias("opath"))
                   .distinct())
+    new_rows = new_rows.persist(StorageLevel.MEMORY_AND_DISK)
     added_roots = new_rows.select("thread_id", "root").distinct()
     kept = cur.join(used_slots, ["thread_id", "opath"], "left_anti")
     merged = kept.unionByName(new_rows.drop("root"), allowMissingColumns=True)
-    return merged, added_roots
+    return merged, added_roots, _Both(new_rows, new)
+
+
+class _Both:
+    """Two cached frames released together after a round."""
+
+    def __init__(self, *frames):
+        self.frames = frames
+
+    def unpersist(self):
+        for f in self.frames:
+            f.unpersist()
 
 
 def _renumber(cur: DataFrame) -> DataFrame:
