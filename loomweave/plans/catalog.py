@@ -777,3 +777,26 @@ def silver_listing(spark, sf_dir):
     since = dt.datetime(2024, 1, 1, 3, tzinfo=dt.UTC)
     until = dt.datetime(2024, 1, 3, 12, tzinfo=dt.UTC)
     return _listing_out(L.silver_listing(silver, ["SRC8", "src12"], since, until, limit=40))
+
+
+@query
+def resolve_groups(spark, sf_dir):
+    """Combined community names from the data; more than ten or an empty member fails."""
+    docs = S.read(spark, sf_dir, "documents").select("doc_id", "source")
+    names = F.transform(F.sequence(F.lit(0), (F.col("doc_id") % 12).cast("int")),
+                        lambda k: F.concat(F.col("source"), F.lit("x"), k.cast("string")))
+    raw = F.when(F.col("doc_id") % 13 == 0, F.concat(F.array_join(names, "+"), F.lit("++z9z")))\
+        .otherwise(F.array_join(names, "+"))
+    inp = docs.select("doc_id", raw.alias("raw"), F.lit("subreddit_group").alias("resolver"))
+    r = ID.resolve_df(inp, "resolver", "raw")
+    return r.select("doc_id", F.col("resolved.kind").alias("kind"),
+                    F.col("resolved.community").alias("community"), F.col("resolved.error").alias("error"))
+
+
+@query
+def forest_dead_ends(spark, sf_dir):
+    """Parents whose subtree snapshot brought nothing new, per thread."""
+    _, (_, done, dead) = _expanded(spark, sf_dir)
+    return (dead.withColumn("outcome", F.lit("dead_end"))
+            .unionByName(done.withColumn("outcome", F.lit("expanded")))
+            .select("thread_id", F.col("root").alias("parent"), "outcome"))

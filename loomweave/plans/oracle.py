@@ -1074,3 +1074,28 @@ SELECT doc_id, doc_id % 12 <> 1 AS valid FROM documents
 ORACLE["silver_listing"] = listing(
     f"lower(subreddit) IN ('src8', 'src12') AND created >= {ts(E0 + 10800)} "
     f"AND created <= {ts(E0 + 2 * 86400 + 43200)}", "created DESC", 40)
+
+ORACLE["resolve_groups"] = """
+WITH g AS (
+  SELECT doc_id, doc_id % 12 + 1 AS n,
+         array_to_string(list_transform(range(0, CAST(doc_id % 12 AS BIGINT) + 1), lambda k: source || 'x' || k), '+')
+           || CASE WHEN doc_id % 13 = 0 THEN '++z9z' ELSE '' END AS raw
+  FROM documents
+)
+SELECT doc_id,
+       CASE WHEN n + CASE WHEN doc_id % 13 = 0 THEN 2 ELSE 0 END > 10 OR doc_id % 13 = 0 THEN NULL
+            ELSE 'subreddits' END AS kind,
+       CASE WHEN n + CASE WHEN doc_id % 13 = 0 THEN 2 ELSE 0 END > 10 OR doc_id % 13 = 0 THEN NULL
+            ELSE raw END AS community,
+       CASE WHEN n + CASE WHEN doc_id % 13 = 0 THEN 2 ELSE 0 END > 10 THEN 'too many subreddits in a combined listing'
+            WHEN doc_id % 13 = 0 THEN 'invalid subreddit name' END AS error
+FROM g
+"""
+
+ORACLE["forest_dead_ends"] = f"""
+WITH RECURSIVE {FOREST_CTE}
+SELECT DISTINCT p.thread_id, p.ptr_parent_id AS parent,
+       CASE WHEN a.event_id % 7 = 3 THEN 'dead_end' ELSE 'expanded' END AS outcome
+FROM ptr p JOIN f a ON a.thread_id = p.thread_id AND a.k = p.anc_k
+WHERE p.anc_k > 0
+"""
