@@ -60,3 +60,33 @@ def empty_like(df: DataFrame) -> DataFrame:
 
 def round6(c: Column) -> Column:
     return F.round(c, 6)
+
+
+def distributed_rank(df: DataFrame, group_cols: list[str], order_cols: list[Column], out: str = "rank",
+                     partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by ...)`` that splits hot groups.
+
+    A plain window puts a whole group in one task.  Here the rows are range
+    partitioned on ``(group, order)`` (sampled bounds, so one big group spans
+    many tasks), numbered locally inside each (task, group) slice, and shifted
+    by the row counts of the same group in earlier tasks: a small
+    ``(group, task) -> count`` table with a prefix sum.  Works for any
+    orderable key (arrays included), unlike ``blocked_running_count``.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in group_cols] + list(order_cols)
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id()))
+    local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+    # Task ids are only stable within one materialisation (range bounds are
+    # sampled and AQE may coalesce differently per branch): number once, then
+    # derive counts and offsets from the same checkpointed rows.
+    from loomweave.session import cut_lineage
+
+    ranged = cut_lineage(ranged.withColumn("_local", F.row_number().over(local_w)))
+    counts = ranged.groupBy(*group_cols, "_pid").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group_cols, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (ranged.join(offsets, [*group_cols, "_pid"])
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_pid", "_local", "_off"))

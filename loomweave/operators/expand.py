@@ -71,7 +71,9 @@ def expand(nodes: DataFrame, snapshots: DataFrame, max_depth: int | None = None,
         if max_requests is not None:
             used = done.groupBy("thread_id").agg(F.count("*").alias("_used"))
             w = Window.partitionBy("thread_id").orderBy("opath")
+            # A constant bound first, so the rank is planned as a group limit.
             frontier = (frontier.withColumn("_k", F.row_number().over(w))
+                        .filter(F.col("_k") <= max_requests)
                         .join(used, "thread_id", "left")
                         .filter(F.col("_k") + F.coalesce("_used", F.lit(0)) <= max_requests - 1)
                         .drop("_k", "_used"))
@@ -174,9 +176,11 @@ class _Both:
 
 def _renumber(cur: DataFrame) -> DataFrame:
     """Integer sibling positions and paths from the sortable ``opath`` (once, at the end)."""
-    w = Window.partitionBy("thread_id", "_parent").orderBy("_elem")
-    ranked = (cur.withColumn("_parent", _parent_opath()).withColumn("_elem", F.element_at("opath", -1))
-              .withColumn("sib_pos", (F.row_number().over(w) - 1).cast("int")))
+    from loomweave.operators.common import distributed_rank
+
+    staged = cur.withColumn("_parent", _parent_opath()).withColumn("_elem", F.element_at("opath", -1))
+    ranked = (distributed_rank(staged, ["thread_id", "_parent"], [F.col("_elem")], "_r")
+              .withColumn("sib_pos", (F.col("_r") - 1).cast("int")).drop("_r"))
     anc = ranked.select("thread_id", F.col("opath").alias("_anc"), F.col("sib_pos").alias("_p"))
     expl = ranked.select("thread_id", "opath", F.explode(F.sequence(F.lit(1), F.size("opath"))).alias("k"))
     paths = (expl.withColumn("_anc", F.slice("opath", 1, F.col("k")))

@@ -203,9 +203,15 @@ def pointers_view(nodes: DataFrame) -> DataFrame:
 
 
 def preorder(nodes: DataFrame, kinds=("t1",)) -> DataFrame:
-    """Depth-first display rank per thread (sort by path)."""
-    w = Window.partitionBy("thread_id").orderBy("path")
-    return nodes.filter(F.col("kind").isin(*kinds)).withColumn("display_rank", F.row_number().over(w))
+    """Depth-first display rank per thread (sort by path).
+
+    Range-partitioned rank: a thread holding a third of all comments is
+    numbered by many tasks, not sorted in one.
+    """
+    from loomweave.operators.common import distributed_rank
+
+    return distributed_rank(nodes.filter(F.col("kind").isin(*kinds)), ["thread_id"],
+                            [F.col("path")], "display_rank")
 
 
 def subtree_weight(nodes: DataFrame) -> DataFrame:
@@ -406,10 +412,12 @@ def sibling_sort(nodes: DataFrame, sort: str) -> DataFrame:
         "best": [L.wilson_lower(up, down).desc()],
         "qa": [c("is_submitter").desc(), L.wilson_lower(up, down).desc()],
     }[sort]
-    w = Window.partitionBy("thread_id", "parent_path").orderBy(
-        F.when(c("kind") == "t1", 0).otherwise(1), *key, c("created_at").desc_nulls_last(),
-        c("fullname").asc_nulls_last(), c("sib_pos"))
-    ranked_nodes = nodes.withColumn("new_pos", (F.row_number().over(w) - 1).cast("int"))
+    from loomweave.operators.common import distributed_rank
+
+    order = [F.when(c("kind") == "t1", 0).otherwise(1).alias("_k0"), *key,
+             c("created_at").desc_nulls_last(), c("fullname").asc_nulls_last(), c("sib_pos")]
+    ranked_nodes = distributed_rank(nodes, ["thread_id", "parent_path"], order, "_r").withColumn(
+        "new_pos", (F.col("_r") - 1).cast("int")).drop("_r")
     # Rebuild paths: each node's new path = ancestors' new positions.  Join every
     # node with its ancestors by old path prefix (fan-out = depth).
     anc = ranked_nodes.select("thread_id", F.col("path").alias("anc_path"), "new_pos")

@@ -308,9 +308,10 @@ def _sorted_comments(spark, sf_dir, sort):
     n = FR.comments_view(_forest(spark, sf_dir))
     n = n.select("thread_id", "path", "parent_path", "sib_pos", F.lit("t1").alias("kind"),
                  "created_at", "score", "ups", "downs", "is_submitter", "fullname")
-    s = FR.sibling_sort(n, sort)
-    w = Window.partitionBy("thread_id").orderBy("sorted_path")
-    return s.withColumn("display_rank", F.row_number().over(w)).select(
+    from loomweave.operators.common import distributed_rank
+
+    s = distributed_rank(FR.sibling_sort(n, sort), ["thread_id"], [F.col("sorted_path")], "display_rank")
+    return s.select(
         "thread_id", "fullname", F.col("new_pos").cast("bigint").alias("sibling_rank"),
         F.col("display_rank").cast("bigint").alias("display_rank"))
 
