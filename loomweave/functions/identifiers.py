@@ -76,10 +76,10 @@ def url_segments(v: Column, hosts: Hosts) -> tuple[Column, Column]:
     # url_decode maps '+' to space; unquote does not, so protect '+' first.
     decoded = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     segments = F.filter(F.split(decoded, "/"), lambda s: s != "")
-    error = (F.when(~scheme.isin("http", "https"), F.lit("only http/https Reddit URLs are accepted"))
-             .when(F.instr(netloc, "@") > 0, F.lit("Reddit URLs must not contain credentials"))
-             .when((host == "") | ~hosts.allowed(host), F.lit("URL host must be an allowed Reddit host"))
-             .when(decoded.isNull(), F.lit("malformed Reddit URL path")))
+    error = (F.when(~scheme.isin("http", "https"), F.lit("only http/https URLs are accepted"))
+             .when(F.instr(netloc, "@") > 0, F.lit("URLs must not contain credentials"))
+             .when((host == "") | ~hosts.allowed(host), F.lit("URL host must be an allowed site host"))
+             .when(decoded.isNull(), F.lit("malformed URL path")))
     return segments, error
 
 
@@ -134,11 +134,11 @@ def subreddit_group(raw: Column, hosts: Hosts = Hosts()) -> Column:
 def user(raw: Column, hosts: Hosts = Hosts()) -> Column:
     """E3."""
     v, req = _required(raw, "user")
-    name, err = _name_or_parts(v, hosts, ("u", "user"), "expected a Reddit user URL",
+    name, err = _name_or_parts(v, hosts, ("u", "user"), "expected a user URL",
                                "invalid user identifier")
     return (F.when(req.isNotNull(), _result(error=req))
             .when(err.isNotNull(), _result(error=err))
-            .when(~name.rlike(USERNAME_RE), _err("invalid Reddit username"))
+            .when(~name.rlike(USERNAME_RE), _err("invalid username"))
             .otherwise(_result("user", name)))
 
 
@@ -152,10 +152,10 @@ def permalink_parts(v: Column, hosts: Hosts) -> Column:
     tail_n = F.size(segs) - 4
     comment = F.when(tail_n == 2, F.element_at(segs, 6))
     return (F.when(uerr.isNotNull(), _result(error=uerr))
-            .when(~ok_shape, _err("expected a Reddit post permalink"))
+            .when(~ok_shape, _err("expected a post permalink"))
             .when(~community.rlike(SUBREDDIT_RE), _err("invalid subreddit name"))
             .when(~post.rlike(ID36_RE), _err("invalid post id"))
-            .when(tail_n > 2, _err("invalid Reddit comment permalink"))
+            .when(tail_n > 2, _err("invalid comment permalink"))
             .when(comment.isNotNull() & ~comment.rlike(ID36_RE), _err("invalid comment id"))
             .otherwise(_result(F.when(comment.isNotNull(), F.lit("comment")).otherwise(F.lit("post")),
                                community, F.lower(post), F.lower(comment))))
@@ -179,9 +179,9 @@ def comment(raw: Column, hosts: Hosts = Hosts()) -> Column:
     v, req = _required(raw, "comment")
     parts = permalink_parts(v, hosts)
     return (F.when(req.isNotNull(), _result(error=req))
-            .when(~looks_like_url(v, hosts), _err("a comment identifier must be a Reddit permalink"))
+            .when(~looks_like_url(v, hosts), _err("a comment identifier must be a permalink"))
             .when(parts["error"].isNotNull(), parts)
-            .when(parts["comment_id"].isNull(), _err("expected a Reddit comment permalink"))
+            .when(parts["comment_id"].isNull(), _err("expected a comment permalink"))
             .otherwise(parts))
 
 
@@ -189,7 +189,7 @@ def permalink(raw: Column, hosts: Hosts = Hosts()) -> Column:
     """Classify a permalink as post or comment."""
     v, req = _required(raw, "permalink")
     return (F.when(req.isNotNull(), _result(error=req))
-            .when(~looks_like_url(v, hosts), _err("a permalink must be a Reddit URL"))
+            .when(~looks_like_url(v, hosts), _err("a permalink must be a site URL"))
             .otherwise(permalink_parts(v, hosts)))
 
 
@@ -240,7 +240,7 @@ def resolve_df(df, kind_col: str, raw_col: str, hosts: Hosts = Hosts(), out: str
         return name, err
 
     sub_name, sub_err = named(("r",), "expected a subreddit URL", "invalid subreddit identifier")
-    user_name, user_err = named(("u", "user"), "expected a Reddit user URL", "invalid user identifier")
+    user_name, user_err = named(("u", "user"), "expected a user URL", "invalid user identifier")
     names = F.split(sub_name, r"\+", -1)
     # permalink parts from the shared segments
     ok_shape = ((F.size(SG) >= 4) & (F.lower(F.element_at(SG, 1)) == "r")
@@ -248,10 +248,10 @@ def resolve_df(df, kind_col: str, raw_col: str, hosts: Hosts = Hosts(), out: str
     community, post_seg = F.element_at(SG, 2), F.element_at(SG, 4)
     tail_n = F.size(SG) - 4
     com_seg = F.when(tail_n == 2, F.element_at(SG, 6))
-    perm_err = (F.when(UE.isNotNull(), UE).when(~ok_shape, F.lit("expected a Reddit post permalink"))
+    perm_err = (F.when(UE.isNotNull(), UE).when(~ok_shape, F.lit("expected a post permalink"))
                 .when(~community.rlike(SUBREDDIT_RE), F.lit("invalid subreddit name"))
                 .when(~post_seg.rlike(ID36_RE), F.lit("invalid post id"))
-                .when(tail_n > 2, F.lit("invalid Reddit comment permalink"))
+                .when(tail_n > 2, F.lit("invalid comment permalink"))
                 .when(com_seg.isNotNull() & ~com_seg.rlike(ID36_RE), F.lit("invalid comment id")))
     perm_kind = F.when(com_seg.isNotNull(), F.lit("comment")).otherwise(F.lit("post"))
     bare = F.regexp_replace(F.regexp_replace(V, "^t3_", ""), "^T3_", "")
@@ -266,17 +266,17 @@ def resolve_df(df, kind_col: str, raw_col: str, hosts: Hosts = Hosts(), out: str
               .when(~F.forall(names, lambda s: s.rlike(SUBREDDIT_RE)), _err("invalid subreddit name"))
               .otherwise(_result("subreddits", sub_name)))
         .when(kind == "user", F.when(user_err.isNotNull(), _result(error=user_err))
-              .when(~user_name.rlike(USERNAME_RE), _err("invalid Reddit username"))
+              .when(~user_name.rlike(USERNAME_RE), _err("invalid username"))
               .otherwise(_result("user", user_name)))
         .when(kind == "post", F.when(U, F.when(perm_err.isNotNull(), _result(error=perm_err))
                                      .otherwise(_result("post", community, F.lower(post_seg))))
               .when(~bare.rlike(ID36_RE), _err("invalid post id"))
               .otherwise(_result("post", None, F.lower(bare))))
-        .when(kind == "comment", F.when(~U, _err("a comment identifier must be a Reddit permalink"))
+        .when(kind == "comment", F.when(~U, _err("a comment identifier must be a permalink"))
               .when(perm_err.isNotNull(), _result(error=perm_err))
-              .when(com_seg.isNull(), _err("expected a Reddit comment permalink"))
+              .when(com_seg.isNull(), _err("expected a comment permalink"))
               .otherwise(_result("comment", community, F.lower(post_seg), F.lower(com_seg))))
-        .when(kind == "permalink", F.when(~U, _err("a permalink must be a Reddit URL"))
+        .when(kind == "permalink", F.when(~U, _err("a permalink must be a site URL"))
               .when(perm_err.isNotNull(), _result(error=perm_err))
               .otherwise(_result(perm_kind, community, F.lower(post_seg), F.lower(com_seg))))
         .otherwise(_err("unknown identifier kind")))

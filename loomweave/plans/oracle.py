@@ -536,7 +536,7 @@ SELECT page_id,
             WHEN r = 2 AND (page_id % 3 = 0 OR NOT regexp_full_match(lang || 'x', '[A-Za-z0-9_]{3,21}'))
                  THEN 'invalid subreddit name'
             WHEN r IN (4, 5) AND NOT regexp_full_match(c4, '[A-Za-z0-9_]{3,21}') THEN 'invalid subreddit name'
-            WHEN r = 6 THEN 'Reddit URLs must not contain credentials' END AS error
+            WHEN r = 6 THEN 'URLs must not contain credentials' END AS error
 FROM x
 """
 

@@ -19,9 +19,9 @@ def test_subreddit_forms(spark):
     assert [o[1] for o in out[:5]] == ["pyth0n"] * 5
     assert out[5][4] == "invalid subreddit name"
     assert out[6][4] == "subreddit identifier is empty"
-    assert out[7][4] == "URL host must be an allowed Reddit host"
-    assert out[8][4] == "Reddit URLs must not contain credentials"
-    assert out[9][4] == "only http/https Reddit URLs are accepted"
+    assert out[7][4] == "URL host must be an allowed site host"
+    assert out[8][4] == "URLs must not contain credentials"
+    assert out[9][4] == "only http/https URLs are accepted"
     assert out[10][4] == "invalid subreddit identifier"
 
 
@@ -38,10 +38,10 @@ def test_user_post_comment_permalinks(spark):
     posts = resolve(spark, "post", ["t3_AbC12", "abc12", "https://www.reddit.com/r/sub/comments/AbC12/slug/",
                                     "https://www.reddit.com/r/sub/comments/AbC12/slug/x/y"])
     assert [p[2] for p in posts[:3]] == ["abc12"] * 3
-    assert posts[3][4] == "invalid Reddit comment permalink"
+    assert posts[3][4] == "invalid comment permalink"
     c = resolve(spark, "comment", ["https://np.reddit.com/r/sub/comments/p1/_/C9", "p1"])
     assert c[0][:4] == ("comment", "sub", "p1", "c9")
-    assert c[1][4] == "a comment identifier must be a Reddit permalink"
+    assert c[1][4] == "a comment identifier must be a permalink"
     pl = resolve(spark, "permalink", ["https://reddit.com/r/sub/comments/p1/slug-only"])
     assert pl[0][0] == "post" and pl[0][3] is None
 
