@@ -264,9 +264,10 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
     decoded = checked
     checked = cut_lineage(checked.select("run_id", "page_no", "after", "outcome", "drift"))
     decoded.unpersist()
-    # params: one row per run; runs are few relative to rows, so it is broadcast.
-    p = F.broadcast(params.select("run_id", "lim", "since", "until",
-                                  F.coalesce("max_requests", F.lit(DEFAULT_MAX_REQUESTS)).alias("budget")))
+    # One row per run.  The number of runs has no fixed bound, so the join
+    # strategy is left to the size-based planner (AQE broadcasts it when small).
+    p = params.select("run_id", "lim", "since", "until",
+                      F.coalesce("max_requests", F.lit(DEFAULT_MAX_REQUESTS)).alias("budget"))
 
     # First occurrence of a fullname in (page, pos) order; date-dropped rows count as seen.
     first = Window.partitionBy("run_id", "fullname").orderBy("page_no", "pos")
