@@ -1099,3 +1099,52 @@ SELECT DISTINCT p.thread_id, p.ptr_parent_id AS parent,
 FROM ptr p JOIN f a ON a.thread_id = p.thread_id AND a.k = p.anc_k
 WHERE p.anc_k > 0
 """
+
+
+def _nested_json_sql(max_depth: int = 8) -> str:
+    head = (
+        "rtrim(CAST(json_object("
+        "'id', 'e' || v.event_id, 'fullname', v.fullname, "
+        "'permalink', 'https://www.reddit.com/r/src' || (v.user_id % 20) || '/comments/d' || v.user_id "
+        "|| '/p/e' || v.event_id || '/', "
+        "'post_id', 't3_d' || v.user_id, 'subreddit', 'src' || (v.user_id % 20), "
+        "'parent_id', CASE WHEN v.parent_k = 0 THEN 't3_d' || v.user_id ELSE 't1_e' || v.parent_event_id END, "
+        "'author', 'u' || (v.event_id % 150), 'author_fullname', 't2_u' || (v.event_id % 150), "
+        "'text', v.event_type || ' ' || v.props, "
+        f"'created_at', {iso('v.ts')}, 'edited_at', NULL::VARCHAR, "
+        "'score', CAST(floor(v.value) - 5 AS BIGINT), "
+        "'depth', CAST(CASE WHEN v.event_id % 10 = 3 THEN NULL ELSE v.depth END AS BIGINT), "
+        "'is_submitter', v.event_id % 150 = v.user_id % 150, 'stickied', v.event_type = 'signup', "
+        "'distinguished', CASE WHEN v.event_type = 'purchase' THEN 'moderator' END, "
+        "'controversiality', CAST(v.event_id % 2 AS BIGINT), 'collapsed', v.value > 45, "
+        "'score_hidden', false, 'total_awards', CAST(v.event_id % 3 AS BIGINT)) AS VARCHAR), '}') "
+        "|| ',\"replies\":['")
+    tail = ("'],\"more_count\":' || coalesce(CAST(mc.more_count AS VARCHAR), 'null') "
+            "|| ',\"captured_at\":\"2024-06-01T00:00:00Z\"}'")
+    ctes = [f"""
+base AS (
+  SELECT v.thread_id, v.path, v.depth, {head} AS head,
+         {tail} AS tail
+  FROM vis v LEFT JOIN (SELECT thread_id, parent_path AS path, sum(ptr_count) AS more_count FROM ptr
+                        GROUP BY 1, 2) mc ON mc.thread_id = v.thread_id AND mc.path = v.path
+)"""]
+    prev = None
+    for d in range(max_depth, -1, -1):
+        kids = (f"LEFT JOIN (SELECT thread_id, path[1:len(path) - 1] AS pp, "
+                f"string_agg(json, ',' ORDER BY path[len(path)]) AS kids FROM {prev} GROUP BY 1, 2) c "
+                f"ON c.thread_id = b.thread_id AND c.pp = b.path" if prev else "")
+        kid_text = "coalesce(c.kids, '')" if prev else "''"
+        ctes.append(f"""
+lvl{d} AS (
+  SELECT b.thread_id, b.path, b.head || {kid_text} || b.tail AS json
+  FROM base b {kids} WHERE b.depth = {d}
+)""")
+        prev = f"lvl{d}"
+    body = ",".join(ctes)
+    return f"""
+WITH RECURSIVE {FOREST_CTE},{body}
+SELECT thread_id, CAST(path[1] AS BIGINT) AS position, json FROM lvl0
+"""
+
+
+ORACLE["thread_nested_json"] = _nested_json_sql()
