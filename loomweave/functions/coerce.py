@@ -140,16 +140,30 @@ def iso(ts: Column) -> Column:
             .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
 
+def _code_point_text(code: Column) -> Column:
+    """The character for a BMP code point (UTF-16BE decode of its two bytes)."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+
+
 def html_unescape(s: Column) -> Column:
-    """Decode the XML entities and the common numeric apostrophe/slash.
+    """Decode the XML named entities and decimal/hex character references.
 
-    Single pass semantics: ``&amp;`` is decoded last so ``&amp;lt;`` gives ``&lt;``.
+    Numeric references in the Basic Multilingual Plane are decoded through
+    UTF-16, since ``chr`` only covers 0-255.  ``&amp;`` is decoded last so
+    ``&amp;lt;`` gives ``&lt;`` (single pass, as in the model).
     """
     out = s
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                         ("&#x27;", "'"), ("&#x2F;", "/"), ("&#47;", "/"), ("&amp;", "&")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    dec = F.regexp_extract_all(out, F.lit(r"&#([0-9]{1,5});"), 1)
+    out = F.aggregate(dec, out, lambda acc, n: F.when(
+        n.cast("int") <= 0xFFFF, F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
+                                          _code_point_text(n.cast("int")))).otherwise(acc))
+    hexes = F.regexp_extract_all(out, F.lit(r"&#[xX]([0-9a-fA-F]{1,4});"), 0)
+    out = F.aggregate(hexes, out, lambda acc, ref: F.replace(
+        acc, ref, _code_point_text(F.conv(F.regexp_extract(ref, r"([0-9a-fA-F]+)", 1), 16, 10)
+                                   .cast("int"))))
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
 def safe_external_url(s: Column) -> Column:

@@ -61,3 +61,23 @@ def test_truthy_fallthrough_zero_width(spark):
                                "s string")
     out = [r[0] for r in df.select(C.truthy_integer(F.parse_json("s"), "x", "width")).collect()]
     assert out == [320, 640, 0]
+
+
+def test_character_references(spark):
+    df = spark.createDataFrame([("a&#39;b &#x2F;c &#233;t&eacute; &amp;lt; &#x4E2D;",)], "s string")
+    out = df.select(C.html_unescape(F.col("s")).alias("o")).first()["o"]
+    assert out == "a'b /c ét&eacute; &lt; 中"
+
+
+def test_json_schema_shape():
+    from loomweave.operators.schema import json_schema
+
+    js = json_schema()
+    assert js["$schema"].endswith("2020-12/schema")
+    assert [x["$ref"] for x in js["oneOf"]] == ["#/$defs/Post", "#/$defs/Comment", "#/$defs/Subreddit",
+                                                  "#/$defs/User"]
+    post = js["$defs"]["Post"]
+    assert post["additionalProperties"] is False and "raw" not in post["required"]
+    assert post["properties"]["over_18"]["type"] == ["boolean", "null"]
+    assert post["properties"]["created_at"]["format"] == "date-time"
+    assert js["$defs"]["Comment"]["properties"]["replies"]["items"] == {"$ref": "#/$defs/Comment"}
