@@ -47,7 +47,8 @@ def thing_violation(thing: Column, path: Column) -> Column:
 
 
 def listing_violation(v: Column, path: str, allowed_kinds: Iterable[str] | None = None,
-                      child_kinds: Iterable[str] | None = None) -> Column:
+                      child_kinds: Iterable[str] | None = None,
+                      children: Column | None = None) -> Column:
     """B2 (+B7 when ``allowed_kinds`` is given): first violation of a Listing, or NULL.
 
     ``child_kinds`` restricts children structurally (t1/more inside replies, B6).
@@ -55,7 +56,8 @@ def listing_violation(v: Column, path: str, allowed_kinds: Iterable[str] | None
     unexpected kind is drift.
     """
     data = C.get(v, "data")
-    children = C.as_array(C.get(data, "children"))
+    if children is None:
+        children = C.as_array(C.get(data, "children"))
     after = C.get(data, "after")
     after_t = C.vtype(after)
 

@@ -47,7 +47,8 @@ def _level_exprs() -> tuple[list[Column], Column, Column]:
         return _LEVEL_EXPRS[key]
     d = F.col("data")
     kind = F.col("kind")
-    replies = C.get(d, "replies")
+    replies = F.col("_rep")          # extracted once per level (see _level_nodes)
+    kids = F.col("_kids")
     path_txt = F.concat(F.lit("forest"), F.array_join(F.col("path").cast("array<string>"), "."))
     ptr_parent = C.string_or_null(d, "parent_id")
     count_t = C.vtype(C.get(d, "count"))
@@ -60,7 +61,7 @@ def _level_exprs() -> tuple[list[Column], Column, Column]:
         .when((kind == "t1") & replies.isNull(),
               E.drift(F.concat(path_txt, F.lit(".data.replies")), "an empty string or a Listing"))
         .when((kind == "t1") & replies_obj,
-              E.listing_violation(replies, "replies", child_kinds=("t1", "more")))
+              E.listing_violation(replies, "replies", child_kinds=("t1", "more"), children=kids))
         .when((kind == "t1") & ~empty_string,
               E.drift(F.concat(path_txt, F.lit(".data.replies")), "an empty string or a Listing"))
         .when((kind == "more") & ~(F.coalesce(ptr_parent.startswith("t1_")
@@ -82,11 +83,13 @@ def _level_exprs() -> tuple[list[Column], Column, Column]:
         F.when(kind == "more", C.integer(d, "count")).alias("ptr_count"),
         F.when(kind == "more", rec_depth).alias("ptr_depth"),
         *_comment_cols(d, kind),
-        F.when((kind == "t1") & replies_obj, replies).alias("_replies"),
+        F.when((kind == "t1") & replies_obj, kids).alias("_replies"),
         node_drift.alias("_drift")]
     thing = F.col("thing")
     child = (E.kind_of(thing).alias("kind"), C.get(thing, "data").alias("data"))
-    _LEVEL_EXPRS[key] = (select, child, E.listing_children(F.col("_replies")))
+    pre = [F.col("*"), C.get(d, "replies").alias("_rep"),
+           E.listing_children(C.get(d, "replies")).alias("_kids")]
+    _LEVEL_EXPRS[key] = (pre, select, child, F.col("_replies"))
     return _LEVEL_EXPRS[key]
 
 
@@ -96,8 +99,8 @@ def _level_nodes(frontier: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame,
     One projection per level, persisted: drift, node columns and the next
     level's replies are all evaluated once from the same rows.
     """
-    select, child, children = _level_exprs()
-    staged = frontier.select(*select).persist(StorageLevel.MEMORY_AND_DISK)
+    pre, select, child, children = _level_exprs()
+    staged = frontier.select(*pre).select(*select).persist(StorageLevel.MEMORY_AND_DISK)
     drift = staged.filter(F.col("_drift").isNotNull()).select(
         "response_id", F.col("_drift.path").alias("path"), F.col("_drift.expected").alias("expected"))
     ok = staged.filter(F.col("_drift").isNull())
