@@ -801,3 +801,16 @@ def forest_dead_ends(spark, sf_dir):
     return (dead.withColumn("outcome", F.lit("dead_end"))
             .unionByName(done.withColumn("outcome", F.lit("expanded")))
             .select("thread_id", F.col("root").alias("parent"), "outcome"))
+
+
+@query
+def stream_budget_alerts(spark, sf_dir):
+    """S3 (custom state): per client, responses at or below half the budget, as stream state."""
+    log_dir, out = ST.work_dir(spark, "alert-log"), ST.work_dir(spark, "alerts")
+    S.request_log(spark, sf_dir).repartition(4).write.parquet(log_dir)
+    ST.budget_alert_stream(spark, log_dir, out, ST.work_dir(spark, "ckpt"), low_water=50.0)
+    state = ST.latest(spark, out, ["client"])
+    return state.select(F.col("client").cast("bigint").alias("client"),
+                        F.col("low_responses").cast("bigint").alias("low_responses"),
+                        F.col("first_low_seq").cast("bigint").alias("first_low_seq"),
+                        F.col("last_low_seq").cast("bigint").alias("last_low_seq"))

@@ -1148,3 +1148,10 @@ SELECT thread_id, CAST(path[1] AS BIGINT) AS position, json FROM lvl0
 
 
 ORACLE["thread_nested_json"] = _nested_json_sql()
+
+ORACLE["stream_budget_alerts"] = f"""
+WITH {BUDGET_CTE}
+SELECT CAST(client AS BIGINT) AS client, CAST(count(*) AS BIGINT) AS low_responses,
+       CAST(min(seq) AS BIGINT) AS first_low_seq, CAST(max(seq) AS BIGINT) AS last_low_seq
+FROM p WHERE valid AND remaining <= 50 GROUP BY client
+"""

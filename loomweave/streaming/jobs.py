@@ -104,3 +104,49 @@ def latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     values = [c for c in df.columns if c not in keys and c != "batch_id"]
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
             .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]))
+
+
+# ---------------------------------------------------------------- S3 custom state
+ALERT_SCHEMA = "client long, low_responses long, first_low_seq long, last_low_seq long"
+ALERT_STATE = "low_responses long, first_low_seq long, last_low_seq long"
+
+
+def _alert_update(key, frames, state):
+    """Per client: how often the budget hit zero, first and last time (arrival-order free)."""
+    import pandas as pd
+
+    count, first, last = state.get if state.exists else (0, None, None)
+    for pdf in frames:
+        if pdf.empty:
+            continue
+        count += len(pdf)
+        lo, hi = int(pdf["seq"].min()), int(pdf["seq"].max())
+        first = lo if first is None else min(first, lo)
+        last = hi if last is None else max(last, hi)
+    state.update((count, first, last))
+    yield pd.DataFrame({"client": [key[0]], "low_responses": [count], "first_low_seq": [first],
+                        "last_low_seq": [last]})
+
+
+def budget_alert_stream(spark: SparkSession, log_dir: str, out: str, checkpoint: str,
+                        low_water: float = 0.0, files_per_batch: int = 1) -> None:
+    """S3: per-client alert state on low budgets (``applyInPandasWithState``).
+
+    M1 parses the headers row-locally; responses whose remaining budget is at or
+    below ``low_water`` (0 = exhausted) update a small per-client state, and
+    every micro-batch emits the clients it changed (update mode) via ``foreachBatch``.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    schema = ("client bigint, seq bigint, ts timestamp, event_id bigint, status int, "
+              "headers map<string,string>")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(log_dir)
+    zeros = (B.advise_stream_columns(stream).filter(F.col("remaining") <= F.lit(float(low_water)))
+             .select("client", "seq"))
+    alerts = zeros.groupBy("client").applyInPandasWithState(
+        _alert_update, ALERT_SCHEMA, ALERT_STATE, "update", GroupStateTimeout.NoTimeout)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    _run(alerts.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint))
