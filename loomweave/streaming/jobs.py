@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomweave.operators import budget as B
-from loomweave.operators import listing as L
 from loomweave.session import checkpoint_dir
 from loomweave.sources.capture import classify_responses
 
@@ -38,27 +37,27 @@ def _run(writer, wait: bool = True):
 
 # ---------------------------------------------------------------- S1 ingest
 def ingest_captures(spark: SparkSession, staging: str, silver: str, checkpoint: str,
-                    files_per_batch: int = 1) -> None:
+                    files_per_batch: int = 1, dedup_delay: str = "1 day") -> None:
     """Captured pages (JSON lines) -> classified, decoded, deduplicated posts.
 
-    ``foreachBatch`` applies A4 + B + D1 per micro-batch; first-wins dedup holds
-    across batches by anti-joining what the silver table already has.  A batch
-    replayed after a failure finds its rows present and appends nothing twice.
+    Classification (A4), envelope checks (B1-B7) and the post projection (D1)
+    are row-local, so the whole decode runs inside the streaming plan.  First-
+    wins dedup on ``fullname`` (I1) is ``dropDuplicatesWithinWatermark`` on the
+    capture time: state is bounded by the watermark instead of a join against
+    the ever-growing silver table, and the file sink is exactly-once.
     """
+    from loomweave.operators import envelope as E
+    from loomweave.operators import normalize as N
+
     stream = (spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
               .json(staging))
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        ok = classify_responses(df).filter(F.col("outcome") == "ok").drop("outcome")
-        posts = L.posts_from_pages(ok, with_media=False)
-        try:
-            have = spark.read.parquet(silver).select("fullname")
-            posts = posts.join(have, "fullname", "left_anti")
-        except Exception:  # first batch: no table yet
-            pass
-        posts.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(silver)
-
-    _run(stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint))
+    ok = classify_responses(stream).filter(F.col("outcome") == "ok").drop("outcome")
+    checked = E.listing_pages_checked(ok, ("t3",)).filter(F.col("drift").isNull())
+    items = E.explode_things(checked, "v", ["captured_at"]).filter(F.col("kind") == "t3")
+    posts = items.select(*N.post_columns(F.col("data"), F.col("captured_at"), with_media=False))
+    deduped = posts.withWatermark("captured_at", dedup_delay).dropDuplicatesWithinWatermark(["fullname"])
+    _run(deduped.writeStream.format("parquet").option("path", silver)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
 # ---------------------------------------------------------------- S2 dedup
