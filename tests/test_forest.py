@@ -109,3 +109,16 @@ def test_splice_replaces_pointer_and_detects_dead_ends(spark):
     assert [r["root"] for r in done.collect()] == ["t1_a"]
     v = FR.verdict(merged, None, 500, dead=dead).first()
     assert v["verdict"] == "depth_capped"
+
+
+def test_leaf_that_gains_children_is_appended(spark):
+    # base: a -> [b (leaf), pointer]; the snapshot of a shows b with a new reply.
+    base = response("p", c("a", listing(c("b"), more("t1_a", 1, 1))))
+    snap = response("p", c("a", listing(c("b", listing(c("n"))), c("m"))))
+    nodes, _ = flatten(spark, [base])
+    snaps, _ = flatten(spark, [snap], subtree=True)
+    merged, done, dead = X.expand(nodes, snaps)
+    order = [r["fullname"] for r in FR.preorder(merged, kinds=("t1", "more")).orderBy("display_rank").collect()]
+    assert order == ["t1_a", "t1_b", "t1_n", "t1_m"]          # n appended under b, m takes a's pointer slot
+    parents = {r["fullname"]: r["parent_fullname"] for r in merged.collect() if r["kind"] == "t1"}
+    assert parents["t1_n"] == "t1_b" and parents["t1_m"] == "t1_a"

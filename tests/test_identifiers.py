@@ -49,3 +49,14 @@ def test_user_post_comment_permalinks(spark):
 def test_plus_is_not_a_space(spark):
     out = resolve(spark, "subreddit_group", ["https://reddit.com/r/aaa+bbb"])
     assert out[0][1] == "aaa+bbb"
+
+
+def test_look_alike_hosts_and_group_size(spark):
+    out = resolve(spark, "subreddit", ["https://reddit.com.evil.example.org/r/abc",
+                                       "https://www.reddit.com.evil.example.org/r/abc",
+                                       "old.reddit.com/r/abc"])
+    assert out[0][4] == out[1][4] == "URL host must be an allowed site host"
+    assert out[2][:2] == ("subreddit", "abc")
+    eleven = resolve(spark, "subreddit_group", ["+".join(f"abc{i}" for i in range(11))])
+    ten = resolve(spark, "subreddit_group", ["+".join(f"abc{i}" for i in range(10))])
+    assert eleven[0][4] == "too many subreddits in a combined listing" and ten[0][0] == "subreddits"

@@ -99,3 +99,16 @@ def test_budget_advice(spark):
     assert out[4]["decision"] == "stop"
     waited = {r["seq"]: r for r in B.advise(log, wait_on_limit=True, max_wait=60).collect()}
     assert waited[2]["decision"] == "wait" and not waited[3]["blocked"]
+
+
+def test_older_row_first_in_page_and_mid_page_limit(spark):
+    # The page holding the first older row is finished; rows after it still count.
+    p1 = [thing(1, 50), thing(2, 5), thing(3, 45)]
+    p2 = [thing(4, 40)]
+    since = dt.datetime(2024, 1, 1, 0, 20)
+    runs = {"m": [(p1, "t3_p3"), (p2, None)], "n": [(p1, "t3_p3"), (p2, None)]}
+    params = [("m", None, since, None, None), ("n", 1, None, None, None)]
+    a, it = audit_of(spark, runs, params)
+    assert it["m"] == ["t3_p1", "t3_p3"] and a["m"]["stop_reason"] == "since_crossed"
+    assert a["m"]["requests_made"] == 1 and a["m"]["since_target_crossed"]
+    assert it["n"] == ["t3_p1"] and a["n"]["stop_reason"] == "limit_reached" and a["n"]["requests_made"] == 1
