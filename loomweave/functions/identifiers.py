@@ -215,8 +215,6 @@ def resolve_df(df, kind_col: str, raw_col: str, hosts: Hosts = Hosts(), out: str
     once, and every resolver is a small expression over them (a much smaller
     generated class, and no repeated regex work).
     """
-    from pyspark.sql import DataFrame  # noqa: F401
-
     raw = F.col(raw_col)
     v = _strip(raw)
     staged = df.withColumn("_v", v).withColumn("_is_url", looks_like_url(F.col("_v"), hosts))

@@ -18,12 +18,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomweave.operators.forest import NODE_KEEP  # noqa: F401  (shared column names)
 from loomweave.session import cut_lineage
 
-WORK_COLS = ["thread_id", "opath", "kind", "fullname", "parent_fullname", "ptr_parent_id",
-             "ptr_count", "ptr_depth", "cap_depth"]
-
 
 def _work(nodes: DataFrame) -> DataFrame:
     extra = [c for c in nodes.columns if c.startswith("c_")]
