@@ -814,3 +814,35 @@ def stream_budget_alerts(spark, sf_dir):
                         F.col("low_responses").cast("bigint").alias("low_responses"),
                         F.col("first_low_seq").cast("bigint").alias("first_low_seq"),
                         F.col("last_low_seq").cast("bigint").alias("last_low_seq"))
+
+
+@query
+def forest_context(spark, sf_dir):
+    """Anchored subtrees re-rooted three ancestors up."""
+    n = _forest(spark, sf_dir)
+    ev = S.read(spark, sf_dir, "events")
+    anchors = ev.filter(F.col("event_id") % 89 == 0).select(
+        F.concat(F.lit("t3_d"), F.col("user_id")).alias("thread_id"),
+        F.concat(F.lit("e"), F.col("event_id")).alias("comment_id"))
+    sub, missing = FR.anchor(n, anchors, context=3)
+    found = sub.select("comment_id", F.lit(True).alias("found"), "thread_id", "kind",
+                       _path_txt().alias("path"), "fullname")
+    lost = missing.select("comment_id", F.lit(False).alias("found"), "thread_id",
+                          F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("path"),
+                          F.lit(None).cast("string").alias("fullname"))
+    return found.unionByName(lost)
+
+
+@query
+def thread_items(spark, sf_dir):
+    """Each post followed by its comment tree, capped at 20, in display order."""
+    posts = _posts(spark, sf_dir, False).select(F.col("fullname").alias("thread_id"), "title")
+    capped = FR.cap(_forest(spark, sf_dir), 20)
+    ranked = FR.preorder(capped, kinds=("t1", "more"))
+    items = ranked.select("thread_id", F.col("display_rank").cast("bigint").alias("position"), "kind",
+                          F.coalesce("fullname", F.concat(F.lit("more:"), F.col("ptr_count").cast("string")))
+                          .alias("item"))
+    heads = posts.join(capped.select("thread_id").distinct(), "thread_id", "left_semi").select(
+        "thread_id", F.lit(0).cast("bigint").alias("position"), F.lit("t3").alias("kind"),
+        F.col("thread_id").alias("item"))
+    return heads.unionByName(items)

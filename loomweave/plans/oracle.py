@@ -436,6 +436,27 @@ SELECT thread_id, kind, {_path()}, fullname, ptr_parent_id, CAST(ptr_count AS BI
 ORACLE["forest_cap"] = _cap_sql("r <= 20")
 ORACLE["forest_depth_cap"] = _cap_sql("depth <= 1")
 
+def _anchor_sql(modulus: int, context: int, upper_ids: bool) -> str:
+    cid = "upper('e' || event_id)" if upper_ids else "'e' || event_id"
+    return f"""
+WITH RECURSIVE {FOREST_CTE},
+anchors AS (SELECT 't3_d' || user_id AS thread_id, {cid} AS comment_id FROM events
+            WHERE event_id % {modulus} = 0),
+hit AS (
+  SELECT a.thread_id, a.comment_id, v.path FROM anchors a
+  LEFT JOIN vis v ON v.thread_id = a.thread_id AND 'e' || v.event_id = lower(a.comment_id)
+),
+roots AS (SELECT thread_id, comment_id, path[1:greatest(1, len(path) - {context})] AS root FROM hit
+          WHERE path IS NOT NULL)
+SELECT r.comment_id, true AS found, r.thread_id, n.kind, {_path('n.path')} AS path, n.fullname
+FROM roots r JOIN nodes n ON n.thread_id = r.thread_id AND n.path[1:len(r.root)] = r.root
+UNION ALL
+SELECT comment_id, false, thread_id, NULL, NULL, NULL FROM hit WHERE path IS NULL
+"""
+
+
+ORACLE["forest_context"] = _anchor_sql(89, 3, False)
+
 ORACLE["forest_anchor"] = f"""
 WITH RECURSIVE {FOREST_CTE},
 anchors AS (SELECT 't3_d' || user_id AS thread_id, upper('e' || event_id) AS comment_id FROM events
@@ -1155,3 +1176,23 @@ SELECT CAST(client AS BIGINT) AS client, CAST(count(*) AS BIGINT) AS low_respons
        CAST(min(seq) AS BIGINT) AS first_low_seq, CAST(max(seq) AS BIGINT) AS last_low_seq
 FROM p WHERE valid AND remaining <= 50 GROUP BY client
 """
+
+
+def _thread_items_sql() -> str:
+    cap = _cap_sql("r <= 20")
+    return f"""
+WITH capped AS ({cap}),
+k AS (SELECT thread_id, kind, string_split(path, '.') AS parts, fullname, ptr_count FROM capped),
+r AS (
+  SELECT thread_id, kind, coalesce(fullname, 'more:' || ptr_count) AS item,
+         row_number() OVER (PARTITION BY thread_id
+                            ORDER BY list_transform(parts, lambda x: CAST(x AS INTEGER))) AS position
+  FROM k
+)
+SELECT thread_id, CAST(position AS BIGINT) AS position, kind, item FROM r
+UNION ALL
+SELECT DISTINCT thread_id, CAST(0 AS BIGINT), 't3', thread_id FROM capped
+"""
+
+
+ORACLE["thread_items"] = _thread_items_sql()

@@ -122,3 +122,16 @@ def test_leaf_that_gains_children_is_appended(spark):
     assert order == ["t1_a", "t1_b", "t1_n", "t1_m"]          # n appended under b, m takes a's pointer slot
     parents = {r["fullname"]: r["parent_fullname"] for r in merged.collect() if r["kind"] == "t1"}
     assert parents["t1_n"] == "t1_b" and parents["t1_m"] == "t1_a"
+
+
+def test_request_budget_limits_expansion(spark):
+    # Two expandable pointers, budget for one subtree request (the first GET is the post).
+    base = response("p", c("a", listing(c("b"), more("t1_a", 1, 1))), c("z", listing(c("y"), more("t1_z", 1, 1))))
+    snap_a = response("p", c("a", listing(c("b"), c("n1"))))
+    snap_z = response("p", c("z", listing(c("y"), c("n2"))))
+    nodes, _ = flatten(spark, [base])
+    snaps, _ = flatten(spark, [snap_a, snap_z], subtree=True)
+    merged, done, dead = X.expand(nodes, snaps, max_requests=2)
+    assert [r["root"] for r in done.collect()] == ["t1_a"]      # display order decides
+    v = FR.verdict(merged, None, 500, dead=dead).first()
+    assert v["verdict"] == "max_requests"
