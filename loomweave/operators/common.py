@@ -73,9 +73,11 @@ def distributed_rank(df: DataFrame, group_cols: list[str], order_cols: list[Colu
     ``(group, task) -> count`` table with a prefix sum.  Works for any
     orderable key (arrays included), unlike ``blocked_running_count``.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group_cols] + list(order_cols)
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count the range shuffle stays eligible for AQE
+    # coalescing, so small inputs do not fan out into hundreds of tasks.
+    ranged = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys))
+    ranged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id()))
     local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
     # Task ids are only stable within one materialisation (range bounds are
