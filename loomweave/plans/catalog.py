@@ -191,6 +191,7 @@ def memo(spark, sf_dir, name, build):
 
 def clear_memo() -> None:
     _MEMO.clear()
+    S.clear_shared()
 
 
 def _forest(spark, sf_dir):

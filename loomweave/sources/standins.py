@@ -267,12 +267,37 @@ def _capture_nodes(forest: DataFrame) -> DataFrame:
     return vis.unionByName(ptr)
 
 
-def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base capture per thread: visible comments nested, hidden ones behind pointers."""
+_SHARED: dict = {}
+
+
+def _shared(spark: SparkSession, sf_dir: str, name: str, build):
+    """One checkpointed build per session and folder (both capture sets start from it)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
+def clear_shared() -> None:
+    _SHARED.clear()
+
+
+def _forest_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shared(spark, sf_dir, "event_forest", lambda: cut_lineage(event_forest(spark, sf_dir)))
+
+
+def _capture_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested JSON of every visible comment and pointer (all levels)."""
     from loomweave.operators.forest import listing_wrap, nest
 
-    forest = cut_lineage(event_forest(spark, sf_dir))
-    top = nest(_capture_nodes(forest), F.col("head"), F.col("tail"), listing_wrap, '""')
+    return _shared(spark, sf_dir, "capture_levels", lambda: nest(
+        _capture_nodes(_forest_ranked(spark, sf_dir)), F.col("head"), F.col("tail"), listing_wrap, '""',
+        keep_levels=True))
+
+
+def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base capture per thread: visible comments nested, hidden ones behind pointers."""
+    top = _capture_levels(spark, sf_dir).filter(F.col("depth") == 0)
     return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
 
 
@@ -287,13 +312,12 @@ def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from loomweave.operators.forest import listing_wrap, nest
 
-    forest = cut_lineage(event_forest(spark, sf_dir))
+    forest = _forest_ranked(spark, sf_dir)
     full = forest.select("thread_id", "path", "parent_path", "sib_pos", "depth",
                          F.lit("t1").alias("kind"), _comment_head().alias("head"),
                          F.lit("}}").alias("tail"))
     every = nest(full, F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True)
-    seen = nest(_capture_nodes(forest), F.col("head"), F.col("tail"), listing_wrap, '""',
-                keep_levels=True)
+    seen = _capture_levels(spark, sf_dir)
     targets = (forest_pointers(forest).filter(F.col("anc_k") > 0)
                .join(forest.select("user_id", F.col("k").alias("anc_k"), "event_id"), ["user_id", "anc_k"])
                .select("thread_id", F.col("parent_path").alias("path"), "ptr_parent_id",
