@@ -292,7 +292,8 @@ def forest_anchor(spark, sf_dir):
     """Anchored subtrees with one ancestor of context, plus not-found anchors."""
     n = _forest(spark, sf_dir)
     ev = S.read(spark, sf_dir, "events")
-    anchors = ev.filter(F.col("event_id") % 97 == 0).select(
+    # Request list: every purchase event's comment id (upper-cased: matching is case-folded).
+    anchors = ev.filter(F.col("event_type") == "purchase").select(
         F.concat(F.lit("t3_d"), F.col("user_id")).alias("thread_id"),
         F.upper(F.concat(F.lit("e"), F.col("event_id"))).alias("comment_id"))
     sub, missing = FR.anchor(n, anchors, context=1)
@@ -822,7 +823,7 @@ def forest_context(spark, sf_dir):
     """Anchored subtrees re-rooted three ancestors up."""
     n = _forest(spark, sf_dir)
     ev = S.read(spark, sf_dir, "events")
-    anchors = ev.filter(F.col("event_id") % 89 == 0).select(
+    anchors = ev.filter(F.col("event_type") == "signup").select(
         F.concat(F.lit("t3_d"), F.col("user_id")).alias("thread_id"),
         F.concat(F.lit("e"), F.col("event_id")).alias("comment_id"))
     sub, missing = FR.anchor(n, anchors, context=3)

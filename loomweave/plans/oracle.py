@@ -436,12 +436,12 @@ SELECT thread_id, kind, {_path()}, fullname, ptr_parent_id, CAST(ptr_count AS BI
 ORACLE["forest_cap"] = _cap_sql("r <= 20")
 ORACLE["forest_depth_cap"] = _cap_sql("depth <= 1")
 
-def _anchor_sql(modulus: int, context: int, upper_ids: bool) -> str:
+def _anchor_sql(event_type: str, context: int, upper_ids: bool) -> str:
     cid = "upper('e' || event_id)" if upper_ids else "'e' || event_id"
     return f"""
 WITH RECURSIVE {FOREST_CTE},
 anchors AS (SELECT 't3_d' || user_id AS thread_id, {cid} AS comment_id FROM events
-            WHERE event_id % {modulus} = 0),
+            WHERE event_type = '{event_type}'),
 hit AS (
   SELECT a.thread_id, a.comment_id, v.path FROM anchors a
   LEFT JOIN vis v ON v.thread_id = a.thread_id AND 'e' || v.event_id = lower(a.comment_id)
@@ -455,23 +455,9 @@ SELECT comment_id, false, thread_id, NULL, NULL, NULL FROM hit WHERE path IS NUL
 """
 
 
-ORACLE["forest_context"] = _anchor_sql(89, 3, False)
+ORACLE["forest_context"] = _anchor_sql("signup", 3, False)
 
-ORACLE["forest_anchor"] = f"""
-WITH RECURSIVE {FOREST_CTE},
-anchors AS (SELECT 't3_d' || user_id AS thread_id, upper('e' || event_id) AS comment_id FROM events
-            WHERE event_id % 97 = 0),
-hit AS (
-  SELECT a.thread_id, a.comment_id, v.path FROM anchors a
-  LEFT JOIN vis v ON v.thread_id = a.thread_id AND 'e' || v.event_id = lower(a.comment_id)
-),
-roots AS (SELECT thread_id, comment_id, path[1:greatest(1, len(path) - 1)] AS root FROM hit
-          WHERE path IS NOT NULL)
-SELECT r.comment_id, true AS found, r.thread_id, n.kind, {_path('n.path')} AS path, n.fullname
-FROM roots r JOIN nodes n ON n.thread_id = r.thread_id AND n.path[1:len(r.root)] = r.root
-UNION ALL
-SELECT comment_id, false, thread_id, NULL, NULL, NULL FROM hit WHERE path IS NULL
-"""
+ORACLE["forest_anchor"] = _anchor_sql("purchase", 1, True)
 
 
 def _wilson(u: str, d: str) -> str:
@@ -760,7 +746,7 @@ SELECT 'user_' || c_custkey AS request, CASE WHEN c_custkey % 25 = 24 THEN 'drif
          AS total_karma
 FROM customer
 UNION ALL
-SELECT 'ghost_' || c_custkey, 'not_found', NULL, NULL FROM customer WHERE c_custkey % 30 = 0
+SELECT 'ghost_' || c_custkey, 'not_found', NULL, NULL FROM customer
 """
 
 

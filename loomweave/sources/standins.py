@@ -505,7 +505,7 @@ def user_about(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(200).alias("status"),
                          F.when(F.col("c_custkey") % 25 == 24, F.lit('{"kind":"Listing","data":{}}'))
                          .otherwise(F.col("thing")).alias("body"))
-    ghosts = (things.filter(F.col("c_custkey") % 30 == 0)
+    ghosts = (things
               .select(F.concat(F.lit("ghost_"), F.col("c_custkey")).alias("request"),
                       F.lit(404).alias("status"), F.lit('{"message":"Not Found","error":404}').alias("body")))
     return real.unionByName(ghosts).select(
