@@ -1,6 +1,6 @@
 """Incremental forms of the capture, dedup and budget jobs.
 
-All three are Structured Streaming queries over a file source, run with the
+All four are Structured Streaming queries over a file source, run with the
 ``availableNow`` trigger (process everything present, in micro-batches,
 then stop) and a checkpoint in the shared folder named by
 ``spark.checkpoint.dir``, so a restarted job resumes where it stopped and
