@@ -33,7 +33,7 @@ def _parent_opath(col: str = "opath"):
 
 
 def expand(nodes: DataFrame, snapshots: DataFrame, max_depth: int | None = None,
-           max_requests: int | None = None, max_rounds: int = 64
+           max_requests: int | None = None, max_rounds: int = 64, renumber: bool = True
            ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Merge subtree snapshots into the forest until no pointer can advance.
 
@@ -84,7 +84,8 @@ def expand(nodes: DataFrame, snapshots: DataFrame, max_depth: int | None = None,
         dead = cut_lineage(dead.unionByName(frontier.join(added, ["thread_id", "root"], "left_anti")))
         done = cut_lineage(done.unionByName(frontier.join(added, ["thread_id", "root"], "left_semi")))
         frontier.unpersist()
-    return _renumber(cur), done, dead
+    # ``renumber=False`` keeps the sortable ``opath``: enough for display order.
+    return (_renumber(cur) if renumber else cur), done, dead
 
 
 def _merge_round(cur: DataFrame, snap: DataFrame, rnd: int) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -668,8 +668,13 @@ def _expanded(spark, sf_dir, max_depth=None):
 @query
 def forest_expand(spark, sf_dir):
     """Base capture merged with subtree snapshots, display order rebuilt."""
-    _, (merged, _, _) = _expanded(spark, sf_dir)
-    ranked = FR.preorder(merged, kinds=("t1", "more"))
+    from loomweave.operators.common import distributed_rank
+
+    base = _forest(spark, sf_dir)
+    snaps = memo(spark, sf_dir, "snapshots", lambda: FR.flatten_post_responses(
+        S.subtree_responses(spark, sf_dir), subtree=True)[0])
+    merged, _, _ = X.expand(base, snaps, renumber=False)   # display order = sortable merge path
+    ranked = distributed_rank(merged, ["thread_id"], [F.col("opath")], "display_rank")
     return ranked.select("thread_id", "kind", "fullname",
                          F.col("ptr_count").cast("bigint").alias("ptr_count"),
                          F.col("display_rank").cast("bigint").alias("display_rank"))
