@@ -112,3 +112,14 @@ def test_older_row_first_in_page_and_mid_page_limit(spark):
     assert it["m"] == ["t3_p1", "t3_p3"] and a["m"]["stop_reason"] == "since_crossed"
     assert a["m"]["requests_made"] == 1 and a["m"]["since_target_crossed"]
     assert it["n"] == ["t3_p1"] and a["n"]["stop_reason"] == "limit_reached" and a["n"]["requests_made"] == 1
+
+
+def test_budget_windows(spark):
+    rows = [(7, i, dt.datetime(2024, 1, 1, 0, m), 429 if i == 3 else 200,
+             {"x-ratelimit-remaining": str(10 - i), "x-ratelimit-reset": "60", "x-ratelimit-used": str(i)})
+            for i, m in enumerate([0, 4, 9, 12, 19], start=1)]
+    log = spark.createDataFrame(rows, "client bigint, seq bigint, ts timestamp, status int, "
+                                      "headers map<string,string>")
+    got = {r["window_start"]: (r["requests"], r["limited"], r["min_remaining"])
+           for r in B.windows(B.advise(log)).collect()}
+    assert got == {"2024-01-01T00:00:00Z": (3, 0, 7.0), "2024-01-01T00:10:00Z": (2, 1, 5.0)}

@@ -73,3 +73,34 @@ def test_repeated_cursor_and_undated_rows_are_drift(spark):
     _, audit = L.paged_run(pages, params)
     got = {r["run_id"]: (r["stop_reason"], r["status"]) for r in audit.collect()}
     assert got == {"loop": ("drift", 4), "nodate": ("drift", 4)}
+
+
+def test_response_classification_order(spark):
+    rows = [("ok", 200, "application/json", '{"kind":"Listing"}', {}),
+            ("limited", 429, "application/json", '{}', {}),
+            ("zero", 200, "application/json", '{}', {"x-ratelimit-remaining": "0", "x-ratelimit-reset": "9",
+                                                     "x-ratelimit-used": "100"}),
+            ("html", 200, "text/html", "<html>", {}),
+            ("broken", 200, "application/json", "{nope", {}),
+            ("missing", 404, "application/json", "{}", {}),
+            ("private", 200, "application/json", '{"reason": "private"}', {}),
+            ("scalar", 200, "application/json", "42", {})]
+    df = spark.createDataFrame(rows, "name string, status int, content_type string, body string, "
+                                     "headers map<string,string>")
+    got = {r["name"]: r["outcome"] for r in CAP.classify_responses(df).collect()}
+    assert got == {"ok": "ok", "limited": "rate_limited", "zero": "rate_limited", "html": "challenge",
+                   "broken": "challenge", "missing": "not_found", "private": "unavailable",
+                   "scalar": "challenge"}
+    waited = {r["name"]: r["outcome"] for r in CAP.classify_responses(df, wait_on_limit=True, max_wait=60).collect()}
+    assert waited["zero"] == "ok"
+
+
+def test_run_summary_text(spark):
+    audit = spark.createDataFrame(
+        [("r", 2, "since_crossed", dt.datetime(2024, 1, 1, 0, 0, 1), dt.datetime(2024, 1, 1, 0, 5)),
+         ("e", 0, "no_matches", None, None)],
+        "run_id string, items bigint, stop_reason string, oldest timestamp, newest timestamp")
+    got = {r["run_id"]: r["summary"] for r in L.run_summary(audit).collect()}
+    assert got["r"] == ("2 posts, range 2024-01-01T00:00:01Z..2024-01-01T00:05:00Z, stop reason: "
+                        "since_crossed, budget unknown/unknown")
+    assert got["e"].startswith("0 posts, range none..none")
