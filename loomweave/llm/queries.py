@@ -33,6 +33,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label posterior and quality score of every document."""
+    from loomweave.llm import weak_quality
+
+    return weak_quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every row whose vec_id is divisible by 50."""
+    from loomweave.llm import ann_forest
+
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -61,6 +77,22 @@ FROM t WINDOW g AS (PARTITION BY norm)
 """
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from loomweave.llm import html_consensus
+
+    return html_consensus.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    from loomweave.llm import pii_boost
+
+    return pii_boost.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from documents that are not held out."""

@@ -1,0 +1,85 @@
+"""Personal data: base rules against the plain patterns, boosted candidates, offsets, odd inputs."""
+
+import hashlib
+import random
+import re
+
+from loomweave.llm import pii_boost as P
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute(text):
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in CARD.finditer(text):
+        d = re.sub(r"\D", "", m.group())
+        if 13 <= len(d) <= 19 and sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(re.sub(r"\D", "", m.group())) <= 15]
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(8)
+    parts = ["a", "Z9", "@", ".", "-", "+", " ", "(", ")", "1", "23", "255", "256", "007", "4539 1488 0343 6467", "4539148803436467", "mail.x", "é", "１", "\n", "_", "%"]
+    for _ in range(4000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 40)))
+        assert P.base_spans(t) == brute(t), repr(t)
+
+
+def test_long_runs_are_linear():
+    for t in ("a" * 300_000, "9" * 300_000, "1." * 150_000, "@" * 300_000, "a@" * 100_000, "+1(" * 100_000, "ab:" * 100_000, "token=" * 50_000, "0-" * 150_000):
+        P.find(t, P.Trees(0.0, [], dict.fromkeys(P.ALL_KINDS, 2.0)))
+
+
+def model():
+    return P.train([("thing of the water ", " and other words"), ("Étude über alles", " im haus. ")])
+
+
+def test_added_spans_and_clean_texts(spark):
+    trees = model()
+    card = next(c for c in (P._card(random.Random(i), True) for i in range(99)))
+    dotted = ".".join(card[i:i + 4] for i in range(0, 16, 4))
+    planted = ["write to some.one (at) mail (dot) org today", "call (988) 555-2485 now", 'the token = "5f0c6c0e9a7b4d2e8f31" here', "host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 up", f"card {dotted} paid"]
+    clean = ["Plain prose, of 1999 and 12:30:45. Look at the dot there.", "key: thinking of it", "", None, "version 10.2.3 of 2024-01-15", "x" * 50_000, "%%% *** ### 5"]
+    base = "a.b@c.org 10.0.0.1 4539 1488 0343 6467 +1 (706) 555-3138"
+    texts = planted + clean + [base, "é" + base, base + base]
+    df = spark.createDataFrame([(i, t, 1, "s") for i, t in enumerate(texts)] + [(0, planted[0], 1, "s")], "doc_id long, text string, kind int, spans string")
+    rows = P.personal_data(df, trees, redacted=True).collect()
+    assert len(rows) == len(texts) + 1
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        want = brute(text)
+        by = {k: sum(x[0] == k for x in want) for k in P.KINDS}
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(by[k] for k in P.KINDS)
+        listed = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
+        if r.doc_id < len(planted):
+            assert r.spans and r.redacted != text, text
+        elif r.doc_id < len(planted) + len(clean):
+            assert r.spans == "" and r.redacted == text, text
+    assert P.personal_data(df.limit(0)).collect() == []
+
+
+def test_boosting_learns_and_repeats():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.random((2000, 5))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    a, b = P.boost(x[:1500], y[:1500]), P.boost(x[:1500], y[:1500])
+    assert ((a.score(x[1500:]) > 0.5) == (y[1500:] > 0.5)).mean() > 0.95 and (a.score(x) == b.score(x)).all()
+    assert model().threshold == model().threshold
+
+
+def test_held_out_precision_and_recall():
+    trees, rng = model(), random.Random(99)
+    hits = {True: [0, 0], False: [0, 0]}
+    for _ in range(1500):
+        body, good = P.made(rng, "harbour")
+        hits[good][0] += bool(P.find(f"some words {body} and more", trees)[1])
+        hits[good][1] += 1
+    assert hits[True][0] / hits[True][1] > 0.9 and hits[False][0] / hits[False][1] < 0.05
