@@ -36,7 +36,9 @@ def test_long_runs_are_linear():
 
 
 def model():
-    return P.train([("thing of the water ", " and other words"), ("Étude über alles", " im haus. ")])
+    import pyarrow.parquet as pq
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    return P.train([(t[100:140], t[140:180]) for t in texts if len(t) >= 180])
 
 
 def test_added_spans_and_clean_texts(spark):
