@@ -339,6 +339,7 @@ def thread_nested_json(spark, sf_dir):
 from loomweave.functions import identifiers as ID  # noqa: E402
 from loomweave.functions import pii as PII  # noqa: E402
 from loomweave.functions import redact as R  # noqa: E402
+from loomweave.operators import json_tree as JT  # noqa: E402
 from loomweave.operators import budget as B  # noqa: E402
 
 TEST_HOSTS = ID.Hosts(suffixes=("example.com", "example.net", "example.org"))
@@ -358,7 +359,7 @@ def resolve_identifiers(spark, sf_dir):
 @query
 def redact_raw(spark, sf_dir):
     """Redact only ``raw`` attachments of JSON records, at any depth."""
-    docs = S.raw_documents(spark, sf_dir).select("event_id", R.redact_raw_json("doc").alias("doc"))
+    docs = JT.redact(S.raw_documents(spark, sf_dir), "event_id", "doc").withColumnRenamed("id", "event_id")
     g = lambda p: F.get_json_object("doc", p)
     return docs.select("event_id", g("$.raw.Api-Key").alias("api_key"),
                        g("$.raw.selftext").alias("selftext"), g("$.raw.profile_dir").alias("profile_dir"),
@@ -759,8 +760,8 @@ def pii_capture_scan(spark, sf_dir):
     """Value-free categories per captured listing page (posts, users, communities)."""
     pages = (S.post_pages(spark, sf_dir).unionByName(S.user_pages(spark, sf_dir))
              .unionByName(S.community_pages(spark, sf_dir)))
-    cats = pages.select("response_id", F.posexplode(PII.scan_json(F.col("body"))).alias("ord", "category"))
-    return cats.select("response_id", "category", F.col("ord").cast("bigint").alias("ord"))
+    cats = JT.scan(pages, "response_id", "body")
+    return cats.select(F.col("id").alias("response_id"), "category", F.col("ord").cast("bigint").alias("ord"))
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomweave.functions import pii as PII
 from loomweave.functions import redact as R
+from loomweave.operators import json_tree as JT
 
 
 def one(spark, expr, value):
@@ -39,20 +40,43 @@ def test_scrub_and_bound(spark):
     assert one(spark, R.scrub_usage_error, "word~ stays") == "word~ stays"
 
 
+def redacted(spark, *docs, raw_only=True):
+    df = spark.createDataFrame([(i, d if d is None or isinstance(d, str) else json.dumps(d)) for i, d in enumerate(docs)], "i long, d string")
+    out = {r["id"]: r["doc"] for r in JT.redact(df, "i", "d", raw_only).collect()}
+    return [None if out[i] is None else json.loads(out[i]) for i in range(len(docs))]
+
+
 def test_nested_redaction_is_idempotent_and_raw_only(spark):
-    doc = {"raw": {"Session-Id": "s", "selftext": "b" * 45, "deep": [{"user_data_dir": "/x"}]},
-           "title": "kept", "password": "outside raw"}
-    df = spark.createDataFrame([(json.dumps(doc),)], "d string")
-    once = df.select(R.redact_raw_json("d").alias("d"))
-    twice = once.select(R.redact_raw_json("d").alias("d"))
-    got = json.loads(once.first()["d"])
-    assert got["raw"]["Session-Id"] == "[REDACTED]" and got["raw"]["deep"][0]["user_data_dir"] == "[REDACTED]"
-    assert got["raw"]["selftext"].startswith("b" * 40 + "...")
-    assert got["password"] == "outside raw" and got["title"] == "kept"
-    again = json.loads(twice.first()["d"])
-    # Idempotent for key redaction (free text is re-truncated, as in the model).
-    assert again["raw"]["Session-Id"] == got["raw"]["Session-Id"]
-    assert again["raw"]["deep"] == got["raw"]["deep"] and again["password"] == got["password"]
+    doc = {"raw": {"Session-Id": "s", "selftext": "b" * 45, "deep": [{"user_data_dir": "/x"}, [], {}, None, 7, "q\"uote"]},
+           "title": "kept", "password": "outside raw", "list": [{"raw": {"token": {"a": 1}, "raw": "plain", "body": ["x" * 50]}}]}
+    got, empty, text, broken, none = redacted(spark, doc, {}, "\"only text\"", "{broken", None)
+    want = json.loads(json.dumps(doc))
+    want["raw"]["Session-Id"], want["raw"]["deep"][0]["user_data_dir"] = "[REDACTED]", "[REDACTED]"
+    want["raw"]["selftext"], want["list"][0]["raw"]["token"] = "b" * 40 + "...[redacted 5 more chars]", "[REDACTED]"
+    assert got == want and empty == {} and text == "only text" and broken is None and none is None
+    again = redacted(spark, got)[0]
+    # Idempotent for key redaction (free text is cut again, as in the model).
+    assert {**again, "raw": {**again["raw"], "selftext": ""}} == {**got, "raw": {**got["raw"], "selftext": ""}}
+
+
+def test_whole_document_redaction(spark):
+    assert redacted(spark, {"a": {"api_key": [1, 2], "ok": 1}, "body": "z" * 41}, raw_only=False) == [
+        {"a": {"api_key": "[REDACTED]", "ok": 1}, "body": "z" * 40 + "...[redacted 1 more chars]"}]
+
+
+def test_structural_scan(spark):
+    docs = [None, "{broken", {"clean": ["words", 1, None, {}]}, {"deep": [[{"accessToken": 1}]]}, {"author": "realname"}, {"author": "[deleted]"},
+            {"author": "test_user"}, {"kind": "t2", "data": {"name": "someone", "subreddit": {"url": "/user/someone/"}}}, {"kind": "t3", "data": {"name": "someone"}},
+            {"fullname": "t2_x", "a": [{"name": "someone"}]}, {"author": "fixture_a", "author_fullname": "t2_abc"}, {"author_fullname": "t2_abc"},
+            {"x": ["mail me at someone.odd@mail.example.org now"], "secret": "call +1 555 123 4567"}, {"profile_url": "https://www.reddit.com/u/someone"},
+            {"profile_url": "https://example.org/u/someone"}, "\"tok Zk3q9XvB2mLw8RtY6pHs1DnC4fGj7KeA here\""]
+    df = spark.createDataFrame([(i, d if d is None or isinstance(d, str) else json.dumps(d)) for i, d in enumerate(docs)], "i long, d string")
+    got = {i: [] for i in range(len(docs))}
+    for r in JT.scan(df, "i", "d").orderBy("id", "ord").collect():
+        got[r["id"]].append(r["category"])
+    user = ["non-synthetic-username"]
+    assert list(got.values()) == [["unsafe-file"], ["invalid-json"], [], ["credential-key"], user, [], [], user, [], user, [], user,
+                                  ["credential-key", "email", "phone"], user, [], ["high-entropy-secret"]]
 
 
 def test_pii_categories(spark):
