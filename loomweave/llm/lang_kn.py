@@ -128,14 +128,12 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG, id_col: str = "doc_id", te
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     crc = F.crc32(F.coalesce("id", F.lit("None")).cast("binary"))
     d = d.filter(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & (F.pmod(crc, F.lit(3)) != 1)).withColumn("h", F.xxhash64(F.lit("kn"), "id"))
-    # The cut-off hash of each language is found without texts; only texts up to it are then read and moved.
-    def least(df: DataFrame, *order: str) -> DataFrame:
-        return df.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("k") <= per_lang)
-
-    cut = least(d.select("lang", "h"), "h").groupBy("lang").agg(F.max("h").alias("most")).withColumnRenamed("lang", "of")
-    near = d.join(cut, (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("most")))
-    # ids that repeat share a hash: the bound holds for rows too
-    return least(near, "h", "id", "text").select("lang", "text", (F.pmod("h", F.lit(CALIBRATION)) == 0).alias("calibrate"))
+    # About per_lang rows of each language pass a limit on the hash, from the language's count, so neither the
+    # limit nor the rows need a sort of a whole language; the window then holds the bound on these few.
+    n = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("of"), F.least(F.lit(1.0), 1.2 * per_lang / F.col("n")).alias("part"))
+    near = d.join(n, F.col("lang") == F.col("of")).filter(F.pmod("h", F.lit(1 << 30)) <= F.col("part") * (1 << 30))
+    best = near.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "text"))).filter(F.col("k") <= per_lang)
+    return best.select("lang", "text", (F.pmod(F.shiftrightunsigned("h", 32), F.lit(CALIBRATION)) == 0).alias("calibrate"))
 
 
 def count_grams(labelled: DataFrame) -> pd.DataFrame:

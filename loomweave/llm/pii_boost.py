@@ -34,6 +34,8 @@ ALL_KINDS = (*KINDS, "secret")
 SAMPLE = 2000
 MADE = 6000
 PRECISION = 0.99
+#: No span with a lower score is added, whatever its kind's threshold.
+LEAST = 0.8
 
 # ------------------------------------------------------------------ base spans (fixed rules)
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -243,11 +245,14 @@ def surroundings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 def train(sides: list[tuple[str, str]], seed: int = 23) -> Trees:
     """Trees and thresholds; the same surroundings give the same model."""
     rng = random.Random(seed)
-    sides = [(re.sub(r"[0-9@=:]", "", a), re.sub(r"[0-9@=:]", "", b)) for a, b in sides] or [("", "")]
+    sides = [(a, b) for a, b in sides if not base_spans(a + b) and not candidates(a + b)] or [("", "")]
     words = [w for a, b in sides for w in re.findall(r"[A-Za-z]{3,12}", a + b)] or ["word"]
     rows, truth, kinds = [], [], []
     for _ in range(MADE):
         left, right = rng.choice(sides)
+        if rng.random() < 0.3:       # numbers nearby say nothing about a span
+            number = _digits(rng, rng.randrange(1, 6))
+            left, right = rng.choice([(f"{left} {number} {rng.choice(words)}", right), (left, f"{rng.choice(words)} {number} {right}")])
         body, good = made(rng, rng.choice(words).lower())
         text = f"{left} {body}{rng.choice([' ', '. ', ', ', chr(34) + ' '])}{right}"
         lo, hi = len(left) + 1, len(left) + 1 + len(body)
@@ -266,7 +271,7 @@ def train(sides: list[tuple[str, str]], seed: int = 23) -> Trees:
         order = np.argsort(-s)
         right = np.cumsum(t[order]) / np.arange(1, len(t) + 1)
         ok = np.flatnonzero(right >= PRECISION)
-        model.threshold[kind] = float(max(0.5, s[order][ok[-1]])) if len(ok) else 1.1
+        model.threshold[kind] = float(max(LEAST, s[order][ok[-1]])) if len(ok) else 1.1
     return model
 
 
