@@ -14,6 +14,7 @@ sibling.  Integer paths are rebuilt once at the end.
 
 from __future__ import annotations
 
+import itertools
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ def _parent_opath(col: str = "opath"):
 
 
 def expand(nodes: DataFrame, snapshots: DataFrame, max_depth: int | None = None,
-           max_requests: int | None = None, max_rounds: int = 64, renumber: bool = True
+           max_requests: int | None = None, renumber: bool = True
            ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Merge subtree snapshots into the forest until no pointer can advance.
 
@@ -56,7 +57,7 @@ def expand(nodes: DataFrame, snapshots: DataFrame, max_depth: int | None = None,
     spark = nodes.sparkSession
     dead = spark.createDataFrame([], "thread_id string, root string")
     done = spark.createDataFrame([], "thread_id string, root string")
-    for rnd in range(1, max_rounds + 1):
+    for rnd in itertools.count(1):      # a pointer is expanded or dead after its round, so rounds end
         ptrs = cur.filter((F.col("kind") == "more") & F.col("ptr_parent_id").startswith("t1_"))
         if max_depth is not None:
             ptrs = ptrs.filter(F.col("ptr_depth").isNull() | (F.col("ptr_depth") < max_depth))

@@ -15,6 +15,7 @@ checkpoint every few levels.
 
 from __future__ import annotations
 
+import itertools
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,6 @@ from loomweave.operators import envelope as E
 from loomweave.operators import normalize as N
 from loomweave.session import cut_lineage
 
-MAX_LEVELS = 10_000          # safety bound; real threads stop far earlier
 CHECKPOINT_EVERY = 4
 
 NODE_KEEP = ["response_id", "thread_id", "captured_at"]
@@ -158,7 +158,7 @@ def flatten_post_responses(responses: DataFrame, subtree: bool = False
                         "parent_cap_depth", E.kind_of(F.col("thing")).alias("kind"),
                         C.get(F.col("thing"), "data").alias("data")))
     levels, drifts, cached = [], [drift0], []
-    for level in range(MAX_LEVELS):
+    for level in itertools.count():      # ends with the deepest comment
         frontier = frontier.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(frontier)
         if frontier.isEmpty():

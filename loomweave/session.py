@@ -56,9 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment to a shared filesystem and is
-    only read here.  When it is unset (a bare local test session) a private
-    folder is registered on the context instead; the setting itself is a core
-    config that cannot change at run time.
+    only read here.  When it is unset in a local session (tests) a private
+    folder is registered on the context instead; on a cluster an unset folder
+    is an error, as executors would not share one made here.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -66,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if registered.isDefined():
         return registered.get()
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="loomweave-ckpt-")
     sc.setCheckpointDir(current)
     return current
@@ -88,29 +90,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
-
-
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-
-
-def size_shuffle_partitions(spark: SparkSession, input_dir: str) -> int:
-    """Size ``spark.sql.shuffle.partitions`` to the input when it is Spark's untouched default.
-
-    One shuffle partition per 128 MB of input, never fewer than the default
-    parallelism.  A value set by the deployment (anything but the built-in
-    200) is respected as is.
-    """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if current != 200:
-        return current
-    total = 0
-    try:
-        jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
-        path = jvm.org.apache.hadoop.fs.Path(input_dir)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-        total = fs.getContentSummary(path).getLength()
-    except Exception:
-        return current
-    wanted = max(spark.sparkContext.defaultParallelism, -(-total // TARGET_PARTITION_BYTES))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
