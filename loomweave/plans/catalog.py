@@ -153,7 +153,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomweave.operators import forest as FR
 
     posts = _posts(spark, sf_dir, False).select("fullname", "subreddit", "score")
-    nodes, _ = FR.flatten_post_responses(S.post_responses(spark, sf_dir))
+    nodes, _ = FR.flatten_post_responses(S.full_responses(spark, sf_dir))
     per_thread = nodes.groupBy(F.col("thread_id").alias("fullname")).agg(
         F.sum(F.when(F.col("kind") == "t1", 1).otherwise(0)).alias("comments"),
         F.max("depth").alias("max_depth"),
@@ -195,7 +195,13 @@ def clear_memo() -> None:
 
 
 def _forest(spark, sf_dir):
-    return memo(spark, sf_dir, "forest", lambda: FR.flatten_post_responses(S.post_responses(spark, sf_dir))[0])
+    """Flattened captures that hold every comment."""
+    return memo(spark, sf_dir, "forest", lambda: FR.flatten_post_responses(S.full_responses(spark, sf_dir))[0])
+
+
+def _pointed(spark, sf_dir):
+    """Flattened captures that hide comments behind pointers, for expansion."""
+    return memo(spark, sf_dir, "pointed", lambda: FR.flatten_post_responses(S.post_responses(spark, sf_dir))[0])
 
 
 def _path_txt(col: str = "path"):
@@ -260,7 +266,7 @@ def forest_subtree_weight(spark, sf_dir):
 @query
 def forest_pointers(spark, sf_dir):
     """Pointers in display order (top-level pointers kept visible)."""
-    n = _forest(spark, sf_dir)
+    n = _pointed(spark, sf_dir)
     ranked = FR.preorder(n, kinds=("t1", "more"))
     return ranked.filter(F.col("kind") == "more").select(
         "thread_id", _path_txt().alias("path"), "ptr_parent_id",
@@ -660,7 +666,7 @@ from loomweave.operators import expand as X  # noqa: E402
 
 
 def _expanded(spark, sf_dir, max_depth=None):
-    base = _forest(spark, sf_dir)
+    base = _pointed(spark, sf_dir)
     snaps = memo(spark, sf_dir, "snapshots", lambda: FR.flatten_post_responses(
         S.subtree_responses(spark, sf_dir), subtree=True)[0])
     return base, X.expand(base, snaps, max_depth=max_depth)
@@ -671,7 +677,7 @@ def forest_expand(spark, sf_dir):
     """Base capture merged with subtree snapshots, display order rebuilt."""
     from loomweave.operators.common import distributed_rank
 
-    base = _forest(spark, sf_dir)
+    base = _pointed(spark, sf_dir)
     snaps = memo(spark, sf_dir, "snapshots", lambda: FR.flatten_post_responses(
         S.subtree_responses(spark, sf_dir), subtree=True)[0])
     merged, _, _ = X.expand(base, snaps, renumber=False)   # display order = sortable merge path
@@ -701,7 +707,7 @@ def forest_verdict(spark, sf_dir):
 @query
 def forest_verdict_depth(spark, sf_dir):
     """J14 + J18: with depth 1 no pointer may be expanded: depth_capped / comment_limit."""
-    base = _forest(spark, sf_dir)
+    base = _pointed(spark, sf_dir)
     v = FR.verdict(base, FR.cap(base, None, max_depth=None), 500, max_depth=1)
     return v.select("thread_id", "verdict", F.col("comments").cast("bigint").alias("comments"))
 

@@ -315,8 +315,11 @@ def _path(col: str = "path") -> str:
     return f"array_to_string({col}, '.')"
 
 
+# Captures that hold every comment: nothing is hidden, so there are no pointers.
+FULL_CTE = FOREST_CTE.replace("CASE WHEN user_id % 5 = 0 THEN 2 ELSE 40 END AS cut", "n AS cut")
+
 ORACLE["normalize_comments"] = f"""
-WITH RECURSIVE {FOREST_CTE},
+WITH RECURSIVE {FULL_CTE},
 mc AS (SELECT thread_id, parent_path AS path, sum(ptr_count) AS more_count FROM ptr GROUP BY 1, 2)
 SELECT v.thread_id, 'e' || v.event_id AS id, v.fullname,
        'https://www.reddit.com/r/src' || (v.user_id % 20) || '/comments/d' || v.user_id || '/p/e'
@@ -341,7 +344,7 @@ FROM vis v LEFT JOIN mc ON mc.thread_id = v.thread_id AND mc.path = v.path
 """
 
 ORACLE["forest_flatten"] = f"""
-WITH RECURSIVE {FOREST_CTE}
+WITH RECURSIVE {FULL_CTE}
 SELECT thread_id, kind, {_path()} AS path, CAST(depth AS BIGINT) AS depth,
        CASE WHEN kind = 't1' THEN parent_fullname
             WHEN len(parent_path) = 0 THEN thread_id ELSE ptr_parent_id END AS parent_fullname,
@@ -350,14 +353,14 @@ FROM nodes
 """
 
 ORACLE["forest_preorder"] = f"""
-WITH RECURSIVE {FOREST_CTE}
+WITH RECURSIVE {FULL_CTE}
 SELECT thread_id, fullname,
        CAST(row_number() OVER (PARTITION BY thread_id ORDER BY path) AS BIGINT) AS display_rank
 FROM nodes WHERE kind = 't1'
 """
 
 ORACLE["forest_depth_counts"] = f"""
-WITH RECURSIVE {FOREST_CTE}
+WITH RECURSIVE {FULL_CTE}
 SELECT thread_id, CAST(depth AS BIGINT) AS depth,
        CAST(sum(CASE WHEN kind = 't1' THEN 1 ELSE 0 END) AS BIGINT) AS comments,
        CAST(sum(CASE WHEN kind = 'more' THEN 1 ELSE 0 END) AS BIGINT) AS pointers,
@@ -366,7 +369,7 @@ FROM nodes GROUP BY thread_id, depth
 """
 
 ORACLE["forest_subtree_weight"] = f"""
-WITH RECURSIVE {FOREST_CTE}
+WITH RECURSIVE {FULL_CTE}
 SELECT a.thread_id, a.fullname,
        CAST(sum(CASE WHEN b.kind = 't1' THEN 1 ELSE 0 END) AS BIGINT) AS comments_below,
        CAST(sum(CASE WHEN b.kind = 't1' THEN 1 ELSE b.ptr_count END) AS BIGINT) AS weight
@@ -386,7 +389,7 @@ FROM r WHERE kind = 'more'
 
 def _cap_sql(keep_pred: str) -> str:
     return f"""
-WITH RECURSIVE {FOREST_CTE},
+WITH RECURSIVE {FULL_CTE},
 t1r AS (SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY path) AS r FROM nodes WHERE kind = 't1'),
 kept_t1 AS (SELECT thread_id, path, fullname, cap_depth FROM t1r WHERE {keep_pred}),
 marked AS (
@@ -439,7 +442,7 @@ ORACLE["forest_depth_cap"] = _cap_sql("depth <= 1")
 def _anchor_sql(event_type: str, context: int, upper_ids: bool) -> str:
     cid = "upper('e' || event_id)" if upper_ids else "'e' || event_id"
     return f"""
-WITH RECURSIVE {FOREST_CTE},
+WITH RECURSIVE {FULL_CTE},
 anchors AS (SELECT 't3_d' || user_id AS thread_id, {cid} AS comment_id FROM events
             WHERE event_type = '{event_type}'),
 hit AS (
@@ -475,7 +478,7 @@ def _controversy(u: str, d: str) -> str:
 
 def _comment_sort_sql(key: str) -> str:
     return f"""
-WITH RECURSIVE {FOREST_CTE},
+WITH RECURSIVE {FULL_CTE},
 c AS (
   SELECT thread_id, path, parent_path, sib_pos, fullname, ts AS created,
          CAST(floor(value) - 5 AS BIGINT) AS score, CAST(floor(value) AS DOUBLE) AS ups,
@@ -841,7 +844,7 @@ SELECT fullname, CAST(rk AS BIGINT) AS rank, related, related_subreddit FROM pai
 # ---------------------------------------------------------------- user activity, profile
 def _activity(where: str, order: str) -> str:
     return f"""
-WITH RECURSIVE {FOREST_CTE}, {POSTS_CTE},
+WITH RECURSIVE {FULL_CTE}, {POSTS_CTE},
 items AS (
   SELECT 't3' AS kind, fullname, created, CAST(score AS BIGINT) AS score FROM posts_n WHERE author = 'u7'
   UNION ALL
@@ -858,7 +861,7 @@ ORACLE["user_comments"] = _activity("kind = 't1'", "created DESC")
 ORACLE["user_top"] = _activity("true", "score DESC NULLS LAST")
 
 ORACLE["author_profile"] = f"""
-WITH RECURSIVE {FOREST_CTE}, {POSTS_CTE},
+WITH RECURSIVE {FULL_CTE}, {POSTS_CTE},
 items AS (
   SELECT author, 1 AS p, 0 AS c, score, created FROM posts_n
   UNION ALL
@@ -991,7 +994,7 @@ FROM per
 """
 
 ORACLE["forest_signature"] = f"""
-WITH RECURSIVE {FOREST_CTE},
+WITH RECURSIVE {FULL_CTE},
 k AS (
   SELECT thread_id,
          {_path()} || '|' || CASE WHEN kind = 't1' THEN fullname
@@ -1149,7 +1152,7 @@ lvl{d} AS (
         prev = f"lvl{d}"
     body = ",".join(ctes)
     return f"""
-WITH RECURSIVE {FOREST_CTE},{body}
+WITH RECURSIVE {FULL_CTE},{body}
 SELECT thread_id, CAST(path[1] AS BIGINT) AS position, json FROM lvl0
 """
 

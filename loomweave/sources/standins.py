@@ -133,8 +133,10 @@ def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Node k's parent is k' = floor((k-1)/3) (0 = the post), its sibling position is
 # (k-1) % 3: a ternary heap, so depth and path are closed forms of k.
 MAX_HEAP_DEPTH = 38
-FOREST_CUT_SMALL = 2         # threads with user_id % 5 = 0 show only two comments
-FOREST_CUT = 40              # other threads show k <= 40; the rest hides behind pointers
+# Pointer captures only (expansion): threads with user_id % 5 = 0 show two comments,
+# others 40; the rest hides behind pointers.
+POINTER_CUT_SMALL = 2
+POINTER_CUT = 40
 
 
 def heap_depth_sql(k: str) -> str:
@@ -191,8 +193,8 @@ def event_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("depth", F.expr(heap_depth_sql("k")).cast("int"))
              .withColumn("parent_k", F.floor((F.col("k") - 1) / 3).cast("bigint"))
              .withColumn("path", F.expr(heap_path_sql("k", "depth")))
-             .withColumn("cut", F.when(F.col("user_id") % 5 == 0, F.lit(FOREST_CUT_SMALL))
-                         .otherwise(F.lit(FOREST_CUT))))
+             .withColumn("cut", F.when(F.col("user_id") % 5 == 0, F.lit(POINTER_CUT_SMALL))
+                         .otherwise(F.lit(POINTER_CUT))))
     parents = ranked.select("user_id", F.col("k").alias("parent_k"),
                             F.col("event_id").alias("parent_event_id"))
     return (nodes.join(parents, ["user_id", "parent_k"], "left")
@@ -295,8 +297,30 @@ def _capture_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         keep_levels=True))
 
 
+def _full_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested JSON of every comment with all its replies (all levels)."""
+    from loomweave.operators.forest import listing_wrap, nest
+
+    def build():
+        full = _forest_ranked(spark, sf_dir).select(
+            "thread_id", "path", "parent_path", "sib_pos", "depth", F.lit("t1").alias("kind"),
+            _comment_head().alias("head"), F.lit("}}").alias("tail"))
+        return nest(full, F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True)
+    return _shared(spark, sf_dir, "full_levels", build)
+
+
+def full_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture per thread with every event of the table nested, no pointers."""
+    top = _full_levels(spark, sf_dir).filter(F.col("depth") == 0)
+    return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
+
+
 def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base capture per thread: visible comments nested, hidden ones behind pointers."""
+    """Capture per thread for expansion: visible comments nested, hidden ones behind pointers.
+
+    Only the expansion queries and the pointer listing read it; subtree
+    captures hold what it hides.
+    """
     top = _capture_levels(spark, sf_dir).filter(F.col("depth") == 0)
     return _responses(spark, sf_dir, top.withColumn("resp_key", F.col("thread_id")), "post:")
 
@@ -310,13 +334,8 @@ def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parents with ``event_id % 7 == 3`` answer with exactly what is already
     visible (their pointer included): a dead end the expansion must detect.
     """
-    from loomweave.operators.forest import listing_wrap, nest
-
     forest = _forest_ranked(spark, sf_dir)
-    full = forest.select("thread_id", "path", "parent_path", "sib_pos", "depth",
-                         F.lit("t1").alias("kind"), _comment_head().alias("head"),
-                         F.lit("}}").alias("tail"))
-    every = nest(full, F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True)
+    every = _full_levels(spark, sf_dir)
     seen = _capture_levels(spark, sf_dir)
     targets = (forest_pointers(forest).filter(F.col("anc_k") > 0)
                .join(forest.select("user_id", F.col("k").alias("anc_k"), "event_id"), ["user_id", "anc_k"])
