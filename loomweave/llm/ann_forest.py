@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomweave.llm.io import saved
+from loomweave.llm.io import sampled, saved
 
 TREES = 8
 BITS = 32
@@ -118,7 +118,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     # equal vectors: the k + 1 smallest ids are all that a result can name
     few = rows.select("vid", "emb").withColumn("r", F.row_number().over(Window.partitionBy("emb").orderBy("vid"))).filter(F.col("r") <= k + 1)
     base = saved(few.groupBy("emb").agg(F.array_sort(F.collect_set("vid")).alias("ids")))
-    some = base.select("emb").orderBy(F.xxhash64(F.lit(5), "emb")).limit(SAMPLE).toPandas()["emb"]
+    some = sampled(base.select("emb"), F.xxhash64(F.lit(5), "emb"), SAMPLE, base.count()).toPandas()["emb"]
     if not len(some):
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     dim = int(some.map(len).mode()[0])

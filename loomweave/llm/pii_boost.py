@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomweave.llm.io import sampled
+
 KINDS = ("email", "ip", "card", "phone")
 #: Kinds that only the method finds come after the base kinds.
 ALL_KINDS = (*KINDS, "secret")
@@ -239,7 +241,7 @@ def surroundings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     t = F.col(text_col).cast("string")
     mid = (F.length(t) / 2).cast("int")
     d = docs.filter(F.length(t) > 0).select(F.xxhash64(F.lit("pii"), F.col(id_col).cast("string")).alias("h"), F.substr(t, F.greatest(mid - 40, F.lit(1)), F.lit(80)).alias("s"))
-    return [(r["s"][:40], r["s"][40:]) for r in d.orderBy("h", "s").limit(SAMPLE).collect()]
+    return [(r["s"][:40], r["s"][40:]) for r in sampled(d, F.col("h"), SAMPLE, docs.count()).collect()]
 
 
 def train(sides: list[tuple[str, str]], seed: int = 23) -> Trees:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomweave.llm import components
-from loomweave.llm.io import OWN, saved
+from loomweave.llm.io import OWN, sampled, saved
 
 SEED = 42
 BITS = 64
@@ -211,7 +211,7 @@ def _star(fp: np.ndarray, home: np.ndarray, block: np.ndarray, cross: bool, dist
 def links(fps: DataFrame, distance: int = 3, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """(u, v) links that connect exactly the distinct fingerprints ``fps`` (column fp) within ``distance`` bits."""
     total = fps.count()
-    some = fps.orderBy(F.xxhash64(F.lit(7), "fp"), "fp").limit(sample).toPandas()["fp"].to_numpy(dtype=np.int64)
+    some = sampled(fps, F.xxhash64(F.lit(7), "fp"), sample, total).toPandas()["fp"].to_numpy(dtype=np.int64)
     filed = keys(fps, plan(some, total, distance))
     n_home = filed.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"))
     hot = n_home.filter(F.col("n") > block).select(F.col("part").alias("p"), F.col("key").alias("k"),
