@@ -12,6 +12,8 @@ integers, so only ``BIGINT`` (and digit strings) count as integers.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,7 +121,7 @@ def edited(v: Column, key: str) -> Column:
 
 def strip_prefix(s: Column, prefix: str) -> Column:
     """Id without its thing-type prefix."""
-    return F.when(s.startswith(prefix), F.substring(s, len(prefix) + 1, 1 << 30)).otherwise(s)
+    return F.when(s.startswith(prefix), s.substr(F.lit(len(prefix) + 1), F.length(s))).otherwise(s)
 
 
 def fullname(name: Column, prefix: str, ident: Column) -> Column:
@@ -141,29 +143,52 @@ def iso(ts: Column) -> Column:
 
 
 def _code_point_text(code: Column) -> Column:
-    """The character for a BMP code point (UTF-16BE decode of its two bytes)."""
-    return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+    """The character of a numeric reference under the HTML5 rules (its cases for control, surrogate and unassigned codes)."""
+    high_latin = F.array(*[F.lit(bytes([n]).decode("cp1252", "ignore") or chr(n)) for n in range(0x80, 0xA0)])
+    return (F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(code.between(0x80, 0x9F), F.get(high_latin, code - 0x80))
+            .when(code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F)
+                  | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
+
+
+def _code(digits: Column, base: int, longest: int) -> Column:
+    """A reference's number; one with more digits than any code point has counts as out of range."""
+    bare = F.regexp_replace(digits, "^0+", "")
+    return (F.when(F.length(bare) > longest, F.lit(0x110000)).when(bare == "", F.lit(0))
+            .otherwise(F.conv(bare, base, 10).cast("int")))
+
+
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """A map that Catalyst folds to one literal."""
+    return F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in pairs.items())), F.lit("\u0001"), F.lit("\u0002"))
 
 
 def html_unescape(s: Column) -> Column:
-    """Decode the XML named entities and decimal/hex character references.
+    """Decode every HTML5 character reference, in one pass from left to right.
 
-    Numeric references in the Basic Multilingual Plane are decoded through
-    UTF-16, since ``chr`` only covers 0-255.  ``&amp;`` is decoded last so
-    ``&amp;lt;`` gives ``&lt;`` (single pass, as in the model).
+    The text is cut before each ``&``; each piece starts with at most one
+    reference, so a decoded ``&`` is never read again (``&amp;lt;`` gives
+    ``&lt;``).  Names come from the public HTML5 entity list; those that it also
+    has without a semicolon match as the longest prefix.
     """
-    out = s
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    dec = F.regexp_extract_all(out, F.lit(r"&#([0-9]{1,5});"), 1)
-    out = F.aggregate(dec, out, lambda acc, n: F.when(
-        n.cast("int") <= 0xFFFF, F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")),
-                                          _code_point_text(n.cast("int")))).otherwise(acc))
-    hexes = F.regexp_extract_all(out, F.lit(r"&#[xX]([0-9a-fA-F]{1,4});"), 0)
-    out = F.aggregate(hexes, out, lambda acc, ref: F.replace(
-        acc, ref, _code_point_text(F.conv(F.regexp_extract(ref, r"([0-9a-fA-F]+)", 1), 16, 10)
-                                   .cast("int"))))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    closed = _literal_map({k: v for k, v in html5.items() if k.endswith(";")})
+    bare = {k: v for k, v in html5.items() if not k.endswith(";")}
+    opened, starts = _literal_map(bare), "^(" + "|".join(sorted(bare, key=lambda k: (-len(k), k))) + ")"
+
+    def piece(t: Column) -> Column:
+        dec, hexa = F.regexp_extract(t, "^&#([0-9]+);?", 1), F.regexp_extract(t, "^&#[xX]([0-9a-fA-F]+);?", 1)
+        name = F.regexp_extract(t, r"^&([^\t\n\f <&#;]{1,32};)", 1)
+        prefix = F.regexp_extract(t.substr(F.lit(2), F.length(t)), starts, 1)
+        exact = F.try_element_at(closed, name)
+        return (F.when(~t.startswith("&"), t)
+                .when(dec != "", F.concat(_code_point_text(_code(dec, 10, 7)), F.regexp_replace(t, "^&#[0-9]+;?", "")))
+                .when(hexa != "", F.concat(_code_point_text(_code(hexa, 16, 6)), F.regexp_replace(t, "^&#[xX][0-9a-fA-F]+;?", "")))
+                .when((name != "") & exact.isNotNull(), F.concat(exact, t.substr(F.length(name) + 2, F.length(t))))
+                .when(prefix != "", F.concat(F.try_element_at(opened, prefix), t.substr(F.length(prefix) + 2, F.length(t))))
+                .otherwise(t))
+
+    return F.when(F.instr(s, "&") == 0, s).otherwise(F.array_join(F.transform(F.split(s, "(?=&)", -1), piece), ""))
 
 
 def safe_external_url(s: Column) -> Column:

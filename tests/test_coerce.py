@@ -66,7 +66,18 @@ def test_truthy_fallthrough_zero_width(spark):
 def test_character_references(spark):
     df = spark.createDataFrame([("a&#39;b &#x2F;c &#233;t&eacute; &amp;lt; &#x4E2D;",)], "s string")
     out = df.select(C.html_unescape(F.col("s")).alias("o")).first()["o"]
-    assert out == "a'b /c ét&eacute; &lt; 中"
+    assert out == "a'b /c été &lt; 中"
+
+
+def test_character_references_as_the_standard_library(spark):
+    import html
+
+    texts = ["&#128512; &#x1F600; &eacute; &#60", "&#38;amp; &#0; &#x110000; &#99999999999999999999; &#xD800;",
+             "&notit; &ampfoo &amp &AMP; &nosuch; & &; &#; &#x; ?a=1&b=2&copy=3", "&#128;&#x81;&#13;&#1;&#xFDD0;&#x1FFFF;",
+             "&NotEqualTilde;&bne;&frac12&Aacute", "", "no reference", "&lt&gt;&&amp;amp;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(len(texts), None)], "i int, s string")
+    out = [r["o"] for r in df.select("i", C.html_unescape(F.col("s")).alias("o")).orderBy("i").collect()]
+    assert out == [html.unescape(t) for t in texts] + [None]
 
 
 def test_json_schema_shape():

@@ -60,3 +60,11 @@ def test_look_alike_hosts_and_group_size(spark):
     eleven = resolve(spark, "subreddit_group", ["+".join(f"abc{i}" for i in range(11))])
     ten = resolve(spark, "subreddit_group", ["+".join(f"abc{i}" for i in range(10))])
     assert eleven[0][4] == "too many subreddits in a combined listing" and ten[0][0] == "subreddits"
+
+
+def test_whole_match_and_stray_percent(spark):
+    out = resolve(spark, "subreddit", ["https://reddit.com/r/abc%0A", "https://reddit.com/r/a%62c", "https://reddit.com/r/ab%zz"])
+    assert [o[4] for o in out] == ["invalid subreddit name", None, "invalid subreddit name"]
+    assert out[1][1] == "abc"
+    post = resolve(spark, "post", ["https://reddit.com/r/sub/comments/p1/100%", "https://reddit.com/r/sub/comments/p1%0A"])
+    assert post[0][2] == "p1" and post[1][4] == "invalid post id"
