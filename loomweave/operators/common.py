@@ -53,42 +53,35 @@ def first_wins(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> Dat
             .select(*df.columns))
 
 
-def empty_like(df: DataFrame) -> DataFrame:
-    """limit 0 -> empty relation of the same schema without reading."""
-    return df.limit(0)
-
-
-def round6(c: Column) -> Column:
-    return F.round(c, 6)
-
-
 def distributed_rank(df: DataFrame, group_cols: list[str], order_cols: list[Column], out: str = "rank",
                      partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by group order by ...)`` that splits hot groups.
 
     A plain window puts a whole group in one task.  Here the rows are range
     partitioned on ``(group, order)`` (sampled bounds, so one big group spans
-    many tasks), numbered locally inside each (task, group) slice, and shifted
-    by the row counts of the same group in earlier tasks: a small
-    ``(group, task) -> count`` table with a prefix sum.  Works for any
-    orderable key (arrays included), unlike ``blocked_running_count``.
+    many tasks) and sorted there once; a row's number within its (task, group)
+    slice is its position in the task minus the slice's first, so no window
+    shuffles the rows again.  Row counts of the same group in earlier tasks, a
+    small ``(group, task) -> count`` table with a prefix sum, shift the numbers.
+    Works for any orderable key (arrays included), unlike ``blocked_running_count``.
     """
     keys = [F.col(c) for c in group_cols] + list(order_cols)
     # Without an explicit count the range shuffle stays eligible for AQE
     # coalescing, so small inputs do not fan out into hundreds of tasks.
     ranged = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys))
     ranged = (ranged.sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id()))
-    local_w = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_row", F.monotonically_increasing_id()))
     # Task ids are only stable within one materialisation (range bounds are
     # sampled and AQE may coalesce differently per branch): number once, then
     # derive counts and offsets from the same checkpointed rows.
     from loomweave.session import cut_lineage
 
-    ranged = cut_lineage(ranged.withColumn("_local", F.row_number().over(local_w)))
-    counts = ranged.groupBy(*group_cols, "_pid").agg(F.count("*").alias("_n"))
+    ranged = cut_lineage(ranged)
+    counts = ranged.groupBy(*group_cols, "_pid").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select(*group_cols, "_pid", "_first",
+                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (ranged.join(offsets, [*group_cols, "_pid"])
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_pid", "_local", "_off"))
+            .withColumn(out, (F.col("_off") + F.col("_row") - F.col("_first") + 1).cast("bigint"))
+            .drop("_pid", "_row", "_first", "_off"))

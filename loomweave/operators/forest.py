@@ -42,7 +42,7 @@ def _level_exprs() -> tuple[list[Column], Column, Column]:
     """
     from pyspark import SparkContext
 
-    key = id(SparkContext._active_spark_context)
+    key = SparkContext._active_spark_context.applicationId
     if key in _LEVEL_EXPRS:
         return _LEVEL_EXPRS[key]
     d = F.col("data")
@@ -198,13 +198,6 @@ def comments_view(nodes: DataFrame) -> DataFrame:
     return out.select(*keep, F.col("depth").alias("tree_depth"), *rename)
 
 
-def pointers_view(nodes: DataFrame) -> DataFrame:
-    """Every pointer, top-level ones included, with its display position."""
-    return nodes.filter(F.col("kind") == "more").select(
-        "thread_id", "path", "parent_path", "parent_fullname", "ptr_parent_id", "ptr_count",
-        "ptr_depth", "depth")
-
-
 def preorder(nodes: DataFrame, kinds=("t1",)) -> DataFrame:
     """Depth-first display rank per thread (sort by path).
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from loomweave.functions import coerce as C
 from loomweave.operators import envelope as E
 from loomweave.operators import normalize as N
-from loomweave.operators.common import blocked_running_count, first_wins
+from loomweave.operators.common import blocked_running_count, distributed_rank, first_wins
 from loomweave.session import cut_lineage
 
 # Fixed values that must equal the reference's.
@@ -216,19 +216,18 @@ def silver_listing(silver: DataFrame, communities: list[str], since=None, until=
     return ranked(df, post_sort_key("new", dt.datetime(2024, 1, 2, tzinfo=dt.UTC)), limit)
 
 
-def user_activity(posts: DataFrame, comments: DataFrame, user: str, listing_type: str = "overview",
+def user_activity(posts: DataFrame, comments: DataFrame | None, user: str, listing_type: str = "overview",
                   sort: str | None = None, limit: int | None = None, since=None, until=None,
                   as_of: dt.datetime | None = None) -> DataFrame:
-    """A user's posts and/or comments, mixed by ``kind``."""
+    """A user's posts and/or comments, mixed by ``kind``; ``submitted`` needs no comments."""
     choice(listing_type, USER_TYPES, "listing_type")
     p = posts.filter(F.col("author") == user).select(
         F.lit("t3").alias("kind"), "fullname", "created_at", "score", "subreddit",
         F.col("title").alias("text"), "num_comments")
-    c = comments.filter(F.col("author") == user).select(
+    c = None if listing_type == "submitted" else comments.filter(F.col("author") == user).select(
         F.lit("t1").alias("kind"), "fullname", "created_at", "score", "subreddit", "text",
         F.lit(None).cast("bigint").alias("num_comments"))
-    mixed = {"overview": p.unionByName(c), "submitted": p, "comments": c,
-             "top": p.unionByName(c)}[listing_type]
+    mixed = p if c is None else c if listing_type == "comments" else p.unionByName(c)
     mixed = date_window(mixed, since, until)
     effective = "new" if (since is not None or until is not None) else (
         sort or ("top" if listing_type == "top" else "new"))
@@ -255,12 +254,14 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
     ok = checked.filter(F.col("drift").isNull())
     items = (E.explode_things(ok, "v", ["run_id", "page_no"])
              .filter(F.col("kind").isin(*allowed_kinds)))
-    rows = items.select("run_id", "page_no", "pos",
-                        C.strip_prefix(C.text(F.col("data"), "id"), "t3_").alias("_id"),
+    rows = items.select("run_id", "page_no", "pos", F.concat("kind", F.lit("_")).alias("_prefix"),
+                        C.text(F.col("data"), "id").alias("_id"),
                         C.text(F.col("data"), "name").alias("_name"),
                         C.timestamp(F.col("data"), "created_utc").alias("created_at"))
-    rows = cut_lineage(rows.withColumn("fullname", C.fullname(F.col("_name"), "t3_", F.col("_id")))
-                       .drop("_id", "_name"))
+    # The prefix is the item's own kind, so user and comment runs keep their keys.
+    own = (F.when(F.col("_name").startswith(F.col("_prefix")), F.col("_name"))
+           .when(F.col("_id").startswith(F.col("_prefix")), F.col("_id")).otherwise(F.concat("_prefix", "_id")))
+    rows = cut_lineage(rows.withColumn("fullname", own).drop("_id", "_name", "_prefix"))
     decoded = checked
     checked = cut_lineage(checked.select("run_id", "page_no", "after", "outcome", "drift"))
     decoded.unpersist()
@@ -370,9 +371,7 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
     out_items = (rows.filter(F.col("read") & F.col("kept")
                              & (F.col("lim").isNull() | (F.col("lim") > 0)))
                  .select("run_id", "page_no", "pos", "fullname", "created_at"))
-    out_items = blocked_running_count(out_items, ["run_id"],
-                                      F.col("page_no") * 100000 + F.col("pos"), [],
-                                      PAGE_BLOCK * 100000, "seq")
+    out_items = distributed_rank(out_items, ["run_id"], [F.col("page_no"), F.col("pos")], "seq")
     return out_items, audit
 
 

@@ -27,7 +27,7 @@ def tokens(text: Column) -> Column:
 def query_terms(query: str) -> list[str]:
     import re
 
-    terms = [t for t in re.split(r"[^\w]+", query.lower()) if t]
+    terms = [t for t in re.split(r"[\W_]+", query.lower()) if t]    # as TOKEN_SPLIT
     if not terms:
         raise ValueError("query is required")
     return list(dict.fromkeys(terms))
@@ -105,17 +105,23 @@ def related(posts: DataFrame, key: Column, sort: str = "num_comments", limit: in
     Never emits all pairs of a link group: each group first keeps its top
     ``limit + 1`` members (``row_number() <= k`` is planned as a group limit
     before the shuffle, so a hot link key ships at most k rows per map task),
-    then every member joins only those.  With ``other_community_only`` the
-    group top-k is taken per (key, community) and the best ``limit`` of the
-    other communities are kept.
+    then every member joins only those.  With ``other_community_only`` a
+    community keeps at most ``limit`` of a key's rows and the key the first
+    ``2 * limit`` of these: without any one community, ``limit`` still remain,
+    however many communities share the link.
     """
     L.choice(sort, L.DUPLICATES_SORTS, "sort")
     order = ([F.col("num_comments").desc_nulls_last()] if sort == "num_comments" else []) + [
         F.col("created_at").desc_nulls_last(), F.col("fullname").asc()]
     keyed = posts.withColumn("_key", key).filter(F.col("_key").isNotNull() & (F.col("_key") != ""))
-    part = ["_key", "subreddit"] if other_community_only else ["_key"]
-    w = Window.partitionBy(*part).orderBy(*order)
-    top = keyed.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= limit + 1)
+    def first(df: DataFrame, part: list[str], k: int) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy(*order)
+        return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+
+    if other_community_only:
+        top = first(first(keyed, ["_key", "subreddit"], limit), ["_key"], 2 * limit)
+    else:
+        top = first(keyed, ["_key"], limit + 1)
     cand = top.select("_key", *[F.col(c).alias(f"r_{c}") for c in
                                 ("fullname", "subreddit", "num_comments", "created_at")])
     pairs = keyed.select("_key", "fullname", "subreddit").join(cand, "_key").filter(

@@ -580,7 +580,8 @@ def _activity_out(df):
 for _type in ("overview", "submitted", "comments", "top"):
     def _make_user(listing_type):
         def fn(spark, sf_dir):
-            posts, comments = _user_sources(spark, sf_dir)
+            posts, comments = ((_posts(spark, sf_dir, False), None) if listing_type == "submitted"
+                               else _user_sources(spark, sf_dir))
             return _activity_out(L.user_activity(posts, comments, PROFILE_USER, listing_type, limit=25))
         fn.__name__ = f"user_{listing_type}"
         fn.__doc__ = f"G3/G13: the ``{listing_type}`` listing of one author, mixed kinds."
@@ -727,7 +728,7 @@ from loomweave.streaming import jobs as ST  # noqa: E402
 def stream_ingest(spark, sf_dir):
     """Captured pages land as files; an availableNow stream decodes and dedups them."""
     staging, silver = ST.work_dir(spark, "staging"), ST.work_dir(spark, "silver")
-    S.post_pages(spark, sf_dir).repartition(4).write.json(staging)
+    S.post_pages(spark, sf_dir).write.json(staging)
     ST.ingest_captures(spark, staging, silver, ST.work_dir(spark, "ckpt"))
     return spark.read.parquet(silver).select(
         "fullname", "subreddit", F.col("score").cast("bigint").alias("score"),
@@ -736,11 +737,11 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """First-wins dedup of the event stream on its payload within a watermark."""
+    """Dedup of the event stream on its payload over the whole stream."""
     out = ST.work_dir(spark, "dedup")
     schema = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
               "props string")
-    ST.dedup_stream(spark, sf_dir, "events.parquet", schema, ["props"], "ts", "1 hour", out,
+    ST.dedup_stream(spark, sf_dir, "events.parquet", schema, ["props"], "ts", out,
                     ST.work_dir(spark, "ckpt"))
     return spark.read.parquet(out).select("props")
 
@@ -749,7 +750,7 @@ def stream_dedup(spark, sf_dir):
 def stream_rate_state(spark, sf_dir):
     """S3: per-client budget windows maintained as streaming state (update mode)."""
     log_dir, out = ST.work_dir(spark, "log"), ST.work_dir(spark, "windows")
-    S.request_log(spark, sf_dir).repartitionByRange(4, "ts").write.parquet(log_dir)
+    S.request_log(spark, sf_dir).repartitionByRange("ts").write.parquet(log_dir)
     # The replayed log is not in arrival order across files, so the watermark delay
     # covers the whole replay and no row is dropped as late.
     ST.rate_window_stream(spark, log_dir, out, ST.work_dir(spark, "ckpt"), delay="36500 days")
@@ -819,9 +820,9 @@ def forest_dead_ends(spark, sf_dir):
 
 @query
 def stream_budget_alerts(spark, sf_dir):
-    """S3 (custom state): per client, responses at or below half the budget, as stream state."""
+    """S3: per client, responses at or below half the budget, as stream state."""
     log_dir, out = ST.work_dir(spark, "alert-log"), ST.work_dir(spark, "alerts")
-    S.request_log(spark, sf_dir).repartition(4).write.parquet(log_dir)
+    S.request_log(spark, sf_dir).write.parquet(log_dir)
     ST.budget_alert_stream(spark, log_dir, out, ST.work_dir(spark, "ckpt"), low_water=50.0)
     state = ST.latest(spark, out, ["client"])
     return state.select(F.col("client").cast("bigint").alias("client"),

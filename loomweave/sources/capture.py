@@ -151,10 +151,11 @@ def write_posts_silver(posts: DataFrame, path: str, mode: str = "errorifexists")
     Listing filters then reach the scan: the date window prunes day folders and
     ``community_key = ...`` / ``created_at`` ranges prune row groups by their
     min/max statistics.  ``community_key`` is the case-folded community name, so
-    the case-insensitive match stays a plain column predicate.
+    the case-insensitive match stays a plain column predicate.  Rows are range
+    partitioned, so a busy day is written by many tasks.
     """
     (posts.withColumn("community_key", F.lower("subreddit"))
      .withColumn("created_date", F.to_date("created_at"))
-     .repartition("created_date")
+     .repartitionByRange("created_date", "community_key", "created_at")
      .sortWithinPartitions("community_key", "created_at")
      .write.mode(mode).partitionBy("created_date").parquet(path))

@@ -3,8 +3,9 @@
 All four are Structured Streaming queries over a file source, run with the
 ``availableNow`` trigger (process everything present, in micro-batches,
 then stop) and a checkpoint in the shared folder named by
-``spark.checkpoint.dir``, so a restarted job resumes where it stopped and
-sinks stay exactly-once.
+``spark.checkpoint.dir``, so a restarted job resumes where it stopped.  File
+sinks are exactly-once; update-mode batches overwrite their own folder, so a
+repeated batch leaves no second copy.
 """
 
 from __future__ import annotations
@@ -35,38 +36,58 @@ def _run(writer, wait: bool = True):
     return q
 
 
+def _files(spark: SparkSession, schema: str, files_per_batch: int | None):
+    """A file-stream reader; without ``files_per_batch`` a batch takes every file present."""
+    reader = spark.readStream.schema(schema)
+    return reader if files_per_batch is None else reader.option("maxFilesPerTrigger", files_per_batch)
+
+
+def _first_only(df: DataFrame, key: list[str], ts_col: str, delay: str | None) -> DataFrame:
+    """One row per key: of the whole stream, or, with ``delay``, of those at most that far apart (bounded state)."""
+    if delay is None:
+        return df.dropDuplicates(key)
+    return df.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(key)
+
+
+def _batch_to(out: str):
+    """A ``foreachBatch`` function that writes each batch to its own folder, the same one on a retry."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    return write
+
+
 # ---------------------------------------------------------------- S1 ingest
 def ingest_captures(spark: SparkSession, staging: str, silver: str, checkpoint: str,
-                    files_per_batch: int = 1, dedup_delay: str = "1 day") -> None:
+                    files_per_batch: int | None = None, dedup_delay: str | None = None) -> None:
     """Captured pages (JSON lines) -> classified, decoded, deduplicated posts.
 
     Classification (A4), envelope checks (B1-B7) and the post projection (D1)
     are row-local, so the whole decode runs inside the streaming plan.  First-
-    wins dedup on ``fullname`` (I1) is ``dropDuplicatesWithinWatermark`` on the
-    capture time: state is bounded by the watermark instead of a join against
-    the ever-growing silver table, and the file sink is exactly-once.
+    wins dedup on ``fullname`` (I1) covers the whole stream: its state holds one
+    key per post.  ``dedup_delay`` bounds the state by a watermark on the capture
+    time where repeats are known to come that close together.
     """
     from loomweave.operators import envelope as E
     from loomweave.operators import normalize as N
 
-    stream = (spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
-              .json(staging))
+    stream = _files(spark, BRONZE_SCHEMA, files_per_batch).json(staging)
     ok = classify_responses(stream).filter(F.col("outcome") == "ok").drop("outcome")
     checked = E.listing_pages_checked(ok, ("t3",)).filter(F.col("drift").isNull())
     items = E.explode_things(checked, "v", ["captured_at"]).filter(F.col("kind") == "t3")
     posts = items.select(*N.post_columns(F.col("data"), F.col("captured_at"), with_media=False))
-    deduped = posts.withWatermark("captured_at", dedup_delay).dropDuplicatesWithinWatermark(["fullname"])
+    deduped = _first_only(posts, ["fullname"], "captured_at", dedup_delay)
     _run(deduped.writeStream.format("parquet").option("path", silver)
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
 # ---------------------------------------------------------------- S2 dedup
 def dedup_stream(spark: SparkSession, source_dir: str, glob: str, schema: str, key: list[str],
-                 ts_col: str, delay: str, out: str, checkpoint: str) -> None:
-    """First-wins dedup within a watermark (``dropDuplicatesWithinWatermark``)."""
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source_dir)
+                 ts_col: str, out: str, checkpoint: str, delay: str | None = None,
+                 files_per_batch: int | None = None) -> None:
+    """One row per key however the input falls into batches; ``delay`` bounds the state by a watermark."""
+    stream = (_files(spark, schema, files_per_batch).option("pathGlobFilter", glob).parquet(source_dir)
               .withColumn(ts_col, F.col(ts_col).cast("timestamp")))
-    deduped = stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(key)
+    deduped = _first_only(stream, key, ts_col, delay)
     _run(deduped.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
@@ -74,7 +95,7 @@ def dedup_stream(spark: SparkSession, source_dir: str, glob: str, schema: str, k
 # ---------------------------------------------------------------- S3 rate state
 def rate_window_stream(spark: SparkSession, log_dir: str, out: str, checkpoint: str,
                        width: str = "10 minutes", delay: str = "30 minutes",
-                       files_per_batch: int = 1) -> None:
+                       files_per_batch: int | None = None) -> None:
     """S3: per-client budget windows kept as streaming state, emitted in update mode.
 
     Each micro-batch writes the windows it changed, tagged with its batch id;
@@ -82,7 +103,7 @@ def rate_window_stream(spark: SparkSession, log_dir: str, out: str, checkpoint:
     """
     schema = ("client bigint, seq bigint, ts timestamp, event_id bigint, status int, "
               "headers map<string,string>")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(log_dir)
+    stream = _files(spark, schema, files_per_batch).parquet(log_dir)
     parsed = B.advise_stream_columns(stream)
     agg = (parsed.withWatermark("ts", delay)
            .groupBy("client", F.window("ts", width).alias("w"))
@@ -91,10 +112,7 @@ def rate_window_stream(spark: SparkSession, log_dir: str, out: str, checkpoint:
                 .alias("limited"),
                 F.min("remaining").alias("min_remaining")))
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
-
-    _run(agg.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint))
+    _run(agg.writeStream.outputMode("update").foreachBatch(_batch_to(out)).option("checkpointLocation", checkpoint))
 
 
 def latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
@@ -105,47 +123,20 @@ def latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]))
 
 
-# ---------------------------------------------------------------- S3 custom state
-ALERT_SCHEMA = "client long, low_responses long, first_low_seq long, last_low_seq long"
-ALERT_STATE = "low_responses long, first_low_seq long, last_low_seq long"
-
-
-def _alert_update(key, frames, state):
-    """Per client: how often the budget hit zero, first and last time (arrival-order free)."""
-    import pandas as pd
-
-    count, first, last = state.get if state.exists else (0, None, None)
-    for pdf in frames:
-        if pdf.empty:
-            continue
-        count += len(pdf)
-        lo, hi = int(pdf["seq"].min()), int(pdf["seq"].max())
-        first = lo if first is None else min(first, lo)
-        last = hi if last is None else max(last, hi)
-    state.update((count, first, last))
-    yield pd.DataFrame({"client": [key[0]], "low_responses": [count], "first_low_seq": [first],
-                        "last_low_seq": [last]})
-
-
+# ---------------------------------------------------------------- S3 alerts
 def budget_alert_stream(spark: SparkSession, log_dir: str, out: str, checkpoint: str,
-                        low_water: float = 0.0, files_per_batch: int = 1) -> None:
-    """S3: per-client alert state on low budgets (``applyInPandasWithState``).
+                        low_water: float = 0.0, files_per_batch: int | None = None) -> None:
+    """S3: per client, how often the budget was low, first and last time, as stream state.
 
     M1 parses the headers row-locally; responses whose remaining budget is at or
-    below ``low_water`` (0 = exhausted) update a small per-client state, and
-    every micro-batch emits the clients it changed (update mode) via ``foreachBatch``.
+    below ``low_water`` (0 = exhausted) update count, minimum and maximum per
+    client, which combine before the shuffle, so a busy client is a few rows a
+    task.  Every micro-batch emits the clients it changed (update mode).
     """
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
     schema = ("client bigint, seq bigint, ts timestamp, event_id bigint, status int, "
               "headers map<string,string>")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(log_dir)
-    zeros = (B.advise_stream_columns(stream).filter(F.col("remaining") <= F.lit(float(low_water)))
-             .select("client", "seq"))
-    alerts = zeros.groupBy("client").applyInPandasWithState(
-        _alert_update, ALERT_SCHEMA, ALERT_STATE, "update", GroupStateTimeout.NoTimeout)
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
-
-    _run(alerts.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint))
+    stream = _files(spark, schema, files_per_batch).parquet(log_dir)
+    alerts = (B.advise_stream_columns(stream).filter(F.col("remaining") <= F.lit(float(low_water)))
+              .groupBy("client").agg(F.count("*").alias("low_responses"), F.min("seq").alias("first_low_seq"),
+                                     F.max("seq").alias("last_low_seq")))
+    _run(alerts.writeStream.outputMode("update").foreachBatch(_batch_to(out)).option("checkpointLocation", checkpoint))
