@@ -142,6 +142,11 @@ def iso(ts: Column) -> Column:
             .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` written into the plan once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _code_point_text(code: Column) -> Column:
     """The character of a numeric reference under the HTML5 rules (its cases for control, surrogate and unassigned codes)."""
     high_latin = F.array(*[F.lit(bytes([n]).decode("cp1252", "ignore") or chr(n)) for n in range(0x80, 0xA0)])
@@ -176,28 +181,35 @@ def html_unescape(s: Column) -> Column:
     bare = {k: v for k, v in html5.items() if not k.endswith(";")}
     opened, starts = _literal_map(bare), "^(" + "|".join(sorted(bare, key=lambda k: (-len(k), k))) + ")"
 
-    def piece(t: Column) -> Column:
+    def numeric(t: Column) -> Column:
         dec, hexa = F.regexp_extract(t, "^&#([0-9]+);?", 1), F.regexp_extract(t, "^&#[xX]([0-9a-fA-F]+);?", 1)
+        code = F.when(dec != "", _code(dec, 10, 7)).when(hexa != "", _code(hexa, 16, 6))
+        rest = F.regexp_replace(t, "^&#([0-9]+|[xX][0-9a-fA-F]+);?", "")
+        return bind(code, lambda c: F.when(c.isNull(), t).otherwise(F.concat(_code_point_text(c), rest)))
+
+    def piece(t: Column) -> Column:
         name = F.regexp_extract(t, r"^&([^\t\n\f <&#;]{1,32};)", 1)
         prefix = F.regexp_extract(t.substr(F.lit(2), F.length(t)), starts, 1)
-        exact = F.try_element_at(closed, name)
+        exact = F.when(name != "", F.concat(F.try_element_at(closed, name), t.substr(F.length(name) + 2, F.length(t))))
         return (F.when(~t.startswith("&"), t)
-                .when(dec != "", F.concat(_code_point_text(_code(dec, 10, 7)), F.regexp_replace(t, "^&#[0-9]+;?", "")))
-                .when(hexa != "", F.concat(_code_point_text(_code(hexa, 16, 6)), F.regexp_replace(t, "^&#[xX][0-9a-fA-F]+;?", "")))
-                .when((name != "") & exact.isNotNull(), F.concat(exact, t.substr(F.length(name) + 2, F.length(t))))
+                .when(t.startswith("&#"), numeric(t))
+                .when(exact.isNotNull(), exact)
                 .when(prefix != "", F.concat(F.try_element_at(opened, prefix), t.substr(F.length(prefix) + 2, F.length(t))))
                 .otherwise(t))
 
-    return F.when(F.instr(s, "&") == 0, s).otherwise(F.array_join(F.transform(F.split(s, "(?=&)", -1), piece), ""))
+    return bind(s, lambda x: F.when(F.instr(x, "&") == 0, x).otherwise(
+        F.array_join(F.transform(F.split(x, "(?=&)", -1), piece), "")))
 
 
 def safe_external_url(s: Column) -> Column:
     """http/https URL with a host, else ''."""
-    url = html_unescape(F.coalesce(s, F.lit("")))
-    proto = F.lower(F.try_parse_url(url, F.lit("PROTOCOL")))
-    host = F.try_parse_url(url, F.lit("HOST"))
-    ok = proto.isin("http", "https") & host.isNotNull() & (host != "")
-    return F.when(ok, url).otherwise(F.lit(""))
+    def checked(url: Column) -> Column:
+        proto = F.lower(F.try_parse_url(url, F.lit("PROTOCOL")))
+        host = F.try_parse_url(url, F.lit("HOST"))
+        ok = proto.isin("http", "https") & host.isNotNull() & (host != "")
+        return F.when(ok, url).otherwise(F.lit(""))
+
+    return bind(html_unescape(F.coalesce(s, F.lit(""))), checked)
 
 
 def first_nonempty(*cols: Column) -> Column:

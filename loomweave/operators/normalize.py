@@ -30,9 +30,8 @@ def build_media(node: Column, kind: str | Column) -> Column:
                          C.truthy_integer(source, "y", "height"))
 
 
-def _embed(post: Column, node: Column) -> Column:
+def _embed(url: Column, node: Column) -> Column:
     """Embed attachment from the post's own safe URL, sized by ``node``."""
-    url = C.safe_external_url(C.text(post, "url"))
     return F.when(url != "", F.array(_media_struct("embed", url, C.integer(node, "width"),
                                                    C.integer(node, "height"))))
 
@@ -47,29 +46,31 @@ def post_media(post: Column) -> Column:
             C.is_object(item) & C.is_object(F.element_at(metadata, C.string_or_null(item, "media_id"))),
             build_media(F.element_at(metadata, C.string_or_null(item, "media_id")), "gallery"))),
         lambda m: m.isNotNull() & (m["url"] != ""))
-    gallery_branch = F.when(C.is_object(gallery) & metadata.isNotNull() & (F.size(gallery_media) > 0),
-                            gallery_media)
+    gallery_branch = F.when(C.is_object(gallery) & metadata.isNotNull(), gallery_media)
 
     secure = C.get(post, "secure_media")
     media = F.when(C.is_object(secure), secure).otherwise(C.get(post, "media"))
     video = C.get(media, "reddit_video")
-    video_m = build_media(video, "video")
-    video_branch = F.when(C.is_object(media) & C.is_object(video) & (video_m["url"] != ""),
-                          F.array(video_m))
+    video_branch = F.when(C.is_object(media) & C.is_object(video),
+                          F.filter(F.array(build_media(video, "video")), lambda m: m["url"] != ""))
     oembed = C.get(media, "oembed")
-    oembed_branch = F.when(C.is_object(media) & C.is_object(oembed), _embed(post, oembed))
     embed = C.get(post, "media_embed")
-    embed_branch = F.when(C.is_object(embed), _embed(post, embed))
-
-    image_url = C.safe_external_url(C.text(post, "url"))
     first_image = F.element_at(C.as_array(C.get(C.get(post, "preview"), "images")), 1)
     source = F.when(C.is_object(first_image) & C.is_object(C.get(first_image, "source")),
                     C.get(first_image, "source"))
-    image_branch = F.when((C.text(post, "post_hint") == "image") & (image_url != ""),
-                          F.array(_media_struct("image", image_url, C.integer(source, "width"),
-                                                C.integer(source, "height"))))
-    return F.coalesce(gallery_branch, video_branch, oembed_branch, embed_branch, image_branch,
-                      F.array().cast(MEDIA_TYPE))
+
+    def from_url(url: Column) -> Column:
+        oembed_branch = F.when(C.is_object(media) & C.is_object(oembed), _embed(url, oembed))
+        embed_branch = F.when(C.is_object(embed), _embed(url, embed))
+        image_branch = F.when((C.text(post, "post_hint") == "image") & (url != ""),
+                              F.array(_media_struct("image", url, C.integer(source, "width"),
+                                                    C.integer(source, "height"))))
+        return F.coalesce(oembed_branch, embed_branch, image_branch, F.array().cast(MEDIA_TYPE))
+
+    def some(branch: Column, otherwise: Column) -> Column:
+        return C.bind(branch, lambda found: F.when(F.size(found) > 0, found).otherwise(otherwise))
+
+    return some(gallery_branch, some(video_branch, C.bind(C.safe_external_url(C.text(post, "url")), from_url)))
 
 
 def post_columns(d: Column, captured_at: Column, with_media: bool = True) -> list[Column]:
