@@ -85,3 +85,33 @@ def test_held_out_precision_and_recall():
         hits[good][0] += bool(P.find(f"some words {body} and more", trees)[1])
         hits[good][1] += 1
     assert hits[True][0] / hits[True][1] > 0.9 and hits[False][0] / hits[False][1] < 0.05
+
+
+def test_secrets_of_any_length_end_where_they_end():
+    trees, rng = model(), random.Random(4)
+
+    def code(n, chars="0123456789abcdefABCDEFxyzXYZ"):
+        return "".join(rng.choice(chars) for _ in range(n))
+
+    jwt = ".".join(code(n, "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_-") for n in (36, 900, 62))
+    for value in (code(20), code(257), code(1000), code(5000), jwt):
+        text = f"some words token={value} and more"
+        base, added = P.find(text, trees)
+        assert (base, added) == ([], [("secret", 17, 17 + len(value))]), (len(value), added)
+        assert P.redact(text, added) == "some words token=[SECRET] and more"
+    for n in (128, 129, 1000):       # a code without a name in front
+        text = f"words {(value := code(n))} more"
+        assert ("secret", 6, 6 + n) in P.candidates(text)
+        assert P.find(text, trees)[1] in ([], [("secret", 6, 6 + n)])
+    letters = "k" * 60 + "7" * 20    # the first digit may stand anywhere
+    assert ("secret", 2, 82) in P.candidates(f"a {letters} b")
+    # a base span inside the value: what it leaves is still secret
+    value = code(300) + "/a.b@c.org/" + code(30, "abcdef")
+    text = f"some words token={value} and more"
+    base, added = P.find(text, trees)
+    assert base and P.redact(text, base + added) == "some words token=[SECRET][EMAIL][SECRET] and more"
+
+
+def test_long_secrets_are_linear():
+    for t in ("key=" + "a1" * 200_000, "a_" * 200_000 + "1", "key=" + "".join(map(chr, range(0x4e00, 0x9fa5))) * 10, "ab1_" * 100_000, ("k" * 50 + "_") * 6_000):
+        P.find(t, P.Trees(0.0, [], dict.fromkeys(P.ALL_KINDS, 0.1)))
