@@ -3,7 +3,7 @@
 Base spans (email, ip, card, phone) follow fixed rules and always stay.  High-
 recall generators propose more spans, which may overlap: spelled-out mail
 addresses, phone numbers without a plus, cards with other separators, IPv6
-addresses, credentials.  Gradient boosted trees score each proposal by its
+addresses (whole and with "::"), credentials.  Gradient boosted trees score each proposal by its
 format and its surroundings; a threshold per kind, the least that keeps the
 wanted precision on training data set aside, selects; of selected spans
 that overlap the best score stays.  A secret runs to its value's end, whatever
@@ -49,6 +49,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
+_ANY_DIGITS = re.compile(r"\d")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -102,25 +103,38 @@ _CUES = {"email": ("mail", "contact", "write"), "ip": ("ip", "host", "addr", "se
          "phone": ("tel", "phone", "call", "mobile", "fax"), "secret": ("password", "passwd", "pwd", "token", "secret", "key", "auth")}
 _G_SECRET = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{6,}+)")
 _G_CODE = re.compile(r"(?<![0-9A-Za-z])(?=[A-Za-z]*+[0-9])[0-9A-Za-z_]{20,}+")
-_G_EMAIL = re.compile(r"(?i)(?<![\w.+%-])[\w.+%-]{1,64}(?:\s?[(\[]\s?at\s?[)\]]\s?|\sat\s)[\w-]{1,63}(?:(?:\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s|\.)[\w-]{2,63}){1,4}")
+_G_EMAIL = re.compile(r"(?i)(?<![\w.+%-])[\w.+%-]{1,64}+(?:\s?[(\[]\s?at\s?[)\]]\s?|\sat\s)[\w-]{1,63}(?:(?:\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s|\.)[\w-]{2,63}){1,4}")
+#: In every match of _G_EMAIL.
+_AT = re.compile(r"(?i)[\s(\[]at[\s)\]]")
 _G_PHONE = re.compile(r"(?<![\d+.(-])(?:00\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d.-])")
 _G_CARD = re.compile(r"(?<![\d.])\d{4}([./_])\d{4}\1\d{4}\1\d{1,7}(?![\d.])")
 _G_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
+#: Compressed IPv6: at most 7 groups, one of them at least, on both sides of the "::".
+_G_IP_SHORT = re.compile(r"(?<![\w:.])((?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?+)::((?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?+)(?![\w:])")
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    """High-recall proposals beside the base spans; they may overlap."""
+    """High-recall proposals beside the base spans; they may overlap.
+
+    What decides whether a generator runs holds wherever it has a match, so a
+    span is proposed whatever else the text says.
+    """
     out = []
-    if any(d in text for d in ("dot", "DOT", "Dot", "(at", "[at", "(AT", "[AT")):
+    if _AT.search(text):
         out += [("email", *m.span()) for m in _G_EMAIL.finditer(text)]
     if "=" in text or ":" in text:
         out += [("secret", *m.span(1)) for m in _G_SECRET.finditer(text)]
     if _DIGITS.search(text):
         out += [("secret", *m.span()) for m in _G_CODE.finditer(text)]
+    if _ANY_DIGITS.search(text):
         out += [("phone", *m.span()) for m in _G_PHONE.finditer(text)]
         out += [("card", *m.span()) for m in _G_CARD.finditer(text)]
-        if ":" in text:
-            out += [("ip", *m.span()) for m in _G_IP.finditer(text)]
+    if ":" in text:
+        out += [("ip", *m.span()) for m in _G_IP.finditer(text)]
+    if "::" in text:
+        for m in _G_IP_SHORT.finditer(text):
+            if 1 <= sum(1 + side.count(":") for side in m.groups() if side) <= 7:
+                out.append(("ip", *m.span()))
     return out
 
 
@@ -222,6 +236,13 @@ def made(rng: random.Random, word: str) -> tuple[str, bool]:
             return f"{word}{rng.choice(['.', '_', ''])}{_digits(rng, rng.randrange(3))}{at}{rng.choice(['mail', 'post', word])}{dot}{rng.choice(['com', 'org', 'net', 'de'])}", True
         return rng.choice([f"{word} at {word}.{word}", f"{word} at the dot {word}", f"look at {word} dot"]), False
     if kind == "ip":
+        short = rng.random() < 0.5
+        if short and good:
+            net = rng.choice(["2001:db8", f"2001:{rng.randrange(1, 1 << 12):x}", f"2a0{_digits(rng, 1)}:{rng.randrange(1 << 16):x}", "fe80", f"fd{rng.randrange(256):02x}:{rng.randrange(1 << 16):x}"])
+            return net + "::" + ":".join("%x" % rng.randrange(1, 1 << rng.choice([4, 8, 16])) for _ in range(rng.randrange(1, 5))), True
+        if short:
+            return rng.choice(["::".join(rng.choice(["add", "bad", "dead", "face", "fade", "feed", "cafe", "a", "b", "c", "de", "ed"]) for _ in range(2)),
+                               f"{rng.choice(['a', 'b', 'c', 'd', 'f'])}::{rng.choice(['add', 'dec', 'a', 'b'])}", f"{_digits(rng, rng.randrange(1, 3))}::{_digits(rng, rng.randrange(1, 3))}"]), False
         if good:
             return ":".join("%x" % rng.randrange(1 << 16) for _ in range(8)), True
         return rng.choice([f"{rng.randrange(24):02d}:{rng.randrange(60):02d}:{rng.randrange(60):02d}", f"{_digits(rng, 1)}:{_digits(rng, 2)}:{_digits(rng, 2)}:{_digits(rng, 2)}"]), False

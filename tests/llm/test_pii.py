@@ -115,3 +115,29 @@ def test_secrets_of_any_length_end_where_they_end():
 def test_long_secrets_are_linear():
     for t in ("key=" + "a1" * 200_000, "a_" * 200_000 + "1", "key=" + "".join(map(chr, range(0x4e00, 0x9fa5))) * 10, "ab1_" * 100_000, ("k" * 50 + "_") * 6_000):
         P.find(t, P.Trees(0.0, [], dict.fromkeys(P.ALL_KINDS, 0.1)))
+
+
+def test_proposals_do_not_hang_on_other_words():
+    spelled = ["john at example.com", "john [ at ] example.com", "john (At) example.com", "john ( AT ) example [Dot] com", "john\tat example.com"]
+    short = ["2001:db8::1", "fe80::1", "::1", "2001:db8::", "dead:beef::cafe", "fe80::a:b", "1:2:3:4:5:6::8"]
+    others = ["٠٥٥-٥٥٥-٥٥٥٥", "ab:cd:ef:ab:cd:ef:ab:cd"]
+    for body in spelled + short + others:
+        alone = [(k, s, e) for k, s, e in P.candidates(f"so {body} then") if (s, e) == (3, 3 + len(body))]
+        beside = [(k, s, e) for k, s, e in P.candidates(f"so {body} then an anecdote of 7: [at] a dot") if (s, e) == (3, 3 + len(body))]
+        assert alone and alone == beside, body
+    for body in ("std::vector", "a std::add b", "::", "1:2:3:4::5:6:7:8", "1::2::3", "abcde::1", "12:::30"):
+        assert not [c for c in P.candidates(f"so {body} then") if c[0] == "ip" and "::" in f"so {body} then"[c[1]:c[2]]], body
+    trees = model()
+    for body in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "2a02:26f0::17:ab3"):
+        text = f"the host {body} is up"
+        assert P.find(text, trees)[1] == [("ip", 9, 9 + len(body))], body
+    for body in ("add::bad", "1::2", "a::b", "12::30"):
+        assert P.find(f"the name {body} is up", trees)[1] == [], body
+    for body in spelled:
+        text = f"write to {body} then"
+        assert P.find(text, trees)[1] == P.find(f"{text} and tell an anecdote", trees)[1]
+
+
+def test_many_separators_are_linear():
+    for t in ("a at " * 60_000, "::" * 150_000, "ab::" * 75_000, "1:" * 100_000 + ":1", "a" * 200_000 + " at ", "(at)" * 75_000, "ab:cd::" * 40_000):
+        P.find(t, P.Trees(0.0, [], dict.fromkeys(P.ALL_KINDS, 2.0)))
