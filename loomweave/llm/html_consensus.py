@@ -5,7 +5,8 @@ own paragraphs) and votes for the best one's generalised path: the tags from
 the root with their classes, digits as ``#``.  Votes are summed per host in
 Spark (partial sums, so a host may have any share of the pages).  Pass two extracts
 every page again from its host's winning path, the first of the host's ranking
-that the page has; a page that has none of them uses its own best container.
+that the page has with any text; a page that has none of them uses its own best
+container, and one without any container all text that is not boilerplate.
 
 Inside the container, menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out.
@@ -150,7 +151,11 @@ def _path(node: _Node) -> str:
 
 def best_path(page: str) -> str | None:
     """The generalised path of the best container; None where no container holds text."""
-    texts, containers = parse(page)
+    best = _best(*parse(page))
+    return _path(best) if best else None
+
+
+def _best(texts: list[tuple[_Node, str, bool, int]], containers: list[_Node]) -> _Node | None:
     if not containers:
         return None
     known = set(map(id, containers))
@@ -166,11 +171,15 @@ def best_path(page: str) -> str | None:
                 share /= 2
             node = node.parent
     best = max(containers, key=lambda c: c.score * (1 - c.linked / c.text if c.text else 0))
-    return _path(best) if best.score > 0 else None
+    return best if best.score > 0 else None
 
 
 def extract(page: str, paths: list[str]) -> str:
-    """Text of the elements on the first of ``paths`` that the page has with any text; else of all that is not boilerplate."""
+    """Text of the elements on the first of ``paths`` that the page has with any text.
+
+    Else of the page's own best container, and of those on the same path that
+    are not mostly links; else of all that is not boilerplate.
+    """
     texts, containers = parse(page)
     by_path: dict[str, set[int]] = {}
     wanted = set(paths)
@@ -178,31 +187,41 @@ def extract(page: str, paths: list[str]) -> str:
     for c in containers:
         if c.label in last and (p := _path(c)) in wanted:
             by_path.setdefault(p, set()).add(id(c))
-    for p in [x for x in paths if x in by_path] + [None]:
-        chosen, inside, blocks, now = by_path.get(p), {}, [], None
-        for node, text, _, block in texts:
-            if node.boiler:
-                continue
-            if chosen is not None:
-                chain, n = [], node
-                while n is not None and id(n) not in inside:
-                    chain.append(n)
-                    if id(n) in chosen:
-                        break
-                    n = n.parent
-                hit = n is not None and (id(n) in chosen or inside.get(id(n), False))
-                for c in chain:
-                    inside[id(c)] = hit
-                if not hit:
-                    continue
-            if block != now:
-                blocks.append([])
-                now = block
-            blocks[-1].append(text)
-        whole = "\n\n".join(t for t in (_SPACE.sub(" ", "".join(b)).strip() for b in blocks) if t)
-        if whole:
+    for p in paths:
+        if p in by_path and (whole := _inside(texts, by_path[p])):
+            return whole
+    own = _best(texts, containers)
+    if own:
+        path = _path(own)
+        like = {id(c) for c in containers if c.label == own.label and 2 * c.linked <= c.text and _path(c) == path}
+        if whole := _inside(texts, like | {id(own)}):
             return whole
-    return ""
+    return _inside(texts, None)
+
+
+def _inside(texts: list[tuple[_Node, str, bool, int]], chosen: set[int] | None) -> str:
+    """Text inside the chosen elements (None: anywhere) that is not boilerplate."""
+    inside, blocks, now = {}, [], None
+    for node, text, _, block in texts:
+        if node.boiler:
+            continue
+        if chosen is not None:
+            chain, n = [], node
+            while n is not None and id(n) not in inside:
+                chain.append(n)
+                if id(n) in chosen:
+                    break
+                n = n.parent
+            hit = n is not None and (id(n) in chosen or inside.get(id(n), False))
+            for c in chain:
+                inside[id(c)] = hit
+            if not hit:
+                continue
+        if block != now:
+            blocks.append([])
+            now = block
+        blocks[-1].append(text)
+    return "\n\n".join(t for t in (_SPACE.sub(" ", "".join(b)).strip() for b in blocks) if t)
 
 
 def host(url: str | None) -> str:
@@ -267,11 +286,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 
 def _page_text(page: str, paths: list[str]) -> str:
-    if not page:
-        return ""
-    own = best_path(page) if not paths else None
-    text = extract(page, [*paths, own] if own else paths)
-    return text
+    return extract(page, paths) if page else ""
 
 
 def _with_paths(src: DataFrame, won: DataFrame) -> DataFrame:

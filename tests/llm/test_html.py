@@ -46,3 +46,18 @@ def test_paths_are_generalised():
 def test_adversarial_pages_end():
     for t in ("<" * 50_000, "<div>" * 20_000 + "x", "<a b=\"" * 5_000, "<p>" * 30_000, "</div>" * 30_000, "<!--" * 20_000, "<script>" * 5_000, "&" * 50_000, "x" * 200_000):
         H._page_text(t, ["html/body"])
+
+
+def test_a_rare_template_uses_its_own_container(spark):
+    links = "".join(f'<div class="t{k}"><a href="/{k}">Teaser number {k} of many</a></div>' for k in range(20))
+    rare = f'<html><body><div class="x1">{links}</div><div class="x2"><p>%s</p><p>Its second paragraph, <a href="/y">linked</a>.</p></div><div class="box">Some box beside it</div></body></html>'
+    text = "An article of a template that few pages have. " * 5
+    rows = [(k, "https://host.example/", page(k)[0]) for k in range(40)] + [(50, "https://host.example/rare", rare % text)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.main_text(df).collect()}
+    assert got[50] == f"{text.strip()}\n\nIts second paragraph, linked."
+    assert got[7] == page(7)[1]
+    bare = rare.replace(' class="x1"', "").replace(' class="x2"', "")       # list and article on one path
+    assert H._page_text(bare % text, ["html/body/div.post"]) == H._page_text(bare % text, []) == got[50]
+    # a winner without text on the page does not stand in the way either
+    assert H._page_text(rare % text, ["html/body/div.x#/div.t#/div", "html/body/div.post"]) == got[50]
