@@ -9,7 +9,11 @@ that the page has with any text; a page that has none of them uses its own best
 container, and one without any container all text that is not boilerplate.
 
 Inside the container, menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments are left out.
+forms, scripts, styles and reader comments are left out.  Words of class and id
+do not mark html, body, main or an outermost article that is not named another
+kind of article, nor an element with most of the page's unlinked text and its
+h1, main or an article inside; a form's tag does not mark one with most of that
+text.  If marks leave a page no text, the largest marked elements are read.
 """
 
 from __future__ import annotations
@@ -34,34 +38,91 @@ BROADCAST_ROWS = 50_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _SPACE = re.compile(r"\s+")
-_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>|\Z", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "button", "option")}
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>|\Z", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math")}
+#: Left out as elements, since their end tag may be missing; they break no line and an inline end tag reaches out of them.
+_LOOSE = frozenset("select optgroup option button svg math".split())
+_QUIET = frozenset("button svg math".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var big acronym nobr ruby rt rp".split())
 _CONTAINER = frozenset("body div article section main td center blockquote figure".split())
 #: A start tag of the left closes an open element of the right, up to the nearest container.
 _CLOSES = {t: frozenset(["p"]) for t in "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()}
 _CLOSES |= {"li": frozenset(["li", "p"]), "dd": frozenset(["dd", "dt", "p"]), "dt": frozenset(["dd", "dt", "p"]),
-            "tr": frozenset(["tr", "td", "th", "p"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"])}
-_STOPS = {"li": frozenset("ul ol menu".split()), "dd": frozenset(["dl"]), "dt": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"])}
-_BOILER_TAGS = frozenset("nav footer aside form dialog menu head fieldset".split())
+            "tr": frozenset(["tr", "td", "th", "p"]), "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"]),
+            "option": frozenset(["option"]), "select": frozenset(["select", "option"]), "button": frozenset(["button"])}
+_STOPS = {"li": frozenset("ul ol menu".split()), "dd": frozenset(["dl"]), "dt": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"]),
+           "option": _CONTAINER | {"select", "datalist"}, "button": _CONTAINER | {"table", "li"}, "select": _CONTAINER | {"table", "li"}}
+_SCOPE = _CONTAINER | {"button"}
+_BOILER_TAGS = frozenset("nav footer aside dialog menu head".split()) | _LOOSE
+_FORMS = frozenset("form fieldset".split())
 #: Words of class and id values that mark parts other than the article.
 _BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay
 nav navbar navigation menu breadcrumb breadcrumbs sidebar rail widget related recommended share sharing social comment comments disqus reply replies footer masthead topbar toolbar
 newsletter subscribe subscription signup login pagination pager copyright tags""".split())
+#: Those that name another kind of article.
+_OTHER_ARTICLES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion related recommended comment comments disqus reply replies".split())
 _WORDS = re.compile(r"[a-z]+|\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "label", "parent", "boiler", "hidden", "text", "linked", "score")
+    __slots__ = ("tag", "label", "parent", "boiler", "marked", "path", "text", "linked", "score")
 
-    def __init__(self, tag: str, label: str, parent: _Node | None, boiler: bool):
-        self.tag, self.label, self.parent, self.boiler = tag, label, parent, boiler
-        self.text = self.linked = 0
+    def __init__(self, tag: str, label: str, parent: _Node | None, boiler: bool, marked: int):
+        self.tag, self.label, self.parent, self.boiler, self.marked = tag, label, parent, boiler, marked
+        self.path = self.text = self.linked = 0
         self.score = 0.0
 
 
-def _boiler(tag: str, words: set[str], inside_article: bool) -> bool:
-    return tag in _BOILER_TAGS or (tag == "header" and not inside_article) or bool(words & _BOILER_WORDS)
+def _marked(tag: str, words: set[str], in_article: bool) -> int:
+    """2: marked by words, 1: by a form's tag, 0: not; only a mark, see _settle."""
+    if tag in ("html", "body", "main"):
+        return 0
+    if words & (_OTHER_ARTICLES if tag == "article" and not in_article else _BOILER_WORDS):
+        return 2
+    return int(tag in _FORMS)
+
+
+def _settle(nodes: list[_Node], leads: list[_Node], texts: list[tuple[_Node, str, bool, int]]) -> None:
+    """Takes back marks that would drop the article, then hands boilerplate down; ``nodes`` in page order, the root first."""
+    marks = [n for n in nodes if n.marked]
+    if not marks:
+        return
+    sure = {id(n) for n in nodes if n.boiler}
+    held = dict.fromkeys(map(id, nodes), 0)       # unlinked text inside
+    for node, text, linked, _ in texts:
+        if not linked and not node.boiler:
+            held[id(node)] += len(text.strip())
+    for n in reversed(nodes[1:]):
+        held[id(n.parent)] += held[id(n)]
+    total = held[id(nodes[0])]
+    leading: set[int] = set()
+    for n in leads:
+        if n.marked and 2 * held[id(n)] > total:
+            n.marked = 0
+        up = None if n.marked or n.boiler else n
+        while up is not None and id(up) not in leading:
+            leading.add(id(up))
+            up = up.parent
+    for n in marks:
+        if 2 * held[id(n)] > total and (n.marked == 1 or id(n) in leading):
+            n.marked = 0
+
+    def hand_down() -> None:
+        for n in nodes[1:]:
+            n.boiler = id(n) in sure or n.marked > 0 or n.parent.boiler
+
+    hand_down()
+    if total and all(node.boiler or text.isspace() for node, text, _, _ in texts):
+        largest = max((held[id(n)] for n in marks if n.marked), default=0)
+        for n in marks:
+            n.marked = n.marked if 2 * held[id(n)] <= largest else 0
+        hand_down()
+
+
+def _self_closing(attrs: str) -> bool:
+    """Whether a start tag ends in a slash that is not the end of an unquoted value."""
+    last = "" if attrs[-2:-1].isspace() else (attrs[:-1].rsplit(None, 1) or [""])[-1]
+    return attrs.endswith("/") and not ("=" in last and last[-1] not in "\"'")
 
 
 def parse(page: str) -> tuple[list[tuple[_Node, str, bool, int]], list[_Node]]:
@@ -69,8 +130,10 @@ def parse(page: str) -> tuple[list[tuple[_Node, str, bool, int]], list[_Node]]:
 
     A new block number begins at every start or end of an element that is not inline; br is white space.
     """
-    root = _Node("#", "", None, False)
-    stack, texts, containers, block, at, links = [root], [], [], 0, 0, 0
+    root = _Node("#", "", None, False, 0)
+    stack, texts, nodes, leads, block, at, links, buttons, articles = [root], [], [root], [], 0, 0, 0, 0, 0
+    unclosed: set[str] = set()
+    numbers: dict[tuple[int, str], int] = {}      # of the page's paths, as _path writes them
 
     def add(text: str) -> None:
         if text and not text.isspace():
@@ -79,9 +142,11 @@ def parse(page: str) -> tuple[list[tuple[_Node, str, bool, int]], list[_Node]]:
             texts.append((stack[-1], " ", links > 0, block))
 
     def pop_to(depth: int) -> None:
-        nonlocal links
+        nonlocal links, buttons, articles
         for n in stack[depth:]:
             links -= n.tag == "a"
+            buttons -= n.tag == "button"
+            articles -= n.tag == "article"
         del stack[depth:]
 
     while True:
@@ -98,46 +163,60 @@ def parse(page: str) -> tuple[list[tuple[_Node, str, bool, int]], list[_Node]]:
             depth = len(stack) - 1
             while depth > 0 and stack[depth].tag != tag:
                 # an inline end tag reaches out of no block, a block's end tag closes what is open inside
-                depth = 0 if inline and stack[depth].tag not in _INLINE else depth - 1
+                depth = 0 if inline and stack[depth].tag not in _INLINE and stack[depth].tag not in _LOOSE else depth - 1
             if depth > 0:
                 pop_to(depth)
-            block += not inline
+            block += not (inline or buttons or tag in _QUIET)
             continue
         if tag == "br":
             texts.append((stack[-1], " ", links > 0, block))
             continue
-        if tag in _RAW:
-            end = _RAW[tag].search(page, at)
-            at = end.end()
-            block += tag not in ("button", "svg", "math")
+        if tag in ("svg", "math") and _self_closing(m.group(3)):
             continue
+        if stack[-1].tag in ("svg", "math"):
+            # one without an end tag: elements of a page end it, others are its own
+            if tag not in _CLOSES and tag not in _CONTAINER and (tag not in _INLINE or tag == "a"):
+                continue
+            pop_to(len(stack) - 1)
+        if tag in _RAW and tag not in unclosed:
+            end = _RAW[tag].search(page, at)
+            if end.group() or tag not in _LOOSE:
+                at = end.end()
+                block += not (buttons or tag in _QUIET)
+                continue
+            unclosed.add(tag)
         if tag in _CLOSES:
-            depth, stops = len(stack) - 1, _STOPS.get(tag, _CONTAINER)
+            depth, stops = len(stack) - 1, _STOPS.get(tag, _SCOPE)
             hit = 0
             while depth > 0 and stack[depth].tag not in stops and not (tag not in _STOPS and stack[depth].tag in ("table", "li")):
                 hit = depth if stack[depth].tag in _CLOSES[tag] else hit
                 depth -= 1
             if hit:
                 pop_to(hit)
-        block += not inline
+        block += not (inline or buttons or tag in _QUIET)
         if tag in _VOID:
             continue
-        words, label = set(), tag
+        words, label, hidden = set(), tag, False
         if m.group(3) and not m.group(3).isspace():
             attrs = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(m.group(3))}
             words = set(_WORDS.findall(attrs.get("class", "") + " " + attrs.get("id", "")))
-            if attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert") or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-                words.add("nav")
+            hidden = (attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert") or "hidden" in attrs or attrs.get("aria-hidden") == "true") and tag not in ("html", "body")
             classes = sorted(re.sub(r"\d+", "#", c) for c in attrs.get("class", "").split())
             label = ".".join([tag, *classes])
         top = stack[-1]
         article = any(n.tag in ("article", "main") for n in stack[-8:])
-        node = _Node(tag, label, top, top.boiler or _boiler(tag, words, article))
+        sure = top.boiler or hidden or tag in _BOILER_TAGS or (tag == "header" and not article)
+        node = _Node(tag, label, top, sure, _marked(tag, words, articles > 0))
+        node.path = top.path if inline else numbers.setdefault((top.path, label), len(numbers) + 1)
+        nodes.append(node)
+        if tag in ("h1", "main") or (tag == "article" and not articles):
+            leads.append(node)
         links += tag == "a"
+        buttons += tag == "button"
+        articles += tag == "article"
         stack.append(node)
-        if tag in _CONTAINER and not node.boiler:
-            containers.append(node)
-    return texts, containers
+    _settle(nodes, leads, texts)
+    return texts, [n for n in nodes if n.tag in _CONTAINER and not n.boiler]
 
 
 def _path(node: _Node) -> str:
@@ -192,9 +271,7 @@ def extract(page: str, paths: list[str]) -> str:
             return whole
     own = _best(texts, containers)
     if own:
-        path = _path(own)
-        like = {id(c) for c in containers if c.label == own.label and 2 * c.linked <= c.text and _path(c) == path}
-        if whole := _inside(texts, like | {id(own)}):
+        if whole := _inside(texts, {id(c) for c in containers if c.path == own.path and 2 * c.linked <= c.text} | {id(own)}):
             return whole
     return _inside(texts, None)
 

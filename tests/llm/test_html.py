@@ -61,3 +61,36 @@ def test_a_rare_template_uses_its_own_container(spark):
     assert H._page_text(bare % text, ["html/body/div.post"]) == H._page_text(bare % text, []) == got[50]
     # a winner without text on the page does not stand in the way either
     assert H._page_text(rare % text, ["html/body/div.x#/div.t#/div", "html/body/div.post"]) == got[50]
+
+
+def test_class_words_and_forms_do_not_drop_the_page():
+    text = "A paragraph of the article that has some length. " * 4
+    body = f"<h1>Title</h1><p>{text}</p>"
+    want = f"Title\n\n{text.strip()}"
+    rest = '<nav>menu</nav><div class="sidebar"><p>Other</p></div><section class="comments"><p>A reader.</p></section><footer>me</footer>'
+    for html in (f'<html class="no-banner"><body class="has-sidebar">{body}{rest}</body></html>', f'<body><main id="comment-policy">{body}</main>{rest}</body>',
+                 f'<body><article class="post has-sidebar tags">{body}</article>{rest}</body>', f'<body><div>Skip</div><form id="aspnet"><div class="p">{body}</div>{rest}</form></body>',
+                 f'<body><div class="page sidebar-right">{body}{rest}</div></body>', f'<body><div class="widget"><p>{text}</p></div></body>',
+                 f'<body><div id="related-works"><div><p>{text}</p></div>{rest}</div></body>', f'<body><form><p>{text}</p>{rest}</form></body>'):
+        got = H._page_text(html, [])
+        assert got == (want if "<h1>" in html else text.strip()), html
+        assert H._page_text(html, [H.best_path(html)]) == got
+    # words still mark parts, and short articles beside long comments stay
+    many = "".join(f'<article class="comment"><p>{text}</p></article>' for _ in range(5))
+    for html in (f'<body><div class="post"><h1>T</h1><p>Short.</p></div><div class="comments">{many}</div></body>', f'<body><div class="post"><h1>T</h1><p>Short.</p></div>{many}</body>',
+                 f'<body><article><h1>T</h1><p>Short.</p>{many}</article></body>', f'<body><div class="post"><h1>T</h1><p>Short.</p></div><form><p>Your name</p></form><div class="cookie"><p>{text}</p></div></body>'):
+        assert H._page_text(html, []) == "T\n\nShort.", html
+
+
+def test_missing_end_tags_lose_no_text():
+    for part in ("<svg class=i />", '<svg viewBox="0 0 1 1"/>', "<svg/>", "<math/>", "<datalist id=d><option value=a><option value=b>B</datalist>", "<select><option>A<option>B</select>",
+                 "<span><select><option>A</span>", "<span><button>Go</span>", "<span><svg><path d=x /></span>", "<button>Go <i>on</i></button>", "<svg><title>t</title></svg>", "<svg data=x/><text>t</text></svg>"):
+        html = f"<body><div><p>One {part}two.</p><p>Three.</p></div><p>Four</p></body>"
+        got = H._page_text(html, ["body"])
+        assert " ".join(got.split()) == "One two. Three. Four", (part, got)
+    assert H._page_text("<body><p>One <button><div>Go</div></button>two.</p></body>", ["body"]) == "One two."
+
+
+def test_adversarial_marks_and_end_tags_end():
+    for t in ("<svg>" * 30_000 + "x", "<button>" * 30_000 + "x", "<option>" * 30_000, "<select>" * 30_000, '<div class="ad">' * 20_000 + "x", "<form>" * 1_000 + "x", "<h1>" * 1_000 + "<article class=ad>" * 5_000, "<svg a=" + "=" * 50_000 + "/>x"):
+        H._page_text(t, ["html/body"])
