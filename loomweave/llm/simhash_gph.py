@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomweave.llm import components
@@ -64,15 +64,20 @@ def fingerprint(text: str | None, n: int = 3) -> int:
     return int(np.packbits((2 * ones > count).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed bigint), one row per input row; null text has no words."""
+def _text_key(text_col: str) -> Column:
+    """SHA-256 of the text; empty for null."""
+    return F.coalesce(F.unhex(F.sha2(F.col(text_col).cast("string").cast("binary"), 256)), F.lit(b""))
+
+
+def fingerprints(docs: DataFrame, n: int = 3, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed bigint; ``keyed``: and the text's key), one row per input row; null text has no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), n) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *["key"] * keyed])
 
-    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id bigint, fp bigint")
+    src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[_text_key(text_col).alias("key")] * keyed)
+    return src.mapInArrow(run, "doc_id bigint, fp bigint" + ", key binary" * keyed)
 
 
 # ------------------------------------------------------------------ parts and thresholds
@@ -258,6 +263,14 @@ def links(fps: DataFrame, distance: int = 3, block: int = BLOCK, sample: int = S
     return dealt.repartition(*run_keys).sortWithinPartitions(*run_keys).mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def _labelled(fps: DataFrame, distance: int, block: int) -> DataFrame:
+    """fp, low, label: each fingerprint with its smallest id and its component."""
+    nodes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    near = components.labels(links(nodes.select("fp"), distance, block))
+    labelled = nodes.join(near, nodes["fp"] == near["node"], "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
+    return saved(labelled)
+
+
 def near_groups(docs: DataFrame, n: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text",
                 block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, fp, component_id.
@@ -269,19 +282,25 @@ def near_groups(docs: DataFrame, n: int = 3, distance: int = 3, id_col: str = "d
     no rows.
     """
     fps = saved(fingerprints(docs, n, id_col, text_col))
-    nodes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    near = components.labels(links(nodes.select("fp"), distance, block))
-    labelled = nodes.join(near, nodes["fp"] == near["node"], "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
-    labelled = saved(labelled)
+    labelled = _labelled(fps, distance, block)
     least = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
     comp = labelled.join(least, "label").select(F.col("fp").alias(f"{OWN}fp"), "component_id")
     return fps.join(comp, F.col("fp") == F.col(f"{OWN}fp")).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, n: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is its component's smallest, all columns kept; rows with a null id stay."""
-    groups = near_groups(docs, n, distance, id_col, text_col)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias(f"{OWN}id")).distinct()
-    null_ids = docs.filter(F.col(id_col).isNull())
-    named = docs.join(stay, F.col(id_col).cast("bigint") == F.col(f"{OWN}id"), "left_semi")
-    return named.dropDuplicates([id_col]).unionByName(null_ids)
+    """One row of each component, all columns kept; rows with a null id stay.
+
+    It is the row of the component's smallest id; if that id has several texts
+    in the component, the one whose SHA-256 is least.  An id that other
+    components hold too stays once in each of them whose row it is.  Of rows
+    equal in id and text one stays.
+    """
+    fps = saved(fingerprints(docs, n, id_col, text_col, keyed=True))
+    label = _labelled(fps, distance, BLOCK).select(F.col("fp").alias(f"{OWN}fp"), "label")
+    first = fps.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("row"))
+    first = first.join(label, F.col("fp") == F.col(f"{OWN}fp")).groupBy("label").agg(F.min("row").alias("row"))
+    stay = first.select(F.col("row.doc_id").alias(f"{OWN}i"), F.col("row.key").alias(f"{OWN}k"))
+    own = docs.withColumn(f"{OWN}id", F.col(id_col).cast("bigint")).withColumn(f"{OWN}key", _text_key(text_col))
+    named = own.join(stay, (F.col(f"{OWN}id") == F.col(f"{OWN}i")) & (F.col(f"{OWN}key") == F.col(f"{OWN}k")), "left_semi")
+    return named.dropDuplicates([f"{OWN}id", f"{OWN}key"]).select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

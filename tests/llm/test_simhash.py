@@ -96,3 +96,15 @@ def test_components_chain(spark):
     got = {r.node: r.label for r in components.labels(spark.createDataFrame(e, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 200: 100, 300: 100, **{1000 + k: 1000 for k in range(400)}}
     assert components.labels(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_keep_one_with_repeated_ids(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join(str(rng.randrange(9999)) for _ in range(60)) for _ in range(3))
+    # id 5 has two unrelated texts, b is also under 4, and c stands under 6 only as a copy of 5's row
+    rows = [(5, a, "x"), (5, b, "y"), (4, b, "z"), (5, c, "u"), (6, c, "v"), (7, a, "w"), (5, a, "x"), (None, a, "n"), (9, None, "o"), (9, "", "p")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id, r.text or "", r.source) for r in simhash_gph.keep_one(df).collect() if r.doc_id is not None)
+    assert [(i, s) for i, t, s in got if t] == sorted([(4, "z"), (5, "x"), (5, "u")], key=lambda x: (x[0], next(t for i, t, s in rows if (i, s) == x)))
+    assert [i for i, t, _ in got if not t] == [9]
+    assert simhash_gph.keep_one(df).filter("doc_id IS NULL").count() == 1
