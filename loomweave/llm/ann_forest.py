@@ -2,7 +2,8 @@
 
 Each tree hashes a vector to a long bit string (one random hyperplane per bit,
 cut at the median of a bounded sample) and keeps its rows as sorted arrays of
-these strings.  A query descends to its longest prefix matches and ascends in
+these strings, of which the index holds the first log2(rows / SHARD) + DEEPER
+bits; no match is longer.  A query descends to its longest prefix matches and ascends in
 all trees at once: the prefix length is shortened, the same in every tree,
 until the matching rows of all trees together reach the candidate budget.
 Candidates are verified by their exact cosine.
