@@ -163,3 +163,64 @@ FROM q{top_ups + 1}
 
 
 ORACLE["op10_pareto_mix"] = _pareto_sql()
+
+
+@query
+def op11_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every row whose vec_id is divisible by 50."""
+    from loomweave.llm import topk_blocks
+
+    return topk_blocks.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLE["op11_topk_blocks"] = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+           FROM embeddings WHERE vec_id IS NOT NULL AND {_FINITE}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_sum(list_transform(list_zip(q.w, c.w, true), lambda p: p[1] * p[2])) AS BIGINT)) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op12_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors whitened by the first 32 components of their covariance."""
+    from loomweave.llm import qdwh_whiten
+
+    return qdwh_whiten.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+@query
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 8 clusters after 10 rounds."""
+    from loomweave.llm import lloyd_shards
+
+    return lloyd_shards.clusters(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dimensions=64)
+
+
+def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    turns = []
+    for r in range(rounds + 1):
+        turns.append(f"""a{r} AS MATERIALIZED (SELECT v.row, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(v.w, c.w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT),
+            c := c.cluster)) AS best FROM v CROSS JOIN c{r} c GROUP BY v.row)""")
+        if r < rounds:
+            turns.append(f"""m{r} AS (SELECT best.c AS cluster, i, CAST(floor(sum(w[i])::DOUBLE / count(*)) AS BIGINT) AS x
+            FROM a{r} JOIN v USING (row) CROSS JOIN (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL)""")
+            turns.append(f"""c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(n.w, c.w) AS w FROM c{r} c
+            LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS w FROM m{r} GROUP BY cluster) n USING (cluster))""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+       FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), w) - 1 AS cluster, w FROM v ORDER BY 1 LIMIT {k}),
+{', '.join(turns)}
+SELECT v.vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (row) JOIN c{rounds} c ON c.cluster = best.c
+"""
+
+
+ORACLE["op13_sharded_lloyd"] = _lloyd_sql()
