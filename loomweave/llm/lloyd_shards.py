@@ -3,10 +3,11 @@
 Vectors are cut into column blocks (shards of ``COLUMNS`` components), each
 kept as row blocks of ``ROWS`` vectors.  A round: tasks of one shard compute
 the exact partial squared distances of a row block against that shard's slice
-of the centroids; reduceByKey adds the shards' blocks and an argmin gives the
-assignments (one number a row); these go back to the shards, where each shard
+of the centroids; a reduction by key adds the shards' blocks and an argmin gives
+the assignments (one number a row); these go back to the shards, where each shard
 sums its own columns per cluster and updates its own slice.  No task ever holds
-whole vectors or needs whole centroids beside its slice.
+whole vectors.  (The reduction is a grouping by row block, as many rows a key as
+there are shards; reduceByKey itself, measured, takes 20 ms a task and more.)
 
 The slices are written once, dealt by (shard, row block), and stay where they
 are: per round only distances (rows x clusters) and assignments move.  A round
@@ -36,6 +37,8 @@ ROWS = 4096
 #: Components below this have squared distances of 2^20 components and sums of 2^36 rows within a long.
 SMALL = 1 << 20
 LONG_MAX = (1 << 63) - 1
+#: Larger integers are summed in two parts, and held below the square of it over 10^5.
+HALF = 10 ** 25
 
 
 def integers(vectors: np.ndarray, scale: float) -> np.ndarray:
@@ -44,7 +47,7 @@ def integers(vectors: np.ndarray, scale: float) -> np.ndarray:
         x = np.nan_to_num(np.floor(vectors * scale))
     if np.abs(x).max(initial=0.0) < SMALL:
         return x.astype(np.int64)
-    return np.vectorize(int, otypes=[object])(x)
+    return np.vectorize(int, otypes=[object])(np.clip(x, -1e45, 1e45))
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -66,10 +69,6 @@ def partial_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.stack([((x - row) ** 2).sum(axis=1) for row in c], axis=1)
 
 
-def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a + b
-
-
 def cluster_sums(x: np.ndarray, assigned: np.ndarray, k: int) -> np.ndarray:
     """Per cluster the column sums and, in a last column, the number of rows."""
     out = np.zeros((k, x.shape[1] + 1), dtype=x.dtype)
@@ -98,7 +97,7 @@ def clusters(vectors: DataFrame, k: int = 8, rounds: int = 10, dimensions: int =
     salt and id, in that order (equal hashes, that is repeated ids: by vector;
     null ids last); with fewer vectors there are fewer centroids.  Ties go to
     the smaller cluster; empty clusters keep their centroid.  Rows that repeat
-    are kept each.  Distances and inertia beyond a long are given as the
+    are kept each.  Integers are held within 10^45 of zero.  Distances and inertia beyond a long are given as the
     largest long.  Other columns are not read.  An empty table gives no rows.
     """
     spark = vectors.sparkSession
@@ -133,57 +132,83 @@ def clusters(vectors: DataFrame, k: int = 8, rounds: int = 10, dimensions: int =
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(shards)), pa.array([s for s, _ in shards], pa.int32()),
                                                   pa.array([len(x)] * len(shards)), pa.array([v for _, v in shards], pa.binary())], names=["block", "shard", "n", "data"])
 
-    # written first: the block names hang on the tasks that made them
-    made = saved(kept.mapInArrow(cuts, "block bigint, shard int, n bigint, data binary"))
+    # few, full row blocks from tables of many small files; written first, as the block names hang on the tasks that made them
+    fewer = kept.coalesce(max(sc.defaultParallelism, -(-kept.count() // (16 * rows))))
+    made = saved(fewer.mapInArrow(cuts, "block bigint, shard int, n bigint, data binary"))
     total = made.count()
     parts = max(1, min(total, max(sc.defaultParallelism, -(-total // 16))))
-    slices = (made.filter("shard >= 0").select("block", "shard", "n", "data").rdd
-              .map(lambda r: ((r[1], r[0]), (r[2], bytes(r[3])))).partitionBy(parts).persist(StorageLevel.MEMORY_AND_DISK))
+    # dealt once by (shard, row block); a round's groups and joins on these two columns move no slice
+    slices = made.filter("shard >= 0").repartition(parts, "shard", "block").persist(StorageLevel.MEMORY_AND_DISK)
+    slices.count()      # Spark knows how a cached table is dealt once it is there
     shards = range(len(cut))
 
-    def distances(centroids: list[np.ndarray]):
-        """(row block, distances to every centroid): partial blocks of the shards, added by key."""
+    def added(centroids: list[np.ndarray], give, schema: str) -> DataFrame:
+        """``give`` of the distances (row, centroid) of every row block: the shards' partial blocks, added by row block."""
         shared = sc.broadcast(centroids)
 
-        def partial(item):
-            (shard, block), (n, data) = item
-            x, c = unpacked(data, n), shared.value[shard]
-            if x.dtype != object and np.abs(c).max(initial=0) < SMALL:
-                c = c.astype(np.int64)
-            return block, partial_distances(x, c)
-
-        return slices.map(partial).reduceByKey(add, parts), shared
+        def partial(table: pa.Table) -> pa.Table:
+            out = []
+            for shard, n, data in zip(*(table[c].to_pylist() for c in ("shard", "n", "data")), strict=True):
+                x, c = unpacked(data, n), shared.value[shard]
+                if x.dtype != object and np.abs(c).max(initial=0) < SMALL:
+                    c = c.astype(np.int64)
+                out.append(packed(partial_distances(x, c)))
+            return pa.table({"block": table["block"], "n": table["n"], "data": pa.array(out, pa.binary())})
+
+        def add(table: pa.Table) -> pa.Table:
+            d = sum(unpacked(v, n) for v, n in zip(table["data"].to_pylist(), table["n"].to_pylist(), strict=True))
+            return pa.table({"block": table["block"][:1], **give(d)})
+
+        apart = slices.groupBy("shard", "block").applyInArrow(partial, "block bigint, n bigint, data binary")
+        return apart.groupBy("block").applyInArrow(add, f"block bigint, {schema}")
+
+    def assigned(d: np.ndarray) -> dict[str, pa.Array]:
+        return {"at": pa.array([d.argmin(axis=1).astype("<i4").tobytes()], pa.binary())}
+
+    def sums(held: pa.Table, given: pa.Table) -> pa.Table:
+        """A shard's column sums and rows per cluster, one row per cluster and column; of large ones, the multiples of HALF as further columns."""
+        out = {"shard": [], "cluster": [], "col": [], "x": []}
+        for shard, n, data in zip(*(held[c].to_pylist() for c in ("shard", "n", "data")), strict=True):
+            for c, row in enumerate(cluster_sums(unpacked(data, n), np.frombuffer(given["at"][0].as_py(), dtype="<i4"), k)):
+                for part in (0, 1) if row.dtype == object else (0,):
+                    out["shard"] += [shard] * len(row)
+                    out["cluster"] += [c] * len(row)
+                    out["col"] += range(part * len(row), (1 + part) * len(row))
+                    out["x"] += [str(divmod(int(v), HALF)[1 - part] if row.dtype == object else int(v)) for v in row]
+        return pa.table({"shard": pa.array(out["shard"], pa.int32()), "cluster": pa.array(out["cluster"], pa.int32()),
+                         "col": pa.array(out["col"], pa.int32()), "x": pa.array(out["x"], pa.string())})
+
+    def update(shared):
+        def new_slice(table: pa.Table) -> pa.Table:
+            shard = table["shard"][0].as_py()
+            old = shared.value[shard]
+            total, wide = np.zeros((len(old), old.shape[1] + 1), dtype=object), old.shape[1] + 1
+            for c, j, x in zip(*(table[v].to_pylist() for v in ("cluster", "col", "x")), strict=True):
+                total[c, j % wide] += int(x) * (HALF if j >= wide else 1)
+            return pa.table({"shard": table["shard"][:1], "slice": pa.array([[str(int(v)) for v in updated(old, total).ravel()]])})
+
+        return new_slice
 
     now = [start[:, c:c + columns] for c in cut]
     for _ in range(rounds):
-        apart, shared = distances(now)
-        assigned = apart.mapValues(lambda d: d.argmin(axis=1).astype(np.int32))
-        back = assigned.flatMap(lambda item: [((s, item[0]), item[1]) for s in shards])
+        back = added(now, assigned, "at binary").withColumn("shard", F.explode(F.array(*[F.lit(s) for s in shards])))
+        mine = (slices.groupBy("shard", "block").cogroup(back.groupBy("shard", "block"))
+                .applyInArrow(sums, "shard int, cluster int, col int, x string"))
+        whole = mine.groupBy("shard", "cluster", "col").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x"))
 
-        def own(item):
-            (shard, _), ((n, data), at) = item
-            return shard, cluster_sums(unpacked(data, n), at, k)
-
-        def new_slice(item, shared=shared):
-            shard, sums = item
-            return shard, updated(shared.value[shard], sums)
-
-        new = dict(slices.join(back, parts).map(own).reduceByKey(add, min(parts, len(cut))).map(new_slice).collect())
+        new = {r["shard"]: np.array([int(v) for v in r["slice"]], dtype=object).reshape(k, -1)
+               for r in whole.groupBy("shard").applyInArrow(update(sc.broadcast(now)), "shard int, slice array<string>").collect()}
         same = all((new[s] == now[s]).all() for s in shards)
         now = [new[s] for s in shards]
-        shared.unpersist()
         if same:        # a fixed point: further rounds change nothing
             break
 
-    apart, _ = distances(now)
-
-    def closest(item):
-        block, d = item
+    def closest(d: np.ndarray) -> dict[str, pa.Array]:
         at = d.argmin(axis=1)
-        near = d[np.arange(len(d)), at]
-        return block, at.astype("<i4").tobytes(), np.array([min(int(x), LONG_MAX) for x in near], dtype="<i8").tobytes()
+        near = [min(int(x), LONG_MAX) for x in d[np.arange(len(d)), at]]
+        return {"cluster": pa.array([at.astype("<i4").tobytes()], pa.binary()), "distance": pa.array([np.array(near, dtype="<i8").tobytes()], pa.binary())}
 
-    final = saved(spark.createDataFrame(apart.map(closest), "block bigint, cluster binary, distance binary"))
+    final = saved(added(now, closest, "cluster binary, distance binary"))
     slices.unpersist()
 
     def inertias(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
