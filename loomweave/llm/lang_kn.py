@@ -15,35 +15,39 @@ rejected.
 
 Only word-level sums are needed, so each worker scores a word once and keeps
 the result in a bounded cache.  Training takes a bounded sample of labelled
-rows: at most ``PER_LANG`` documents of each language, by the hash of doc_id.
+rows: at most ``PER_LANG`` documents of each language, by the hash of doc_id
+and text; all their n-grams are counted and smoothed in Spark.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomweave.llm.io import saved
+
 ORDER = 5
 #: Labelled training documents per language, and the share of them kept for calibration.
 PER_LANG = 3000
 CALIBRATION = 5
-#: n-grams of an order that the model keeps, most frequent first.
-MOST_GRAMS = 400_000
+#: Languages that are learned, the most frequent ones; probabilities that a language keeps of each order once all are smoothed.
+MOST_LANGS = 512
+MOST_GRAMS = 1_000_000
 LEAST_SCORE = 0.5
 CACHE = 300_000
 UNKNOWN = "und"
 
 _START, _END = "\x02", "\x03"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters, with the marks that belong to them.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -124,20 +128,34 @@ def _find(table: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # ------------------------------------------------------------------ training
 def sample(docs: DataFrame, per_lang: int = PER_LANG, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, text, calibrate: at most ``per_lang`` training documents of each language, by the hash of their id."""
+    """lang, text, calibrate: of each language the ``per_lang`` training rows of the least hashes of (id, text).
+
+    Rows equal in id and text count once.  No text moves before the rows are chosen: the number of
+    distinct hashes per language gives a first limit, the hashes below it the exact one, and both
+    (a row a language, ``MOST_LANGS`` at most) go back to the rows as a broadcast table.
+    """
+    spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     crc = F.crc32(F.coalesce("id", F.lit("None")).cast("binary"))
-    d = d.filter(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & (F.pmod(crc, F.lit(3)) != 1)).withColumn("h", F.xxhash64(F.lit("kn"), "id"))
-    # About per_lang rows of each language pass a limit on the hash, from the language's count, so neither the
-    # limit nor the rows need a sort of a whole language; the window then holds the bound on these few.
-    n = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).select(F.col("lang").alias("of"), F.least(F.lit(1.0), 1.2 * per_lang / F.col("n")).alias("part"))
-    near = d.join(n, F.col("lang") == F.col("of")).filter(F.pmod("h", F.lit(1 << 30)) <= F.col("part") * (1 << 30))
-    best = near.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "text"))).filter(F.col("k") <= per_lang)
-    return best.select("lang", "text", (F.pmod(F.shiftrightunsigned("h", 32), F.lit(CALIBRATION)) == 0).alias("calibrate"))
+    d = d.filter(F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & (F.pmod(crc, F.lit(3)) != 1))
+    d = d.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit("kn"), F.coalesce("id", F.lit("None")), F.coalesce("text", F.lit(""))), 2))
 
+    def below(rows: DataFrame, limits: list[tuple[str, int]]) -> DataFrame:
+        of = spark.createDataFrame(limits, "of string, most bigint")
+        return rows.join(F.broadcast(of), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("most"))).drop("of", "most")
 
-def count_grams(labelled: DataFrame) -> pd.DataFrame:
-    """lang, n, gram, count of the labelled texts: counted per task, merged by a shuffle of distinct grams."""
+    kinds = d.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"), F.count(F.lit(1)).alias("rows"))
+    kinds = kinds.orderBy(F.desc("rows"), "lang").limit(MOST_LANGS).collect()
+    first = [(r["lang"], int(min(1.0, (1.3 * per_lang + 64) / max(1, r["n"])) * ((1 << 62) - 1))) for r in kinds]
+    hashes = below(d.select("lang", "h"), first).distinct().groupBy("lang").agg(F.array_sort(F.collect_set("h")).alias("hs"))
+    last = [(r["lang"], r["most"]) for r in hashes.select("lang", F.col("hs")[F.least(F.size("hs"), F.lit(per_lang)) - 1].alias("most")).collect()]
+    # equal rows are combined in their own task first
+    best = below(d.select("lang", "h", "text"), last).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return best.select("lang", "text", (F.pmod("h", F.lit(CALIBRATION)) == 0).alias("calibrate"))
+
+
+def count_grams(labelled: DataFrame) -> DataFrame:
+    """lang, n, gram, k of all n-grams of the labelled texts: counted per task, merged by a shuffle of distinct grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
         for b in batches:
@@ -154,61 +172,74 @@ def count_grams(labelled: DataFrame) -> pd.DataFrame:
                                           pa.array([k[2] for k, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.int64())],
                                          names=["lang", "n", "gram", "k"])
 
-    total = labelled.mapInArrow(run, "lang string, n int, gram string, k bigint").groupBy("lang", "n", "gram").agg(F.sum("k").alias("k"))
-    best = total.withColumn("r", F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("k"), "gram"))).filter(F.col("r") <= MOST_GRAMS)
-    return best.select("lang", "n", "gram", "k").toPandas()
-
-
-def kneser_ney(counts: pd.DataFrame) -> Model:
-    """The model from n-gram counts; each order has one absolute discount per language from its counts of 1 and 2."""
-    langs = sorted(counts["lang"].unique())
-    prob = [dict() for _ in range(ORDER + 1)]
-    weight = [dict() for _ in range(ORDER + 1)]
-    floor = np.zeros(len(langs))
-    for li, lang in enumerate(langs):
-        own = counts[counts["lang"] == lang]
-        by_n = {n: dict(zip(g["gram"], g["k"], strict=True)) for n, g in own.groupby("n")}
-        # lower orders count distinct left neighbours, but for grams at a word's start, which have none
-        use = {}
-        for n in range(ORDER, 0, -1):
-            grams = by_n.get(n, {})
-            if n == ORDER:
-                use[n] = grams
-            else:
-                left = Counter(g[1:] for g in by_n.get(n + 1, {}))
-                use[n] = {g: (k if g[0] == _START else left.get(g, 1)) for g, k in grams.items()}
-        for n in range(1, ORDER + 1):
-            freq = Counter(use[n].values())
-            d = freq[1] / (freq[1] + 2 * freq[2]) if freq[1] and freq[2] else 0.5
-            total, kinds = Counter(), Counter()
-            for g, k in use[n].items():
-                total[g[:-1]] += k
-                kinds[g[:-1]] += 1
-            for g, k in use[n].items():
-                prob[n].setdefault(g, np.zeros(len(langs)))[li] = (k - d) / total[g[:-1]]
-            for c, t in total.items():
-                if n == 1:
-                    floor[li] = d * kinds[c] / t / max(256, 2 * kinds[c])
-                else:
-                    weight[n].setdefault(c, np.ones(len(langs)))[li] = d * kinds[c] / t
-
-    def arrays(tables: list[dict], lead: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        hashes, values = [], []
-        for n, t in enumerate(tables):
-            if not t:
-                hashes.append(np.empty(0, dtype=np.uint64))
-                values.append(np.empty((0, len(langs))))
-                continue
-            codes = np.frombuffer("".join(t).encode("utf-32-le"), dtype=np.uint32).reshape(-1, n - lead)
-            h = gram_hash(codes)
-            order = np.argsort(h)
-            hashes.append(h[order])
-            values.append(np.array(list(t.values()))[order])
+    return labelled.select("lang", "text").mapInArrow(run, "lang string, n int, gram string, k bigint").groupBy("lang", "n", "gram").agg(F.sum("k").alias("k"))
+
+
+def smoothed(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, n, gram, prob) and (lang, n, context, weight), from all counts.
+
+    Lower orders count distinct left neighbours, but for grams at a word's start, which have none.
+    Each order has one absolute discount per language, from its counts of 1 and 2.
+    """
+    left = (counts.filter("n > 1").groupBy("lang", (F.col("n") - 1).alias("n"), F.expr("substring(gram, 2)").alias("gram"))
+            .agg(F.count(F.lit(1)).alias("kinds")))
+    own = (F.col("n") == ORDER) | F.col("gram").startswith(_START)
+    use = counts.join(left, ["lang", "n", "gram"], "left").select(
+        "lang", "n", "gram", F.expr("substring(gram, 1, n - 1)").alias("context"), F.when(own, F.col("k")).otherwise(F.coalesce("kinds", F.lit(1))).alias("k"))
+    use = saved(use)
+    f1, f2 = F.sum(F.when(F.col("k") == 1, 1).otherwise(0)), F.sum(F.when(F.col("k") == 2, 1).otherwise(0))
+    # a row per language and order
+    cut = F.broadcast(use.groupBy("lang", "n").agg(F.when((f1 > 0) & (f2 > 0), f1 / (f1 + 2 * f2)).otherwise(F.lit(0.5)).alias("d")))
+    contexts = use.groupBy("lang", "n", "context").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("kinds")).join(cut, ["lang", "n"])
+    prob = use.join(contexts, ["lang", "n", "context"]).select("lang", "n", "gram", "k", ((F.col("k") - F.col("d")) / F.col("total")).alias("prob"))
+    return prob, contexts.select("lang", "n", "context", "kinds", (F.col("d") * F.col("kinds") / F.col("total")).alias("weight"))
+
+
+def kneser_ney(counts: DataFrame, most: int = MOST_GRAMS) -> Model:
+    """The model from all n-gram counts, smoothed in Spark; hashes and values of the finished tables reach the driver.
+
+    A language keeps of each order the ``most`` probabilities (and of contexts as many) of its most
+    frequent grams, a bound on the model's size that leaves counts, discounts and weights as they are.
+    """
+    prob, weight = smoothed(saved(counts))
+
+    def kept(df: DataFrame, text: str, order: str, value: str) -> pa.Table:
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                n, texts, h = b.column(1).to_numpy(), b.column(2).to_pylist(), np.zeros(b.num_rows, dtype=np.uint64)
+                lengths = np.array([len(t) for t in texts])
+                for m in np.unique(lengths):
+                    at = np.flatnonzero(lengths == m)
+                    codes = np.frombuffer("".join(texts[i] for i in at).encode("utf-32-le"), dtype=np.uint32).reshape(len(at), m)
+                    h[at] = gram_hash(codes)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(h.view(np.int64)), b.column(3)], names=["lang", "n", "h", "x"])
+
+        top = df.withColumn("r", F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc(order), text))).filter(F.col("r") <= most)
+        return top.select("lang", "n", text, value).mapInArrow(hashed, "lang string, n int, h bigint, x double").toArrow()
+
+    p, w = kept(prob, "gram", "k", "prob"), kept(weight, "context", "kinds", "weight")
+    langs = sorted(set(p["lang"].unique().to_pylist()))
+    code = {x: i for i, x in enumerate(langs)}
+    # the floor: what unseen characters share, from the unigrams' discount
+    floor = np.full(len(langs), 1e-9)
+    for r in weight.filter("n = 1").collect():
+        floor[code[r["lang"]]] = max(1e-9, r["weight"] / max(256, 2 * r["kinds"]))
+
+    def arrays(t: pa.Table, missing: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        n, h, x = t["n"].to_numpy(), t["h"].to_numpy().view(np.uint64), t["x"].to_numpy()
+        lang = np.array([code[v] for v in t["lang"].to_pylist()], dtype=np.int64)
+        hashes, values = [np.empty(0, dtype=np.uint64)], [np.empty((0, len(langs)))]
+        for m in range(1, ORDER + 1):
+            own = n == m
+            keys, at = np.unique(h[own], return_inverse=True)
+            table = np.full((len(keys), len(langs)), missing)
+            table[at, lang[own]] = x[own]
+            hashes.append(keys)
+            values.append(table)
         return hashes, values
 
-    grams, gp = arrays(prob, 0)
-    contexts, cw = arrays(weight, 1)
-    floor = np.maximum(floor, 1e-9)
+    grams, gp = arrays(p, 0.0)
+    contexts, cw = arrays(w, 1.0)
     return Model(langs, grams, gp, contexts, cw, floor, 1.0, np.zeros(len(langs)), np.full(len(langs), np.inf))
 
 
@@ -247,9 +278,7 @@ def entropies(texts: list[str], model: Model, key: str) -> tuple[np.ndarray, np.
 
 
 def train(docs: DataFrame, **columns) -> Model:
-    """A calibrated model; only the grams and the calibration texts (both bounded) reach the driver."""
-    from loomweave.llm.io import saved
-
+    """A calibrated model; only its finished tables and the calibration texts' cross-entropies reach the driver."""
     labelled = saved(sample(docs, **columns))
     model = kneser_ney(count_grams(labelled.filter(~F.col("calibrate"))))
     if not model.langs:
@@ -326,9 +355,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return src.mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, accepted boolean")
 
 
-def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
+def accepted(docs: DataFrame, model: Model | None = None, text_col: str = "text", **columns) -> DataFrame:
     """The rows of ``docs`` whose text the model accepts, all columns kept, in one pass without a shuffle."""
-    model = model or train(docs)
+    model = model or train(docs, text_col=text_col, **columns)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     import uuid
 
@@ -341,7 +370,7 @@ def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 part = b.slice(lo, 256)
                 if not m.langs:
                     continue
-                h, n = entropies([t.as_py() or "" for t in part.column(part.schema.get_field_index("text"))], m, key)
+                h, n = entropies([t.as_py() or "" for t in part.column(part.schema.get_field_index(text_col))], m, key)
                 keep = m.decide(h, np.maximum(n, 1))[2] & (n > 0)
                 yield part.filter(pa.array(keep))
 

@@ -76,10 +76,89 @@ def test_probabilities_sum_to_one(spark):
         assert abs(total - 1.0) < 1e-6, (context, total)
 
 
-def test_cache_start_over():
+def plain_kneser_ney(texts, alphabet=256):
+    """log2 probability of a word, straight from the counts of every text."""
+    count, order = {}, lang_kn.ORDER
+    for t in texts:
+        for w in t.lower().split():
+            m = lang_kn._START + w + lang_kn._END
+            for i in range(1, len(m)):
+                for n in range(1, min(order, i + 1) + 1):
+                    g = m[i - n + 1:i + 1]
+                    count[g] = count.get(g, 0) + 1
+
+    def use(g):
+        if len(g) == order or g[0] == lang_kn._START:
+            return count[g]
+        return max(1, len({h for h in count if len(h) == len(g) + 1 and h[1:] == g}))
+    used = {g: use(g) for g in count}
+    discount = {}
+    for n in range(1, order + 1):
+        f1, f2 = (sum(len(g) == n and k == v for g, k in used.items()) for v in (1, 2))
+        discount[n] = f1 / (f1 + 2 * f2) if f1 and f2 else 0.5
+    own = {g[:-1]: [k for h, k in used.items() if len(h) == len(g) and h[:-1] == g[:-1]] for g in used}
+
+    def prob(context, c):
+        n, ks = len(context) + 1, own.get(context)
+        if n == 1:
+            lower = discount[1] * len(ks) / sum(ks) / max(alphabet, 2 * len(ks))
+        else:
+            lower = prob(context[1:], c)
+        if not ks:
+            return lower
+        return (max(0.0, used[context + c] - discount[n]) / sum(ks) if context + c in used else 0.0) + (lower if n == 1 else lower * discount[n] * len(ks) / sum(ks))
+
+    def word(w):
+        m = lang_kn._START + w + lang_kn._END
+        return sum(np.log2(prob(m[max(0, i - order + 1):i], m[i])) for i in range(1, len(m)))
+    return word
+
+
+def test_equals_plain_kneser_ney(spark):
+    rng = random.Random(8)
+    texts = {lang: [" ".join(rng.choice(v) for _ in range(9)) for _ in range(4)] for lang, v in VOICES.items()}
+    df = spark.createDataFrame([(lang, t, False) for lang, ts in texts.items() for t in ts], "lang string, text string, calibrate boolean").repartition(3)
+    model = lang_kn.kneser_ney(lang_kn.count_grams(df))
+    words = ["the", "ship", "thother", "wasser", "ñandú", "qqq", "a", "schiffwasser"]
+    got = model.words(words)
+    for j, lang in enumerate(model.langs):
+        plain = plain_kneser_ney(texts[lang])
+        assert np.allclose(got[:, j], [plain(w) for w in words], atol=1e-9), lang
+
+
+def test_sample_with_null_equal_and_repeated_ids(spark):
+    """Over PER_LANG rows a language: whatever the ids, the bound holds and the texts are a sample of all."""
+    rng = random.Random(5)
+    texts = [(rng.choice(list(VOICES)), i) for i in range(5000)]
+    texts = [(lang, " ".join(rng.choice(VOICES[lang]) for _ in range(12)) + f" n{i}") for lang, i in texts]
+    for ids in (lambda i: i, lambda i: None, lambda i: 7, lambda i: 7 + i % 2):
+        rows = [(ids(i), t, lang, 1, 0.0) for i, (lang, t) in enumerate(texts)] + [(7, "the same words", "aa", 1, 0.0)] * 2000
+        some = lang_kn.sample(spark.createDataFrame(rows, SHAPE).repartition(6), per_lang=300).collect()
+        for lang in VOICES:
+            own = [r for r in some if r.lang == lang]
+            assert len(own) == 300 and len({r.text for r in own}) == 300 and 25 <= sum(r.calibrate for r in own) <= 95
+        assert sorted(some) == sorted(lang_kn.sample(spark.createDataFrame(rows, SHAPE).repartition(3), per_lang=300).collect())
+
+
+def test_no_text_moves_before_the_sample_is_chosen(spark):
+    df = spark.createDataFrame(corpus(), SHAPE)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lang_kn.sample(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(lang" in plan and "Window" not in plan
+
+
+def test_letters():
+    assert lang_kn.letter_runs("½²Ⅷ12_%") == [] and lang_kn.letter_runs("कि-ab1ñ") == ["कि", "ab", "ñ"]
+
+
+def test_cache_start_over(spark):
     rng = random.Random(1)
-    import pandas as pd
-    model = lang_kn.kneser_ney(pd.DataFrame([("aa", 1, "a", 3), ("aa", 1, lang_kn._END, 2), ("aa", 2, lang_kn._START + "a", 2)], columns=["lang", "n", "gram", "k"]))
+    model = lang_kn.kneser_ney(spark.createDataFrame([("aa", 1, "a", 3), ("aa", 1, lang_kn._END, 2), ("aa", 2, lang_kn._START + "a", 2)], "lang string, n int, gram string, k long"))
     texts = [" ".join("a" * rng.randrange(1, 30) for _ in range(40)) for _ in range(20)]
     whole = lang_kn.entropies(texts, model, "one")[0]
     old, lang_kn.CACHE = lang_kn.CACHE, 10
