@@ -8,9 +8,9 @@ chunk lists.  A document becomes its recipe: the ordered list of chunk
 identifiers.
 
 Identifiers are verified, not trusted: chunk texts are moved once, as distinct
-(hash, text) pairs combined map-side, and a hash that names more than one text
-gets an ordinal per text.  Only documents holding such a chunk are looked at
-again.  After that only recipes (8 bytes for each 2 KB or so of text) are
+(hash, text) pairs combined map-side; where a hash names more than one text, the
+texts themselves become part of the recipe.  Only documents holding such a chunk
+are looked at again.  After that only recipes (8 bytes for each 2 KB or so of text) are
 compared; document texts are not shuffled.
 
 A group of copies may hold any share of the rows: recipes are grouped with
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomweave.llm.io import OWN, saved, whole_text
+from loomweave.llm.io import OWN, rows_that_stay, saved, whole_text
 
 MIN_CHUNK = 512
 MAX_CHUNK = 8192
@@ -108,13 +108,11 @@ def _resolved(recipes: DataFrame, cut: DataFrame, doubtful: DataFrame, hasher) -
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hasher=chunk_hash) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    The ids of the rows to keep come from ``exact_groups``.  If ids repeat with
-    other texts, rows are matched on (id, sha256 of the normalised text), and
-    one of rows equal in both stays.
+    ``exact_groups`` decides on narrow rows.  If ids repeat with other texts,
+    rows are matched on (id, sha256 of the normalised text), and one of rows
+    equal in both stays.
     """
-    stay = (exact_groups(docs, id_col, text_col, hasher).filter("kept")
-            .select(F.col("doc_id").alias(f"{OWN}id"), F.col("text_sha256").alias(f"{OWN}s")))
-    own = docs.withColumn(f"{OWN}sha", F.sha2(ascii_lower(whole_text(text_col)).cast("binary"), 256))
-    hit = own.join(stay, F.col(id_col).cast("bigint").eqNullSafe(F.col(f"{OWN}id")) & (F.col(f"{OWN}sha") == F.col(f"{OWN}s")),
-                   "left_semi")
-    return hit.dropDuplicates([id_col, f"{OWN}sha"]).select(*docs.columns)
+    keys = saved(exact_groups(docs, id_col, text_col, hasher).groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("key")).agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")))
+    sha = F.sha2(ascii_lower(whole_text(text_col)).cast("binary"), 256)
+    return rows_that_stay(docs, keys, F.col(id_col).cast("bigint"), sha)

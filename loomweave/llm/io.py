@@ -47,6 +47,48 @@ def sampled(df: DataFrame, key: Column, most: int, total: int) -> DataFrame:
     return near.orderBy(F.pmod(key, F.lit(1 << 30)), key).limit(most)
 
 
+#: Keys of rows to drop that are broadcast, at most (under 100 bytes each).
+BROADCAST_KEYS = 1_000_000
+
+
+def rows_that_stay(docs: DataFrame, keys: DataFrame, row_id: Column, row_key: Column, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """The rows of ``docs`` whose (id, key) stays, one of each; rows whose key is not in ``keys`` stay.
+
+    ``keys``: one row per (``id``, ``key``) with ``stays`` and ``n``, the rows that have it.  The documents
+    are not moved if the keys to drop are few enough to broadcast, and once if they are not; only rows
+    whose key repeats are grouped.
+    """
+    gone = keys.filter(~F.col("stays")).select(F.col("id").alias(f"{OWN}i"), F.col("key").alias(f"{OWN}k"))
+    again = keys.filter(F.col("stays") & (F.col("n") > 1)).select(F.col("id").alias(f"{OWN}i"), F.col("key").alias(f"{OWN}k"))
+    n_gone, n_again = gone.count(), again.count()
+    own = docs.withColumn(f"{OWN}id", row_id).withColumn(f"{OWN}key", row_key)
+    same = F.col(f"{OWN}id").eqNullSafe(F.col(f"{OWN}i")) & (F.col(f"{OWN}key") == F.col(f"{OWN}k"))
+
+    def side(of: DataFrame, n: int) -> DataFrame:
+        return F.broadcast(of) if n <= broadcast_keys else of
+
+    if n_gone:
+        own = own.join(side(gone, n_gone), same, "left_anti")
+    if n_again:
+        one = own.join(side(again, n_again), same, "left_semi").dropDuplicates([f"{OWN}id", f"{OWN}key"])
+        own = own.join(side(again, n_again), same, "left_anti").unionByName(one)
+    return own.select(*docs.columns)
+
+
+def least_hashed(df: DataFrame, key: Column, most: int, out: str = f"{OWN}h") -> DataFrame:
+    """The rows of the ``most`` least distinct hashes ``key`` (a non-negative long in ``out``), the same on every run.
+
+    Null and repeated ids do no harm where the hash holds the text too: rows of one hash all come
+    along, for the caller to combine.  Two limits, a number each, are found first (from the number of
+    distinct hashes, then the exact one), so no other column moves before the rows are chosen.
+    """
+    own = df.withColumn(out, F.shiftrightunsigned(key, 2))
+    kinds = own.agg(F.approx_count_distinct(out, 0.02)).first()[0]
+    near = own.filter(F.col(out) <= int(min(1.0, (1.3 * most + 64) / max(1, kinds)) * ((1 << 62) - 1)))
+    last = near.select(out).distinct().orderBy(out).limit(most).agg(F.max(out)).first()[0]
+    return own.filter(F.col(out) <= F.lit(-1 if last is None else last))
+
+
 #: [^\x20\x09-\x0D]+ : maximal runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 

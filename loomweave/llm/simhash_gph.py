@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomweave.llm import components
-from loomweave.llm.io import OWN, sampled, saved
+from loomweave.llm.io import OWN, rows_that_stay, sampled, saved
 
 SEED = 42
 BITS = 64
@@ -218,8 +218,8 @@ def links(fps: DataFrame, distance: int = 3, block: int = BLOCK, sample: int = S
     total = fps.count()
     some = sampled(fps, F.xxhash64(F.lit(7), "fp"), sample, total).toPandas()["fp"].to_numpy(dtype=np.int64)
     filed = keys(fps, plan(some, total, distance))
-    n_home = filed.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"))
-    hot = n_home.filter(F.col("n") > block).select(F.col("part").alias("p"), F.col("key").alias("k"),
+    filed_under = filed.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"))
+    hot = filed_under.filter(F.col("n") > block).select(F.col("part").alias("p"), F.col("key").alias("k"),
                                                   F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64(F.lit(11), "fp"), F.col("blocks")).cast("int")
     dealt = (filed.join(hot, (F.col("part") == F.col("p")) & (F.col("key") == F.col("k")), "left").drop("p", "k")
@@ -300,7 +300,8 @@ def keep_one(docs: DataFrame, n: int = 3, distance: int = 3, id_col: str = "doc_
     label = _labelled(fps, distance, BLOCK).select(F.col("fp").alias(f"{OWN}fp"), "label")
     first = fps.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("row"))
     first = first.join(label, F.col("fp") == F.col(f"{OWN}fp")).groupBy("label").agg(F.min("row").alias("row"))
-    stay = first.select(F.col("row.doc_id").alias(f"{OWN}i"), F.col("row.key").alias(f"{OWN}k"))
-    own = docs.withColumn(f"{OWN}id", F.col(id_col).cast("bigint")).withColumn(f"{OWN}key", _text_key(text_col))
-    named = own.join(stay, (F.col(f"{OWN}id") == F.col(f"{OWN}i")) & (F.col(f"{OWN}key") == F.col(f"{OWN}k")), "left_semi")
-    return named.dropDuplicates([f"{OWN}id", f"{OWN}key"]).select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    stay = first.select(F.col("row.doc_id").alias(f"{OWN}i"), F.col("row.key").alias(f"{OWN}k"), F.lit(True).alias("stays"))
+    every = fps.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id"), "key").agg(F.count(F.lit(1)).alias("n"))
+    keys = every.join(stay, (F.col("id") == F.col(f"{OWN}i")) & (F.col("key") == F.col(f"{OWN}k")), "left").select(
+        "id", "key", "n", F.coalesce("stays", F.lit(False)).alias("stays"))
+    return rows_that_stay(docs, saved(keys), F.col(id_col).cast("bigint"), _text_key(text_col))

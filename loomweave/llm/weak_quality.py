@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomweave.llm.io import saved
+from loomweave.llm.io import OWN, least_hashed
 
-#: Documents that train the scorer, at most twice this many after sampling by hash.
+#: Documents that train the scorer: those of the least hashes of id and text; numbers that a training vector keeps, its greatest.
 SAMPLE = 4000
+MOST_FEATURES = 4096
 BUCKETS = 1 << 16
 CACHE = 300_000
 KEEP = 0.4
@@ -173,7 +174,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = 12, rate
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Scorer:
-    """Votes of all documents, EM, and the scorer fitted on a bounded sample by the hash of the id."""
+    """Votes of all documents, EM, and the scorer fitted on a bounded sample by the least hashes of id and text."""
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([votes(t.as_py() or "") for t in b.column(0)], pa.string())], names=["pattern"])
@@ -185,22 +186,27 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sc
     total = sum(patterns.values())
     if not total:
         return Scorer(0.0, np.zeros(BUCKETS), share, table, posterior)
-    part = F.pmod(F.xxhash64(F.lit("wq"), "id"), F.lit(1 << 20)) < int(min(1.0, SAMPLE / total) * (1 << 20)) + 1
-
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, x, v = [], [], []
             for t in b.column(0):
                 text = t.as_py() or ""
                 a, y = vector(text)
+                if len(a) > MOST_FEATURES:
+                    top = np.argpartition(-y, MOST_FEATURES)[:MOST_FEATURES]
+                    a, y = a[top], y[top]
                 at.append(a.tobytes())
                 x.append(y.tobytes())
                 v.append(votes(text))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary()), pa.array(x, pa.binary()), pa.array(v, pa.string())], names=["at", "x", "v"])
 
-    some = saved(src.filter(part).limit(2 * SAMPLE).select("text").mapInArrow(describe, "at binary, x binary, v string"))
+    key = F.xxhash64(F.lit("wq"), F.coalesce("id", F.lit("None")), F.coalesce("text", F.lit("")))
+    chosen = least_hashed(src, key, SAMPLE).groupBy(f"{OWN}h").agg(F.min("text").alias("text"))       # rows that repeat count once
+    some = chosen.select("text").mapInArrow(describe, "at binary, x binary, v string").toArrow().to_pylist()
     rows = [(np.frombuffer(r["at"], dtype=np.int32), np.frombuffer(r["x"], dtype=np.float32), posterior.get(r["v"], share))
-            for r in some.orderBy(F.xxhash64("at", "x")).toLocalIterator()]
+            for r in sorted(some, key=lambda r: (r["v"], r["at"], r["x"]))]
+    if not rows:
+        raise ValueError("no document was chosen to train the scorer")
     bias, weights = fit(rows)
     return Scorer(float(bias), weights, share, table, posterior)
 
