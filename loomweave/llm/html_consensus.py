@@ -11,15 +11,16 @@ container, and one without any container all text that is not boilerplate.
 Inside the container, menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out.  Words of class and id
 do not mark html, body, main or an outermost article that is not named another
-kind of article, nor an element with most of the page's unlinked text and its
-h1, main or an article inside; a form's tag does not mark one with most of that
-text.  If marks leave a page no text, the largest marked elements are read.
+kind of article; how other marked elements are judged stands at ``_settle``.  If
+marks leave a page no text, the largest marked elements are read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -35,10 +36,13 @@ LEAST_SHARE = 0.1
 #: A winners table up to this many rows is broadcast; a larger one is joined by page.
 BROADCAST_ROWS = 50_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>")
+_STOP = re.compile("[\"'>]")
+#: A tag up to this long is matched at once; a longer one is first looked through for its end, see _Tokens.
+_SHORT = 512
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _SPACE = re.compile(r"\s+")
-_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>|\Z", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math")}
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math")}
 #: Left out as elements, since their end tag may be missing; they break no line and an inline end tag reaches out of them.
 _LOOSE = frozenset("select optgroup option button svg math".split())
 _QUIET = frozenset("button svg math".split())
@@ -52,59 +56,103 @@ _CLOSES |= {"li": frozenset(["li", "p"]), "dd": frozenset(["dd", "dt", "p"]), "d
             "option": frozenset(["option"]), "select": frozenset(["select", "option"]), "button": frozenset(["button"])}
 _STOPS = {"li": frozenset("ul ol menu".split()), "dd": frozenset(["dl"]), "dt": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"]),
            "option": _CONTAINER | {"select", "datalist"}, "button": _CONTAINER | {"table", "li"}, "select": _CONTAINER | {"table", "li"}}
-_SCOPE = _CONTAINER | {"button"}
+_SCOPE_STOPS = _CONTAINER | {"button", "table", "li"}
 _BOILER_TAGS = frozenset("nav footer aside dialog menu head".split()) | _LOOSE
 _FORMS = frozenset("form fieldset".split())
 #: Words of class and id values that mark parts other than the article.
 _BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay
 nav navbar navigation menu breadcrumb breadcrumbs sidebar rail widget related recommended share sharing social comment comments disqus reply replies footer masthead topbar toolbar
 newsletter subscribe subscription signup login pagination pager copyright tags""".split())
+#: Those of them that also say how a page is laid out; and those that mark lists of links.
+_LAYOUT_WORDS = frozenset("banner nav navbar navigation menu breadcrumb breadcrumbs sidebar rail widget masthead topbar toolbar social share sharing tags pagination pager".split())
+_LINK_WORDS = frozenset("social share sharing tags menu toolbar pager pagination".split())
+#: A class beside one of these words speaks of another element (has-sidebar); a class of these words alone names content.
+_MODIFIERS = frozenset("has with no not without hide show".split())
+_CONTENT_WORDS = frozenset("content article post entry story main page layout text body".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A marked list inside an article with as many unlinked characters, and few linked ones, is part of it.
+_LONG = 100
 #: Those that name another kind of article.
 _OTHER_ARTICLES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion related recommended comment comments disqus reply replies".split())
 _WORDS = re.compile(r"[a-z]+|\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "label", "parent", "boiler", "marked", "path", "text", "linked", "score")
+    __slots__ = ("tag", "label", "parent", "boiler", "marked", "path", "key", "text", "linked", "score", "inner")
 
-    def __init__(self, tag: str, label: str, parent: _Node | None, boiler: bool, marked: int):
-        self.tag, self.label, self.parent, self.boiler, self.marked = tag, label, parent, boiler, marked
+    def __init__(self, tag: str, label: str, parent: _Node | None, boiler: bool, marked: int, inner: bool = False):
+        self.tag, self.label, self.parent, self.boiler, self.marked, self.inner = tag, label, parent, boiler, marked, inner
         self.path = self.text = self.linked = 0
+        self.key = (0, 0)       # CRC and length of the path as _path writes it
         self.score = 0.0
 
 
-def _marked(tag: str, words: set[str], in_article: bool) -> int:
-    """2: marked by words, 1: by a form's tag, 0: not; only a mark, see _settle."""
+#: Marks: none, a form's tag, words that may mean the layout, words of lists of links, other words.
+_FORM, _LAYOUT, _LIST, _SURE = 1, 2, 3, 4
+
+
+def _marked(tag: str, classes: str, name: str, in_article: bool) -> int:
+    """What class and id values or a form's tag say of an element; only a mark, see _settle."""
     if tag in ("html", "body", "main"):
         return 0
-    if words & (_OTHER_ARTICLES if tag == "article" and not in_article else _BOILER_WORDS):
-        return 2
-    return int(tag in _FORMS)
+    words, content = set(), False
+    for value in [*classes.split(), *([] if tag in _HEADINGS else [name])]:       # a heading's id is made of its text
+        own = _WORDS.findall(value)
+        content |= bool(own) and _CONTENT_WORDS.issuperset(own)
+        if not _MODIFIERS.intersection(own):
+            words.update(own)
+    words &= _OTHER_ARTICLES if tag == "article" and not in_article else _BOILER_WORDS
+    if words - _LAYOUT_WORDS:
+        return _SURE
+    if words and not content:
+        return _LIST if words <= _LINK_WORDS else _LAYOUT
+    return _FORM if tag in _FORMS else 0
 
 
 def _settle(nodes: list[_Node], leads: list[_Node], texts: list[tuple[_Node, str, bool, int]]) -> None:
-    """Takes back marks that would drop the article, then hands boilerplate down; ``nodes`` in page order, the root first."""
+    """Takes back marks that would drop the article, then hands boilerplate down; ``nodes`` in page order, the root first.
+
+    A marked element is judged by its share of the page's unlinked text and of links in its own: one with
+    most of that text stays if it is a form or leads (an h1, main or article inside), or if its words may mean
+    the layout, its links are few and no heading or article stands elsewhere.  Inside an article a marked
+    list of links stays if it is long and holds few links.
+    """
     marks = [n for n in nodes if n.marked]
     if not marks:
         return
     sure = {id(n) for n in nodes if n.boiler}
     held = dict.fromkeys(map(id, nodes), 0)       # unlinked text inside
+    links = dict.fromkeys(map(id, nodes), 0)      # linked text inside
     for node, text, linked, _ in texts:
-        if not linked and not node.boiler:
-            held[id(node)] += len(text.strip())
+        if not node.boiler:
+            (links if linked else held)[id(node)] += len(text.strip())
     for n in reversed(nodes[1:]):
         held[id(n.parent)] += held[id(n)]
+        links[id(n.parent)] += links[id(n)]
     total = held[id(nodes[0])]
     leading: set[int] = set()
+    heads = 0
+    inside = dict.fromkeys(map(id, nodes), 0)     # leads inside
     for n in leads:
         if n.marked and 2 * held[id(n)] > total:
             n.marked = 0
-        up = None if n.marked or n.boiler else n
+        if n.marked or n.boiler:
+            continue
+        heads += 1
+        inside[id(n)] += 1
+        up = n
         while up is not None and id(up) not in leading:
             leading.add(id(up))
             up = up.parent
+    for n in reversed(nodes[1:]):
+        inside[id(n.parent)] += inside[id(n)]
     for n in marks:
-        if 2 * held[id(n)] > total and (n.marked == 1 or id(n) in leading):
+        most, few = 2 * held[id(n)] > total, links[id(n)] < held[id(n)]
+        if most and (n.marked == _FORM or id(n) in leading):
+            n.marked = 0
+        elif most and few and n.marked in (_LAYOUT, _LIST) and inside[id(n)] == heads:
+            n.marked = 0
+        elif n.marked == _LIST and n.inner and held[id(n)] >= _LONG and 3 * links[id(n)] < held[id(n)]:
             n.marked = 0
 
     def hand_down() -> None:
@@ -119,6 +167,55 @@ def _settle(nodes: list[_Node], leads: list[_Node], texts: list[tuple[_Node, str
         hand_down()
 
 
+class _Tokens:
+    """The tags and comments of a page, in time that grows with its length whatever stands in it.
+
+    A tag's end is the next ``>`` outside quotes.  Where a start has none (no ``>`` follows, or a quote is
+    not closed), the quotes that were looked through are remembered, as no other tag ends by way of them.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.lost = page, set()
+        self.last = page.rfind(">")         # no tag ends after it
+        self.stop = -1                      # the first stop at or after where the last tag began
+
+    def _ends(self, at: int) -> bool:
+        if self.stop < at:
+            found = _STOP.search(self.page, at)
+            self.stop = found.start() if found else len(self.page)
+        seen, stop = [], self.stop
+        while stop < self.last and self.page[stop] != ">" and stop not in self.lost:
+            seen.append(stop)
+            close = self.page.find(self.page[stop], stop + 1)
+            found = _STOP.search(self.page, close + 1) if close >= 0 else None
+            stop = found.start() if found else len(self.page)
+        if stop <= self.last and self.page[stop] == ">":
+            return True
+        self.lost.update(seen)
+        return False
+
+    def next(self, at: int) -> tuple[int, int, re.Match | None]:
+        """Where the next tag or comment after ``at`` begins and ends, and the match of a tag; (-1, -1, None) without one."""
+        page = self.page
+        while True:
+            at = page.find("<", at)
+            if at < 0:
+                return -1, -1, None
+            after = page[at + 1:at + 2]
+            if page.startswith("!--", at + 1):
+                end = page.find("-->", at + 4)
+                return at, len(page) if end < 0 else end + 3, None
+            if at < self.last:
+                m = _TAG.match(page, at, at + _SHORT)
+                if not m and (after.isascii() and after.isalpha() or after == "/") and self._ends(at + 1):
+                    m = _TAG.match(page, at)
+                if m:
+                    return at, m.end(), m
+                if after and after in "!?/":
+                    return at, page.find(">", at) + 1, None
+            at += 1
+
+
 def _self_closing(attrs: str) -> bool:
     """Whether a start tag ends in a slash that is not the end of an unquoted value."""
     last = "" if attrs[-2:-1].isspace() else (attrs[:-1].rsplit(None, 1) or [""])[-1]
@@ -131,45 +228,43 @@ def parse(page: str) -> tuple[list[tuple[_Node, str, bool, int]], list[_Node]]:
     A new block number begins at every start or end of an element that is not inline; br is white space.
     """
     root = _Node("#", "", None, False, 0)
-    stack, texts, nodes, leads, block, at, links, buttons, articles = [root], [], [root], [], 0, 0, 0, 0, 0
-    unclosed: set[str] = set()
+    stack, texts, nodes, leads, block, at = [root], [], [root], [], 0, 0
+    tokens, unclosed = _Tokens(page), set()
+    opens: dict[str, list[int]] = {t: [] for t in ("a", "button", "article", "main")}       # depths of the open elements of a tag
+    walls: list[int] = [0]                        # depths of open elements that an inline end tag does not reach out of
     numbers: dict[tuple[int, str], int] = {}      # of the page's paths, as _path writes them
 
     def add(text: str) -> None:
         if text and not text.isspace():
-            texts.append((stack[-1], html.unescape(text), links > 0, block))
+            texts.append((stack[-1], html.unescape(text), bool(opens["a"]), block))
         elif text:
-            texts.append((stack[-1], " ", links > 0, block))
+            texts.append((stack[-1], " ", bool(opens["a"]), block))
 
     def pop_to(depth: int) -> None:
-        nonlocal links, buttons, articles
-        for n in stack[depth:]:
-            links -= n.tag == "a"
-            buttons -= n.tag == "button"
-            articles -= n.tag == "article"
+        for n in reversed(stack[depth:]):
+            opens[n.tag].pop()
+        while walls[-1] >= depth:
+            walls.pop()
         del stack[depth:]
 
     while True:
-        m = _TOKEN.search(page, at)
-        add(page[at:m.start()] if m else page[at:])
-        if not m:
+        begin, end, m = tokens.next(at)
+        add(page[at:begin] if begin >= 0 else page[at:])
+        if begin < 0:
             break
-        at = m.end()
-        name = m.group(2)
-        if name is None:
+        at = end
+        if m is None:
             continue
+        name = m.group(2)
         tag, inline = name.lower(), name.lower() in _INLINE
         if m.group(1):
-            depth = len(stack) - 1
-            while depth > 0 and stack[depth].tag != tag:
-                # an inline end tag reaches out of no block, a block's end tag closes what is open inside
-                depth = 0 if inline and stack[depth].tag not in _INLINE and stack[depth].tag not in _LOOSE else depth - 1
-            if depth > 0:
-                pop_to(depth)
-            block += not (inline or buttons or tag in _QUIET)
+            # an inline end tag reaches out of no block, a block's end tag closes what is open inside
+            if opens.get(tag) and not (inline and walls[-1] > opens[tag][-1]):
+                pop_to(opens[tag][-1])
+            block += not (inline or opens["button"] or tag in _QUIET)
             continue
         if tag == "br":
-            texts.append((stack[-1], " ", links > 0, block))
+            texts.append((stack[-1], " ", bool(opens["a"]), block))
             continue
         if tag in ("svg", "math") and _self_closing(m.group(3)):
             continue
@@ -179,46 +274,55 @@ def parse(page: str) -> tuple[list[tuple[_Node, str, bool, int]], list[_Node]]:
                 continue
             pop_to(len(stack) - 1)
         if tag in _RAW and tag not in unclosed:
-            end = _RAW[tag].search(page, at)
-            if end.group() or tag not in _LOOSE:
-                at = end.end()
-                block += not (buttons or tag in _QUIET)
+            raw = _RAW[tag].search(page, at, tokens.last + 1)        # a > follows every place that it tries
+            if raw or tag not in _LOOSE:
+                at = raw.end() if raw else len(page)
+                block += not (opens["button"] or tag in _QUIET)
                 continue
             unclosed.add(tag)
         if tag in _CLOSES:
-            depth, stops = len(stack) - 1, _STOPS.get(tag, _SCOPE)
-            hit = 0
-            while depth > 0 and stack[depth].tag not in stops and not (tag not in _STOPS and stack[depth].tag in ("table", "li")):
-                hit = depth if stack[depth].tag in _CLOSES[tag] else hit
-                depth -= 1
-            if hit:
+            stop = max((opens[t][-1] for t in _STOPS.get(tag, _SCOPE_STOPS) if opens.get(t)), default=0)
+            hit = len(stack)
+            for t in _CLOSES[tag]:
+                own = opens.get(t)
+                if own and own[-1] > stop:
+                    hit = min(hit, own[bisect_right(own, stop)])
+            if hit < len(stack):
                 pop_to(hit)
-        block += not (inline or buttons or tag in _QUIET)
+        block += not (inline or opens["button"] or tag in _QUIET)
         if tag in _VOID:
             continue
-        words, label, hidden = set(), tag, False
+        classes, ident, label, hidden = "", "", tag, False
         if m.group(3) and not m.group(3).isspace():
             attrs = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(m.group(3))}
-            words = set(_WORDS.findall(attrs.get("class", "") + " " + attrs.get("id", "")))
+            classes, ident = attrs.get("class", ""), attrs.get("id", "")
             hidden = (attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert") or "hidden" in attrs or attrs.get("aria-hidden") == "true") and tag not in ("html", "body")
-            classes = sorted(re.sub(r"\d+", "#", c) for c in attrs.get("class", "").split())
-            label = ".".join([tag, *classes])
-        top = stack[-1]
-        article = any(n.tag in ("article", "main") for n in stack[-8:])
-        sure = top.boiler or hidden or tag in _BOILER_TAGS or (tag == "header" and not article)
-        node = _Node(tag, label, top, sure, _marked(tag, words, articles > 0))
-        node.path = top.path if inline else numbers.setdefault((top.path, label), len(numbers) + 1)
+            label = ".".join([tag, *sorted(re.sub(r"\d+", "#", c) for c in classes.split())])
+        top, article = stack[-1], bool(opens["article"])
+        inner = article or bool(opens["main"])
+        sure = top.boiler or hidden or tag in _BOILER_TAGS or (tag == "header" and not inner)
+        node = _Node(tag, label, top, sure, _marked(tag, classes, ident, article), inner)
+        if inline:
+            node.path, node.key = top.path, top.key
+        else:
+            node.path = numbers.setdefault((top.path, label), len(numbers) + 1)
+            node.key = _key(("/" if top.path else "") + label, top.key)
         nodes.append(node)
-        if tag in ("h1", "main") or (tag == "article" and not articles):
+        if tag in ("h1", "main") or (tag == "article" and not article):
             leads.append(node)
-        links += tag == "a"
-        buttons += tag == "button"
-        articles += tag == "article"
+        if not (inline or tag in _LOOSE):
+            walls.append(len(stack))
+        opens.setdefault(tag, []).append(len(stack))
         stack.append(node)
     _settle(nodes, leads, texts)
     return texts, [n for n in nodes if n.tag in _CONTAINER and not n.boiler]
 
 
+def _key(text: str, before: tuple[int, int] = (0, 0)) -> tuple[int, int]:
+    data = text.encode("utf-8", "surrogatepass")
+    return zlib.crc32(data, before[0]), before[1] + len(data)
+
+
 def _path(node: _Node) -> str:
     labels = []
     while node is not None and node.parent is not None:
@@ -250,6 +354,12 @@ def _best(texts: list[tuple[_Node, str, bool, int]], containers: list[_Node]) ->
                 share /= 2
             node = node.parent
     best = max(containers, key=lambda c: c.score * (1 - c.linked / c.text if c.text else 0))
+    # the article or main around it, if that adds little: its first or last words stand beside the container
+    up = best.parent
+    while up is not None and id(up) in known and up.text - up.linked <= 1.25 * (best.text - best.linked) and 2 * up.linked <= up.text:
+        if up.tag in ("article", "main"):
+            return up
+        up = up.parent
     return best if best.score > 0 else None
 
 
@@ -261,10 +371,11 @@ def extract(page: str, paths: list[str]) -> str:
     """
     texts, containers = parse(page)
     by_path: dict[str, set[int]] = {}
-    wanted = set(paths)
-    last = {p.rsplit("/", 1)[-1] for p in wanted}
+    wanted = {_key(p) for p in paths}
+    written: dict[int, str] = {}        # a path is written out once, and only if its key is wanted
     for c in containers:
-        if c.label in last and (p := _path(c)) in wanted:
+        if c.key in wanted:
+            p = written.get(c.path) or written.setdefault(c.path, _path(c))
             by_path.setdefault(p, set()).add(id(c))
     for p in paths:
         if p in by_path and (whole := _inside(texts, by_path[p])):

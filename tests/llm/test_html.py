@@ -94,3 +94,102 @@ def test_missing_end_tags_lose_no_text():
 def test_adversarial_marks_and_end_tags_end():
     for t in ("<svg>" * 30_000 + "x", "<button>" * 30_000 + "x", "<option>" * 30_000, "<select>" * 30_000, '<div class="ad">' * 20_000 + "x", "<form>" * 1_000 + "x", "<h1>" * 1_000 + "<article class=ad>" * 5_000, "<svg a=" + "=" * 50_000 + "/>x"):
         H._page_text(t, ["html/body"])
+
+
+def test_layout_words_do_not_drop_articles():
+    """Class words that tell how the page is laid out, with no h1, main or article inside the marked element."""
+    text = "A paragraph of the article that has some length. " * 4
+    four = "".join(f"<p>{text}</p>" for _ in range(4))
+    want = "\n\n".join([text.strip()] * 4)
+    side = '<div class="sidebar"><p>Other</p></div><div class="comments"><p>A reader.</p></div>'
+    for html in (f"<body><div class='content has-sidebar'>{four}</div><div>Other small text.</div></body>", f"<body><div class='layout with-sidebar'><h2>Part</h2>{four}</div><div>Other small text.</div></body>",
+                 f"<body><div class='row'><div class='content sidebar-left'>{four}</div>{side}</div></body>", f"<body><div class='row'><div class='sidebar-left'>{four}</div>{side}</div></body>",
+                 f"<body><h1>T</h1><div class='row'><div class='entry-content sidebar-left'>{four}</div>{side}</div></body>"):
+        got = H._page_text(html, [])
+        assert want in got and "Other" not in got.replace("Other small", "") and "reader" not in got, html
+    assert H._page_text(f"<body><main><p>Intro.</p><div class='col no-sidebar'>{four}</div></main></body>", []) == "Intro.\n\n" + want
+    got = H._page_text(f"<body><article><h1>T</h1>{four}<h2 id='related-work'>Related work</h2><p>{text}</p><ul class='social'><li>{text}</li></ul><ul class='social'><li><a href=x>Tweet</a></li></ul></article></body>", [])
+    assert got == f"T\n\n{want}\n\nRelated work\n\n{text.strip()}\n\n{text.strip()}"
+    # a long sidebar beside an article with a heading is still one
+    assert H._page_text(f"<body><div class='post'><h1>T</h1><p>Short.</p></div><div class='sidebar'>{four}</div></body>", []) == "T\n\nShort."
+
+
+def test_headers_of_articles_at_any_depth():
+    for k in (3, 9, 40):
+        html = "<body><article>" + "<div>" * k + "<header><h1>Title</h1></header><p>Text.</p>" + "</div>" * k + "</article><header>Site</header></body>"
+        assert H._page_text(html, []) == "Title\n\nText."
+
+
+def test_odd_pages_take_time_in_proportion():
+    import time
+
+    mb = 1_000_000
+    pages = {"open tags": "<a " * (mb // 3), "open quotes": '<p "' * (mb // 4), "other quotes": "<a href='x " * (mb // 11), "both quotes": "<a b='c\" " * (mb // 10), "ends of nothing": "<div>" * (mb // 10) + "</section>" * (mb // 20),
+             "inline ends": "<b><div>" + "<i>" * (mb // 6) + "</b>" * (mb // 8), "paragraphs in spans": "<span>" * (mb // 12) + "<p>" * (mb // 6), "open declarations": "<!" * (mb // 2), "open ends": "</" * (mb // 2),
+             "raw ends": "<script>" + "</script " * (mb // 9), "quotes then end": '<p "' * (mb // 4) + ">x", "comments": "<!-" * (mb // 3) + "<!--", "list items": "<ul><li>" * (mb // 16) + "<li>" * (mb // 8)}
+    for name, page in pages.items():
+        began = time.process_time()
+        H._page_text(page, ["html/body/" + "div/" * 50 + "div"])
+        assert time.process_time() - began < 6, name
+    deep = "<html><body>" + "<div>" * 20_000 + "x" * 50 + "</div>" * 20_000
+    began = time.process_time()
+    path = H.best_path(deep)
+    assert H._page_text(deep, [path, "html/body/div/div"]) == "x" * 50 and time.process_time() - began < 6
+
+
+def plain_text(page):
+    """An independent small extractor for well-formed pages of one template, on the standard library's parser."""
+    from html.parser import HTMLParser
+
+    blocks = set("p h1 h2 h3 li div ul section blockquote".split())
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.stack, self.out, self.now = [], [], ""
+
+        def cut(self):
+            text = " ".join(self.now.split())
+            self.out += [text] if text else []
+            self.now = ""
+
+        def handle_starttag(self, tag, attrs):
+            if tag in blocks:
+                self.cut()
+            if tag != "br":
+                self.stack.append((tag, dict(attrs).get("class", "")))
+            else:
+                self.now += " "
+
+        def handle_endtag(self, tag):
+            if tag in blocks:
+                self.cut()
+            self.stack.pop()
+
+        def handle_data(self, data):
+            if any(c == "story" for _, c in self.stack) and not any(t in ("script", "aside", "form") or c in ("comments", "ad") for t, c in self.stack):
+                self.now += data
+
+    p = P()
+    p.feed(page)
+    p.cut()
+    return "\n\n".join(p.out)
+
+
+def test_equals_a_plain_extractor(spark):
+    import random
+
+    rng = random.Random(6)
+    words = "water &amp; stone caf&eacute; river &lt;b&gt; boat hill &#8217; other".split()
+
+    def prose(n):
+        return " ".join(rng.choice([w, w, w, f"<b>{w}</b>", f"<a href='/x'>{w}</a>", f"<i>{w}", ][:5]) for w in rng.choices(words, k=n))
+    parts = [lambda: f"<p>{prose(30)}</p>", lambda: f"<h2>{prose(3)}</h2>", lambda: f"<ul><li>{prose(5)}</li><li>{prose(9)}</li></ul>", lambda: f"<blockquote><p>{prose(12)}</p></blockquote>",
+             lambda: f"<div class='ad'><p>{prose(9)}</p></div>", lambda: f"<aside><p>{prose(9)}</p></aside>", lambda: f"<form><p>{prose(3)}</p></form>", lambda: "<script>var a = '<p>x</p>';</script>", lambda: f"<p>{prose(4)}<br>{prose(4)}</p>"]
+    rows = []
+    for k in range(60):
+        inner = "".join(rng.choice(parts)() for _ in range(rng.randrange(2, 12)))
+        rows.append((k, f"http://h{k % 3}.example/{k}", f"<html><body><nav><p>{prose(4)}</p></nav><div class='story'><h1>{prose(4)}</h1><p>{prose(40)}</p>{inner}<section class='comments'><p>{prose(20)}</p></section></div><footer><p>{prose(5)}</p></footer></body></html>"))
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, _, page in rows:
+        assert got[k] == plain_text(page), k
