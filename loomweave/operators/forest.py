@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from loomweave.functions import coerce as C
 from loomweave.operators import envelope as E
+from loomweave.operators import intervals as I
 from loomweave.operators import normalize as N
 from loomweave.session import cut_lineage
 
@@ -210,31 +211,26 @@ def preorder(nodes: DataFrame, kinds=("t1",)) -> DataFrame:
                             [F.col("path")], "display_rank")
 
 
-def subtree_weight(nodes: DataFrame) -> DataFrame:
-    """J15 + J4: per node, t1 descendants (itself included) and hidden counts below.
+def _own_weight() -> Column:
+    """What a node stands for: a comment one, a pointer its hidden count."""
+    return F.when(F.col("kind") == "t1", F.lit(1)).otherwise(F.coalesce("ptr_count", F.lit(0)))
 
-    Each node contributes its own weight (t1 -> 1, more -> count) to every
-    ancestor: exploding path prefixes gives (ancestor, contribution) rows that a
-    map-side combined aggregate sums.  Depth bounds the fan-out.
-    """
-    own = F.when(F.col("kind") == "t1", F.lit(1)).otherwise(F.coalesce("ptr_count", F.lit(0)))
-    contrib = nodes.select("thread_id", "path", own.alias("w"),
-                           F.when(F.col("kind") == "t1", 1).otherwise(0).alias("n"))
-    anc = contrib.select("thread_id", "w", "n", F.explode(F.sequence(F.lit(1), F.size("path")))
-                         .alias("k"), "path").select(
-        "thread_id", F.slice("path", 1, F.col("k")).alias("path"), "w", "n")
-    return anc.groupBy("thread_id", "path").agg(F.sum("w").alias("weight"),
-                                                F.sum("n").alias("comments_below"))
+
+def subtree_weight(nodes: DataFrame) -> DataFrame:
+    """J15 + J4: per node, t1 descendants (itself included) and hidden counts below: differences of prefix sums."""
+    spans = I.numbered(nodes, weight=_own_weight(), comments_below=F.when(F.col("kind") == "t1", 1).otherwise(0))
+    return spans.select("thread_id", "path", "weight", "comments_below")
 
 
 # ---------------------------------------------------------------- J5-J7 anchor
-def anchor(nodes: DataFrame, anchors: DataFrame, context: int = 0) -> DataFrame:
+def anchor(nodes: DataFrame, anchors: DataFrame, context: int = 0) -> tuple[DataFrame, DataFrame]:
     """The anchored comment's subtree, re-rooted ``context`` ancestors up.
 
     ``anchors``: ``(thread_id, comment_id)``; the id is case-folded (J5).  Rows
-    with ``found = false`` carry the not-found verdict.  The subtree test is a
-    path-prefix comparison after an equi-join on the thread.
+    with ``found = false`` carry the not-found verdict.  The subtrees come from
+    an interval containment join: every node meets only the anchors above it.
     """
+    spans = cut_lineage(I.numbered(nodes))
     t1 = nodes.filter(F.col("kind") == "t1").select(
         "thread_id", "path", F.lower(F.col("c_id")).alias("_cid"))
     a = anchors.select("thread_id", F.lower(F.col("comment_id")).alias("_cid"), "comment_id")
@@ -243,8 +239,10 @@ def anchor(nodes: DataFrame, anchors: DataFrame, context: int = 0) -> DataFrame:
     roots = found.select("thread_id", "comment_id", F.col("path").isNotNull().alias("found"),
                          F.when(F.col("path").isNotNull(), F.slice("path", 1, root_len))
                          .alias("root_path"))
-    sub = (nodes.join(roots.filter("found"), "thread_id")
-           .filter(F.slice("path", 1, F.size("root_path")) == F.col("root_path")))
+    places = spans.select("thread_id", F.col("path").alias("root_path"), F.col("entry").alias("_lo"), F.col("exit").alias("_hi"))
+    wanted = roots.filter("found").join(places, ["thread_id", "root_path"])
+    placed = nodes.join(spans.select("thread_id", "path", "entry"), ["thread_id", "path"])
+    sub = I.contained(placed, wanted, "entry", "_lo", "_hi").drop("entry", "_lo", "_hi")
     missing = roots.filter(~F.col("found"))
     return sub, missing
 
@@ -287,22 +285,11 @@ def cap(nodes: DataFrame, limit: int | None, max_depth: int | None = None) -> Da
                 & (F.col("_cut_pos").isNull() | (F.col("sib_pos") < F.col("_cut_pos"))))
     keep_flag = F.col("_kept") | ptr_kept
     marked = marked.withColumn("_keep", keep_flag)
-    # Omitted rows -> nearest kept ancestor list: longest path prefix that is kept.
-    omitted = marked.filter(~F.col("_keep")).select(
-        "thread_id", "path", "kind",
-        F.when(F.col("kind") == "t1", F.lit(1)).otherwise(F.coalesce("ptr_count", F.lit(0)))
-        .alias("w"))
-    prefixes = omitted.select("thread_id", "w", F.explode(F.sequence(F.lit(0), F.size("path") - 1))
-                              .alias("k"), "path").select(
-        "thread_id", "w", "path", F.slice("path", 1, F.col("k")).alias("anc"))
-    kept_lists = kept_t1.select("thread_id", F.col("path").alias("anc"), F.lit(1).alias("_ok"))
-    top_lists = prefixes.filter(F.size("anc") == 0).withColumn("_ok", F.lit(1))
-    matched = (prefixes.filter(F.size("anc") > 0).join(kept_lists, ["thread_id", "anc"])
-               .unionByName(top_lists))
-    nearest = (matched.groupBy("thread_id", "path", "w")
-               .agg(F.max(F.struct(F.size("anc").alias("n"), F.col("anc"))).alias("m"))
-               .select("thread_id", "w", F.col("m.anc").alias("anc")))
-    remainder = nearest.groupBy("thread_id", "anc").agg(F.sum("w").alias("omitted"))
+    # What is kept is closed upwards, so everything omitted below a kept list hangs under the list's own
+    # omitted children: a comment counts with its whole subtree, a pointer with its hidden count.
+    cut = marked.filter(~F.col("_keep") & F.col("_parent_kept")).select("thread_id", "path", F.col("parent_path").alias("anc"))
+    remainder = (cut.join(subtree_weight(nodes).select("thread_id", "path", "weight"), ["thread_id", "path"])
+                 .groupBy("thread_id", "anc").agg(F.sum("weight").alias("omitted")))
     # Remainder pointer: parent fullname, depth = the list depth of that parent.
     kept_nodes = marked.filter("_keep").drop("_kept", "_parent_kept", "_cut_pos", "_keep")
     parent_info = (kept_nodes.filter(F.col("kind") == "t1")
@@ -388,11 +375,11 @@ def verdict(nodes_after: DataFrame, capped: DataFrame | None, limit: int | None,
 
 # ---------------------------------------------------------------- H: sibling order
 def sibling_sort(nodes: DataFrame, sort: str) -> DataFrame:
-    """H1-H8 within siblings: new ``sib_pos`` per (thread, parent) by the sort key.
+    """H1-H8: ``new_pos`` among the siblings by the sort key, and the ``display_rank`` that follows from it.
 
-    Pointers stay after their comment siblings.  The window is bounded by one
-    parent's direct replies; paths are rebuilt level by level from the new
-    positions with a prefix join, so display order follows the sort.
+    Pointers stay after their comment siblings.  The display order is rebuilt from
+    subtree sizes: a node's rank is the sum, over itself and its ancestors, of one
+    plus the sizes of the siblings sorted before.
     """
     from loomweave.operators import listing as L
 
@@ -408,24 +395,20 @@ def sibling_sort(nodes: DataFrame, sort: str) -> DataFrame:
         "best": [L.wilson_lower(up, down).desc()],
         "qa": [c("is_submitter").desc(), L.wilson_lower(up, down).desc()],
     }[sort]
-    from loomweave.operators.common import distributed_rank
-
     order = [F.when(c("kind") == "t1", 0).otherwise(1).alias("_k0"), *key,
              c("created_at").desc_nulls_last(), c("fullname").asc_nulls_last(), c("sib_pos")]
-    ranked_nodes = distributed_rank(nodes, ["thread_id", "parent_path"], order, "_r").withColumn(
-        "new_pos", (F.col("_r") - 1).cast("int")).drop("_r")
-    # Rebuild paths: each node's new path = ancestors' new positions.  Join every
-    # node with its ancestors by old path prefix (fan-out = depth).
-    anc = ranked_nodes.select("thread_id", F.col("path").alias("anc_path"), "new_pos")
-    expl = ranked_nodes.select("thread_id", "path", F.explode(F.sequence(F.lit(1), F.size("path")))
-                               .alias("k")).select(
-        "thread_id", "path", "k", F.slice("path", 1, F.col("k")).alias("anc_path"))
-    new_paths = (expl.join(anc, ["thread_id", "anc_path"])
-                 .groupBy("thread_id", "path")
-                 .agg(F.array_sort(F.collect_list(F.struct("k", "new_pos"))).alias("_p"))
-                 .select("thread_id", "path", F.transform("_p", lambda x: x["new_pos"])
-                         .alias("sorted_path")))
-    return ranked_nodes.join(new_paths, ["thread_id", "path"])
+    spans = cut_lineage(I.numbered(nodes))
+    sized = nodes.join(spans, ["thread_id", "path"])
+    # siblings in their new order: position, and how many nodes the earlier ones bring
+    placed = cut_lineage(I.running_sums(sized, ["thread_id", "parent_path"], order, {"new_pos": F.lit(1), "_skip": c("exit") - c("entry")}))
+    parents = spans.select("thread_id", c("path").alias("parent_path"), c("entry").alias("up"))
+    links = placed.select("thread_id", "parent_path", c("entry").alias("node"), (c("_skip") + 1).alias("value")).join(
+        parents, ["thread_id", "parent_path"], "left")
+    # a node is displayed so many places after its parent: the steps of all ancestors added up are its rank
+    levels = placed.agg(F.max(F.size("path"))).first()[0] or 1
+    ranks = I.fold_up(links, lambda above, below: above + below, levels)
+    return (placed.join(ranks.select("thread_id", c("node").alias("entry"), c("value").alias("display_rank")), ["thread_id", "entry"])
+            .withColumn("new_pos", c("new_pos").cast("int")).drop("entry", "exit", "_skip"))
 
 
 # ---------------------------------------------------------------- J19 nesting

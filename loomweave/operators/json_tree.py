@@ -46,16 +46,21 @@ def scan(docs: DataFrame, id_col: str, json_col: str) -> DataFrame:
     found = [base.filter(F.col("j").isNull()).select("id", F.lit("unsafe-file").alias("category")),
              base.filter(F.col("j").isNotNull() & F.col("v").isNull()).select("id", F.lit("invalid-json").alias("category"))]
     level = _typed(base.filter(F.col("v").isNotNull()).select("id", "v", F.lit(False).alias("user")))
-    found.append(_text_findings(level))
-    nodes = cut_lineage(level.filter("kind in ('o', 'a')").select("id", "v", "user", "kind"))
-    while not nodes.isEmpty():
+    held = cut_lineage(level.select("id", "user", "kind", F.when(F.col("kind").isin("o", "a"), F.col("v")).alias("v"), _text_findings().alias("cats")))
+    while True:
+        found.append(held.select("id", F.explode("cats").alias("category")))
+        nodes = held.filter("kind in ('o', 'a')").select("id", "v", "user", "kind")
+        if nodes.isEmpty():
+            break
         asked = nodes.withColumn("record", F.col("user") | F.coalesce(_text_of("v", "$.fullname").startswith("t2_"), F.lit(False)))
         asked = asked.withColumn("t2", F.coalesce(_text_of("v", "$.kind") == "t2", F.lit(False))).withColumn("author", _text_of("v", "$.author"))
         kids = _typed(_children(asked))
         in_object = F.col("p_kind") == "o"
-        kids = kids.withColumn("user", F.when(in_object, F.col("p_record") | (F.col("p_t2") & (F.col("key") == "data"))).otherwise(F.col("p_user")))
-        found += [_text_findings(kids.withColumnRenamed("p_id", "id")), _key_findings(kids.filter(in_object))]
-        nodes = cut_lineage(kids.filter("kind in ('o', 'a')").select(F.col("p_id").alias("id"), "v", "user", "kind"))
+        user = F.when(in_object, F.col("p_record") | (F.col("p_t2") & (F.col("key") == "data"))).otherwise(F.col("p_user"))
+        cats = F.concat(_text_findings(), F.when(in_object, _key_findings()).otherwise(F.array().cast("array<string>")))
+        below = kids.select(F.col("p_id").alias("id"), user.alias("user"), "kind", F.when(F.col("kind").isin("o", "a"), F.col("v")).alias("v"), cats.alias("cats"))
+        # one evaluation a level: findings and the containers of the next level are read back from here
+        held = cut_lineage(below.filter(F.col("kind").isin("o", "a") | (F.size("cats") > 0)))
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
@@ -64,18 +69,20 @@ def scan(docs: DataFrame, id_col: str, json_col: str) -> DataFrame:
     return listed.select("id", F.posexplode(F.filter(order, lambda x: F.array_contains("c", x))).alias("ord", "category"))
 
 
-def _text_findings(rows: DataFrame) -> DataFrame:
-    return rows.filter("kind = 's'").select("id", F.explode(PII.text_categories(F.col("str"))).alias("category"))
+def _text_findings() -> Column:
+    """Categories of a string leaf."""
+    return F.when(F.col("kind") == "s", PII.text_categories(F.col("str"))).otherwise(F.array().cast("array<string>"))
 
 
-def _key_findings(kids: DataFrame) -> DataFrame:
+def _key_findings() -> Column:
+    """Categories that an object's key gives with its value."""
     norm, name = F.array_join(PII.key_words(F.col("key")), "_"), PII.non_synthetic_username(F.col("str"))
     marked_author = F.coalesce(PII.has_synthetic_marker(F.coalesce("p_author", F.lit(""))), F.lit(False))
     url = norm.isin(*PII.PROFILE_URL_KEYS) | (F.col("p_record") & (norm == "url"))
     person = ((norm.isin(*PII.USERNAME_KEYS) & name) | ((norm == "author_fullname") & name & ~marked_author)
               | (F.col("p_record") & (norm == "name") & name) | (url & PII.non_synthetic_username(PII.profile_username(F.col("str")))))
     flags = F.array(F.when(PII.credential_shaped_key(F.col("key")), F.lit("credential-key")), F.when(person, F.lit("non-synthetic-username")))
-    return kids.select(F.col("p_id").alias("id"), F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("category"))
+    return F.filter(flags, lambda x: x.isNotNull())
 
 
 # ---------------------------------------------------------------- redaction
@@ -89,10 +96,10 @@ def redact(docs: DataFrame, id_col: str, json_col: str, raw_only: bool = True) -
     """id, doc: JSON text with sensitive and path keys masked and free text cut.
 
     With ``raw_only`` (L5) only below a ``raw`` key, at any depth; else (L4)
-    everywhere.  Null and invalid documents give null.  ``id_col`` must be
-    unique.
+    everywhere.  Null and invalid documents give null.  One row per input row:
+    rows are told apart by a number of their own, so ids may repeat or be null.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.try_parse_json(json_col).alias("v"))
+    base = cut_lineage(docs.select(F.col(id_col).alias("name"), F.monotonically_increasing_id().alias("id"), F.try_parse_json(json_col).alias("v")))
     top = _typed(base.filter(F.col("v").isNotNull())).select(
         "id", F.lit("").alias("path"), F.lit(None).cast("string").alias("up"), F.lit(0).alias("pos"), F.lit(None).cast("string").alias("key"),
         "kind", F.lit(not raw_only).alias("inside"), F.to_json("v").alias("leaf"), "v")
@@ -121,4 +128,4 @@ def redact(docs: DataFrame, id_col: str, json_col: str, raw_only: bool = True) -
             empty = F.when(F.col("kind") == "o", F.lit("{}")).otherwise(F.lit("[]"))
             text = F.when(F.col("kind").isin("o", "a"), F.when(F.col("l").isNull(), empty).otherwise(own)).otherwise(F.col("leaf"))
         built = rows.select("id", "up", "pos", "key", text.alias("text"))
-    return base.select("id").join(built.select("id", F.col("text").alias("doc")), "id", "left")
+    return base.select("id", "name").join(built.select("id", F.col("text").alias("doc")), "id", "left").select(F.col("name").alias("id"), "doc")

@@ -316,10 +316,7 @@ def _sorted_comments(spark, sf_dir, sort):
     n = FR.comments_view(_forest(spark, sf_dir))
     n = n.select("thread_id", "path", "parent_path", "sib_pos", F.lit("t1").alias("kind"),
                  "created_at", "score", "ups", "downs", "is_submitter", "fullname")
-    from loomweave.operators.common import distributed_rank
-
-    s = distributed_rank(FR.sibling_sort(n, sort), ["thread_id"], [F.col("sorted_path")], "display_rank")
-    return s.select(
+    return FR.sibling_sort(n, sort).select(
         "thread_id", "fullname", F.col("new_pos").cast("bigint").alias("sibling_rank"),
         F.col("display_rank").cast("bigint").alias("display_rank"))
 
@@ -362,6 +359,18 @@ def resolve_identifiers(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- redaction
+@query
+def redact_all(spark, sf_dir):
+    """L4: whole records redacted, ids that repeat kept apart."""
+    docs = S.raw_documents(spark, sf_dir).select((F.col("event_id") % 7).alias("id"), "doc")
+    docs = JT.redact(docs, "id", "doc", raw_only=False)
+    g = lambda p: F.get_json_object("doc", p)
+    return docs.select(F.col("id").cast("bigint").alias("id"), g("$.raw.Api-Key").alias("api_key"),
+                       g("$.raw.selftext").alias("selftext"), g("$.raw.title").alias("title"),
+                       g("$.raw.nested.items[0].accessToken").alias("item_token"),
+                       g("$.raw.nested.items[0].note").alias("item_note"), g("$.body").alias("body"))
+
+
 @query
 def redact_raw(spark, sf_dir):
     """Redact only ``raw`` attachments of JSON records, at any depth."""
@@ -708,8 +717,7 @@ def forest_verdict(spark, sf_dir):
 @query
 def forest_verdict_depth(spark, sf_dir):
     """J14 + J18: with depth 1 no pointer may be expanded: depth_capped / comment_limit."""
-    base = _pointed(spark, sf_dir)
-    v = FR.verdict(base, FR.cap(base, None, max_depth=None), 500, max_depth=1)
+    v = FR.verdict(_pointed(spark, sf_dir), None, 500, max_depth=1)
     return v.select("thread_id", "verdict", F.col("comments").cast("bigint").alias("comments"))
 
 

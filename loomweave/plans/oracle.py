@@ -561,6 +561,16 @@ SELECT CAST(event_id AS BIGINT) AS event_id, '[REDACTED]' AS api_key,
 FROM e
 """
 
+ORACLE["redact_all"] = """
+WITH e AS (SELECT event_id, event_type, props, repeat(event_type || ' ', 1 + event_id % 9) AS s FROM events)
+SELECT CAST(event_id % 7 AS BIGINT) AS id, '[REDACTED]' AS api_key,
+       CASE WHEN length(s) <= 40 THEN s
+            ELSE substring(s, 1, 40) || '...[redacted ' || (length(s) - 40) || ' more chars]' END AS selftext,
+       event_type AS title, '[REDACTED]' AS item_token, props AS item_note,
+       repeat('b', 40) || '...[redacted 10 more chars]' AS body
+FROM e
+"""
+
 _NAME = (r"(?:api[ _-]?key|access[_-]?token|token|secret|password|cookie|authorization|"
          r"proxy[_-]?authorization|session(?:[_-]?(?:id|token))?|csrf(?:[_-]?token)?)")
 _W = r"\pL\pN_"

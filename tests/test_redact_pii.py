@@ -64,6 +64,14 @@ def test_whole_document_redaction(spark):
         {"a": {"api_key": "[REDACTED]", "ok": 1}, "body": "z" * 40 + "...[redacted 1 more chars]"}]
 
 
+def test_repeated_and_null_ids_keep_documents_apart(spark):
+    docs = [(1, {"raw": {"a": "x", "b": ["y"]}}), (1, {"raw": {"a": "z", "token": ["w"]}}), (None, {"raw": {"token": 1}}), (None, None), (1, {"raw": {"a": "x", "b": ["y"]}})]
+    df = spark.createDataFrame([(i, None if d is None else json.dumps(d)) for i, d in docs], "i long, d string")
+    got = sorted(((r["id"], r["doc"]) for r in JT.redact(df, "i", "d").collect()), key=repr)
+    want = [(1, '{"raw":{"a":"x","b":["y"]}}'), (1, '{"raw":{"a":"z","token":"[REDACTED]"}}'), (None, '{"raw":{"token":"[REDACTED]"}}'), (None, None), (1, '{"raw":{"a":"x","b":["y"]}}')]
+    assert got == sorted(want, key=repr)
+
+
 def test_structural_scan(spark):
     docs = [None, "{broken", {"clean": ["words", 1, None, {}]}, {"deep": [[{"accessToken": 1}]]}, {"author": "realname"}, {"author": "[deleted]"},
             {"author": "test_user"}, {"kind": "t2", "data": {"name": "someone", "subreddit": {"url": "/user/someone/"}}}, {"kind": "t3", "data": {"name": "someone"}},
