@@ -334,11 +334,12 @@ def signature(nodes: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- J18 verdict
 def verdict(nodes_after: DataFrame, capped: DataFrame | None, limit: int | None,
-            max_depth: int | None = None, dead: DataFrame | None = None) -> DataFrame:
-    """tree_complete / depth_capped / comment_limit per thread, in the client's order.
+            max_depth: int | None = None, dead: DataFrame | None = None, refused: DataFrame | None = None) -> DataFrame:
+    """tree_complete / depth_capped / comment_limit / rate_limited / max_requests per thread, in the client's order.
 
     ``dead``: (thread_id, root) parents whose expansion brought nothing (J17);
-    their pointers no longer count as expandable.
+    their pointers no longer count as expandable.  ``refused``: (thread_id) threads
+    whose next request the site refused.
     """
     threads = nodes_after.select("thread_id").distinct()
     if dead is not None:
@@ -362,6 +363,10 @@ def verdict(nodes_after: DataFrame, capped: DataFrame | None, limit: int | None,
         out = out.join(cap_truncated(capped), "thread_id", "left")
     else:
         out = out.withColumn("truncated", F.lit(0))
+    if refused is not None:
+        out = out.join(refused.select("thread_id").distinct().withColumn("_refused", F.lit(True)), "thread_id", "left")
+    else:
+        out = out.withColumn("_refused", F.lit(None).cast("boolean"))
     lim = F.lit(limit).cast("bigint")
     v = (F.when(F.lit(limit == 0), F.lit("comment_limit"))
          .when(F.col("truncated") == 1, F.lit("comment_limit"))
@@ -369,8 +374,9 @@ def verdict(nodes_after: DataFrame, capped: DataFrame | None, limit: int | None,
          .when((F.col("expandable") == 0) & (F.col("t3_ptr") == 1), F.lit("comment_limit"))
          .when(F.col("expandable") == 0, F.lit("depth_capped"))
          .when(lim.isNotNull() & (F.col("comments") >= lim), F.lit("comment_limit"))
+         .when(F.col("_refused"), F.lit("rate_limited"))
          .otherwise(F.lit("max_requests")))
-    return out.withColumn("verdict", v)
+    return out.withColumn("verdict", v).drop("_refused")
 
 
 # ---------------------------------------------------------------- H: sibling order

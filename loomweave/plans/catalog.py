@@ -697,6 +697,41 @@ def forest_expand(spark, sf_dir):
                          F.col("display_rank").cast("bigint").alias("display_rank"))
 
 
+def _snapshots(spark, sf_dir):
+    return memo(spark, sf_dir, "snapshots", lambda: FR.flatten_post_responses(
+        S.subtree_responses(spark, sf_dir), subtree=True)[0])
+
+
+@query
+def forest_expand_budget(spark, sf_dir):
+    """Four requests a thread, the post's own and dead ends included, spent in display order."""
+    from loomweave.operators.common import distributed_rank
+
+    merged, _, _ = X.expand(_pointed(spark, sf_dir), _snapshots(spark, sf_dir), max_requests=4, renumber=False)
+    ranked = distributed_rank(merged, ["thread_id"], [F.col("opath")], "display_rank")
+    return ranked.select("thread_id", "kind", "fullname", F.col("ptr_count").cast("bigint").alias("ptr_count"),
+                         F.col("display_rank").cast("bigint").alias("display_rank"))
+
+
+@query
+def forest_expand_limit(spark, sf_dir):
+    """At most 50 comments, 9 requests, and a site that refuses after a thread's own number."""
+    base = _pointed(spark, sf_dir)
+    user = F.regexp_extract("thread_id", r"(\d+)$", 1).cast("bigint")
+    answered = base.select("thread_id").distinct().withColumn("answered", user % 5 + 1)
+    merged, done, dead = X.expand(base, _snapshots(spark, sf_dir), max_requests=9, limit=50, answered=answered)
+    req = done.unionByName(dead).groupBy("thread_id").agg((F.count("*") + 1).alias("requests"))
+    made = answered.join(req, "thread_id", "left").withColumn("requests", F.coalesce("requests", F.lit(1)))
+    refused = made.filter((F.col("requests") < 9) & (F.col("requests") >= F.col("answered")))
+    capped = FR.cap(merged, 50)
+    v = FR.verdict(merged, capped, 50, dead=dead, refused=refused)
+    kept = capped.groupBy("thread_id").agg(F.sum(F.when(F.col("kind") == "t1", 1).otherwise(0)).alias("shown"),
+                                           F.sum(F.coalesce("ptr_count", F.lit(0))).alias("hidden"))
+    return (v.join(made, "thread_id").join(kept, "thread_id")
+            .select("thread_id", "verdict", F.col("shown").cast("bigint").alias("comments"),
+                    F.col("hidden").cast("bigint").alias("hidden"), F.col("requests").cast("bigint").alias("requests_made")))
+
+
 @query
 def forest_verdict(spark, sf_dir):
     """Verdict per thread after expansion (comment limit 500), requests made."""

@@ -970,6 +970,56 @@ SELECT thread_id, kind, fullname, CAST(ptr_count AS BIGINT) AS ptr_count,
 FROM merged
 """
 
+# requests in display order of their pointers; dead ends cost one too
+_REQUESTS = """
+req AS (
+  SELECT *, row_number() OVER w AS r, coalesce(sum(added) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM (SELECT thread_id, anc_k, ptr_count, anc_event % 7 = 3 AS dead, CASE WHEN anc_event % 7 = 3 THEN 0 ELSE ptr_count END AS added,
+               list_append(parent_path, sib_pos) AS ptr_path FROM ptr2 WHERE anc_k > 0)
+  WINDOW w AS (PARTITION BY thread_id ORDER BY ptr_path)
+)"""
+
+ORACLE["forest_expand_budget"] = f"""
+WITH RECURSIVE {FOREST_CTE}, {EXPAND_CTE}, {_REQUESTS},
+made AS (SELECT * FROM req WHERE r <= 3 AND NOT dead),
+now AS (
+  SELECT thread_id, 't1' AS kind, fullname, path, NULL::BIGINT AS ptr_count FROM vis
+  UNION ALL
+  SELECT h.thread_id, 't1', h.fullname, h.path, NULL FROM hid_full h JOIN made m ON m.thread_id = h.thread_id AND m.anc_k = h.anc_k
+  UNION ALL
+  SELECT p.thread_id, 'more', NULL, list_append(p.parent_path, p.sib_pos), p.ptr_count FROM ptr2 p
+  LEFT JOIN made m ON m.thread_id = p.thread_id AND m.anc_k = p.anc_k WHERE m.r IS NULL
+)
+SELECT thread_id, kind, fullname, CAST(ptr_count AS BIGINT) AS ptr_count,
+       CAST(row_number() OVER (PARTITION BY thread_id ORDER BY path) AS BIGINT) AS display_rank
+FROM now
+"""
+
+ORACLE["forest_expand_limit"] = f"""
+WITH RECURSIVE {FOREST_CTE}, {EXPAND_CTE}, {_REQUESTS},
+base AS (SELECT thread_id, count(*) AS shown, max(user_id) % 5 + 1 AS answered FROM vis GROUP BY thread_id),
+total AS (SELECT thread_id, count(*) AS n FROM f GROUP BY thread_id),
+done AS (SELECT req.* FROM req JOIN base USING (thread_id) WHERE r + 1 <= 9 AND shown + before < 50 AND r + 1 <= answered),
+per AS (
+  SELECT b.thread_id, b.answered, b.shown + coalesce((SELECT sum(added) FROM done d WHERE d.thread_id = b.thread_id), 0) AS got,
+         1 + (SELECT count(*) FROM done d WHERE d.thread_id = b.thread_id) AS requests,
+         (SELECT count(*) FROM req q WHERE q.thread_id = b.thread_id) AS all_requests,
+         (SELECT count(*) FROM done d WHERE d.thread_id = b.thread_id AND d.dead) AS dead_ends,
+         (SELECT count(*) FROM ptr2 p WHERE p.thread_id = b.thread_id AND p.anc_k = 0) AS t3
+  FROM base b
+)
+SELECT per.thread_id,
+       CASE WHEN got > 50 THEN 'comment_limit'
+            WHEN t3 + dead_ends + all_requests - (requests - 1) = 0 THEN 'tree_complete'
+            WHEN all_requests = requests - 1 AND t3 > 0 THEN 'comment_limit'
+            WHEN all_requests = requests - 1 THEN 'depth_capped'
+            WHEN got >= 50 THEN 'comment_limit'
+            WHEN requests < 9 AND requests >= answered THEN 'rate_limited'
+            ELSE 'max_requests' END AS verdict,
+       CAST(least(got, 50) AS BIGINT) AS comments, CAST(n - least(got, 50) AS BIGINT) AS hidden, CAST(requests AS BIGINT) AS requests_made
+FROM per JOIN total USING (thread_id)
+"""
+
 ORACLE["forest_verdict"] = f"""
 WITH RECURSIVE {FOREST_CTE}, {EXPAND_CTE},
 per AS (
