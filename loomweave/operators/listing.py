@@ -13,6 +13,7 @@ Two layers:
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -236,6 +237,37 @@ def user_activity(posts: DataFrame, comments: DataFrame | None, user: str, listi
 
 
 # ---------------------------------------------------------------- I: paged runs
+def chain_pages(pages: DataFrame) -> DataFrame:
+    """I2 + B11: ``page_no`` of captured pages from their cursors alone, whatever order they are stored in.
+
+    ``pages``: bronze with ``run_id`` and ``cursor``, the ``after`` that the request carried (null: the run's
+    first page).  A page is followed by the one whose cursor is its own ``after``.  Where the chain comes
+    back to a page it has (a repeated cursor), it ends with the page that points back, which ``paged_run``
+    reports as drift.  Of pages with one cursor the first captured counts; pages that the chain does not
+    reach are left out.
+
+    The walk from the first page is ranked by doubling: with the map of 2^k steps, the pages met in the
+    first 2^k steps give those of the next 2^k, and the map is squared; a page's number is the first step
+    at which it is met.  That is log2(pages of the longest run) rounds of two joins.
+    """
+    from loomweave.operators import envelope as E
+
+    one = pages.withColumn("_r", F.row_number().over(Window.partitionBy("run_id", "cursor").orderBy("captured_at", "response_id")))
+    one = one.filter(F.col("_r") == 1).drop("_r")
+    nodes = cut_lineage(E.parse_body(one).select("run_id", F.col("response_id").alias("node"), "cursor", E.listing_after(F.col("v")).alias("after")))
+    target = nodes.select(F.col("run_id").alias("_run"), F.col("cursor").alias("_c"), F.col("node").alias("next"))
+    jump = cut_lineage(nodes.filter(F.col("after").isNotNull()).join(
+        target, (F.col("run_id") == F.col("_run")) & (F.col("after") == F.col("_c"))).select("run_id", "node", "next"))
+    met = nodes.filter(F.col("cursor").isNull()).select("run_id", "node", F.lit(1).cast("bigint").alias("page_no"))
+    most = nodes.groupBy("run_id").count().agg(F.max("count")).first()[0] or 1
+    for k in range(math.ceil(math.log2(most + 1))):
+        ahead = met.join(jump, ["run_id", "node"]).select("run_id", F.col("next").alias("node"), (F.col("page_no") + (1 << k)).alias("page_no"))
+        met = cut_lineage(met.unionByName(ahead).groupBy("run_id", "node").agg(F.min("page_no").alias("page_no")))
+        far = jump.select(F.col("run_id").alias("_run"), F.col("node").alias("_n"), F.col("next").alias("_next"))
+        jump = cut_lineage(jump.join(far, (F.col("run_id") == F.col("_run")) & (F.col("next") == F.col("_n"))).select("run_id", "node", F.col("_next").alias("next")))
+    return one.drop("cursor", "page_no").join(met.withColumnRenamed("node", "response_id"), ["run_id", "response_id"])
+
+
 def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
               select_element: int | None = None) -> tuple[DataFrame, DataFrame]:
     """I1-I10 + K1-K4 over captured pages of many runs at once.

@@ -143,6 +143,23 @@ def paged_run_audit(spark, sf_dir):
         C.iso(F.col("oldest")).alias("oldest"), C.iso(F.col("newest")).alias("newest"), "summary")
 
 
+@query
+def paged_run_chain(spark, sf_dir):
+    """Pages without numbers are chained by their cursors; in half of the runs page 4 points back to page 3."""
+    pages = S.post_pages(spark, sf_dir)
+    before = E.parse_body(pages).select("run_id", (F.col("page_no") + 1).alias("page_no"), E.listing_after(F.col("v")).alias("cursor"))
+    shuffled = pages.join(before, ["run_id", "page_no"], "left")
+    back = shuffled.filter("page_no = 3").select("run_id", F.col("cursor").alias("_back"))
+    again = (F.substring(F.md5("run_id"), 1, 1) < "8") & (F.col("page_no") == 4)
+    pointed = F.regexp_replace("body", r'^(\{"kind":"Listing","data":\{"after":)("[^"]*"|null)', F.concat(F.lit('$1"'), F.col("_back"), F.lit('"')))
+    shuffled = shuffled.join(back, "run_id", "left").withColumn("body", F.when(again, pointed).otherwise(F.col("body")))
+    shuffled = shuffled.drop("page_no", "_back").repartition("response_id")
+    params = S.read(spark, sf_dir, "documents").select(F.col("source").alias("run_id")).distinct().select(
+        "run_id", *[F.lit(None).cast(t).alias(n) for n, t in (("lim", "bigint"), ("since", "timestamp"), ("until", "timestamp"), ("max_requests", "bigint"))])
+    _, audit = L.paged_run(L.chain_pages(shuffled), params)
+    return audit.select("run_id", "items", "stop_reason", "requests_made", "status")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entry query: thread summary per community.
 
@@ -778,6 +795,64 @@ def stream_ingest(spark, sf_dir):
         C.iso(F.col("created_at")).alias("created_at"))
 
 
+@query
+def stream_quarantine(spark, sf_dir):
+    """S1 + B7: drifted and refused responses of the stream, kept beside its posts."""
+    staging, silver, bad = (ST.work_dir(spark, x) for x in ("mixed", "mixed-silver", "mixed-bad"))
+    pages = S.drift_pages(spark, sf_dir).select("response_id", "run_id", "page_no", "captured_at", F.lit(200).alias("status"),
+                                                F.lit("application/json").alias("content_type"), "body")
+    other = S.event_responses(spark, sf_dir).select(
+        F.concat(F.lit("event:"), "event_id").alias("response_id"), F.lit(None).cast("string").alias("run_id"), F.lit(None).cast("bigint").alias("page_no"),
+        S.captured_at().alias("captured_at"), "status", "content_type", "body")
+    pages.unionByName(other).write.json(staging)
+    ST.ingest_with_quarantine(spark, staging, silver, bad, ST.work_dir(spark, "ckpt"))
+    good = spark.read.parquet(silver).select(F.col("fullname").alias("record"), F.lit("post").alias("reason"), F.lit(None).cast("string").alias("path"),
+                                             F.lit(None).cast("string").alias("expected"))
+    return good.unionByName(spark.read.parquet(bad).select(F.col("response_id").alias("record"), "reason", "path", "expected"))
+
+
+def _broken_responses(spark, sf_dir):
+    """One post response per document, broken by ``doc_id % 13``; every way in which a forest can drift is there."""
+    lst = lambda *x: F.concat(F.lit('{"kind":"Listing","data":{"after":null,"children":['), F.concat_ws(",", *x), F.lit("]}}"))
+    post, r = F.col("thing"), F.col("doc_id") % 13
+    reply = lambda x: F.lit('{"kind":"t1","data":{"id":"c1","name":"t1_c1"%s}}' % x)
+    more = lambda x: F.lit('{"kind":"more","data":{%s}}' % x)
+    plain = reply(',"replies":""')
+    deep = F.concat(F.lit('{"kind":"t1","data":{"id":"c0","name":"t1_c0","replies":'), lst(F.lit('{"kind":"t1","data":{"id":"c2","name":"t1_c2"}}')), F.lit("}}"))
+    pair = lambda a, b: F.concat(F.lit("["), a, F.lit(","), b, F.lit("]"))
+    body = (F.when(r == 1, F.lit("<html>blocked</html>")).when(r == 2, F.concat(F.lit("["), lst(post), F.lit("]")))
+            .when(r == 3, pair(F.lit('{"kind":"listing"}'), lst(plain))).when(r == 4, pair(lst(post, post), lst(plain)))
+            .when(r == 5, pair(lst(plain), lst(plain))).when(r == 6, pair(lst(post), lst(post)))
+            .when(r == 7, pair(lst(post), lst(reply("")))).when(r == 8, pair(lst(post), lst(reply(',"replies":5'))))
+            .when(r == 9, pair(lst(post), lst(deep))).when(r == 10, pair(lst(post), lst(plain, more('"parent_id":"x","count":1'))))
+            .when(r == 11, pair(lst(post), lst(plain, more('"parent_id":"t1_c1","count":true')))).when(r == 12, pair(lst(post), lst(plain, plain)))
+            .otherwise(pair(lst(post), lst(plain))))
+    return S.post_things(spark, sf_dir).select("doc_id", F.col("doc_id").cast("string").alias("response_id"), S.captured_at().alias("captured_at"), body.alias("body"))
+
+
+def _forest_drift(spark, sf_dir, subtree):
+    from loomweave.session import cut_lineage
+
+    broken = memo(spark, sf_dir, "broken", lambda: cut_lineage(_broken_responses(spark, sf_dir)))
+    nodes, drift = FR.flatten_post_responses(broken.drop("doc_id"), subtree=subtree)
+    good = nodes.groupBy("response_id").agg(F.count("*").alias("nodes"))
+    every = broken.select("doc_id", "response_id")
+    return (every.join(drift, "response_id", "left").join(good, "response_id", "left")
+            .select("doc_id", "path", "expected", F.coalesce("nodes", F.lit(0)).cast("bigint").alias("nodes")))
+
+
+@query
+def drift_post_responses(spark, sf_dir):
+    """Each way in which a post response drifts, or the nodes it yields."""
+    return _forest_drift(spark, sf_dir, subtree=False)
+
+
+@query
+def drift_subtrees(spark, sf_dir):
+    """The same responses read as subtrees, which hold exactly one comment at the top."""
+    return _forest_drift(spark, sf_dir, subtree=True)
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Dedup of the event stream on its payload over the whole stream."""

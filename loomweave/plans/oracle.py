@@ -1245,3 +1245,49 @@ SELECT DISTINCT thread_id, CAST(0 AS BIGINT), 't3', thread_id FROM capped
 
 
 ORACLE["thread_items"] = _thread_items_sql()
+
+
+ORACLE["paged_run_chain"] = """
+WITH d AS (SELECT source AS run_id, count(*) AS n, (count(*) - 1) // 9 + 1 AS pages,
+                  substr(md5(source), 1, 1) < '8' AND (count(*) - 1) // 9 + 1 >= 4 AS back
+           FROM documents WHERE source IS NOT NULL GROUP BY source)
+SELECT run_id, CAST(CASE WHEN back THEN 28 ELSE least(n, 901) END AS BIGINT) AS items,
+       CASE WHEN back THEN 'drift' WHEN pages > 100 THEN 'max_requests' ELSE 'listing_exhausted' END AS stop_reason,
+       CAST(CASE WHEN back THEN 4 ELSE least(pages, 100) END AS BIGINT) AS requests_made, CAST(CASE WHEN back THEN 4 ELSE 0 END AS BIGINT) AS status
+FROM d
+"""
+
+ORACLE["stream_quarantine"] = f"""
+SELECT CASE WHEN path IS NULL THEN 't3_d' ELSE 'drift:' END || doc_id AS record, CASE WHEN path IS NULL THEN 'post' ELSE 'drift' END AS reason,
+       path, expected
+FROM ({ORACLE["envelope_drift"]}) WHERE doc_id % 12 <> 1
+UNION ALL SELECT 'drift:' || doc_id, 'challenge', NULL, NULL FROM documents WHERE doc_id % 12 = 1
+UNION ALL SELECT 'event:' || event_id, outcome, NULL, NULL FROM (
+SELECT event_id,
+       CASE WHEN event_type = 'click' THEN 'rate_limited'
+            WHEN event_type = 'purchase' THEN 'challenge'
+            WHEN event_type = 'view' AND event_id % 5 = 0 THEN 'challenge'
+            WHEN (event_type = 'error' AND event_id % 2 = 1) OR (event_type = 'view' AND event_id % 5 = 1) THEN 'not_found'
+            WHEN (event_type = 'error' AND event_id % 2 = 0) OR (event_type = 'signup' AND event_id % 2 = 0) THEN 'unavailable'
+            WHEN event_type = 'signup' THEN 'challenge' ELSE 'ok' END AS outcome
+FROM events) WHERE outcome <> 'ok'
+"""
+
+_DRIFTS = """
+SELECT doc_id,
+       CASE doc_id % 13 WHEN 1 THEN 'response' WHEN 2 THEN 'response' WHEN 3 THEN 'response[0].kind'
+            WHEN 4 THEN 'response[0].data.children' WHEN 5 THEN 'response[0].data.children' WHEN 6 THEN 'response[1].data.children[0].kind'
+            WHEN 7 THEN 'forest0.data.replies' WHEN 8 THEN 'forest0.data.replies' WHEN 9 THEN 'forest0.0.data.replies'
+            WHEN 10 THEN '{ten}' WHEN 11 THEN '{eleven}' WHEN 12 THEN {twelve} END AS path,
+       CASE doc_id % 13 WHEN 1 THEN 'a two-element array' WHEN 2 THEN 'a two-element array' WHEN 3 THEN 'Listing'
+            WHEN 4 THEN 'exactly one t3 thing' WHEN 5 THEN 'exactly one t3 thing' WHEN 6 THEN 't1 or more'
+            WHEN 7 THEN 'an empty string or a Listing' WHEN 8 THEN 'an empty string or a Listing' WHEN 9 THEN 'an empty string or a Listing'
+            WHEN 10 THEN '{ten_x}' WHEN 11 THEN '{eleven_x}' WHEN 12 THEN {twelve_x} END AS expected,
+       CAST(CASE WHEN doc_id % 13 = 0 THEN 1 WHEN doc_id % 13 = 12 THEN {nodes} ELSE 0 END AS BIGINT) AS nodes
+FROM documents
+"""
+_ONE = ("response[1].data.children", "exactly one t1 thing")
+ORACLE["drift_post_responses"] = _DRIFTS.format(
+    ten="forest1.data.parent_id", ten_x="a t1_ or t3_ fullname", eleven="forest1.data.count", eleven_x="an integer", twelve="NULL", twelve_x="NULL", nodes=2)
+ORACLE["drift_subtrees"] = _DRIFTS.format(
+    ten=_ONE[0], ten_x=_ONE[1], eleven=_ONE[0], eleven_x=_ONE[1], twelve=f"'{_ONE[0]}'", twelve_x=f"'{_ONE[1]}'", nodes=0)

@@ -80,6 +80,41 @@ def ingest_captures(spark: SparkSession, staging: str, silver: str, checkpoint:
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
+def ingest_with_quarantine(spark: SparkSession, staging: str, silver: str, quarantine: str, checkpoint: str,
+                           files_per_batch: int | None = None, dedup_delay: str | None = None) -> None:
+    """S1 with B7: one stream, two outputs; nothing that came in is lost.
+
+    Posts go to ``silver`` as in ``ingest_captures``.  A response that is not ok, or that drifts from its
+    envelope, goes to ``quarantine`` as (response_id, captured_at, reason, path, expected, body): the reason
+    is the outcome of its classification, or ``drift``.  Both parts of a batch are written to the batch's own
+    folders, so a batch that is run again replaces what it wrote, whichever of the two it had reached.
+    """
+    from loomweave.operators import envelope as E
+    from loomweave.operators import normalize as N
+
+    stream = classify_responses(_files(spark, BRONZE_SCHEMA, files_per_batch).json(staging))
+    checked = E.listing_pages_checked(stream, ("t3",))
+    sound = (F.col("outcome") == "ok") & F.col("drift").isNull()
+    items = E.explode_things(checked.filter(sound), "v", ["captured_at", "response_id"]).filter(F.col("kind") == "t3")
+    posts = items.select(F.struct(*N.post_columns(F.col("data"), F.col("captured_at"), with_media=False)).alias("post"), "captured_at")
+    posts = posts.select("captured_at", F.col("post.fullname").alias("key"), "post", F.lit(None).cast(
+        "struct<response_id:string,captured_at:timestamp,reason:string,path:string,expected:string,body:string>").alias("bad"))
+    off = F.when(F.col("outcome") == "ok", F.lit("drift")).otherwise(F.col("outcome"))
+    path, expected = (F.when(F.col("outcome") == "ok", F.col(f"drift.{x}")) for x in ("path", "expected"))
+    bad = F.struct("response_id", "captured_at", off.alias("reason"), path.alias("path"), expected.alias("expected"), "body")
+    rest = checked.filter(~F.coalesce(sound, F.lit(False))).select("captured_at", F.concat(F.lit("!"), F.coalesce("response_id", F.lit(""))).alias("key"),
+                                            F.lit(None).cast(posts.schema["post"].dataType).alias("post"), bad.alias("bad"))
+    both = _first_only(posts.unionByName(rest), ["key"], "captured_at", dedup_delay)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        df.filter("post IS NOT NULL").select("post.*").write.mode("overwrite").parquet(f"{silver}/batch_id={batch_id}")
+        df.filter("bad IS NOT NULL").select("bad.*").write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        df.unpersist()
+
+    _run(both.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
 # ---------------------------------------------------------------- S2 dedup
 def dedup_stream(spark: SparkSession, source_dir: str, glob: str, schema: str, key: list[str],
                  ts_col: str, out: str, checkpoint: str, delay: str | None = None,

@@ -123,3 +123,27 @@ def test_budget_windows(spark):
     got = {r["window_start"]: (r["requests"], r["limited"], r["min_remaining"])
            for r in B.windows(B.advise(log)).collect()}
     assert got == {"2024-01-01T00:00:00Z": (3, 1, 7.0), "2024-01-01T00:10:00Z": (2, 0, 5.0)}
+
+
+def test_pages_chain_by_their_cursors(spark):
+    """Against a plain walk: rho-shaped chains, pages out of reach, copies of a page, no order of storage."""
+    import json
+    import random
+
+    def body(after):
+        return json.dumps({"kind": "Listing", "data": {"after": after, "children": []}})
+    rng, rows, want = random.Random(3), [], set()
+    for run in range(14):
+        n = rng.randrange(1, 30)
+        cursors = [None] + [f"t3_{run}_{i}" for i in range(1, n)]
+        nxt = cursors[1:] + [rng.choice([None, *cursors[1:]])] if n > 1 else [None]
+        for i in range(n):
+            rows.append((f"{run}:{i}", f"run{run}", cursors[i], "2024-01-01 00:00:00", body(nxt[i])))
+            want.add((f"run{run}", f"{run}:{i}", i + 1))
+        rows.append((f"{run}:copy", f"run{run}", cursors[0], "2024-01-02 00:00:00", body(None)))
+        rows += [(f"{run}:x{k}", f"run{run}", f"t3_lost{k}", "2024-01-01 00:00:00", body(f"t3_lost{(k + 1) % 3}")) for k in range(3)]       # a cycle out of reach
+        rows.append((f"{run}:y", f"run{run}", "t3_none", "2024-01-01 00:00:00", body(cursors[-1])))                                       # leads into the chain
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "response_id string, run_id string, cursor string, captured_at string, body string").withColumn("captured_at", F.col("captured_at").cast("timestamp"))
+    got = {(r["run_id"], r["response_id"], r["page_no"]) for r in L.chain_pages(df).collect()}
+    assert got == want

@@ -46,3 +46,25 @@ def test_crossposts_of_a_link_in_many_communities(spark):
 def test_query_and_documents_share_one_tokeniser(spark):
     users = spark.createDataFrame([("user_77",), ("other",)], "name string")
     assert [r["name"] for r in SR.search_named(users, "user_77", ["name"], [F.col("name").asc()], 5).collect()] == ["user_77"]
+
+
+def test_quarantine_keeps_what_ingest_drops_and_batches_may_repeat(spark, tmp_path):
+    import json
+
+    def listing(*things):
+        return json.dumps({"kind": "Listing", "data": {"after": None, "children": list(things)}})
+
+    def post(i):
+        return {"kind": "t3", "data": {"id": i, "name": f"t3_{i}", "title": i, "created_utc": 1.7e9}}
+    staging, silver, bad, ckpt = (str(tmp_path / x) for x in ("in", "silver", "bad", "ckpt"))
+    ts = "2024-01-01T00:00:00Z"
+    rows = [("a", listing(post("1"), post("2")), 200), ("b", listing(post("2"), post("3")), 200), ("c", '{"kind":"Listing","data":[]}', 200), ("d", listing(post("4")), 429),
+            ("e", "<html>", 200), ("f", listing({"kind": "t1", "data": {}}), 200)]
+    for k, half in enumerate((rows[:3], rows[3:])):
+        spark.createDataFrame([(i, "r", 1, ts, s, "application/json", b) for i, b, s in half], "response_id string, run_id string, page_no long, captured_at string, status int, content_type string, body string"
+                              ).coalesce(1).write.mode("append").json(staging)
+        ST.ingest_with_quarantine(spark, staging, silver, bad, ckpt, files_per_batch=1)
+        posts = sorted(r["fullname"] for r in spark.read.parquet(silver).collect())
+        assert posts == ["t3_1", "t3_2", "t3_3"]
+    got = {r["response_id"]: (r["reason"], r["path"]) for r in spark.read.parquet(bad).collect()}
+    assert got["c"] == ("drift", "response.data") and got["d"] == ("rate_limited", None) and got["f"][0] == "drift" and got["e"][0] in ("challenge", "drift") and len(got) == 4
