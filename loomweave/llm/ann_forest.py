@@ -2,16 +2,16 @@
 
 Each tree hashes a vector to a long bit string (one random hyperplane per bit,
 cut at the median of a bounded sample) and keeps its rows as sorted arrays of
-these strings, of which the index holds the first log2(rows / SHARD) + DEEPER
-bits; no match is longer.  A query descends to its longest prefix matches and ascends in
+these strings.  A query descends to its longest prefix matches and ascends in
 all trees at once: the prefix length is shortened, the same in every tree,
 until the matching rows of all trees together reach the candidate budget.
 Candidates are verified by their exact cosine.
 
 In Spark: a tree is cut into shards by the first bits; a shard larger than
 ``SHARD`` rows (a hot prefix) is split by hash.  Prefix lengths follow from a
-table of row counts per (tree, level, prefix), so choosing them is a join and
-a sum.  Queries then visit the shards below their prefix, and each visit gives
+table of row counts per (tree, level, prefix) over the first levels, so choosing them is a join and
+a sum; where all of these leave more than the budget (a dense cluster), the descent goes on in
+the shard's sorted strings, bit by bit to their end, while its share of the budget is met.  Queries then visit the shards below their prefix, and each visit gives
 only its nearest few.  Equal vectors are indexed once with their smallest ids.
 
 The budget is a share of the rows, calibrated on a bounded sample: the
@@ -69,12 +69,31 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
+def _scaled(a: np.ndarray) -> np.ndarray:
+    a = a.astype(np.float64)
+    return np.ldexp(a, -np.frexp(np.abs(a).max(axis=1, keepdims=True))[1])
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of rows in double precision, the same for a pair wherever it is computed."""
-    a, b = a.astype(np.float64), b.astype(np.float64)
+    """Cosine of rows in double precision, the same for a pair wherever it is computed.
+
+    Rows are scaled by a power of two first, which changes no digit, so that squares stay within the doubles.
+    """
+    a, b = _scaled(a), _scaled(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
+def _descent(keys: np.ndarray, key: int, level: int, need: int) -> int:
+    """The longest prefix length, ``level`` at least, at which ``need`` of the sorted ``keys`` match ``key``."""
+    while level < BITS:
+        low = key >> (BITS - level - 1)
+        lo, hi = np.searchsorted(keys, [low << (BITS - level - 1), (low + 1) << (BITS - level - 1)])
+        if hi - lo < max(need, 2):
+            break
+        level += 1
+    return level
+
+
 def budget_share(forest: Forest, sample: np.ndarray, k: int, recall: float = RECALL) -> float:
     """The least share of SHARES that reaches ``recall`` on the sample; all rows of all trees, else."""
     n = len(sample)
@@ -135,22 +154,22 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     def hashed(frames):
         for f in frames:
             if len(f):
-                keys = forest.keys(np.stack(f["emb"])) >> (BITS - deepest)
+                keys = forest.keys(np.stack(f["emb"]))
                 yield pd.DataFrame({"id": f["id"], "key": list(keys)})
 
     def keyed(df: DataFrame) -> DataFrame:
-        """id, tree, key: the first ``deepest`` bits of each tree's string."""
+        """id, tree, key: each tree's whole string."""
         return df.mapInPandas(hashed, "id bigint, key array<bigint>").select("id", F.posexplode("key").alias("tree", "key"))
 
     def prefix(key: Column, level) -> Column:
-        return F.floor(key / F.pow(F.lit(2.0), F.lit(deepest) - level)).cast("bigint")
+        return F.floor(key / F.pow(F.lit(2.0), F.lit(BITS) - level)).cast("bigint")
 
     index = saved(keyed(base.select(F.col("ids")[0].alias("id"), "emb")))
     distinct = saved(asks.groupBy("emb").agg(F.min("vid").alias("id")))
     wants = saved(keyed(distinct))
 
     # counts per (tree, level, prefix): the finest level first, the others from it
-    finest = index.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n"))
+    finest = index.groupBy("tree", (prefix(F.col("key"), F.lit(deepest)) * (1 << (BITS - deepest))).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     levels = F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("level")
     sums = saved(finest.select("tree", "key", "n", levels).groupBy("tree", "level", prefix(F.col("key"), F.col("level")).alias("p")).agg(F.sum("n").alias("n")))
     # the ascent: the longest prefix length at which all trees together hold the budget
@@ -161,7 +180,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     # visits: the shards below the prefix
     width = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.lit(s) - F.col("level"))).cast("bigint")
     first = F.when(F.col("level") >= s, prefix(F.col("key"), F.lit(s))).otherwise(prefix(F.col("key"), F.col("level")) * width)
-    visits = wants.join(level, "id").select("id", "tree", "level", prefix(F.col("key"), F.col("level")).alias("p"),
+    visits = wants.join(level, "id").select("id", "tree", "level", "key", prefix(F.col("key"), F.col("level")).alias("p"),
                                             F.explode(F.sequence(first, first + width - 1)).alias("shard"))
     sizes = sums.filter(F.col("level") == s).select("tree", F.col("p").alias("shard"), F.ceil(F.col("n") / shard).cast("int").alias("salts"))
     crowd = visits.groupBy("tree", "shard").agg(F.ceil(F.count(F.lit(1)) / shard).cast("int").alias("crowds"))
@@ -171,6 +190,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
                .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
                .withColumn("crowd", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1))))
     asks_in = (visits.join(deal, ["tree", "shard"]).join(distinct, "id")
+               .withColumn("need", F.ceil(F.lit(float(budget)) / (trees * F.col("salts"))))
                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
                .withColumn("crowd", F.pmod(F.xxhash64("id"), F.col("crowds")).cast("int")))
     by = ["tree", "shard", "salt", "crowd"]
@@ -181,8 +201,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
             left = left.sort_values("key", kind="stable")
             keys, emb = left["key"].to_numpy(), np.stack(left["emb"])
             near, ids = unit(emb), left["ids"].to_numpy()
+            deep = right["level"] == deepest
+            if deep.any():
+                at = [_descent(keys, key, deepest, int(need)) for key, need in zip(right.loc[deep, "key"], right.loc[deep, "need"], strict=True)]
+                right = right.copy()
+                right.loc[deep, "level"] = at
+                right.loc[deep, "p"] = [key >> (BITS - x) for key, x in zip(right.loc[deep, "key"], at, strict=True)]
             for (at, p), group in right.groupby(["level", "p"], sort=False):
-                lo, hi = np.searchsorted(keys, [p << (deepest - at), (p + 1) << (deepest - at)])
+                lo, hi = np.searchsorted(keys, [p << (BITS - at), (p + 1) << (BITS - at)])
                 if lo == hi:
                     continue
                 for i in range(0, len(group), 256):
@@ -206,7 +232,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
         return df.select(*names).toDF(*names)      # new column identities: both sides come from the same rows
 
     found = (fresh(rows_in, *by, "key", "emb", "ids").groupBy(*by)
-             .cogroup(fresh(asks_in, *by, "id", "level", "p", "emb").groupBy(*by))
+             .cogroup(fresh(asks_in, *by, "id", "level", "p", "key", "need", "emb").groupBy(*by))
              .applyInPandas(verify, "qid bigint, vec_id bigint, score double"))
     best = found.groupBy("qid", "vec_id").agg(F.max("score").alias("score"))
     best = best.withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k + 1).drop("r")

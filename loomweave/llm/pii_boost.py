@@ -103,16 +103,30 @@ _CUES = {"email": ("mail", "contact", "write"), "ip": ("ip", "host", "addr", "se
          "phone": ("tel", "phone", "call", "mobile", "fax"), "secret": ("password", "passwd", "pwd", "token", "secret", "key", "auth")}
 _G_SECRET = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{6,}+)")
 _G_CODE = re.compile(r"(?<![0-9A-Za-z])(?=[A-Za-z]*+[0-9])[0-9A-Za-z_]{20,}+")
-_G_EMAIL = re.compile(r"(?i)(?<![\w.+%-])[\w.+%-]{1,64}+(?:\s?[(\[]\s?at\s?[)\]]\s?|\sat\s)[\w-]{1,63}(?:(?:\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s|\.)[\w-]{2,63}){1,4}")
+_G_EMAIL = re.compile(r"(?i)(?<![\w.+%-])[\w.+%-]++(?:\s?[(\[]\s?at\s?[)\]]\s?|\sat\s)[\w-]++(?:(?:\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s|\.)[\w-]{2,}+)++")
 #: In every match of _G_EMAIL.
 _AT = re.compile(r"(?i)[\s(\[]at[\s)\]]")
 _G_PHONE = re.compile(r"(?<![\d+.(-])(?:00\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d.-])")
-_G_CARD = re.compile(r"(?<![\d.])\d{4}([./_])\d{4}\1\d{4}\1\d{1,7}(?![\d.])")
+_G_CARD = re.compile(r"(?<![\d.])\d{4}([./_])(?:\d{4}\1\d{4}\1\d{1,7}|\d{6}\1\d{4,5})(?![\d.])")
+_G_KEY = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}KEY(?: BLOCK)?-----")
+_KEY_BODY = re.compile(r"(?:\s*+[A-Za-z0-9+/]{16,}+)*+(?:[A-Za-z0-9+/]*+={1,2}|\s*+[A-Za-z0-9+/]++={1,2})?")
 _G_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 #: Compressed IPv6: at most 7 groups, one of them at least, on both sides of the "::".
 _G_IP_SHORT = re.compile(r"(?<![\w:.])((?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?+)::((?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?+)(?![\w:])")
 
 
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """Key files set in a text, whole: to the end mark, or as far as the body goes where there is none."""
+    out, at, ends = [], 0, True
+    while m := _G_KEY.search(text, at):
+        stop = text.find("-----END ", m.end()) if ends else -1
+        ends = stop >= 0
+        close = text.find("-----", stop + 9) if ends else -1
+        at = close + 5 if close >= 0 else m.end() + len(_KEY_BODY.match(text, m.end()).group())
+        out.append((m.start(), at))
+    return out
+
+
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """High-recall proposals beside the base spans; they may overlap.
 
@@ -122,10 +136,13 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     out = []
     if _AT.search(text):
         out += [("email", *m.span()) for m in _G_EMAIL.finditer(text)]
-    if "=" in text or ":" in text:
-        out += [("secret", *m.span(1)) for m in _G_SECRET.finditer(text)]
-    if _DIGITS.search(text):
-        out += [("secret", *m.span()) for m in _G_CODE.finditer(text)]
+    blocks = key_blocks(text) if "-----BEGIN " in text else []
+    secrets = [m.span(1) for m in _G_SECRET.finditer(text)] if "=" in text or ":" in text else []
+    secrets += [m.span() for m in _G_CODE.finditer(text)] if _DIGITS.search(text) else []
+    if blocks:      # what lies in a key file is part of it
+        starts = [a for a, _ in blocks]
+        secrets = [(a, z) for a, z in secrets if not any(z > b[0] and a < b[1] for b in blocks[max(0, bisect.bisect_left(starts, a) - 1):bisect.bisect_left(starts, z)])]
+    out += [("secret", a, z) for a, z in blocks + secrets]
     if _ANY_DIGITS.search(text):
         out += [("phone", *m.span()) for m in _G_PHONE.finditer(text)]
         out += [("card", *m.span()) for m in _G_CARD.finditer(text)]
@@ -227,6 +244,9 @@ def _card(rng: random.Random, good: bool) -> str:
     return body + (last if good else str((int(last) + rng.randrange(1, 10)) % 10))
 
 
+_BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
 def made(rng: random.Random, word: str) -> tuple[str, bool]:
     """A text with one span, right or spoiled, in one of many spellings."""
     kind, good = rng.choice(ALL_KINDS), rng.random() < 0.5
@@ -248,6 +268,10 @@ def made(rng: random.Random, word: str) -> tuple[str, bool]:
         return rng.choice([f"{rng.randrange(24):02d}:{rng.randrange(60):02d}:{rng.randrange(60):02d}", f"{_digits(rng, 1)}:{_digits(rng, 2)}:{_digits(rng, 2)}:{_digits(rng, 2)}"]), False
     if kind == "card":
         d, sep = _card(rng, good), rng.choice("./_")
+        if rng.random() < 0.3:
+            body = "3" + rng.choice("47") + _digits(rng, 12)
+            d = body + next(x for x in "0123456789" if luhn(body + x) == good)
+            return sep.join([d[:4], d[4:10], d[10:]]), good
         return sep.join(d[i:i + 4] for i in range(0, 16, 4)), good
     if kind == "phone":
         a, b, c = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
@@ -255,6 +279,10 @@ def made(rng: random.Random, word: str) -> tuple[str, bool]:
             return rng.choice(["", "tel ", "phone: ", "call "]) + rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"001 {a} {b} {c}", f"({a}){b}-{c}"]), True
         return rng.choice([f"{rng.randrange(1900, 2030)}-{_digits(rng, 3)}-{_digits(rng, 3)}", f"{a}.{b}.{_digits(rng, 3)}", f"{_digits(rng, 4)} {_digits(rng, 4)} {_digits(rng, 4)}", f"{_digits(rng, 2)} {b} {_digits(rng, 3)}"]), False
     if good:
+        if rng.random() < 0.1:
+            lines = "\n".join("".join(rng.choice(_BASE64) for _ in range(64)) for _ in range(rng.randrange(1, 5)))
+            name = rng.choice(["", "RSA ", "EC ", "OPENSSH "]) + "PRIVATE KEY"
+            return rng.choice(["", "key = ", "key: "]) + f"-----BEGIN {name}-----\n{lines}\n-----END {name}-----", True
         code = "".join(rng.choice("0123456789abcdef" if rng.random() < 0.8 else "ghijkXYZ0189") for _ in range(rng.choice([12, 16, 18, 24, 32, 40, 64])))
         name = rng.choice(["password", "token", "secret", "api_key", "key", "pwd"])
         return name + rng.choice(["=", " = ", ": ", ' = "', '="', ":"]) + code, True

@@ -53,3 +53,16 @@ def test_budget_share_is_small_where_neighbours_are_close():
     close = np.repeat(rng.standard_normal((100, 32)), 20, axis=0) + 0.01 * rng.standard_normal((2000, 32))
     loose = rng.standard_normal((2000, 32))
     assert A.budget_share(A.Forest(close), close, 5) <= 0.2 < A.budget_share(A.Forest(loose), loose, 5)
+
+
+def test_extreme_components_and_dense_clusters(spark):
+    x = [(0, [1e200, 1e200]), (1, [1e-170, 2e-170]), (2, [3e200, -1e200]), (50, [5e-324, 0.0])]
+    got = {(r.query_id, r.vec_id): r.score for r in A.nearest(spark.createDataFrame(x, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()}
+    want = {(0, 1): 3 / math.sqrt(10), (0, 2): 1 / math.sqrt(5), (0, 50): 1 / math.sqrt(2), (50, 0): 1 / math.sqrt(2), (50, 1): 1 / math.sqrt(5), (50, 2): 3 / math.sqrt(10)}
+    assert set(got) == set(want) and all(abs(got[k] - v) < 1e-12 for k, v in want.items())
+    # the strings are whole: a dense cluster is entered below the counted levels
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << 32, 4000) >> 22 | (5 << 24))
+    for key in keys[::500]:
+        level = A._descent(keys, int(key), 8, 40)
+        match = (keys >> (32 - level)) == (int(key) >> (32 - level))
+        assert level > 8 and match.sum() >= 40 and (level == 32 or ((keys >> (31 - level)) == (int(key) >> (31 - level))).sum() < 40)
