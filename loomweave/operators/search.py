@@ -79,6 +79,31 @@ def search_posts(posts: DataFrame, query: str, community: str | None = None, sor
     return L.ranked(scored, order, limit)
 
 
+SEARCH_TYPES = ("link", "sr", "user")
+
+
+def search(tables: dict[str, DataFrame], query: str, search_type: str = "link", community: str | None = None, sort: str = "relevance",
+           limit: int | None = 25, since=None, until=None) -> DataFrame:
+    """One entry for the three kinds of search: (rank, kind, fullname, matched).
+
+    ``tables``: the normalised posts, communities or users under the search's type.  Only posts have dates
+    to search by; bounds on another type are refused before any plan is built.
+    """
+    L.validate_limit(limit)
+    if search_type not in SEARCH_TYPES:
+        raise ValueError(f"search type must be one of {', '.join(SEARCH_TYPES)}")
+    since, until = L.bounds(since, until)
+    if (since is not None or until is not None) and search_type != "link":
+        raise ValueError("date bounds are only supported for link searches")
+    if search_type == "link":
+        found = search_posts(tables["link"], query, community, sort, limit, since, until)
+    elif search_type == "sr":
+        found = search_named(tables["sr"], query, ["name", "title", "description"], [F.col("name").asc()], limit)
+    else:
+        found = search_named(tables["user"], query, ["name"], [F.col("created_at").desc_nulls_last(), F.col("fullname").asc()], limit)
+    return found.select("rank", F.lit({"link": "t3", "sr": "t5", "user": "t2"}[search_type]).alias("kind"), "fullname", "matched")
+
+
 def search_named(df: DataFrame, query: str, fields: list[str], order_tail: list[Column],
                  limit: int | None) -> DataFrame:
     """Rows whose name/title/description tokens contain query terms."""

@@ -375,7 +375,30 @@ def resolve_identifiers(spark, sf_dir):
                       r["comment_id"].alias("comment_id"), r["error"].alias("error"))
 
 
+@query
+def resolve_permalinks(spark, sf_dir):
+    """Permalinks of posts and comments told apart, every refusal present."""
+    d, r = S.read(spark, sf_dir, "documents"), F.col("doc_id") % 8
+    host, sub, pid = F.lit("https://www.example.com/r/"), F.coalesce("source", F.lit("none")), F.hex("doc_id")
+    post = F.concat(host, sub, F.lit("/comments/K"), pid)
+    raw = (F.when(r == 1, F.concat(post, F.lit("/some_title/C"), pid, F.lit("/"))).when(r == 2, F.replace(post, F.lit("www."), F.lit("user:pw@www.")))
+           .when(r == 3, F.replace(post, F.lit("www.example.com"), F.lit("other.invalid"))).when(r == 4, F.concat(host, sub))
+           .when(r == 5, F.concat(post, F.lit("!/"))).when(r == 6, F.concat(post, F.lit("/t/c/d"))).when(r == 7, F.concat(F.lit("K"), pid)).otherwise(F.concat(post, F.lit("/t/"))))
+    out = ID.resolve_df(d.select("doc_id", raw.alias("raw"), F.lit("permalink").alias("resolver")), "resolver", "raw", TEST_HOSTS)
+    got = F.col("resolved")
+    return out.select("doc_id", got["kind"].alias("kind"), got["community"].alias("community"), got["post_id"].alias("post_id"),
+                      got["comment_id"].alias("comment_id"), got["error"].alias("error"))
+
+
 # ---------------------------------------------------------------- redaction
+@query
+def scrub_values(spark, sf_dir):
+    """Strings that the caller names are cut, the longest first, beside credentials and paths."""
+    d = S.read(spark, sf_dir, "documents").select("doc_id", F.concat(
+        F.lit("run "), F.coalesce("source", F.lit("none")), F.lit(" in /home/u"), "doc_id", F.lit("/x with token=t"), "doc_id").alias("text"))
+    return d.select("doc_id", R.substitute(F.col("text"), ["src1", "src12", "src1", "", None]).alias("scrubbed"))
+
+
 @query
 def redact_all(spark, sf_dir):
     """L4: whole records redacted, ids that repeat kept apart."""
@@ -570,6 +593,14 @@ def search_users(spark, sf_dir):
                     F.col("matched").cast("bigint").alias("matched"))
 
 
+@query
+def search_typed(spark, sf_dir):
+    """The same entry searches communities and users (posts: ``search_posts_*``)."""
+    tables = {"sr": _communities(spark, sf_dir), "user": _users(spark, sf_dir)}
+    parts = [SR.search(tables, q, t, limit=n) for t, q, n in (("sr", "fr board", 50), ("user", "user 77", 20))]
+    return parts[0].unionByName(parts[1]).select("kind", F.col("rank").cast("bigint").alias("rank"), F.col("matched").cast("bigint").alias("matched"))
+
+
 @query
 def related_posts(spark, sf_dir):
     """G12 + H9: per post, the five busiest other discussions of the same link."""

@@ -1291,3 +1291,25 @@ ORACLE["drift_post_responses"] = _DRIFTS.format(
     ten="forest1.data.parent_id", ten_x="a t1_ or t3_ fullname", eleven="forest1.data.count", eleven_x="an integer", twelve="NULL", twelve_x="NULL", nodes=2)
 ORACLE["drift_subtrees"] = _DRIFTS.format(
     ten=_ONE[0], ten_x=_ONE[1], eleven=_ONE[0], eleven_x=_ONE[1], twelve=f"'{_ONE[0]}'", twelve_x=f"'{_ONE[1]}'", nodes=0)
+
+
+ORACLE["search_typed"] = f"""
+SELECT 't5' AS kind, rank, matched FROM ({ORACLE["search_communities"]})
+UNION ALL SELECT 't2', rank, matched FROM ({ORACLE["search_users"]})
+"""
+
+ORACLE["resolve_permalinks"] = """
+WITH p AS (SELECT doc_id, doc_id % 8 AS r, coalesce(source, 'none') AS sub, lower(hex(doc_id)) AS pid FROM documents)
+SELECT doc_id, CASE r WHEN 0 THEN 'post' WHEN 1 THEN 'comment' END AS kind, CASE WHEN r < 2 THEN sub END AS community,
+       CASE WHEN r < 2 THEN 'k' || pid END AS post_id, CASE WHEN r = 1 THEN 'c' || pid END AS comment_id,
+       CASE r WHEN 2 THEN 'URLs must not contain credentials' WHEN 3 THEN 'URL host must be an allowed site host'
+              WHEN 4 THEN 'expected a post permalink' WHEN 5 THEN 'invalid post id' WHEN 6 THEN 'invalid comment permalink'
+              WHEN 7 THEN 'a permalink must be a site URL' END AS error
+FROM p
+"""
+
+ORACLE["scrub_values"] = """
+SELECT doc_id, 'run ' || replace(replace(coalesce(source, 'none'), 'src12', '[REDACTED]'), 'src1', '[REDACTED]')
+       || ' in [REDACTED] with token=[REDACTED]' AS scrubbed
+FROM documents
+"""

@@ -68,3 +68,16 @@ def test_quarantine_keeps_what_ingest_drops_and_batches_may_repeat(spark, tmp_pa
         assert posts == ["t3_1", "t3_2", "t3_3"]
     got = {r["response_id"]: (r["reason"], r["path"]) for r in spark.read.parquet(bad).collect()}
     assert got["c"] == ("drift", "response.data") and got["d"] == ("rate_limited", None) and got["f"][0] == "drift" and got["e"][0] in ("challenge", "drift") and len(got) == 4
+
+
+def test_typed_search_refuses_dates_of_communities_and_users(spark):
+    import pytest
+
+    day = dt.date(2024, 1, 1)
+    for kind in ("sr", "user"):
+        with pytest.raises(ValueError, match="date bounds"):
+            SR.search({}, "words", kind, since=day)
+    with pytest.raises(ValueError, match="search type"):
+        SR.search({}, "words", "comment")
+    users = spark.createDataFrame([("t2_1", "some_user", dt.datetime(2024, 1, 1)), ("t2_2", "else", dt.datetime(2024, 1, 2))], "fullname string, name string, created_at timestamp")
+    assert [tuple(r) for r in SR.search({"user": users}, "some user", "user").collect()] == [(1, "t2", "t2_1", 2)]
