@@ -18,7 +18,9 @@ FAMILIES = ["normalize_posts", "paged_run_audit", "community_listing_hot", "norm
             "forest_cap", "forest_expand", "comment_sort_qa", "resolve_identifiers", "scrub_text",
             "pii_findings", "budget_advice", "search_posts_relevance", "related_posts", "lookup_users",
             "post_media", "envelope_drift", "classify_responses", "schema_conformance", "stream_ingest",
-            "user_overview"]
+            "user_overview", "forest_subtree_weight", "forest_anchor", "forest_expand_budget", "forest_expand_limit",
+            "paged_run_chain", "stream_quarantine", "drift_subtrees", "redact_all", "search_typed", "resolve_permalinks",
+            "scrub_values"]
 NAMES = sorted(QUERIES) if os.environ.get("LOOMWEAVE_FULL_ORACLE") else FAMILIES
 
 
