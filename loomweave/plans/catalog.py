@@ -485,6 +485,7 @@ def budget_windows(spark, sf_dir):
 # ---------------------------------------------------------------- communities, users, lookups
 from loomweave.operators import envelope as E  # noqa: E402
 from loomweave.operators import normalize as N  # noqa: E402
+from loomweave.operators import postings as PO  # noqa: E402
 from loomweave.operators import search as SR  # noqa: E402
 from loomweave.operators.common import first_wins  # noqa: E402
 from loomweave.sources.capture import classify_responses  # noqa: E402
@@ -566,6 +567,31 @@ def search_posts_new(spark, sf_dir):
                     C.iso(F.col("created_at")).alias("created_at"))
 
 
+def _index(spark, sf_dir):
+    """The posts' search index, written once a session."""
+    def build():
+        path = ST.work_dir(spark, "search-index")
+        PO.write_index(_posts(spark, sf_dir, False), path)
+        return path
+    return memo(spark, sf_dir, "index", build)
+
+
+@query
+def search_index_relevance(spark, sf_dir):
+    """G4 + H3: the same search over written postings, blocks pruned by their score bounds."""
+    r = PO.search_index(spark, _index(spark, sf_dir), SEARCH_QUERY, limit=25)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "fullname", "relevance",
+                    F.col("matched").cast("bigint").alias("matched"))
+
+
+@query
+def search_index_new(spark, sf_dir):
+    """G4 + H1: matches of one community from the postings, newest first."""
+    r = PO.search_index(spark, _index(spark, sf_dir), "der die", community="src6", sort="new", limit=20)
+    return r.select(F.col("rank").cast("bigint").alias("rank"), "fullname",
+                    C.iso(F.col("created_at")).alias("created_at"))
+
+
 @query
 def search_communities(spark, sf_dir):
     """Communities matching name, title or description tokens."""
@@ -719,6 +745,42 @@ def schema_conformance(spark, sf_dir):
     return SC.conformance(records, spark)
 
 
+@query
+def schema_conformance_all(spark, sf_dir):
+    """Posts with media, nested comments, communities and users in one table, broken by residue, types by elimination."""
+    from loomweave.operators import schema as SC
+
+    def whole(df):
+        return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+    p = _posts(spark, sf_dir)
+    r = F.substring("fullname", 5, 20).cast("bigint") % 6
+    post = _iso_all(p)
+    js = whole(post)
+    broken = (F.when(r == 1, F.regexp_replace(js, r'"media":\[\{"kind":"[a-z]+"', '"media":[{"kind":7'))
+              .when(r == 2, F.regexp_replace(js, '"created_at":"[^"]*"', '"created_at":"yesterday"'))
+              .when(r == 3, F.regexp_replace(js, r'"media":\[[^\]]*\]', '"media":{}'))
+              .when(r == 4, F.regexp_replace(js, ',"spoiler":(true|false)', ""))
+              .when(r == 5, F.concat(F.lit('{"extra":1,'), F.substring(js, 2, 1 << 30))).otherwise(js))
+    posts = post.select(F.col("fullname").alias("record_id"), broken.alias("json"))
+    nested = FR.nested_comments(_forest(spark, sf_dir))
+    js = F.replace("json", F.lit('"controversiality":1,"collapsed":true'), F.lit('"controversiality":"1","collapsed":true'))
+    js = F.replace(js, F.lit('"distinguished":"moderator",'), F.lit(""))
+    js = F.replace(js, F.lit('"stickied":true,'), F.lit('"stickied":true,"pinned":true,'))
+    comments = nested.select(F.concat_ws("#", "thread_id", F.col("sib_pos").cast("string")).alias("record_id"), js.alias("json"))
+    com = _iso_all(_communities(spark, sf_dir))
+    js = whole(com)
+    com = com.select(F.col("fullname").alias("record_id"), F.when(
+        F.col("subscribers") % 2 == 1, F.regexp_replace(js, '"subscribers":[0-9]+', '"subscribers":"many"')).otherwise(js).alias("json"))
+    use = _iso_all(_users(spark, sf_dir))
+    k = F.substring("id", 2, 20).cast("bigint") % 11
+    js = whole(use)
+    use = use.select(F.col("fullname").alias("record_id"), F.when(k == 3, F.regexp_replace(js, '"total_karma":-?[0-9]+', '"total_karma":1.5'))
+                     .when(k == 4, F.regexp_replace(js, '"total_karma":-?[0-9]+', '"total_karma":7.0'))
+                     .when(k == 5, F.lit("[]")).when(k == 6, F.lit("{")).otherwise(js).alias("json"))
+    return SC.conformance_all(posts.unionByName(comments).unionByName(com).unionByName(use))
+
+
 # ---------------------------------------------------------------- expansion and verdicts
 from loomweave.operators import expand as X  # noqa: E402
 
@@ -931,6 +993,36 @@ def capture_files(spark, sf_dir):
     return files.select(F.col("name").cast("bigint").alias("doc_id"), valid.alias("valid"))
 
 
+@query
+def json_array_sink(spark, sf_dir):
+    """All posts, newest first, published as one JSON array by many tasks and read back."""
+    from loomweave.sources.capture import read_json_array, write_json_array
+
+    path = ST.work_dir(spark, "json-array")
+    write_json_array(_posts(spark, sf_dir, False), path, [F.col("created_at").desc(), F.col("fullname").asc()])
+    v = F.try_parse_json("json")
+    return read_json_array(spark, path).select("n", C.text(v, "fullname").alias("fullname"), F.md5(C.text(v, "text")).alias("text_md5"),
+                                               F.try_variant_get(v, "$.score", "bigint").alias("score"))
+
+
+@query
+def capture_roundtrip(spark, sf_dir):
+    """A1-A3: pages as captures under the last part of their url; unsafe names are refused, the rest read back in name order."""
+    from loomweave.sources.capture import read_bundle, write_bundle
+
+    pages = S.read(spark, sf_dir, "pages")
+    r = F.col("page_id") % 7
+    stem = F.concat(F.lit("page-"), F.lpad(F.col("page_id").cast("string"), 12, "0"))
+    name = (F.when(r == 1, F.concat(F.lit("../"), stem)).when(r == 2, F.concat(F.lit("."), stem)).when(r == 3, F.concat(stem, F.lit("..json")))
+            .when(r == 4, F.repeat(stem, 6)).otherwise(F.concat(stem, F.lit(".json"))))
+    body = F.when(F.col("page_id") % 5 == 0, F.col("html")).otherwise(F.to_json(F.struct("url", "html")))
+    path = ST.work_dir(spark, "bundle")
+    refused = write_bundle(pages.select(name.alias("name"), body.alias("body")), path)
+    kept = read_bundle(spark, path).select("seq", "name", "valid", F.md5("body").alias("body_md5"))
+    return kept.unionByName(refused.select(F.lit(None).cast("bigint").alias("seq"), "name", F.lit(None).cast("boolean").alias("valid"),
+                                           F.lit(None).cast("string").alias("body_md5")))
+
+
 @query
 def silver_listing(spark, sf_dir):
     """G1 + F1 on the silver layout (day folders, community-sorted files): pruned scan."""

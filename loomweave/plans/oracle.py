@@ -796,6 +796,10 @@ SELECT CAST(rk AS BIGINT) AS rank, fullname, {iso('created')} AS created_at FROM
 WHERE rk <= 20
 """
 
+# The index gives what the scan gives.
+ORACLE["search_index_relevance"] = ORACLE["search_posts_relevance"]
+ORACLE["search_index_new"] = ORACLE["search_posts_new"]
+
 
 def _named(fields_sql: str, terms: list[str], order: str, limit: int, base: str, cols: str) -> str:
     arr = "[" + ", ".join(f"'{t}'" for t in terms) + "]"
@@ -1313,3 +1317,56 @@ SELECT doc_id, 'run ' || replace(replace(coalesce(source, 'none'), 'src12', '[RE
        || ' in [REDACTED] with token=[REDACTED]' AS scrubbed
 FROM documents
 """
+
+_POST_MEDIA = "(doc_id % 5 = 2 AND NOT (doc_id % 4 = 1 AND doc_id % 3 = 0))"
+ORACLE["schema_conformance_all"] = f"""
+WITH RECURSIVE {FULL_CTE}, {COMM_CTE},
+cm AS (SELECT thread_id || '#' || path[1] AS record_id, event_id, value, event_type,
+              list_aggregate(list_prepend('', list_transform(path[2:], lambda p: '/replies/' || p)), 'string_agg', '') AS path
+       FROM vis),
+bad AS (
+  SELECT 't3_d' || doc_id AS record_id, CASE WHEN doc_id % 6 = 1 THEN 'Media' ELSE 'Post' END AS record,
+         CASE WHEN doc_id % 6 = 1 THEN '/media/0' ELSE '' END AS path,
+         CASE doc_id % 6 WHEN 1 THEN 'kind' WHEN 2 THEN 'created_at' WHEN 3 THEN 'media' WHEN 4 THEN 'spoiler' ELSE 'extra' END AS field,
+         CASE doc_id % 6 WHEN 1 THEN 'type' WHEN 2 THEN 'format' WHEN 3 THEN 'type' WHEN 4 THEN 'missing' ELSE 'extra' END AS rule
+  FROM documents WHERE doc_id % 6 > 1 OR (doc_id % 6 = 1 AND {_POST_MEDIA})
+  UNION ALL SELECT record_id, 'Comment', path, 'controversiality', 'type' FROM cm WHERE event_id % 2 = 1 AND value > 45
+  UNION ALL SELECT record_id, 'Comment', path, 'distinguished', 'missing' FROM cm WHERE event_type = 'purchase'
+  UNION ALL SELECT record_id, 'Comment', path, 'pinned', 'extra' FROM cm WHERE event_type = 'signup'
+  UNION ALL SELECT 't5_s' || n, 'Subreddit', '', 'subscribers', 'type' FROM comm WHERE n_docs % 2 = 1
+  UNION ALL SELECT 't2_c' || c_custkey, CASE WHEN c_custkey % 11 = 3 THEN 'User' END, '',
+                   CASE WHEN c_custkey % 11 = 3 THEN 'total_karma' END,
+                   CASE c_custkey % 11 WHEN 3 THEN 'type' WHEN 5 THEN 'not_object' ELSE 'not_json' END
+            FROM customer WHERE c_custkey % 11 IN (3, 5, 6)
+),
+roots AS (
+  SELECT 't3_d' || doc_id AS record_id, 'Post' AS record FROM documents
+  UNION ALL SELECT record_id, 'Comment' FROM cm WHERE path = ''
+  UNION ALL SELECT 't5_s' || n, 'Subreddit' FROM comm
+  UNION ALL SELECT 't2_c' || c_custkey, 'User' FROM customer
+)
+SELECT record_id, record, path, field, rule FROM bad
+UNION ALL
+SELECT record_id, record, '', NULL, 'ok' FROM roots WHERE record_id NOT IN (SELECT record_id FROM bad)
+"""
+
+
+ORACLE["json_array_sink"] = f"""
+WITH {POSTS_CTE}
+SELECT row_number() OVER (ORDER BY created DESC, fullname) AS n, fullname, md5(text) AS text_md5, CAST(score AS BIGINT) AS score FROM posts_n
+"""
+
+ORACLE["capture_roundtrip"] = """
+WITH p AS (
+  SELECT page_id, html, url, page_id % 7 AS r, 'page-' || lpad(CAST(page_id AS VARCHAR), 12, '0') AS stem FROM pages
+),
+named AS (
+  SELECT page_id % 5 <> 0 AS valid, r IN (0, 5, 6) AS good,
+         CASE r WHEN 1 THEN '../' || stem WHEN 2 THEN '.' || stem WHEN 3 THEN stem || '..json' WHEN 4 THEN repeat(stem, 6)
+                ELSE stem || '.json' END AS name,
+         CASE WHEN page_id % 5 = 0 THEN md5(html) ELSE md5(CAST(json_object('url', url, 'html', html) AS VARCHAR)) END AS body_md5
+  FROM p
+)
+SELECT row_number() OVER (ORDER BY name) AS seq, name, valid, body_md5 FROM named WHERE good
+UNION ALL SELECT NULL, name, NULL, NULL FROM named WHERE NOT good
+"""

@@ -45,6 +45,11 @@ def valid_stem(name: str) -> bool:
     return bool(CAPTURE_STEM.fullmatch(name)) and ".." not in name
 
 
+def stem_ok(name: Column) -> Column:
+    """A2 as a column: the same check for names that come as data."""
+    return name.rlike(f"^{CAPTURE_STEM.pattern}\\z") & ~F.contains(name, F.lit(".."))
+
+
 # ---------------------------------------------------------------- M1: rate headers
 def rate_headers(headers: Column) -> Column:
     """M1: ``struct<remaining, reset, used>`` when all three are finite and >= 0, else NULL."""
@@ -126,17 +131,71 @@ def to_json_array(df: DataFrame, max_rows: int) -> DataFrame:
                             {"ignoreNullFields": "false"}).alias("json"))
 
 
-def serialise(df: DataFrame, include_raw: bool = False) -> DataFrame:
-    """Fixed field order, timestamps as ISO text, ``raw`` only when asked."""
+def serialise(df: DataFrame, include_raw: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Fixed field order, timestamps as ISO text, ``raw`` only when asked; columns in ``keep`` stay beside the text."""
     cols = []
     for field in df.schema.fields:
-        if field.name == "raw" and not include_raw:
+        if (field.name == "raw" and not include_raw) or field.name in (keep or ()):
             continue
         c = F.col(field.name)
         if field.dataType.typeName() == "timestamp":
             c = C.iso(c)
         cols.append(c.alias(field.name))
-    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
+    return df.select(*(keep or ()), F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def write_json_array(df: DataFrame, path: str, order: list[Column]) -> None:
+    """All rows as one JSON array in the given order, of any number of rows, written by many tasks.
+
+    ``path`` is a folder whose part files, put together in the order of their names, are the array: the
+    first line opens it, every later one starts with its comma, the last closes it.  Spark's commit
+    publishes all parts together, with ``_SUCCESS``, or none; a published folder is never written again.
+    No row gives ``[]``.  Rows are range partitioned by their number, so none gathers more than its share.
+    """
+    from loomweave.operators.common import distributed_rank
+
+    ranked = distributed_rank(df, [], order, "_n")
+    total = ranked.count()
+    if not total:
+        df.sparkSession.range(1, numPartitions=1).select(F.lit("[]").alias("value")).write.text(path)
+        return
+    lines = serialise(ranked, keep=["_n"])
+    line = F.concat(F.when(F.col("_n") == 1, "[").otherwise(","), "json", F.when(F.col("_n") == total, "]").otherwise(""))
+    lines.repartitionByRange("_n").sortWithinPartitions("_n").select(line.alias("value")).write.text(path)
+
+
+def read_json_array(spark: SparkSession, path: str) -> DataFrame:
+    """``(n, json)`` of a folder that ``write_json_array`` published, in the order of the array."""
+    from loomweave.operators.common import distributed_rank
+
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                                         F.monotonically_increasing_id().alias("_i")).filter("value <> '[]'")
+    inner = F.regexp_replace(F.regexp_replace("value", r"^[\[,]", ""), r"\}\]$", "}")
+    ranked = distributed_rank(lines.select(inner.alias("json"), "_f", "_b", "_i"), [], [F.col("_f"), F.col("_b"), F.col("_i")], "n")
+    return ranked.select("n", "json")
+
+
+# ---------------------------------------------------------------- A2/A3: many captures a file
+def write_bundle(captures: DataFrame, path: str) -> DataFrame:
+    """A2: ``captures(name, body)`` as NDJSON lines in name order, many captures a file; returns the refused rows.
+
+    A name must be a capture stem (no path parts, no ``..``); rows with another name, or none, are not
+    written and come back with their name.
+    """
+    good = F.coalesce(stem_ok(F.col("name")), F.lit(False))
+    (captures.filter(good).select("name", "body").repartitionByRange("name").sortWithinPartitions("name")
+     .write.option("ignoreNullFields", "false").json(path))
+    return captures.filter(~good).select("name")
+
+
+def read_bundle(spark: SparkSession, path: str) -> DataFrame:
+    """A1/A3: ``(seq, name, body, valid)`` in name order; names are checked again, as files may come from elsewhere."""
+    from loomweave.operators.common import distributed_rank
+
+    rows = spark.read.schema("name string, body string").json(path).filter(stem_ok(F.col("name")))
+    valid = F.try_parse_json("body").isNotNull() & (F.trim("body") != "")
+    ranked = distributed_rank(rows.withColumn("valid", F.coalesce(valid, F.lit(False))), [], [F.col("name"), F.col("body")], "seq")
+    return ranked.select("seq", "name", "body", "valid")
 
 
 def staging_path(base: str, name: str) -> str:

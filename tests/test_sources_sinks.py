@@ -104,3 +104,31 @@ def test_run_summary_text(spark):
     assert got["r"] == ("2 posts, range 2024-01-01T00:00:01Z..2024-01-01T00:05:00Z, stop reason: "
                         "since_crossed, budget unknown/unknown")
     assert got["e"].startswith("0 posts, range none..none")
+
+
+def test_json_array_of_any_size_is_one_array(spark, tmp_path):
+    df = spark.range(500).selectExpr("id", "concat('x]}', id % 7) AS s", "CASE WHEN id % 3 = 0 THEN id END AS a")
+    out = str(tmp_path / "array")
+    CAP.write_json_array(df.repartition(5), out, [F.col("s").desc(), F.col("id").asc()])
+    parts = sorted(f for f in os.listdir(out) if f.startswith("part-"))
+    assert "_SUCCESS" in os.listdir(out)
+    whole = "".join(open(os.path.join(out, f), encoding="utf-8").read() for f in parts)
+    want = sorted(({"id": i, "s": f"x]}}{i % 7}", "a": i if i % 3 == 0 else None} for i in range(500)), key=lambda r: (-(r["id"] % 7), r["id"]))
+    assert json.loads(whole) == want
+    back = CAP.read_json_array(spark, out).orderBy("n").collect()
+    assert [r["n"] for r in back] == list(range(1, 501)) and [json.loads(r["json"]) for r in back] == want
+    with pytest.raises(Exception):
+        CAP.write_json_array(df, out, [F.col("id")])
+    empty = str(tmp_path / "empty")
+    CAP.write_json_array(df.limit(0), empty, [F.col("id")])
+    assert CAP.read_json_array(spark, empty).count() == 0
+
+
+def test_bundle_refuses_unsafe_names(spark, tmp_path):
+    rows = [("b.json", "{}"), ("a", " "), ("c-1", "<html>"), ("../d", "{}"), (".e", "{}"), ("f..g", "{}"), ("h\n", "{}"), (None, "{}"),
+            ("", "{}"), ("k" * 101, "{}"), ("k" * 100, None), ("a", "[1]")]
+    out = str(tmp_path / "bundle")
+    refused = CAP.write_bundle(spark.createDataFrame(rows, "name string, body string"), out)
+    assert sorted(map(str, (r["name"] for r in refused.collect()))) == sorted(map(str, ("../d", ".e", "f..g", "h\n", None, "", "k" * 101)))
+    got = [(r["name"], r["body"], r["valid"]) for r in CAP.read_bundle(spark, out).orderBy("seq").collect()]
+    assert got == [("a", " ", False), ("a", "[1]", True), ("b.json", "{}", True), ("c-1", "<html>", False), ("k" * 100, None, False)]
