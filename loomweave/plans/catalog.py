@@ -873,6 +873,18 @@ def forest_signature(spark, sf_dir):
     return s.select("thread_id", "signature", F.col("nodes").cast("bigint").alias("nodes"))
 
 
+@query
+def forest_diff(spark, sf_dir):
+    """The captures that hide comments against the whole ones, in which every 17th comment has another score."""
+    from loomweave.operators import snapshots as SN
+
+    later = _forest(spark, sf_dir)
+    edited = F.substring("fullname", 5, 20).cast("bigint") % 17 == 0
+    later = later.withColumn("c_score", F.when(edited, F.coalesce("c_score", F.lit(0)) + 1).otherwise(F.col("c_score")))
+    d = SN.snapshot_diff(_pointed(spark, sf_dir), later, ["c_text", "c_score"])
+    return d.select("thread_id", "node", F.col("depth").cast("bigint").alias("depth"), "change", "size_before", "size_after")
+
+
 # ---------------------------------------------------------------- streaming
 from loomweave.streaming import jobs as ST  # noqa: E402
 

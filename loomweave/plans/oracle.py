@@ -1370,3 +1370,27 @@ named AS (
 SELECT row_number() OVER (ORDER BY name) AS seq, name, valid, body_md5 FROM named WHERE good
 UNION ALL SELECT NULL, name, NULL, NULL FROM named WHERE NOT good
 """
+
+
+# Hidden comments are added, their pointers removed, every 17th visible comment edited, all above these changed below.
+ORACLE["forest_diff"] = f"""
+WITH RECURSIVE {FOREST_CTE},
+up AS (
+  SELECT user_id, parent_k AS k FROM f WHERE parent_k > 0 AND (k > cut OR event_id % 17 = 0)
+  UNION SELECT f.user_id, f.parent_k FROM up JOIN f ON f.user_id = up.user_id AND f.k = up.k WHERE f.parent_k > 0
+),
+res AS (
+  SELECT thread_id, fullname AS node, depth, path,
+         CASE WHEN f.k > cut THEN 'added' WHEN event_id % 17 = 0 THEN 'edited' ELSE 'below' END AS change
+  FROM f LEFT JOIN up ON up.user_id = f.user_id AND up.k = f.k
+  WHERE f.k > cut OR event_id % 17 = 0 OR up.k IS NOT NULL
+  UNION ALL SELECT thread_id, 'more:' || ptr_parent_id, depth, path, 'removed' FROM nodes WHERE kind = 'more'
+),
+was AS (SELECT res.thread_id, res.node, count(*) AS size FROM res JOIN nodes g
+        ON g.thread_id = res.thread_id AND g.path[1:len(res.path)] = res.path GROUP BY 1, 2),
+now AS (SELECT res.thread_id, res.node, count(*) AS size FROM res JOIN f g
+        ON g.thread_id = res.thread_id AND g.path[1:len(res.path)] = res.path GROUP BY 1, 2)
+SELECT res.thread_id, res.node, CAST(res.depth AS BIGINT) AS depth, change,
+       CASE WHEN change <> 'added' THEN was.size END AS size_before, CASE WHEN change <> 'removed' THEN now.size END AS size_after
+FROM res LEFT JOIN was USING (thread_id, node) LEFT JOIN now USING (thread_id, node)
+"""
