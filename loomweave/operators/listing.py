@@ -269,12 +269,13 @@ def chain_pages(pages: DataFrame) -> DataFrame:
 
 
 def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
-              select_element: int | None = None) -> tuple[DataFrame, DataFrame]:
+              select_element: int | None = None, with_counts: bool = False) -> tuple[DataFrame, ...]:
     """I1-I10 + K1-K4 over captured pages of many runs at once.
 
     ``pages``: bronze ``(response_id, run_id, page_no, captured_at, status, content_type, body)``.
     ``params``: one row per run ``(run_id, lim, since, until, max_requests)``; NULL = unset.
-    Returns ``(items, run_audit)``.
+    Returns ``(items, run_audit)``, and with ``with_counts`` a third table (run_id, page_no, seen): per
+    request the rows seen before it, which the client sends along (I10).
     """
     from loomweave.sources.capture import classify_responses
 
@@ -316,7 +317,7 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
 
     # Page facts: kept count, older-row flag, cursor (B11 repeat check), response outcome.
     page_rows = rows.groupBy("run_id", "page_no").agg(
-        F.sum(F.col("kept").cast("int")).alias("n_kept"),
+        F.sum(F.col("kept").cast("int")).alias("n_kept"), F.sum(F.col("is_first").cast("int")).alias("n_first"),
         F.max(F.col("is_old").cast("int")).alias("has_old"),
         F.max(F.col("is_undated").cast("int")).alias("has_undated"))
     repeated = Window.partitionBy("run_id", "after")
@@ -327,7 +328,7 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
                              & (F.row_number().over(repeated.orderBy("page_no")) > 1))
                  .join(page_rows, ["run_id", "page_no"], "left")
                  .join(p, "run_id")
-                 .fillna({"n_kept": 0, "has_old": 0, "has_undated": 0}))
+                 .fillna({"n_kept": 0, "n_first": 0, "has_old": 0, "has_undated": 0}))
     # Kept rows before each page (blocked prefix sum, safe for a hot run).
     page_info = blocked_running_count(page_info, ["run_id"], F.col("page_no"), [], PAGE_BLOCK,
                                       "_cum", weight=F.col("n_kept"))
@@ -404,7 +405,43 @@ def paged_run(pages: DataFrame, params: DataFrame, allowed_kinds=("t3",),
                              & (F.col("lim").isNull() | (F.col("lim") > 0)))
                  .select("run_id", "page_no", "pos", "fullname", "created_at"))
     out_items = distributed_rank(out_items, ["run_id"], [F.col("page_no"), F.col("pos")], "seq")
-    return out_items, audit
+    if not with_counts:
+        return out_items, audit
+    seen = blocked_running_count(page_info.select("run_id", "page_no", "n_first"), ["run_id"], F.col("page_no"), [], PAGE_BLOCK,
+                                 "_seen", weight=F.col("n_first"))
+    seen = seen.join(audit.select("run_id", "requests_made"), "run_id").filter(F.col("page_no") <= F.col("requests_made"))
+    return out_items, audit, seen.select("run_id", "page_no", (F.col("_seen") - F.col("n_first")).alias("seen"))
+
+
+KIND_NAMES = {"t3": ("post", "posts"), "t1": ("comment", "comments"), "t5": ("subreddit", "subreddits"), "t2": ("user", "users")}
+
+
+def run_summary_by_kind(items: DataFrame, audit: DataFrame, pages: DataFrame) -> DataFrame:
+    """K1/K4/M5: per run the counts of each kind, the request budget and the one-line summary.
+
+    ``items``: what the runs kept; a kind is its fullname's prefix.  ``pages``: the captured responses with
+    ``run_id``, ``page_no`` and ``headers``.  Kinds without an item are left out (``0 posts`` if all are);
+    the budget is that of the run's last response, ``unknown/unknown`` where it has no three valid headers.
+    """
+    from loomweave.sources.capture import rate_headers
+
+    c = F.col
+    kind = F.substring_index("fullname", "_", 1)
+    counts = items.groupBy("run_id").agg(*[F.count(F.when(kind == k, 1)).alias(f"_{k}") for k in KIND_NAMES])
+    last = pages.select("run_id", "page_no", rate_headers(c("headers")).alias("_h"))
+    heads = audit.select("run_id", c("requests_made").alias("page_no")).join(last, ["run_id", "page_no"]).drop("page_no")
+    out = audit.join(counts, "run_id", "left").join(heads, "run_id", "left")
+    parts = []
+    for k, (one, many) in KIND_NAMES.items():
+        n = F.coalesce(c(f"_{k}"), F.lit(0))
+        parts.append(F.when(n > 0, F.concat(n.cast("string"), F.when(n == 1, f" {one}").otherwise(f" {many}"))))
+    what = F.concat_ws(", ", *parts)
+    budget = F.coalesce(F.concat_ws("/", c("_h.remaining").cast("string"), F.when(c("_h").isNotNull(), c("_h.used").cast("string"))), F.lit(""))
+    out = (out.withColumn("counts", F.when(what == "", "0 posts").otherwise(what))
+           .withColumn("budget", F.when(budget == "", "unknown/unknown").otherwise(budget)))
+    return out.withColumn("summary", F.concat(
+        "counts", F.lit(", range "), F.coalesce(C.iso(c("oldest")), F.lit("none")), F.lit(".."), F.coalesce(C.iso(c("newest")), F.lit("none")),
+        F.lit(", stop reason: "), "stop_reason", F.lit(", budget "), "budget")).drop("_h", *[f"_{k}" for k in KIND_NAMES])
 
 
 def run_summary(audit: DataFrame, label: str = "posts") -> DataFrame:

@@ -143,6 +143,40 @@ def paged_run_audit(spark, sf_dir):
         C.iso(F.col("oldest")).alias("oldest"), C.iso(F.col("newest")).alias("newest"), "summary")
 
 
+def _mixed_runs(spark, sf_dir):
+    """Posts and, after them, comments of each community as listing pages with budget headers, and the runs over them."""
+    posts = S.post_things(spark, sf_dir).select("run_id", "fullname", "thing", (-F.col("doc_id")).alias("_o"))
+    ev = S.read(spark, sf_dir, "events")
+    name = F.concat(F.lit("t1_e"), F.col("event_id"))
+    data = F.struct(F.concat(F.lit("e"), F.col("event_id")).alias("id"), name.alias("name"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("created_utc"))
+    comments = ev.select(F.concat(F.lit("src"), F.col("user_id") % 20).alias("run_id"), name.alias("fullname"),
+                         F.to_json(F.struct(F.lit("t1").alias("kind"), data.alias("data"))).alias("thing"), (F.col("event_id") + 1).alias("_o"))
+    pages = S.listing_pages(posts.unionByName(comments), F.col("_o"))
+    n = F.coalesce(F.regexp_extract("run_id", r"([0-9]+)$", 1).try_cast("bigint"), F.lit(0))
+    head = F.create_map(F.lit("X-Ratelimit-Remaining"), (600 - F.col("page_no")).cast("string"), F.lit("x-ratelimit-used"), F.col("page_no").cast("string"),
+                        F.lit("x-ratelimit-reset"), F.when(F.col("page_no") % 4 == 3, "soon").otherwise("30"))
+    pages = pages.withColumn("headers", F.when(n % 5 != 2, head))
+    params = pages.select("run_id").distinct().select(
+        "run_id", F.when(n % 4 == 0, 5).when(n % 4 == 1, 15).when(n % 4 == 2, 40).cast("bigint").alias("lim"),
+        F.lit(None).cast("timestamp").alias("since"), F.lit(None).cast("timestamp").alias("until"),
+        F.when(n % 6 == 5, 2).otherwise(30).cast("bigint").alias("max_requests"))
+    return pages, params
+
+
+@query
+def run_summaries(spark, sf_dir):
+    """K1, K4, M5: runs over posts and comments; counts per kind, the budget that the last response left, one line a run."""
+    pages, params = _mixed_runs(spark, sf_dir)
+    items, audit = L.paged_run(pages, params, ("t3", "t1"))
+    return L.run_summary_by_kind(items, audit, pages).select("run_id", "counts", "budget", "requests_made", "summary")
+
+
+@query
+def paged_run_counts(spark, sf_dir):
+    """Rows seen before each request of these runs."""
+    return L.paged_run(*_mixed_runs(spark, sf_dir), ("t3", "t1"), with_counts=True)[2]
+
+
 @query
 def paged_run_chain(spark, sf_dir):
     """Pages without numbers are chained by their cursors; in half of the runs page 4 points back to page 3."""

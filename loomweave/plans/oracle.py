@@ -1394,3 +1394,49 @@ SELECT res.thread_id, res.node, CAST(res.depth AS BIGINT) AS depth, change,
        CASE WHEN change <> 'added' THEN was.size END AS size_before, CASE WHEN change <> 'removed' THEN now.size END AS size_after
 FROM res LEFT JOIN was USING (thread_id, node) LEFT JOIN now USING (thread_id, node)
 """
+
+
+_MIXED_CTE = f"""
+th AS (
+  SELECT source AS run_id, 't3_d' || doc_id AS fullname, -doc_id AS o, {ts(f"{E0} + 60 * doc_id")} AS created, 1 AS post FROM documents
+  UNION ALL
+  SELECT 'src' || (user_id % 20), 't1_e' || event_id, event_id + 1, {ts("floor(epoch(ts))")}, 0 FROM events
+),
+rk AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY o, fullname) AS r FROM th),
+runs AS (
+  SELECT run_id, n, total, (total - 1) // 9 + 1 AS pages, CASE n % 4 WHEN 0 THEN 5 WHEN 1 THEN 15 WHEN 2 THEN 40 END AS lim,
+         CASE WHEN n % 6 = 5 THEN 2 ELSE 30 END AS most
+  FROM (SELECT run_id, count(*) AS total, {_RUN_N} AS n FROM rk GROUP BY run_id)
+),
+need AS (
+  SELECT *, CASE WHEN lim <= total THEN greatest(1, CAST(ceil((lim - 1) / 9.0) AS BIGINT)) ELSE pages END AS wanted FROM runs
+),
+done AS (
+  SELECT *, least(wanted, most) AS requests,
+         CASE WHEN wanted > most THEN 'max_requests' WHEN lim < total THEN 'limit_reached' ELSE 'listing_exhausted' END AS reason,
+         CASE WHEN wanted > most THEN least(total, 9 * most + 1) ELSE least(coalesce(lim, total), total) END AS items
+  FROM need
+)"""
+ORACLE["run_summaries"] = f"""
+WITH {_MIXED_CTE},
+got AS (
+  SELECT d.run_id, sum(post) AS posts, sum(1 - post) AS comments, min(created) AS oldest, max(created) AS newest
+  FROM done d JOIN rk ON rk.run_id = d.run_id AND rk.r <= d.items GROUP BY 1
+),
+txt AS (
+  SELECT d.run_id, d.requests, d.reason, oldest, newest,
+         concat_ws(', ', CASE WHEN posts > 0 THEN posts || CASE WHEN posts = 1 THEN ' post' ELSE ' posts' END END,
+                   CASE WHEN comments > 0 THEN comments || CASE WHEN comments = 1 THEN ' comment' ELSE ' comments' END END) AS counts,
+         CASE WHEN n % 5 = 2 OR requests % 4 = 3 THEN 'unknown/unknown' ELSE (600 - requests) || '.0/' || requests || '.0' END AS budget
+  FROM done d JOIN got USING (run_id)
+)
+SELECT run_id, counts, budget, CAST(requests AS BIGINT) AS requests_made,
+       counts || ', range ' || {iso('oldest')} || '..' || {iso('newest')} || ', stop reason: ' || reason || ', budget ' || budget AS summary
+FROM txt
+"""
+
+ORACLE["paged_run_counts"] = f"""
+WITH {_MIXED_CTE},
+p AS (SELECT run_id, total, unnest(range(1, requests + 1)) AS page_no FROM done)
+SELECT run_id, CAST(page_no AS BIGINT) AS page_no, CAST(CASE WHEN page_no = 1 THEN 0 ELSE least(total, 9 * (page_no - 1) + 1) END AS BIGINT) AS seen FROM p
+"""
