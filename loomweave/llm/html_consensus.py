@@ -24,7 +24,9 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +35,9 @@ from loomweave.llm.io import OWN, saved
 #: Paths of a host that count, and the least share of its votes that each needs.
 PATHS = 4
 LEAST_SHARE = 0.1
-#: A winners table up to this many rows is broadcast; a larger one is joined by page.
-BROADCAST_ROWS = 50_000
+#: Winners are broadcast as 24 bytes a host up to this many hosts and bytes of distinct paths; larger ones are joined by page.
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 16 << 20
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>")
 _STOP = re.compile("[\"'>]")
@@ -451,9 +454,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """
     won = saved(winners(saved(votes(pages, url_col, html_col))))
     src = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    if won.count() <= BROADCAST_ROWS:
-        table = pages.sparkSession.sparkContext.broadcast({r["host"]: r["paths"] for r in won.collect()})
-        ready, look = src.withColumn("paths", F.lit(None).cast("array<string>")), lambda u, given: table.value.get(host(u), [])
+    packed = _packed(won)
+    if packed:
+        table = pages.sparkSession.sparkContext.broadcast(packed)
+        ready, look = src.withColumn("paths", F.lit(None).cast("array<string>")), lambda u, given: _looked_up(table.value, host(u))
     else:
         ready = _with_paths(src, won)
         look = lambda u, given: given or []
@@ -477,8 +481,41 @@ def _page_text(page: str, paths: list[str]) -> str:
     return extract(page, paths) if page else ""
 
 
+def _packed(won: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
+    """Sorted host hashes, the numbers of each one's paths and the distinct paths; None beyond the bounds.
+
+    Hosts of one template share their paths, so these are kept once.  Two hosts with one 64-bit hash
+    give None as well: the join compares whole names.
+    """
+    names = saved(won.select(F.explode("paths").alias("path")).distinct())
+    bounds = names.agg(F.sum(F.octet_length("path") + 64).alias("bytes")).first()
+    if won.count() > BROADCAST_ROWS or (bounds["bytes"] or 0) > BROADCAST_BYTES:
+        return None
+    paths = sorted(r["path"] for r in names.collect())
+    number = won.sparkSession.createDataFrame(list(enumerate(paths)), "id int, path string")
+    placed = won.select(F.xxhash64("host").alias("h"), F.posexplode("paths").alias("i", "path")).join(number, "path")
+    rows = placed.select("h", "i", "id").toArrow()
+    hashes, which = np.unique(rows["h"].to_numpy(), return_inverse=True)
+    if len(hashes) != won.count():
+        return None
+    ids = np.full((len(hashes), PATHS), -1, np.int32)
+    ids[which, rows["i"].to_numpy()] = rows["id"].to_numpy()
+    return hashes, ids, paths
+
+
+def _looked_up(packed: tuple[np.ndarray, np.ndarray, list[str]], name: str) -> list[str]:
+    hashes, ids, paths = packed
+    h = xxhash.xxh64_intdigest(name.encode(), 42)
+    h -= (h >> 63) << 64        # as the signed number that Spark's xxhash64 gives
+    at = int(np.searchsorted(hashes, h))
+    return [paths[i] for i in ids[at] if i >= 0] if at < len(hashes) and hashes[at] == h else []
+
+
 def _with_paths(src: DataFrame, won: DataFrame) -> DataFrame:
-    """Many hosts: paths are joined to narrow page rows first, then to the pages by row, so no host gathers its pages."""
+    """Beyond the broadcast: paths are joined to the distinct urls, then to the pages by url, html included.
+
+    Pages are spread by url, so no host gathers its pages.
+    """
     def hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([host(u) for u in b.column(0).to_pylist()], pa.string())], names=["u", "host"])

@@ -193,3 +193,24 @@ def test_equals_a_plain_extractor(spark):
     got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for k, _, page in rows:
         assert got[k] == plain_text(page), k
+
+
+def test_packed_winners_are_the_winners(spark):
+    rows = [(f"h{i}.example" if i else "", [f"html/body/div.t{i % 5}", "html/body/main", f"p{i % 3}"][: 1 + i % 3]) for i in range(3000)]
+    rows += [("\u043f\u0440\u0438\u043c\u0435\u0440.example", ["html/body"])]
+    packed = H._packed(spark.createDataFrame(rows, "host string, paths array<string>"))
+    assert len(packed[2]) == 8 and all(H._looked_up(packed, h) == p for h, p in rows)
+    assert H._looked_up(packed, "other.example") == []
+    none = H._packed(spark.createDataFrame([], "host string, paths array<string>"))
+    assert H._looked_up(none, "") == []
+
+
+def test_packed_bounds(spark):
+    won = spark.createDataFrame([("a", ["x"]), ("b", ["y" * 300])], "host string, paths array<string>")
+    for name, limit in (("BROADCAST_ROWS", 1), ("BROADCAST_BYTES", 200)):
+        old = getattr(H, name)
+        setattr(H, name, limit)
+        try:
+            assert H._packed(won) is None
+        finally:
+            setattr(H, name, old)
