@@ -2,16 +2,17 @@
 
 Three Parquet tables under one folder:
 
-* ``postings`` (term, block, ord, tf, dl): sorted by term, so a search reads the row groups of its
+* ``postings`` (term, block, fullname, tf, dl): sorted by term, so a search reads the row groups of its
   own terms (``PushedFilters: In(term, ...)``) and no text.
 * ``bounds`` (term, block, most, shortest, rows): per term and block of posts the greatest frequency and
   the least length, which bound what any post of the block can score for the term; their row
   counts add up to the term's document frequency.
-* ``posts``: what a result shows, with the post's ``ord`` and ``block``.
+* ``posts``: every post once with its length ``dl``; a search reads the columns that a result shows.
 
-Posts are numbered by length, so a block holds posts of like length and its bounds are close.  A
-search scores the blocks with the highest bounds first, at least ``limit`` matches of them, and
-then only blocks whose bound reaches the score of the ``limit``-th; the result is exact.
+A block is a class of like lengths (four to a doubling) and of the name's hash, so its bounds are close
+and no ranking of posts is needed.  A search scores the blocks with the highest bounds first, at least
+``limit`` matches of them, and then only blocks whose bound reaches the score of the ``limit``-th;
+the result is exact.
 """
 
 from __future__ import annotations
@@ -23,31 +24,31 @@ from pyspark.sql import functions as F
 
 from loomweave.operators import listing as L
 from loomweave.operators import search as SR
-from loomweave.operators.common import distributed_rank
 from loomweave.session import cut_lineage
 
+#: Posts a block holds on average, where lengths spread over about so many classes.
 BLOCK = 1024
+LENGTHS = 16
 
 
 def write_index(posts: DataFrame, path: str, block: int = BLOCK) -> None:
-    """Writes the three tables under ``path``.  Posts without a token stay in ``posts`` and are never found.
+    """Writes the three tables under ``path``; ``fullname`` names a post once.  Posts without a token stay in ``posts`` and are never found.
 
     A term that a third of all posts hold is sorted and written by many tasks, as rows are range
     partitioned on (term, block, post).
     """
-    staged = posts.select("fullname", "subreddit", "created_at", "score", "num_comments",
-                          SR.tokens(F.concat_ws(" ", "title", "text")).alias("_t"))
-    lengths = staged.select("fullname", "subreddit", "created_at", "score", "num_comments",
-                            F.xxhash64("_t").alias("_h"), F.size("_t").alias("dl"), "_t")
-    # numbers first, tokens beside them: the ranked rows are checkpointed once
-    ranked = distributed_rank(lengths, [], [F.col("dl"), F.col("_h"), F.col("fullname")], "ord")
-    ranked = cut_lineage(ranked.withColumn("block", F.floor((F.col("ord") - 1) / block).cast("bigint")))
-    ranked.drop("_t", "_h").write.parquet(f"{path}/posts")
-    counted = (ranked.select("block", "ord", "dl", F.explode("_t").alias("term"))
-               .groupBy("term", "block", "ord", "dl").agg(F.count("*").cast("int").alias("tf")))
-    (counted.repartitionByRange("term", "block", "ord").sortWithinPartitions("term", "block", "ord")
+    text = F.concat_ws(" ", "title", "text")
+    (posts.select("fullname", "subreddit", "created_at", "score", "num_comments", F.size(SR.tokens(text)).alias("dl"), text.alias("text"))
+     .write.parquet(f"{path}/posts"))
+    back = posts.sparkSession.read.parquet(f"{path}/posts")
+    classes = max(1, back.count() // (block * LENGTHS))
+    length = F.floor(F.log2(F.col("dl") + 1.0) * 4).cast("bigint")
+    counted = (back.select((length * F.lit(1 << 32) + F.pmod(F.xxhash64("fullname"), F.lit(classes))).alias("block"), "fullname", "dl",
+                           F.explode(SR.tokens(F.col("text"))).alias("term"))
+               .groupBy("term", "block", "fullname", "dl").agg(F.count("*").cast("int").alias("tf")))
+    (counted.repartitionByRange("term", "block", "fullname").sortWithinPartitions("term", "block", "fullname")
      .write.option("parquet.block.size", 16 << 20).parquet(f"{path}/postings"))
-    postings = ranked.sparkSession.read.parquet(f"{path}/postings")
+    postings = posts.sparkSession.read.parquet(f"{path}/postings")
     (postings.groupBy("term", "block").agg(F.max("tf").alias("most"), F.min("dl").alias("shortest"), F.count("*").alias("rows"))
      .repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/bounds"))
 
@@ -71,7 +72,7 @@ def search_index(spark: SparkSession, path: str, query: str, community: str | No
     """
     L.choice(sort, L.SEARCH_SORTS, "sort")
     terms = SR.query_terms(query)
-    posts = spark.read.parquet(f"{path}/posts")
+    posts = spark.read.parquet(f"{path}/posts").drop("text")
     postings = _of_terms(spark.read.parquet(f"{path}/postings"), terms)
     bounds = _of_terms(spark.read.parquet(f"{path}/bounds"), terms)
     facts = posts.agg(F.count("*").alias("n"), F.avg("dl").alias("mean")).first()
@@ -86,12 +87,12 @@ def search_index(spark: SparkSession, path: str, query: str, community: str | No
         total = F.lit(0.0)
         for p in parts:     # in the order of the terms, so sums agree with a scan's to the last bit
             total = total + p
-        return each.groupBy("block", "ord").agg(F.round(total, 6).alias("relevance"), F.count("*").cast("int").alias("matched"))
+        return each.groupBy("block", "fullname").agg(F.round(total, 6).alias("relevance"), F.count("*").cast("int").alias("matched"))
 
     narrowed = community or since is not None or until is not None
     if sort != "relevance" or narrowed or not limit:
         found = posts if not community else posts.filter(F.lower("subreddit") == community.lower())
-        found = L.date_window(found, since, until).join(scored(postings).drop("block"), "ord")
+        found = L.date_window(found, since, until).join(scored(postings).drop("block"), "fullname")
         effective = "new" if (since is not None or until is not None) else sort
         order = _by_relevance() if effective == "relevance" else L.post_sort_key(effective, L.dt.datetime(2024, 1, 2, tzinfo=L.dt.UTC))
         return L.ranked(found, order, limit)
@@ -112,7 +113,7 @@ def search_index(spark: SparkSession, path: str, query: str, community: str | No
     matches = scored(postings.join(worth.select("block"), "block", "left_semi"))
     if floor is not None:
         matches = matches.filter(F.col("relevance") >= F.lit(kth["s"]))
-    found = posts.join(matches.drop("block"), "ord")
+    found = posts.join(matches.drop("block"), "fullname")
     return L.ranked(found, _by_relevance(), limit)
 
 

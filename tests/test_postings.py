@@ -22,7 +22,7 @@ def posts(spark):
                                        "num_comments long, title string, text string")
 
 
-@pytest.mark.parametrize("block", [1, 24])
+@pytest.mark.parametrize("block", [1, 1024])
 def test_equal_to_a_scan(spark, posts, tmp_path, block):
     path = str(tmp_path / f"b{block}")
     PO.write_index(posts, path, block)
