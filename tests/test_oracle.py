@@ -20,7 +20,8 @@ FAMILIES = ["normalize_posts", "paged_run_audit", "community_listing_hot", "norm
             "post_media", "envelope_drift", "classify_responses", "schema_conformance", "stream_ingest",
             "user_overview", "forest_subtree_weight", "forest_anchor", "forest_expand_budget", "forest_expand_limit",
             "paged_run_chain", "stream_quarantine", "drift_subtrees", "redact_all", "search_typed", "resolve_permalinks",
-            "scrub_values"]
+            "scrub_values", "schema_conformance_all", "search_index_relevance", "json_array_sink", "capture_roundtrip", "forest_diff",
+            "run_summaries", "paged_run_counts"]
 NAMES = sorted(QUERIES) if os.environ.get("LOOMWEAVE_FULL_ORACLE") else FAMILIES
 
 
