@@ -132,3 +132,14 @@ def test_bundle_refuses_unsafe_names(spark, tmp_path):
     assert sorted(map(str, (r["name"] for r in refused.collect()))) == sorted(map(str, ("../d", ".e", "f..g", "h\n", None, "", "k" * 101)))
     got = [(r["name"], r["body"], r["valid"]) for r in CAP.read_bundle(spark, out).orderBy("seq").collect()]
     assert got == [("a", " ", False), ("a", "[1]", True), ("b.json", "{}", True), ("c-1", "<html>", False), ("k" * 100, None, False)]
+
+
+def test_captures_are_listed_a_round_at_a_time(spark):
+    bodies = [(str(i), "{not json" if i % 5 == 0 else '{"n":%d}' % i) for i in range(40)] + [("40", None), (None, "{}"), ("41", "{}"), ("41", "{}"), ("42", '{"two":\n"lines"}')]
+    staging = work_dir(spark, "rounds")
+    df = spark.createDataFrame(bodies, "name string, body string")
+    got = CAP.read_in_rounds(df, staging, work_dir(spark, "rounds-read"), files=10).collect()
+    want = {str(i): i % 5 != 0 for i in range(40)} | {"40": False, None: True, "41": True, "42": True}
+    assert len(got) == len(bodies) and {r["name"]: r["valid"] for r in got} == want
+    local = staging[len("file:"):] if staging.startswith("file:") else staging
+    assert len([x for x in os.listdir(local) if x.startswith("name=")]) < len(want) / 2
