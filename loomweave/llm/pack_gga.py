@@ -18,6 +18,7 @@ cost no more than their part of one last bin.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ ISLANDS = 3
 EPOCHS = 2
 POPULATION = 5
 CROSSOVERS = 10
+#: Bytes of the texts that are encoded together.
+RUN = 8_000_000
 #: Bins filled to less than this share are broken up between rounds.
 WELL_FILLED = 0.995
 
@@ -45,6 +49,15 @@ PIECES = "item bigint, doc_id bigint, piece int, start bigint, length bigint, id
 
 
 # ------------------------------------------------------------------ tokenize
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of, but for the last text, ``RUN`` bytes of text at most."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    turn = np.r_[-1, 0, size[:-1] // RUN, -1] if len(size) else np.empty(0)
+    bounds = np.flatnonzero(turn[1:] != turn[:-1])
+    for lo, hi in itertools.pairwise(bounds.tolist()):
+        yield batch.slice(lo, hi - lo)
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece; ``item`` numbers the pieces of a run (task and place in it)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,10 +66,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
         enc, end = encoder(path), array("I", [END_ID]).tobytes()
         item = TaskContext.get().partitionId() << 40
         for b in batches:
-            for lo in range(0, b.num_rows, 1024):
+            for part in _runs(b):
                 rows = []
-                for doc, text in zip(b.column(0)[lo:lo + 1024].to_pylist(), b.column(1)[lo:lo + 1024], strict=True):
-                    ids = memoryview(enc.encode(text.as_py() or "") + end)
+                for doc, own in zip(part.column(0).to_pylist(), enc.encode_all(pc.fill_null(part.column(1), "")), strict=True):
+                    ids = memoryview(own + end)
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at:at + 4 * capacity]
                         rows.append((item, doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

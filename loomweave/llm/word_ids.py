@@ -2,26 +2,33 @@
 
 The tokenizer (tokenizers library: NFC, lower case, words, end-of-word mark)
 never joins characters over white space, so ids are looked up per
-white-space-separated word and encoded only once per worker.  Misses go
-through the same merges by rank (tiktoken, the end-of-word mark written as a
-byte that UTF-8 never has); a test holds both equal.  Texts with a special
-token's string go through the library whole.
+white-space-separated word and encoded only once per worker.  The words that
+many texts miss go through the same merges by rank at once (tiktoken, the
+end-of-word mark written as a byte that none of them has); a test holds both
+equal.  Texts with a special token's string go through the library whole.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
 import unicodedata
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: The tokenizer file's own splitting rule (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same rule on lower-case ASCII, and between words.
+ASCII_SPLIT = r"[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\x09-\x0d\x20a-z0-9]+|\n"
 #: Entries of a worker's cache before it starts afresh; longer words are encoded each time.
 CACHE = 400_000
 LONGEST = 64
-END = b"\xff"
+END = b"\x01"
 
 _loaded: dict = {}
 
@@ -55,9 +62,10 @@ class WordIds:
                 ranked.append(t)
         names = {t["content"] for t in spec["added_tokens"]}
         number = {raw(t): i for t, i in model["vocab"].items() if t not in names}
-        self.ids = [number[t] for t in ranked]
-        self.merges = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks={t: i for i, t in enumerate(ranked)}, special_tokens={})
-        self.split = regex.compile(SPLIT)
+        self.ids = np.array([number[t] for t in ranked], dtype="<u4")
+        self.merges = tiktoken.Encoding("words", pat_str=r"[^\x01]+\x01", mergeable_ranks={t: i for i, t in enumerate(ranked)}, special_tokens={})
+        self.between = ranked.index(b"\n" + END)
+        self.split, self.ascii = regex.compile(SPLIT + r"|\n"), re.compile(ASCII_SPLIT)
         self.cache: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -67,31 +75,56 @@ class WordIds:
         other = [b for b in range(256) if b not in shown]
         return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(other)}
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
-        if not text.isascii():
-            text = "".join(c.lower() for c in unicodedata.normalize("NFC", text))
-        piece, out = self.merges._core_bpe.encode_single_piece, array("I")  # noqa: SLF001 - bytes have no public call
-        for token in self.split.findall(text):
-            out.extend(map(self.ids.__getitem__, piece(token.encode() + END)))
-        return out.tobytes()
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words, none with the end mark's byte, of one run through the merges."""
+        text = b"\n".join([*words, b""]).decode("utf-8")
+        if text.isascii():
+            tokens = self.ascii.findall(text)
+        else:
+            # character by character: a sigma at a word's end is no exception
+            tokens = self.split.findall(unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower())
+        mark = END.decode()
+        ranks = np.array(self.merges.encode_ordinary(mark.join(tokens) + mark), dtype=np.int64)
+        ends = np.flatnonzero(ranks == self.between)
+        ids, stops = self.ids[ranks].tobytes(), (ends * 4).tolist()
+        return {w: ids[a:b] for w, a, b in zip(words, [0, *[e + 4 for e in stops[:-1]]], stops, strict=True)}
 
     def encode(self, text: str) -> bytes:
-        data = text.encode("utf-8").lower()
-        if any(s in data for s in self.special):
-            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        words, cache = data.split(), self.cache
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            pass
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = list(dict.fromkeys(words))
-        got = {w: self._word(w) for w in new}
-        cache.update((w, ids) for w, ids in got.items() if len(w) <= LONGEST)
-        return b"".join([cache[w] if w in cache else got[w] for w in words])
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text: every distinct word is looked up once, the words that all of them miss are encoded together."""
+        lower = pc.ascii_lower(texts)
+        odd = pc.match_substring(lower, END.decode())
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(lower, s.decode()))
+        split = pc.ascii_split_whitespace(pc.if_else(odd, "", lower))
+        words = split.flatten().dictionary_encode()
+        cache, distinct = self.cache, words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        got = list(map(cache.get, distinct))
+        new = [w for w, ids in zip(distinct, got, strict=True) if ids is None]
+        if new:
+            plain, other = [w for w in new if w.isascii()], [w for w in new if not w.isascii()]
+            made = (self._words(plain) if plain else {}) | (self._words(other) if other else {})
+            got = [made[w] if ids is None else ids for w, ids in zip(distinct, got, strict=True)]
+            if len(cache) + len(made) > CACHE:
+                cache.clear()
+            if len(made) <= CACHE:
+                cache.update((w, ids) for w, ids in made.items() if len(w) <= LONGEST)
+        # the words' ids one after the other, each word's taken from the table of the distinct ones
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        size = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // 4
+        table, sizes = np.frombuffer(b"".join(got), dtype="<u4"), size[codes]
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat((np.cumsum(size) - size)[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        at = (np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4).tolist()
+        out = [ids[a:b] for a, b in itertools.pairwise(at)]
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            out[i] = self._whole(texts[i].as_py())
+        return out
 
 
 def encoder(path: str) -> WordIds:

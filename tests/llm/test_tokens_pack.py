@@ -55,6 +55,29 @@ def test_word_ids_equal_the_library():
         assert enc.encode(t) == array("I", enc.library.encode(t, add_special_tokens=False).ids).tobytes(), repr(t)[:80]
 
 
+def test_texts_are_encoded_together(monkeypatch):
+    import pyarrow as pa
+
+    enc, cases, calls = word_ids.WordIds(tokenizer_path("word_bpe_49k.json")), [t or "" for t in texts()] + ["a\x01b c", "ΑΣ ΑΣ'S", "new words"], []
+    merge = enc._words
+    monkeypatch.setattr(enc, "_words", lambda words: calls.append(len(words)) or merge(words))
+    want = [array("I", enc.library.encode(t, add_special_tokens=False).ids).tobytes() for t in cases]
+    assert enc.encode_all(pa.array(cases)[1:]) == want[1:] and len(calls) == 2       # once for ASCII words, once for the others
+    monkeypatch.setattr(word_ids, "CACHE", 3)
+    assert enc.encode_all(pa.array([*cases, "more new words than it keeps"]))[:-1] == want
+    assert enc.encode_all(pa.array([], pa.string())) == [] and enc.encode_all(pa.array([""])) == [b""]
+
+
+def test_runs_of_texts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pack_gga, "RUN", 10)
+    batch = pa.record_batch({"doc_id": list(range(7)), "text": ["a" * 4, None, "b" * 30, "", "c", "d" * 9, "e"]})
+    runs = [r.column(0).to_pylist() for r in pack_gga._runs(batch)]
+    assert [i for r in runs for i in r] == list(range(7)) and len(runs) > 1
+    assert list(pack_gga._runs(batch.slice(0, 0))) == []
+
+
 @pytest.mark.parametrize("block", [64, 4096])
 def test_pack(spark, block):
     path, data = tokenizer_path("word_bpe_49k.json"), texts() + ["tok " * rng.randrange(1, 1500) for _ in range(200)] + ["same"] * 150 + ["w " * 9000]
