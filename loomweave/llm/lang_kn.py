@@ -25,6 +25,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ UNKNOWN = "und"
 _START, _END = "\x02", "\x03"
 #: Letters, with the marks that belong to them.
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_LETTERS_OR_END = regex.compile(_LETTERS.pattern + r"|\n")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,16 +61,37 @@ def letter_runs(token: str) -> list[str]:
     return _LETTERS.findall(token)
 
 
+def runs_of(tokens: list[str]) -> tuple[list[str], np.ndarray]:
+    """The letter runs of all tokens (without line ends) in their order, and the number of each one's token."""
+    found = _LETTERS_OR_END.findall("\n".join(tokens))
+    end = np.fromiter((x == "\n" for x in found), dtype=bool, count=len(found))
+    return [x for x in found if x != "\n"], np.cumsum(end)[~end]
+
+
 def gram_hash(codes: np.ndarray) -> np.ndarray:
     """Hashes of rows of character codes."""
     h = np.zeros(len(codes), dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for j in range(codes.shape[1]):
-            h = (h ^ codes[:, j].astype(np.uint64)) * _PRIME
-            h ^= h >> np.uint64(29)
+    for j in range(codes.shape[1]):
+        h = _longer(h, codes[:, j])
     return h
 
 
+def _longer(h: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of grams with one more character code each."""
+    with np.errstate(over="ignore"):
+        h = (h ^ codes.astype(np.uint64)) * _PRIME
+    return h ^ (h >> np.uint64(29))
+
+
+def _sums(owner: np.ndarray, values: np.ndarray, n: int, rows: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the rows of ``values`` (those that ``rows`` names, in that order) per owner, added up in their order."""
+    out = np.zeros((n, values.shape[1]))
+    for k in range(values.shape[1]):
+        column = np.ascontiguousarray(values[:, k])
+        out[:, k] = np.bincount(owner, weights=column if rows is None else column[rows], minlength=n)
+    return out
+
+
 @dataclass
 class Model:
     """Sorted hash arrays: grams[n] with prob[n] (row, language), contexts[n] with weight[n]."""
@@ -94,19 +117,25 @@ class Model:
         first = np.repeat(np.cumsum(lengths) - lengths, lengths)
         place = np.arange(len(codes)) - first            # place in the word, 0 at the start mark
         at = np.flatnonzero(place > 0)
+        # hashes of the grams that end at each place, by order; a place's context is the gram that ends before it
+        ends = [np.zeros(len(codes), dtype=np.uint64)]
+        for _ in range(ORDER):
+            ends.append(_longer(np.r_[np.uint64(0), ends[-1][:-1]], codes))
+        # the longest gram of a place, back to the start mark at most, gives its probabilities: each is worked out once
+        longest = np.stack(ends)[np.minimum(place[at] + 1, ORDER), at]
+        _, one, same = np.unique(longest, return_index=True, return_inverse=True)
+        at = at[one]
         p = np.repeat(self.floor[None, :], len(at), axis=0)
         for n in range(1, ORDER + 1):
             ok = np.flatnonzero(place[at] >= n - 1)
             if not len(ok):
                 break
-            rows = codes[at[ok][:, None] + np.arange(1 - n, 1)[None, :]]
             if n > 1:
-                c, known = _find(self.contexts[n], gram_hash(rows[:, :-1]))
+                c, known = _find(self.contexts[n], ends[n - 1][at[ok] - 1])
                 p[ok[known]] *= self.weight[n][c[known]]
-            g, known = _find(self.grams[n], gram_hash(rows))
+            g, known = _find(self.grams[n], ends[n][at[ok]])
             p[ok[known]] += self.prob[n][g[known]]
-        np.add.at(out, np.repeat(np.arange(len(words)), lengths - 1), np.log2(np.maximum(p, 1e-12)))
-        return out
+        return _sums(np.repeat(np.arange(len(words)), lengths - 1), np.log2(np.maximum(p, 1e-12)), len(words), same)
 
     def decide(self, entropy: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the language, its calibrated probability, and whether it is accepted."""
@@ -252,28 +281,29 @@ def entropies(texts: list[str], model: Model, key: str) -> tuple[np.ndarray, np.
         _state.update(key=key, index={}, logp=np.zeros((0, len(model.langs))), n=np.zeros(0))
     index = _state["index"]
     tokens = [t.lower().split() for t in texts]
-    new = [w for w in dict.fromkeys(w for ts in tokens for w in ts) if w not in index]
+    words = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(tokens)))}
+    new = [w for w in words if w not in index]
     if new:
         if len(index) + len(new) > CACHE:
             index.clear()
             _state.update(logp=np.zeros((0, len(model.langs))), n=np.zeros(0))
-            new = list(dict.fromkeys(w for ts in tokens for w in ts))
-        runs = [letter_runs(w) for w in new]
-        flat = [r for rs in runs for r in rs]
-        owner = np.repeat(np.arange(len(new)), [len(r) for r in runs])
+            new = list(words)
+        flat, owner = runs_of(new)
         logp, n = np.zeros((len(new), len(model.langs))), np.zeros(len(new))
         scores = [model.words(flat[i:i + 4096]) for i in range(0, len(flat), 4096)]
         if scores:
-            np.add.at(logp, owner, np.concatenate(scores))
-            np.add.at(n, owner, np.array([len(r) + 1 for r in flat]))
+            logp = _sums(owner, np.concatenate(scores), len(new))
+            n = np.bincount(owner, weights=np.array([len(r) + 1 for r in flat]), minlength=len(new))
         base = len(index)
         index.update((w, base + i) for i, w in enumerate(new))
         _state.update(logp=np.concatenate([_state["logp"], logp]), n=np.concatenate([_state["n"], n]))
+    rows = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
+    logp, n = _state["logp"][rows], _state["n"][rows]
     sums, lengths = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
     for i, ts in enumerate(tokens):
         if ts:
-            at = np.fromiter(map(index.__getitem__, ts), dtype=np.int64, count=len(ts))
-            sums[i], lengths[i] = _state["logp"][at].sum(axis=0), _state["n"][at].sum()
+            at = np.fromiter(map(words.__getitem__, ts), dtype=np.int64, count=len(ts))
+            sums[i], lengths[i] = logp[at].sum(axis=0), n[at].sum()
     return -sums / np.maximum(lengths, 1)[:, None], lengths
 
 

@@ -167,3 +167,42 @@ def test_cache_start_over(spark):
     finally:
         lang_kn.CACHE = old
     assert np.allclose(whole, again)
+
+
+def test_each_gram_is_looked_up_once(monkeypatch):
+    gen = np.random.default_rng(5)
+    words = ["".join(gen.choice(list("abcé"), size=k)) for k in (1, 2, 3, 5, 9, 9, 40)] * 30
+    grams = sorted({m[i - n + 1:i + 1] for w in words[:5] for m in ["\x02" + w + "\x03"] for n in range(1, 6) for i in range(max(1, n - 1), len(m))})
+
+    def tables(texts, n, least):
+        own = [t for t in texts if len(t) == n]
+        h = np.array([lang_kn.gram_hash(np.array([[ord(c) for c in t]]))[0] for t in own], dtype=np.uint64)
+        order = np.argsort(h)
+        return h[order], gen.uniform(least, 1, (len(own), 2))[order]
+
+    by_gram, by_context = [tables(grams, n, 0.1) for n in range(6)], [tables(grams, n - 1, 0.5) for n in range(6)]
+    model = lang_kn.Model(["x", "y"], [t[0] for t in by_gram], [t[1] for t in by_gram], [t[0] for t in by_context], [t[1] for t in by_context], np.array([1e-4, 1e-5]))
+
+    def plainly(word):
+        m, total = "\x02" + word + "\x03", np.zeros(2)
+        for i in range(1, len(m)):
+            p = model.floor.copy()
+            for n in range(1, min(5, i + 1) + 1):
+                for text, hashes, values, times in ((m[i - n + 1:i], model.contexts, model.weight, True), (m[i - n + 1:i + 1], model.grams, model.prob, False)):
+                    h = lang_kn.gram_hash(np.array([[ord(c) for c in text]]))[0] if text else np.uint64(0)
+                    k = np.flatnonzero(hashes[n] == h) if n > 1 or not times else []
+                    if len(k):
+                        p = p * values[n][k[0]] if times else p + values[n][k[0]]
+            total += np.log2(np.maximum(p, 1e-12))
+        return total
+
+    looked, find = [], lang_kn._find
+    monkeypatch.setattr(lang_kn, "_find", lambda table, h: looked.append(len(h)) or find(table, h))
+    got = model.words(words)
+    assert np.allclose(got, [plainly(w) for w in words], rtol=1e-12, atol=0)
+    assert max(looked) <= len({("\x02" + w + "\x03")[max(0, i - 4):i + 1] for w in words for i in range(1, len(w) + 2)})
+
+
+def test_runs_of_tokens():
+    runs, owner = lang_kn.runs_of(["a1b", "--", "naïve,", "3"])
+    assert (runs, owner.tolist()) == (["a", "b", "naïve"], [0, 0, 2]) and lang_kn.runs_of([])[0] == []
