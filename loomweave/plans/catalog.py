@@ -307,9 +307,7 @@ def forest_depth_counts(spark, sf_dir):
 def forest_subtree_weight(spark, sf_dir):
     """Per comment, comments in its subtree and its remainder weight."""
     n = _forest(spark, sf_dir)
-    w = FR.subtree_weight(n)
-    t1 = n.filter(F.col("kind") == "t1").select("thread_id", "path", "fullname")
-    return t1.join(w, ["thread_id", "path"]).select(
+    return FR.weighed(n).filter(F.col("kind") == "t1").select(
         "thread_id", "fullname", F.col("comments_below").cast("bigint").alias("comments_below"),
         F.col("weight").cast("bigint").alias("weight"))
 
@@ -364,9 +362,9 @@ def forest_anchor(spark, sf_dir):
 
 
 def _sorted_comments(spark, sf_dir, sort):
-    n = FR.comments_view(_forest(spark, sf_dir))
-    n = n.select("thread_id", "path", "parent_path", "sib_pos", F.lit("t1").alias("kind"),
-                 "created_at", "score", "ups", "downs", "is_submitter", "fullname")
+    n = FR.comments_view(_forest(spark, sf_dir), also=(F.col("t1_entry").alias("entry"), F.col("t1_exit").alias("exit"), F.col("t1_up").alias("up")))
+    n = n.select("thread_id", "path", "sib_pos", F.lit("t1").alias("kind"), "created_at", "score", "ups", "downs", "is_submitter", "fullname",
+                 "entry", "exit", "up")
     return FR.sibling_sort(n, sort).select(
         "thread_id", "fullname", F.col("new_pos").cast("bigint").alias("sibling_rank"),
         F.col("display_rank").cast("bigint").alias("display_rank"))

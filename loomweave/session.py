@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,5 +89,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once as Parquet beside the checkpoints; a reader takes only the columns that it needs."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), "stored", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomweave.operators.common import blocked_running_count
-from loomweave.session import cut_lineage, table_path
+from loomweave.session import cut_lineage, stored, table_path
 
 # Fixed stand-in constants (shared with the oracle SQL).
 EPOCH0 = 1704067200          # 2024-01-01T00:00:00Z
@@ -189,7 +189,8 @@ def event_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full adjacency of every thread (no JSON): one row per event."""
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value",
                                               "props")
-    ranked = blocked_running_count(ev, ["user_id"], F.col("event_id"), [], RANK_BLOCK, "k")
+    # ranked once: the sizes and the parents below read a few columns of it back
+    ranked = stored(blocked_running_count(ev, ["user_id"], F.col("event_id"), [], RANK_BLOCK, "k"), "ranked")
     sizes = ranked.groupBy("user_id").agg(F.count("*").alias("n"))
     nodes = (ranked.join(sizes, "user_id")
              .withColumn("depth", F.expr(heap_depth_sql("k")).cast("int"))
@@ -303,7 +304,7 @@ def clear_shared() -> None:
 
 
 def _forest_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shared(spark, sf_dir, "event_forest", lambda: cut_lineage(event_forest(spark, sf_dir)))
+    return _shared(spark, sf_dir, "event_forest", lambda: stored(event_forest(spark, sf_dir), "event-forest"))
 
 
 def _capture_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
