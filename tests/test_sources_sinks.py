@@ -143,3 +143,19 @@ def test_captures_are_listed_a_round_at_a_time(spark):
     assert len(got) == len(bodies) and {r["name"]: r["valid"] for r in got} == want
     local = staging[len("file:"):] if staging.startswith("file:") else staging
     assert len([x for x in os.listdir(local) if x.startswith("name=")]) < len(want) / 2
+
+
+def test_landed_files_lie_where_spark_would_write_them(spark):
+    names = ["plain", "a b", "x=y/z%", "dot.json", "é中", "q?*:'\"#[]{^\\", "", None, "plain"]
+    df = spark.createDataFrame([(n, f'{{"k":{i}}}' if i % 2 else None) for i, n in enumerate(names)], "name string, body string")
+    own, usual = work_dir(spark, "landed"), work_dir(spark, "usual")
+    CAP._land(df.limit(3), own)              # what a folder held is replaced
+    CAP._land(df, own)
+    df.write.partitionBy("name").option("maxRecordsPerFile", 1).text(usual)
+
+    def held(path):
+        path = path.removeprefix("file:")
+        return sorted((d, open(f"{path}/{d}/{f}", "rb").read()) for d in os.listdir(path) if d.startswith("name=") for f in os.listdir(f"{path}/{d}") if f[0] not in "._")
+    assert held(own) == held(usual) and len(held(own)) == len(names)
+    back = spark.read.schema("value string, name string").text(own, wholetext=True)
+    assert sorted(map(str, (r["name"] for r in back.collect()))) == sorted(str(n or None) for n in names)
