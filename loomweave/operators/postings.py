@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loomweave.operators import listing as L
 from loomweave.operators import search as SR
-from loomweave.session import cut_lineage
+from loomweave.session import cut_lineage, shuffles_removed
 
 #: Posts a block holds on average, where lengths spread over about so many classes.
 BLOCK = 1024
@@ -35,22 +35,39 @@ def write_index(posts: DataFrame, path: str, block: int = BLOCK) -> None:
     """Writes the three tables under ``path``; ``fullname`` names a post once.  Posts without a token stay in ``posts`` and are never found.
 
     A term that a third of all posts hold is sorted and written by many tasks, as rows are range
-    partitioned on (term, block, post).
+    partitioned on (term, block, post).  A post's terms are counted in its own row, so each posting is
+    shuffled once, and a step's shuffle files go before the next step writes its own.
     """
+    spark = posts.sparkSession
     text = F.concat_ws(" ", "title", "text")
-    (posts.select("fullname", "subreddit", "created_at", "score", "num_comments", F.size(SR.tokens(text)).alias("dl"), text.alias("text"))
-     .write.parquet(f"{path}/posts"))
-    back = posts.sparkSession.read.parquet(f"{path}/posts")
-    classes = max(1, back.count() // (block * LENGTHS))
-    length = F.floor(F.log2(F.col("dl") + 1.0) * 4).cast("bigint")
-    counted = (back.select((length * F.lit(1 << 32) + F.pmod(F.xxhash64("fullname"), F.lit(classes))).alias("block"), "fullname", "dl",
-                           F.explode(SR.tokens(F.col("text"))).alias("term"))
-               .groupBy("term", "block", "fullname", "dl").agg(F.count("*").cast("int").alias("tf")))
-    (counted.repartitionByRange("term", "block", "fullname").sortWithinPartitions("term", "block", "fullname")
-     .write.option("parquet.block.size", 16 << 20).parquet(f"{path}/postings"))
-    postings = posts.sparkSession.read.parquet(f"{path}/postings")
-    (postings.groupBy("term", "block").agg(F.max("tf").alias("most"), F.min("dl").alias("shortest"), F.count("*").alias("rows"))
-     .repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/bounds"))
+    with shuffles_removed(spark):
+        (posts.select("fullname", "subreddit", "created_at", "score", "num_comments", F.size(SR.tokens(text)).alias("dl"), text.alias("text"))
+         .write.parquet(f"{path}/posts"))
+        back = spark.read.parquet(f"{path}/posts")
+        classes = max(1, back.count() // (block * LENGTHS))
+        length = F.floor(F.log2(F.col("dl") + 1.0) * 4).cast("bigint")
+        rows = back.select((length * F.lit(1 << 32) + F.pmod(F.xxhash64("fullname"), F.lit(classes))).alias("block"), "fullname", "dl", "text")
+        keys = ["term", "block", "fullname"]
+        (_counted(rows).repartitionByRange(*keys).sortWithinPartitions(*keys)
+         .write.option("parquet.block.size", 16 << 20).parquet(f"{path}/postings"))
+        postings = spark.read.parquet(f"{path}/postings")
+        (postings.groupBy("term", "block").agg(F.max("tf").alias("most"), F.min("dl").alias("shortest"), F.count("*").alias("rows"))
+         .repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/bounds"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(term, block, fullname, dl, tf) of ``rows`` with their ``text``, each text's terms counted where it lies.
+
+    In the sorted tokens a term's first place and the next term's give its count.
+    """
+    c = F.col
+    staged = rows.select("block", "fullname", "dl", F.array_sort(SR.tokens(c("text"))).alias("_t"))
+    marked = F.transform("_t", lambda t, i: F.struct(t.alias("term"), i.alias("at")))
+    firsts = F.filter(marked, lambda m: (m["at"] == 0) | (F.get("_t", m["at"] - 1) != m["term"]))
+    staged = staged.select("block", "fullname", "dl", F.size("_t").alias("_n"), firsts.alias("_f"))
+    counts = F.transform("_f", lambda m, j: F.struct(
+        m["term"].alias("term"), (F.coalesce(F.get("_f", j + 1)["at"], c("_n")) - m["at"]).cast("int").alias("tf")))
+    return staged.select("block", "fullname", "dl", F.explode(counts).alias("_c")).select("_c.term", "block", "fullname", "dl", "_c.tf")
 
 
 def _impact(tf: Column, dl: Column, idf: Column, mean: float) -> Column:

@@ -4,9 +4,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomweave.operators import postings as PO
 from loomweave.operators import search as SR
+from loomweave.session import shuffles_removed
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +60,22 @@ def test_empty_table(spark, posts, tmp_path):
     path = str(tmp_path / "e")
     PO.write_index(posts.limit(0), path)
     assert PO.search_index(spark, path, "alpha").count() == 0
+
+
+def test_terms_are_counted_in_their_row(spark, posts):
+    text = F.coalesce("text", F.lit(""))
+    rows = posts.select(F.lit(7).cast("bigint").alias("block"), "fullname", F.size(SR.tokens(text)).alias("dl"), text.alias("text"))
+    rows = rows.unionByName(spark.createDataFrame([(7, "x", 3, "B b, É\n"), (7, "y", 0, None), (7, "y", 0, " ")], "block bigint, fullname string, dl int, text string"))
+    counted = PO._counted(rows)
+    assert "Exchange" not in counted._jdf.queryExecution().toString()
+    want = rows.select("fullname", F.explode(SR.tokens(F.col("text"))).alias("term")).groupBy("fullname", "term").agg(F.count("*").cast("int").alias("tf"))
+    assert sorted(map(tuple, counted.select("fullname", "term", "tf").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    usual = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+        assert spark.conf.get(key) == "true"
+        1 / 0
+    assert spark.conf.get(key) == usual
