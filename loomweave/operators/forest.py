@@ -33,7 +33,7 @@ from loomweave.functions import coerce as C
 from loomweave.operators import envelope as E
 from loomweave.operators import intervals as I
 from loomweave.operators import normalize as N
-from loomweave.session import cut_lineage, stored
+from loomweave.session import cut_lineage, setting, shuffles_removed, stored
 
 CHECKPOINT_EVERY = 4
 
@@ -304,6 +304,7 @@ def _threads_numbered(nodes: DataFrame) -> DataFrame:
 
 
 APART_ROWS = 8192            # rows of an Arrow batch that leaves a task
+APART_BODIES = 64            # responses of one that enters it: each is a whole thread
 
 
 def _apart(subtree: bool):
@@ -358,7 +359,8 @@ def flatten_post_responses(responses: DataFrame, subtree: bool = False
     placed = apart.withColumns({
         "parent_fullname": F.when(F.col("top"), F.col("thread_id")).otherwise(up_name),
         "parent_cap_depth": F.coalesce(written, F.col("up_depth"), F.lit(0)).cast("bigint")})
-    rows = stored(placed.select(*_node_cols(d, kind), *PLACES, "body"), "apart")
+    with setting(responses.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(APART_BODIES)), shuffles_removed(responses.sparkSession):
+        rows = stored(placed.select(*_node_cols(d, kind), *PLACES, "body"), "apart")
     nodes = rows.filter(kind.isNotNull()).drop("body")
     doubtful = rows.filter(kind.isNull()).select("response_id", "captured_at", F.col("body").cast("string").alias("body"))
     if doubtful.isEmpty():

@@ -99,16 +99,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Within, a query's shuffle files go when it ends, not when the driver next collects garbage: for writes in several steps."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Within, the session's setting ``key`` has this value; what is planned or run there takes it."""
     usual = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, usual) if usual is not None else spark.conf.unset(key)
 
 
+def shuffles_removed(spark: SparkSession):
+    """Within, a query's shuffle files go when it ends, not when the driver next collects garbage: for writes in several steps."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -221,7 +221,7 @@ def forest_pointers(forest: DataFrame) -> DataFrame:
     visible_kids = F.when(F.col("anc_k") == 0, F.least(F.lit(3), F.least("cut", "n"))).otherwise(
         F.greatest(F.lit(0), F.least(F.lit(3), F.least("cut", "n") - 3 * F.col("anc_k"))))
     return (ptr.join(anc_nodes, ["user_id", "anc_k"], "left")
-            .select("user_id", "thread_id", "anc_k", "ptr_count",
+            .select("user_id", "thread_id", "anc_k", "cut", "ptr_count",
                     F.coalesce("anc_path", F.array().cast("array<int>")).alias("parent_path"),
                     visible_kids.cast("int").alias("sib_pos"),
                     F.when(F.col("anc_k") == 0, F.col("thread_id")).otherwise(F.col("anc_name"))
@@ -256,8 +256,8 @@ def _responses(spark, sf_dir, top: DataFrame, threads: DataFrame, id_prefix: str
                     captured_at().alias("captured_at"), body.alias("body"), "thread_id"))
 
 
-def _nested_threads(nodes: DataFrame) -> DataFrame:
-    """(thread_id, kids): the nested JSON of all of a thread's comments and pointers, written in display order.
+def _nested(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, kids): the nested JSON of all of a key's comments and pointers, written in display order; ``depth`` counts from the top.
 
     A node is followed by its first reply, its next sibling or an ancestor's: the difference of depth tells which
     brackets open or close between the two.  So a thread, one value of its response anyway, is gathered once, and no
@@ -266,7 +266,7 @@ def _nested_threads(nodes: DataFrame) -> DataFrame:
     from loomweave.operators.forest import LISTING_HEAD, LISTING_TAIL
 
     order = F.array_sort(F.collect_list(F.struct("path", "depth", "kind", "head")))
-    grouped = nodes.groupBy("thread_id").agg(order.alias("_n"))
+    grouped = nodes.groupBy(*keys).agg(order.alias("_n"))
 
     def text(x, i):
         after = F.get("_n", i + 1)["depth"]
@@ -275,7 +275,7 @@ def _nested_threads(nodes: DataFrame) -> DataFrame:
             F.repeat(F.lit(LISTING_TAIL + "}}"), x["depth"] - F.coalesce(after, F.lit(0))), F.when(after.isNull(), "").otherwise(",")))
         return F.concat(x["head"], open_, close)
 
-    return grouped.select("thread_id", F.array_join(F.transform("_n", text), "").alias("kids"))
+    return grouped.select(*keys, F.array_join(F.transform("_n", text), "").alias("kids"))
 
 
 def _capture_nodes(forest: DataFrame) -> DataFrame:
@@ -307,23 +307,6 @@ def _forest_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shared(spark, sf_dir, "event_forest", lambda: stored(event_forest(spark, sf_dir), "event-forest"))
 
 
-def _capture_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested JSON of every visible comment and pointer (all levels)."""
-    from loomweave.operators.forest import listing_wrap, nest
-
-    return _shared(spark, sf_dir, "capture_levels", lambda: nest(
-        _capture_nodes(_forest_ranked(spark, sf_dir)), F.col("head"), F.col("tail"), listing_wrap, '""',
-        keep_levels=True))
-
-
-def _full_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested JSON of every comment with all its replies (all levels)."""
-    from loomweave.operators.forest import listing_wrap, nest
-
-    return _shared(spark, sf_dir, "full_levels", lambda: nest(
-        _comment_nodes(_forest_ranked(spark, sf_dir)), F.col("head"), F.col("tail"), listing_wrap, '""', keep_levels=True))
-
-
 def _comment_nodes(forest: DataFrame) -> DataFrame:
     return forest.select("thread_id", "path", "parent_path", "sib_pos", "depth", F.lit("t1").alias("kind"),
                          _comment_head().alias("head"), F.lit("}}").alias("tail"))
@@ -332,7 +315,7 @@ def _comment_nodes(forest: DataFrame) -> DataFrame:
 def full_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture per thread with every event of the table nested, no pointers."""
     forest = _forest_ranked(spark, sf_dir)
-    top = _nested_threads(_comment_nodes(forest)).withColumn("resp_key", F.col("thread_id"))
+    top = _nested(_comment_nodes(forest), ["thread_id"]).withColumn("resp_key", F.col("thread_id"))
     return _responses(spark, sf_dir, top, forest, "post:")
 
 
@@ -343,10 +326,16 @@ def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures hold what it hides.
     """
     forest = _forest_ranked(spark, sf_dir)
-    top = _nested_threads(_capture_nodes(forest)).withColumn("resp_key", F.col("thread_id"))
+    top = _nested(_capture_nodes(forest), ["thread_id"]).withColumn("resp_key", F.col("thread_id"))
     return _responses(spark, sf_dir, top, forest, "post:")
 
 
+def _subtree_roots(k: str, depth: str) -> F.Column:
+    """``root_k``, a row each: of a node or its ancestors those that may have a pointer, shown with a child that is not (two at most)."""
+    roots = f"filter(transform(sequence(0, greatest({depth}, 0)), j -> {heap_ancestor_sql(k, 'j')}), a -> a > 0 AND a <= cut AND 3 * a + 3 > cut)"
+    return F.explode(F.expr(roots)).alias("root_k")
+
+
 DEAD_END_RULE = 7            # parents whose event_id % 7 == 3 answer with nothing new
 
 
@@ -357,16 +346,21 @@ def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     visible (their pointer included): a dead end the expansion must detect.
     """
     forest = _forest_ranked(spark, sf_dir)
-    every = _full_levels(spark, sf_dir)
-    seen = _capture_levels(spark, sf_dir)
-    targets = (forest_pointers(forest).filter(F.col("anc_k") > 0)
+    pointers = forest_pointers(forest)
+    targets = (pointers.filter(F.col("anc_k") > 0)
                .join(forest.select("user_id", F.col("k").alias("anc_k"), "event_id"), ["user_id", "anc_k"])
-               .select("thread_id", F.col("parent_path").alias("path"), "ptr_parent_id",
+               .select("user_id", F.col("anc_k").alias("root_k"), "ptr_parent_id", (F.size("parent_path") - 1).alias("root_depth"),
                        (F.col("event_id") % DEAD_END_RULE == 3).alias("dead")))
-    live = every.join(targets.filter(~F.col("dead")), ["thread_id", "path"])
-    stale = seen.join(targets.filter("dead"), ["thread_id", "path"])
-    roots = live.unionByName(stale).groupBy("thread_id", F.col("ptr_parent_id").alias("resp_key")).agg(
-        F.array_join(F.array_sort(F.collect_list("json")), ",").alias("kids"))
+    own = ["user_id", "thread_id", "path", "depth"]
+    comments = forest.select(*own, F.lit("t1").alias("kind"), _comment_head().alias("head"), "visible", _subtree_roots("k", "depth"))
+    hidden = pointers.select(*own, F.lit("more").alias("kind"), _pointer_json().alias("head"), F.lit(None).cast("boolean").alias("visible"),
+                             _subtree_roots("anc_k", "depth - 1"))
+    # a live answer holds every comment below its root, a stale one what the base capture shows there
+    held = comments.unionByName(hidden).join(targets, ["user_id", "root_k"]).filter(
+        F.when(F.col("dead"), F.coalesce("visible", F.lit(True))).otherwise(F.col("visible").isNotNull()))
+    subtrees = _nested(held.withColumn("depth", F.col("depth") - F.col("root_depth")), ["user_id", "root_k", "thread_id", "ptr_parent_id"])
+    roots = subtrees.groupBy("thread_id", F.col("ptr_parent_id").alias("resp_key")).agg(
+        F.array_join(F.array_sort(F.collect_list("kids")), ",").alias("kids"))
     return _responses(spark, sf_dir, roots, forest, "subtree:")
 
 
