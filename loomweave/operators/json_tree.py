@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomweave.functions import pii as PII
 from loomweave.functions import redact as R
-from loomweave.session import cut_lineage
+from loomweave.session import cut_lineage, shuffles_removed, stored
 
 _SHAPE = "CASE WHEN startswith(s, 'OBJECT') THEN 'o' WHEN startswith(s, 'ARRAY') THEN 'a' WHEN s = 'STRING' THEN 's' ELSE 'x' END"
 
@@ -24,12 +24,13 @@ def _typed(df: DataFrame, value: str = "v") -> DataFrame:
             .withColumn("str", F.when(F.col("kind") == "s", F.try_variant_get(value, "$", "string"))))
 
 
-def _children(nodes: DataFrame) -> DataFrame:
-    """The columns of ``nodes`` with one row per child: pos, key (null in arrays), value."""
+def _children(nodes: DataFrame, all_rows: bool = False) -> DataFrame:
+    """The columns of ``nodes`` with one row per child: pos, key (null in arrays), value; with ``all_rows`` also one without them for a row that has no child."""
     names = nodes.columns
     own = nodes.toDF(*[f"n_{c}" for c in names])
     spark = nodes.sparkSession
-    out = own.lateralJoin(spark.tvf.variant_explode(F.col("n_v").outer()))
+    explode = spark.tvf.variant_explode_outer if all_rows else spark.tvf.variant_explode
+    out = own.lateralJoin(explode(F.col("n_v").outer()))
     return out.select(*[F.col(f"n_{c}").alias(f"p_{c}") for c in names], "pos", "key", F.col("value").alias("v"))
 
 
@@ -40,27 +41,30 @@ def _text_of(v: str, path: str) -> Column:
 
 
 # ---------------------------------------------------------------- PII scan
-def scan(docs: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """id, ord, category: value-free categories of each document in the fixed order (no row for a clean one)."""
+#: Levels that a pass goes down before its rows are stored: what most responses hold.
+LEVELS = 7
+
+
+def scan(docs: DataFrame, id_col: str, json_col: str, levels: int = LEVELS) -> DataFrame:
+    """id, ord, category: value-free categories of each document in the fixed order (no row for a clean one).
+
+    A pass takes every document ``levels`` levels apart in the task that reads it; only findings are stored, and the
+    containers that lie deeper, which the next pass starts from.
+    """
     base = docs.select(F.col(id_col).alias("id"), F.col(json_col).alias("j"), F.try_parse_json(json_col).alias("v"))
-    found = [base.filter(F.col("j").isNull()).select("id", F.lit("unsafe-file").alias("category")),
-             base.filter(F.col("j").isNotNull() & F.col("v").isNull()).select("id", F.lit("invalid-json").alias("category"))]
-    level = _typed(base.filter(F.col("v").isNotNull()).select("id", "v", F.lit(False).alias("user")))
-    held = cut_lineage(level.select("id", "user", "kind", F.when(F.col("kind").isin("o", "a"), F.col("v")).alias("v"), _text_findings().alias("cats")))
+    level = _typed(base.withColumn("user", F.lit(False)))
+    unread = F.when(F.col("j").isNull(), F.array(F.lit("unsafe-file"))).when(F.col("v").isNull(), F.array(F.lit("invalid-json")))
+    held = level.select("id", "user", "kind", _container().alias("v"), F.coalesce(unread, _text_findings()).alias("cats"))
+    found = []
     while True:
+        for _ in range(levels):
+            held = _below(held)
+        with shuffles_removed(docs.sparkSession):
+            held = stored(held, "scanned")
         found.append(held.select("id", F.explode("cats").alias("category")))
-        nodes = held.filter("kind in ('o', 'a')").select("id", "v", "user", "kind")
-        if nodes.isEmpty():
+        held = held.filter("kind in ('o', 'a')").withColumn("cats", F.array().cast("array<string>"))
+        if held.isEmpty():
             break
-        asked = nodes.withColumn("record", F.col("user") | F.coalesce(_text_of("v", "$.fullname").startswith("t2_"), F.lit(False)))
-        asked = asked.withColumn("t2", F.coalesce(_text_of("v", "$.kind") == "t2", F.lit(False))).withColumn("author", _text_of("v", "$.author"))
-        kids = _typed(_children(asked))
-        in_object = F.col("p_kind") == "o"
-        user = F.when(in_object, F.col("p_record") | (F.col("p_t2") & (F.col("key") == "data"))).otherwise(F.col("p_user"))
-        cats = F.concat(_text_findings(), F.when(in_object, _key_findings()).otherwise(F.array().cast("array<string>")))
-        below = kids.select(F.col("p_id").alias("id"), user.alias("user"), "kind", F.when(F.col("kind").isin("o", "a"), F.col("v")).alias("v"), cats.alias("cats"))
-        # one evaluation a level: findings and the containers of the next level are read back from here
-        held = cut_lineage(below.filter(F.col("kind").isin("o", "a") | (F.size("cats") > 0)))
     every = found[0]
     for f in found[1:]:
         every = every.unionByName(f)
@@ -69,6 +73,23 @@ def scan(docs: DataFrame, id_col: str, json_col: str) -> DataFrame:
     return listed.select("id", F.posexplode(F.filter(order, lambda x: F.array_contains("c", x))).alias("ord", "category"))
 
 
+def _container() -> Column:
+    return F.when(F.col("kind").isin("o", "a"), F.col("v"))
+
+
+def _below(held: DataFrame) -> DataFrame:
+    """The children of the containers of ``held`` that are containers or have findings; a container's own findings go on with its first child, or alone."""
+    asked = held.withColumn("record", F.col("user") | F.coalesce(_text_of("v", "$.fullname").startswith("t2_"), F.lit(False)))
+    asked = asked.withColumn("t2", F.coalesce(_text_of("v", "$.kind") == "t2", F.lit(False))).withColumn("author", _text_of("v", "$.author"))
+    kids = _typed(_children(asked, all_rows=True))
+    in_object, none = F.col("p_kind") == "o", F.array().cast("array<string>")
+    user = F.when(in_object, F.col("p_record") | (F.col("p_t2") & (F.col("key") == "data"))).otherwise(F.col("p_user"))
+    carried = F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("p_cats")).otherwise(none)
+    cats = F.concat(carried, _text_findings(), F.when(in_object, _key_findings()).otherwise(none))
+    return kids.select(F.col("p_id").alias("id"), user.alias("user"), "kind", _container().alias("v"), cats.alias("cats")).filter(
+        F.col("kind").isin("o", "a") | (F.size("cats") > 0))
+
+
 def _text_findings() -> Column:
     """Categories of a string leaf."""
     return F.when(F.col("kind") == "s", PII.text_categories(F.col("str"))).otherwise(F.array().cast("array<string>"))

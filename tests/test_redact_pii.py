@@ -104,3 +104,17 @@ def test_entropy_and_key_words(spark):
     assert not one(spark, PII.credential_shaped_key, "sessions_count")
     assert one(spark, PII.profile_username, "https://www.reddit.com/user/someone") == "someone"
     assert one(spark, PII.profile_username, "https://example.org/user/someone") is None
+
+
+def test_scan_goes_down_in_passes(spark):
+    deep = {"a": "x"}
+    for i in range(9):
+        deep = {"accessToken" if i == 4 else "k": [{}, deep, []]}
+    docs = [json.dumps(deep), json.dumps({"password": {}}), json.dumps({"password": [], "b": ["call +1 555 123 4567", {"author": "realname"}]}), "{}", "[]", "7", None, "{", "{}", None]
+    df = spark.createDataFrame(list(enumerate(docs[:-2])) + [(None, d) for d in docs[-2:]], "i long, d string")
+    want = [(0, 0, "credential-key"), (1, 0, "credential-key"), (2, 0, "credential-key"), (2, 1, "phone"), (2, 2, "non-synthetic-username"),
+            (6, 0, "unsafe-file"), (7, 0, "invalid-json"), (None, 0, "unsafe-file")]
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
+    for levels in (2, 12):
+        got = [(r["id"], 0, r["category"]) for r in JT.scan(df, "i", "d", levels=levels).collect()]
+        assert sorted(got, key=key) == sorted(((i, 0, c) for i, _, c in want), key=key), levels
