@@ -161,13 +161,15 @@ def _shape_text(v: Column) -> Column:
 
 def classify_column(status: Column, content_type: Column, body: Column,
                     headers: Column | None = None, wait_on_limit: bool = False,
-                    max_wait: float | None = None) -> Column:
+                    max_wait: float | None = None, v: Column | None = None, text: Column | None = None) -> Column:
     """A4: ok / rate_limited / challenge / not_found / unavailable, in the client's order.
 
+    ``v`` and ``text``: columns that hold the parsed body and its shape text already.
+
     A good body that arrives with zero remaining budget is discarded (the budget
     check runs first) unless waiting is allowed and the reset fits ``max_wait``.
     """
-    v = F.try_parse_json(body)
+    v = F.try_parse_json(body) if v is None else v
     rh = rate_headers(headers) if headers is not None else F.lit(None)
     zero_left = rh.isNotNull() & (rh["remaining"] == 0) if headers is not None else F.lit(False)
     if wait_on_limit and headers is not None:
@@ -175,7 +177,7 @@ def classify_column(status: Column, content_type: Column, body: Column,
         if max_wait is not None:
             can_wait = can_wait & (rh["reset"] <= F.lit(max_wait))
         zero_left = zero_left & ~can_wait
-    text = _shape_text(v)
+    text = _shape_text(v) if text is None else text
     is_obj = C.is_object(v)
     is_container = is_obj | C.as_array(v).isNotNull()
     return (F.when(status.isNull(), F.lit("challenge"))
@@ -194,8 +196,10 @@ def classify_column(status: Column, content_type: Column, body: Column,
 def classify_responses(bronze: DataFrame, wait_on_limit: bool = False,
                        max_wait: float | None = None) -> DataFrame:
     headers = F.col("headers") if "headers" in bronze.columns else None
-    return bronze.withColumn("outcome", classify_column(
-        F.col("status"), F.col("content_type"), F.col("body"), headers, wait_on_limit, max_wait))
+    # parsed once a row: the rules below read the body many times
+    staged = bronze.withColumn("_v", F.try_parse_json("body")).withColumn("_text", _shape_text(F.col("_v")))
+    return staged.withColumn("outcome", classify_column(
+        F.col("status"), F.col("content_type"), F.col("body"), headers, wait_on_limit, max_wait, F.col("_v"), F.col("_text"))).drop("_v", "_text")
 
 
 # ---------------------------------------------------------------- A5-A9: sinks

@@ -89,22 +89,28 @@ def ingest_with_quarantine(spark: SparkSession, staging: str, silver: str, quara
     is the outcome of its classification, or ``drift``.  Both parts of a batch are written to the batch's own
     folders, so a batch that is run again replaces what it wrote, whichever of the two it had reached.
     """
+    from loomweave.functions import coerce as C
     from loomweave.operators import envelope as E
     from loomweave.operators import normalize as N
 
+    c = F.col
     stream = classify_responses(_files(spark, BRONZE_SCHEMA, files_per_batch).json(staging))
     checked = E.listing_pages_checked(stream, ("t3",))
-    sound = (F.col("outcome") == "ok") & F.col("drift").isNull()
-    items = E.explode_things(checked.filter(sound), "v", ["captured_at", "response_id"]).filter(F.col("kind") == "t3")
-    posts = items.select(F.struct(*N.post_columns(F.col("data"), F.col("captured_at"), with_media=False)).alias("post"), "captured_at")
-    posts = posts.select("captured_at", F.col("post.fullname").alias("key"), "post", F.lit(None).cast(
-        "struct<response_id:string,captured_at:timestamp,reason:string,path:string,expected:string,body:string>").alias("bad"))
-    off = F.when(F.col("outcome") == "ok", F.lit("drift")).otherwise(F.col("outcome"))
-    path, expected = (F.when(F.col("outcome") == "ok", F.col(f"drift.{x}")) for x in ("path", "expected"))
+    off = F.when(c("outcome") == "ok", F.lit("drift")).otherwise(c("outcome"))
+    path, expected = (F.when(c("outcome") == "ok", c(f"drift.{x}")) for x in ("path", "expected"))
     bad = F.struct("response_id", "captured_at", off.alias("reason"), path.alias("path"), expected.alias("expected"), "body")
-    rest = checked.filter(~F.coalesce(sound, F.lit(False))).select("captured_at", F.concat(F.lit("!"), F.coalesce("response_id", F.lit(""))).alias("key"),
-                                            F.lit(None).cast(posts.schema["post"].dataType).alias("post"), bad.alias("bad"))
-    both = _first_only(posts.unionByName(rest), ["key"], "captured_at", dedup_delay)
+    parts = "array<struct<thing:variant,bad:struct<response_id:string,captured_at:timestamp,reason:string,path:string,expected:string,body:string>>>"
+    # one pass: a response is read and judged once, and leaves as its things or as itself
+    things = F.transform(E.listing_children(c("v")), lambda x: F.struct(x.alias("thing"), F.lit(None).alias("bad"))).cast(parts)
+    refused = F.array(F.struct(F.lit(None).cast("variant").alias("thing"), bad.alias("bad"))).cast(parts)
+    sound = F.coalesce((c("outcome") == "ok") & c("drift").isNull(), F.lit(False))
+    each = checked.select("captured_at", F.explode(F.when(sound, things).otherwise(refused)).alias("_x")).select("captured_at", "_x.thing", "_x.bad")
+    each = each.filter(c("bad").isNotNull() | (E.kind_of(c("thing")) == "t3"))
+    post = F.struct(*N.post_columns(C.get(c("thing"), "data"), c("captured_at"), with_media=False))
+    both = each.select("captured_at", F.when(c("bad").isNull(), post).alias("post"), "bad").select(
+        "captured_at", F.when(c("bad").isNull(), c("post.fullname")).otherwise(F.concat(F.lit("!"), F.coalesce("bad.response_id", F.lit("")))).alias("key"),
+        "post", "bad")
+    both = _first_only(both, ["key"], "captured_at", dedup_delay)
 
     def write(df: DataFrame, batch_id: int) -> None:
         df = df.persist()

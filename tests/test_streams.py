@@ -81,3 +81,20 @@ def test_typed_search_refuses_dates_of_communities_and_users(spark):
         SR.search({}, "words", "comment")
     users = spark.createDataFrame([("t2_1", "some_user", dt.datetime(2024, 1, 1)), ("t2_2", "else", dt.datetime(2024, 1, 2))], "fullname string, name string, created_at timestamp")
     assert [tuple(r) for r in SR.search({"user": users}, "some user", "user").collect()] == [(1, "t2", "t2_1", 2)]
+
+
+def test_quarantine_reads_its_source_once(spark, monkeypatch):
+    staging, silver, bad = (ST.work_dir(spark, x) for x in ("once-in", "once-silver", "once-bad"))
+    thing = lambda i, kind="t3": '{"kind":"%s","data":{"id":"a%d","name":"%s_a%d"}}' % (kind, i, kind, i)
+    page = lambda *x: '{"kind":"Listing","data":{"after":null,"children":[%s]}}' % ",".join(x)
+    more = '{"kind":"more","data":{"count":3,"parent_id":"t3_x"}}'
+    bodies = {"two": page(thing(1), more, thing(2)), "none": page(), "again": page(thing(2)), "odd": page(thing(3), thing(4, "t1")), "text": "<html>", "null": None}
+    rows = [(k, dt.datetime(2024, 1, 1), 404 if k == "null" else 200, "application/json", b) for k, b in bodies.items()]
+    spark.createDataFrame(rows, "response_id string, captured_at timestamp, status int, content_type string, body string").write.json(staging)
+    plans, first_only = [], ST._first_only
+    monkeypatch.setattr(ST, "_first_only", lambda df, *a: plans.append(df._jdf.queryExecution().analyzed().toString()) or first_only(df, *a))
+    ST.ingest_with_quarantine(spark, staging, silver, bad, ST.work_dir(spark, "ckpt"))
+    assert [p.count("StreamingRelation") for p in plans] == [1]
+    assert sorted(r["fullname"] for r in spark.read.parquet(silver).collect()) == ["t3_a1", "t3_a2"]
+    found = {r["response_id"]: (r["reason"], r["path"], r["body"]) for r in spark.read.parquet(bad).collect()}
+    assert found == {"odd": ("drift", "response.data.children[1].kind", bodies["odd"]), "text": ("challenge", None, "<html>"), "null": ("challenge", None, None)}
