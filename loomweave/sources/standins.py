@@ -256,7 +256,7 @@ def _responses(spark, sf_dir, top: DataFrame, threads: DataFrame, id_prefix: str
                     captured_at().alias("captured_at"), body.alias("body"), "thread_id"))
 
 
-def _nested(nodes: DataFrame, keys: list[str]) -> DataFrame:
+def _nested_threads(nodes: DataFrame, keys: tuple[str, ...] = ("thread_id",)) -> DataFrame:
     """(keys, kids): the nested JSON of all of a key's comments and pointers, written in display order; ``depth`` counts from the top.
 
     A node is followed by its first reply, its next sibling or an ancestor's: the difference of depth tells which
@@ -315,7 +315,7 @@ def _comment_nodes(forest: DataFrame) -> DataFrame:
 def full_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capture per thread with every event of the table nested, no pointers."""
     forest = _forest_ranked(spark, sf_dir)
-    top = _nested(_comment_nodes(forest), ["thread_id"]).withColumn("resp_key", F.col("thread_id"))
+    top = _nested_threads(_comment_nodes(forest)).withColumn("resp_key", F.col("thread_id"))
     return _responses(spark, sf_dir, top, forest, "post:")
 
 
@@ -326,7 +326,7 @@ def post_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures hold what it hides.
     """
     forest = _forest_ranked(spark, sf_dir)
-    top = _nested(_capture_nodes(forest), ["thread_id"]).withColumn("resp_key", F.col("thread_id"))
+    top = _nested_threads(_capture_nodes(forest)).withColumn("resp_key", F.col("thread_id"))
     return _responses(spark, sf_dir, top, forest, "post:")
 
 
@@ -358,7 +358,7 @@ def subtree_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a live answer holds every comment below its root, a stale one what the base capture shows there
     held = comments.unionByName(hidden).join(targets, ["user_id", "root_k"]).filter(
         F.when(F.col("dead"), F.coalesce("visible", F.lit(True))).otherwise(F.col("visible").isNotNull()))
-    subtrees = _nested(held.withColumn("depth", F.col("depth") - F.col("root_depth")), ["user_id", "root_k", "thread_id", "ptr_parent_id"])
+    subtrees = _nested_threads(held.withColumn("depth", F.col("depth") - F.col("root_depth")), ("user_id", "root_k", "thread_id", "ptr_parent_id"))
     roots = subtrees.groupBy("thread_id", F.col("ptr_parent_id").alias("resp_key")).agg(
         F.array_join(F.array_sort(F.collect_list("kids")), ",").alias("kids"))
     return _responses(spark, sf_dir, roots, forest, "subtree:")
